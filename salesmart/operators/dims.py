@@ -114,32 +114,38 @@ def dim_source(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, schema)
 
 
-# --- D2 ---------------------------------------------------------------------------
-def status_candidates(*order_frames: DataFrame) -> DataFrame:
-    """Distinct cleaned statuses over the order sources (column ``Status``)."""
+# --- D2, D3 -----------------------------------------------------------------------------
+def order_profile(*order_frames: DataFrame) -> DataFrame:
+    """One pass over the order sources -> cleaned status, first/last date, rows.
+
+    One row per distinct status (a null status included), so the result is tiny and
+    feeds both the status and the date dimension; the aggregation is partial on every
+    map task, so a status holding most orders costs no more than any other.
+    """
     out = None
     for df in order_frames:
-        s = df.select(clean_key_text("Status").alias("status"))
+        s = df.select(clean_key_text("Status").alias("status"), F.col("OrderDate").alias("d"))
         out = s if out is None else out.unionByName(s)
-    return out.filter(F.col("status").isNotNull()).distinct()
+    return out.groupBy("status").agg(F.min("d").alias("lo"), F.max("d").alias("hi"),
+                                     F.count(F.lit(1)).alias("n"))
+
+
+def status_candidates(profile: DataFrame) -> DataFrame:
+    """Distinct cleaned statuses (from ``order_profile``)."""
+    return profile.filter(F.col("status").isNotNull()).select("status")
 
 
 def load_dim_status(candidates: DataFrame, current: DataFrame | None) -> DimLoad:
     return upsert(candidates, current, "status_key", ["status"], [], [])
 
 
-# --- D3 ---------------------------------------------------------------------------
-def date_candidates(*order_frames: DataFrame) -> DataFrame:
-    """Every day from the first to the last order date over the order sources.
+def date_candidates(profile: DataFrame) -> DataFrame:
+    """Every day from the first to the last order date (from ``order_profile``).
 
-    One aggregate takes min and max; ``sequence`` expands them inside the plan, so the
-    output is bounded by the calendar span, not by the number of orders.
+    ``sequence`` expands min..max inside the plan, so the output is bounded by the
+    calendar span, not by the number of orders.
     """
-    out = None
-    for df in order_frames:
-        d = df.select(F.col("OrderDate").alias("d"))
-        out = d if out is None else out.unionByName(d)
-    span = out.agg(F.min("d").alias("lo"), F.max("d").alias("hi")).filter(F.col("lo").isNotNull())
+    span = profile.agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).filter(F.col("lo").isNotNull())
     days = span.select(F.explode(F.sequence("lo", "hi", F.expr("interval 1 day"))).alias("date"))
     return days.select(calendar_columns("date"))
 

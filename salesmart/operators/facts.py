@@ -32,6 +32,8 @@ class FactInputs:
     dim_product: DataFrame
     dim_status: DataFrame
     dim_source: DataFrame
+    # per-dimension broadcast decisions taken beforehand (None: check when joining)
+    broadcast: dict | None = None
 
 
 def typed_lines(staged_details: DataFrame) -> DataFrame:
@@ -61,17 +63,36 @@ def join_details_orders(lines: DataFrame, orders: DataFrame) -> DataFrame:
 
 def resolve_keys(lines: DataFrame, inp: FactInputs, source_key: int = S.SOURCE_CSV) -> DataFrame:
     """J2-J6 on joined lines (OrderID, ProductID, CustomerID, OrderDate, Status, ...)."""
+    b = inp.broadcast or {}
+    # The source key is a constant of the load.  It is resolved against the fixed
+    # source list the source dimension is built from (a join on a constant would be a
+    # nested-loop join).
+    known = {k for k, _, _ in S.SOURCES}
     x = lines.withColumn("_src", F.lit(source_key))
-    x = lookup(x, inp.dim_source, {"_src": "source_key"}, "source_key", broadcast=True)     # J6
-    x = lookup(x, inp.dim_date, {"OrderDate": "date"}, "date_key", SMALL_DIM_ROWS)          # J2
+    x = x.withColumn("source_key", F.lit(source_key if source_key in known else S.UNKNOWN_KEY))
+    x = lookup(x, inp.dim_date, {"OrderDate": "date"}, "date_key", SMALL_DIM_ROWS,
+               b.get("date"))                                                              # J2
     x = lookup(x, inp.dim_customer, {"_src": "source_key", "CustomerID": "customer_id"},
-               "customer_key", WIDE_DIM_ROWS)                                              # J3
+               "customer_key", WIDE_DIM_ROWS, b.get("customer"))                           # J3
     x = lookup(x, inp.dim_product, {"_src": "source_key", "ProductID": "product_id"},
-               "product_key", WIDE_DIM_ROWS)                                               # J4
-    x = lookup(x, inp.dim_status, {"Status": "status"}, "status_key", SMALL_DIM_ROWS)     # J5
+               "product_key", WIDE_DIM_ROWS, b.get("product"))                             # J4
+    x = lookup(x, inp.dim_status, {"Status": "status"}, "status_key", SMALL_DIM_ROWS,
+               b.get("status"))                                                            # J5
     return x.drop("_src")
 
 
+def broadcast_plan(inp: FactInputs, threads: int = 4) -> dict:
+    """Check every dimension's size bound at once (concurrent, each reads at most
+    bound + 1 rows) and return the broadcast decision per dimension."""
+    from concurrent.futures import ThreadPoolExecutor
+    from .lookups import fits
+    checks = {"date": (inp.dim_date, SMALL_DIM_ROWS), "status": (inp.dim_status, SMALL_DIM_ROWS),
+              "customer": (inp.dim_customer, WIDE_DIM_ROWS), "product": (inp.dim_product, WIDE_DIM_ROWS)}
+    with ThreadPoolExecutor(max_workers=threads) as ex:
+        futs = {k: ex.submit(fits, df, n) for k, (df, n) in checks.items()}
+        return {k: f.result() for k, f in futs.items()}
+
+
 def fact_rows(keyed: DataFrame) -> DataFrame:
     """P5 + projection to the fact columns."""
     return keyed.select(

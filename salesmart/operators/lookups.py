@@ -41,7 +41,7 @@ def lookup(facts: DataFrame, dim: DataFrame, on: dict[str, str], key_col: str,
     right = dim.select(*sel, F.col(key_col).alias(f"_lk_{key_col}"))
     if broadcast:
         right = F.broadcast(right)
-    elif max_rows is not None:
+    elif broadcast is None and max_rows is not None:
         right = bounded_broadcast(right, max_rows)
     cond = None
     for i, f_col in enumerate(on):

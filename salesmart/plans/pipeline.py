@@ -10,6 +10,8 @@ from __future__ import annotations
 import datetime as _dt
 import logging
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -18,9 +20,9 @@ from pyspark.sql import functions as F
 from .. import schemas as S
 from ..operators import dims as D
 from ..operators import staging as K
-from ..operators.facts import ORPHAN, FactInputs, build_fact
 from ..operators.dedup import dedup_order_lines
-from ..operators.facts import fact_rows, join_details_orders, resolve_keys, unique_orders
+from ..operators.facts import (ORPHAN, FactInputs, broadcast_plan, build_fact, fact_rows,
+                               join_details_orders, resolve_keys, typed_lines, unique_orders)
 from ..operators.validate import (REASON, accepted, convert_customers, convert_db_orders,
                                   convert_orders, convert_products)
 from ..session import apply_job_conf
@@ -75,28 +77,45 @@ def extract(spark: SparkSession, src: SourceConfig) -> dict[str, DataFrame]:
     }
 
 
+# --- helpers ------------------------------------------------------------------------
+def _parallel(tasks: dict[str, Callable[[], object]], threads: int = 8) -> dict[str, object]:
+    """Run independent driver-side steps at once; each submits its own Spark jobs."""
+    if not tasks:
+        return {}
+    with ThreadPoolExecutor(max_workers=min(threads, len(tasks))) as ex:
+        futs = {k: ex.submit(fn) for k, fn in tasks.items()}
+        return {k: f.result() for k, f in futs.items()}
+
+
+def _count(df: DataFrame | None) -> int:
+    """Row count; on a Parquet table this reads only row-group metadata."""
+    return 0 if df is None else df.count()
+
+
 # --- stage --------------------------------------------------------------------------
 def stage(store: TableStore, extracts: dict[str, DataFrame]) -> dict[str, bool]:
     """K1-K9: every non-empty extract becomes the next staging version.
 
-    All writes finish before any is published, so a failed extract (bad CSV value,
-    missing column, empty API envelope) leaves all staging tables as they were.
-    Empty extracts are skipped and keep their previous rows (K9).
+    The seven tables are written concurrently, and published only after all writes
+    succeeded, so a failed extract (bad CSV value, missing column, empty API envelope)
+    leaves every staging table as it was.  Empty extracts are skipped before anything
+    is replaced and keep their previous rows (K9).
     """
-    staged = {t: K.to_staging(df, t) for t, df in extracts.items()}
-    nonempty = {t: df for t, df in staged.items() if not df.isEmpty()}
-    for t in staged:
-        if t not in nonempty:
-            log.warning("no rows for staging table %s; previous rows kept", t)
-    store.publish_all({f"stg/{t}": df for t, df in nonempty.items()})
-    return {t: t in nonempty for t in staged}
+    def one(table: str, df: DataFrame):
+        staged = K.to_staging(df, table)
+        if staged.isEmpty():
+            log.warning("no rows for staging table %s; previous rows kept", table)
+            return None
+        return store.write_version(f"stg/{table}", staged)
 
-
-# --- dimensions ---------------------------------------------------------------------
-def _count(df: DataFrame | None) -> int:
-    return 0 if df is None else df.count()
+    versions = _parallel({t: (lambda t=t, df=df: one(t, df)) for t, df in extracts.items()})
+    for t, v in versions.items():
+        if v is not None:
+            store.mark(f"stg/{t}", v)
+    return {t: v is not None for t, v in versions.items()}
 
 
+# --- dimensions ---------------------------------------------------------------------
 def _publish_dim(store: TableStore, table: str, load: D.DimLoad) -> dict:
     obs = Observation(f"dim_{table.replace('/', '_')}_{uuid.uuid4().hex[:6]}")
     # the change states are counted while the new version is written (one job)
@@ -110,111 +129,135 @@ def _publish_dim(store: TableStore, table: str, load: D.DimLoad) -> dict:
     return {"inserted": int(m.get("inserted") or 0), "updated": int(m.get("updated") or 0)}
 
 
-def load_dimensions(store: TableStore) -> list[dict]:
-    """D1-D5 from the current staging versions (S9), each published as a new version."""
-    spark = store.spark
-    stg = {t: store.read(f"stg/{t}") for t in S.STAGING_COLUMNS}
-    out = []
-
+def _dim_source(store: TableStore) -> list[dict]:
     started = _now()
+    ins = 0
     if not store.exists("dw/dim_source"):
-        store.publish("dw/dim_source", D.dim_source(spark))
+        store.publish("dw/dim_source", D.dim_source(store.spark))
         ins = len(S.SOURCES)
-    else:
-        ins = 0
-    out.append(dict(process="dim_source", source="config", started_at=started,
-                    rows_read=len(S.SOURCES), rows_inserted=ins, rows_updated=0, rows_rejected=0))
+    return [dict(process="dim_source", source="config", started_at=started, ended_at=_now(),
+                 rows_read=len(S.SOURCES), rows_inserted=ins, rows_updated=0, rows_rejected=0)]
+
 
-    order_frames = []
+def _dim_status_and_date(store: TableStore, stg: dict) -> list[dict]:
+    frames = []
     if stg["orders"] is not None:
-        order_frames.append(accepted(convert_orders(stg["orders"])))
+        frames.append(accepted(convert_orders(stg["orders"])))
     if stg["db_orders"] is not None:
-        order_frames.append(accepted(convert_db_orders(stg["db_orders"])).select(
+        frames.append(accepted(convert_db_orders(stg["db_orders"])).select(
             "OrderID", "CustomerID", "OrderDate", "Status"))
-    n_orders = _count(stg["orders"]) + _count(stg["db_orders"])
-
-    if order_frames:
-        started = _now()
-        load = D.load_dim_status(D.status_candidates(*order_frames), store.read("dw/dim_status"))
-        m = _publish_dim(store, "dw/dim_status", load)
-        out.append(dict(process="dim_status", source="stg.orders+stg.db_orders",
-                        started_at=started, rows_read=n_orders, rows_inserted=m["inserted"],
-                        rows_updated=m["updated"], rows_rejected=0))
-
-        started = _now()
-        load = D.load_dim_date(D.date_candidates(*order_frames), store.read("dw/dim_date"))
-        m = _publish_dim(store, "dw/dim_date", load)
-        out.append(dict(process="dim_date", source="stg.orders+stg.db_orders",
-                        started_at=started, rows_read=n_orders, rows_inserted=m["inserted"],
-                        rows_updated=0, rows_rejected=0))
-
-    if stg["customers"] is not None:
-        started = _now()
-        conv = convert_customers(stg["customers"])
-        rejected = conv.filter(F.col(REASON).isNotNull()).count()
-        load = D.load_dim_customer(D.customer_members(stg["customers"]),
-                                   store.read("dw/dim_customer"))
-        m = _publish_dim(store, "dw/dim_customer", load)
-        out.append(dict(process="dim_customer", source="stg.customers", started_at=started,
-                        rows_read=_count(stg["customers"]), rows_inserted=m["inserted"],
-                        rows_updated=m["updated"], rows_rejected=rejected))
-
-    if stg["products"] is not None or stg["api_products"] is not None:
-        started = _now()
-        empty = spark.createDataFrame([], ", ".join(f"{c} string" for c in S.STAGING_COLUMNS["products"]))
-        csv = stg["products"] if stg["products"] is not None else empty
-        api = stg["api_products"] if stg["api_products"] is not None else empty
-        rejected = (convert_products(csv).unionByName(convert_products(api))
-                    .filter(F.col(REASON).isNotNull()).count())
-        load = D.load_dim_product(D.product_members(csv, api), store.read("dw/dim_product"))
-        m = _publish_dim(store, "dw/dim_product", load)
-        out.append(dict(process="dim_product", source="stg.products+stg.api_products",
-                        started_at=started, rows_read=_count(csv) + _count(api),
-                        rows_inserted=m["inserted"], rows_updated=m["updated"],
-                        rows_rejected=rejected))
-    return out
+    if not frames:
+        return []
+    started = _now()
+    # one pass over both order sources; the profile has one row per status
+    profile = D.order_profile(*frames).cache()
+    try:
+        # fill the cache once (and count the rows read) before the two loads share it
+        r = _parallel({"profile": profile.count, "o": lambda: _count(stg["orders"]),
+                       "d": lambda: _count(stg["db_orders"])})
+        n_read = r["o"] + r["d"]
+        loads = _parallel({
+            "dim_status": lambda: _publish_dim(store, "dw/dim_status", D.load_dim_status(
+                D.status_candidates(profile), store.read("dw/dim_status"))),
+            "dim_date": lambda: _publish_dim(store, "dw/dim_date", D.load_dim_date(
+                D.date_candidates(profile), store.read("dw/dim_date"))),
+        })
+    finally:
+        profile.unpersist()
+    return [dict(process=p, source="stg.orders+stg.db_orders", started_at=started, ended_at=_now(),
+                 rows_read=n_read, rows_inserted=m["inserted"], rows_updated=m["updated"],
+                 rows_rejected=0) for p, m in loads.items()]
+
+
+def _dim_customer(store: TableStore, stg: dict) -> list[dict]:
+    if stg["customers"] is None:
+        return []
+    started = _now()
+    rejected = lambda: (convert_customers(stg["customers"])
+                        .filter(F.col(REASON).isNotNull()).count())
+    load = lambda: _publish_dim(store, "dw/dim_customer", D.load_dim_customer(
+        D.customer_members(stg["customers"]), store.read("dw/dim_customer")))
+    r = _parallel({"rej": rejected, "n": lambda: _count(stg["customers"]), "m": load})
+    return [dict(process="dim_customer", source="stg.customers", started_at=started,
+                 ended_at=_now(), rows_read=r["n"], rows_inserted=r["m"]["inserted"],
+                 rows_updated=r["m"]["updated"], rows_rejected=r["rej"])]
+
+
+def _dim_product(store: TableStore, stg: dict) -> list[dict]:
+    if stg["products"] is None and stg["api_products"] is None:
+        return []
+    started = _now()
+    empty = store.spark.createDataFrame(
+        [], ", ".join(f"{c} string" for c in S.STAGING_COLUMNS["products"]))
+    csv = stg["products"] if stg["products"] is not None else empty
+    api = stg["api_products"] if stg["api_products"] is not None else empty
+    rejected = lambda: (convert_products(csv).unionByName(convert_products(api))
+                        .filter(F.col(REASON).isNotNull()).count())
+    load = lambda: _publish_dim(store, "dw/dim_product", D.load_dim_product(
+        D.product_members(csv, api), store.read("dw/dim_product")))
+    r = _parallel({"rej": rejected, "n": lambda: _count(csv) + _count(api), "m": load})
+    return [dict(process="dim_product", source="stg.products+stg.api_products",
+                 started_at=started, ended_at=_now(), rows_read=r["n"],
+                 rows_inserted=r["m"]["inserted"], rows_updated=r["m"]["updated"],
+                 rows_rejected=r["rej"])]
+
+
+def load_dimensions(store: TableStore) -> list[dict]:
+    """D1-D5 from the current staging versions (S9), loaded concurrently, each
+    published as a new version."""
+    stg = {t: store.read(f"stg/{t}") for t in S.STAGING_COLUMNS}
+    parts = _parallel({
+        "source": lambda: _dim_source(store),
+        "status_date": lambda: _dim_status_and_date(store, stg),
+        "customer": lambda: _dim_customer(store, stg),
+        "product": lambda: _dim_product(store, stg),
+    })
+    return [m for k in ("source", "status_date", "customer", "product") for m in parts[k]]
 
 
 # --- fact ---------------------------------------------------------------------------
 def load_facts(store: TableStore) -> list[dict]:
-    """K10 + K11 as one publish: the new fact version replaces the old one atomically."""
+    """K10 + K11 as one publish: the new fact version replaces the old one atomically.
+
+    The read, rejected, duplicate, inserted and unknown-key counts are observed inside
+    the one write job (A8), without extra passes over the data.
+    """
     details, orders = store.read("stg/order_details"), store.read("stg/orders")
     if details is None or orders is None:
         raise RuntimeError("fact load needs staged order details and orders")
     started = _now()
-    before = store.read("dw/fact_sales")
-    rows_before = 0 if before is None else before.count()          # K10 report
     inp = FactInputs(details=details, orders=orders,
                      dim_date=store.read("dw/dim_date"), dim_customer=store.read("dw/dim_customer"),
                      dim_product=store.read("dw/dim_product"), dim_status=store.read("dw/dim_status"),
                      dim_source=store.read("dw/dim_source"))
-    fl = build_fact(inp)
+    pre = _parallel({"before": lambda: _count(store.read("dw/fact_sales")),     # K10 report
+                     "broadcast": lambda: broadcast_plan(inp)})
+    inp.broadcast = pre["broadcast"]
+
     o_lines, o_unique, o_joined, o_fact = (Observation(f"{n}_{uuid.uuid4().hex[:6]}")
                                            for n in ("lines", "unique", "joined", "fact"))
-    # rebuild the chain with observation points; all four are evaluated by the one
-    # write job (A8 metrics without extra passes over the data)
-    lines = fl.lines.observe(o_lines, F.count(F.lit(1)).alias("read"),
-                             F.count_if(F.col(REASON).isNotNull()).alias("rejected"))
-    inp_obs = FactInputs(details=None, orders=orders, dim_date=inp.dim_date,
-                         dim_customer=inp.dim_customer, dim_product=inp.dim_product,
-                         dim_status=inp.dim_status, dim_source=inp.dim_source)
+    lines = typed_lines(details).observe(
+        o_lines, F.count(F.lit(1)).alias("read"),
+        F.count_if(F.col(REASON).isNotNull()).alias("rejected"))
     unique = dedup_order_lines(accepted(lines)).observe(o_unique, F.count(F.lit(1)).alias("n"))
     joined = join_details_orders(unique, unique_orders(orders)).observe(
         o_joined, F.count_if(F.col(REASON) == ORPHAN).alias("orphans"))
-    fact = fact_rows(resolve_keys(joined.filter(F.col(REASON).isNull()), inp_obs))
+    fact = fact_rows(resolve_keys(joined.filter(F.col(REASON).isNull()), inp))
     keys = ["date_key", "customer_key", "product_key", "status_key", "source_key"]
     fact = fact.observe(o_fact, F.count(F.lit(1)).alias("n"),
                         *[F.count_if(F.col(k) == S.UNKNOWN_KEY).alias(f"unknown_{k}") for k in keys])
     store.publish("dw/fact_sales", fact.select(S.FACT_COLUMNS))
+
     ml, mu, mj, mf = o_lines.get, o_unique.get, o_joined.get, o_fact.get
     rejected = int(ml["rejected"]) + int(mj["orphans"])
     dropped = int(ml["read"]) - int(ml["rejected"]) - int(mu["n"])
     if rejected:
-        store.publish("etl/rejects/fact_sales", fl.rejects)
+        # rejected lines are kept apart with their reason (only when there are any)
+        store.publish("etl/rejects/fact_sales", build_fact(inp).rejects)
     return [dict(process="fact_sales", source="stg.order_details", started_at=started,
                  rows_read=int(ml["read"]), rows_inserted=int(mf["n"]), rows_updated=0,
                  rows_rejected=rejected, rows_dropped_duplicates=dropped,
-                 rows_before_clean=rows_before,
+                 rows_before_clean=pre["before"],
                  unknown_keys=sum(int(mf[f"unknown_{k}"]) for k in keys))]
 
 
@@ -240,9 +283,7 @@ def run(spark: SparkSession, sources: SourceConfig, warehouse: str,
     try:
         res.staged = stage(store, extract(spark, sources))
         step = "dimensions"
-        for m in load_dimensions(store):
-            m["ended_at"] = _now()
-            res.metrics.append(m)
+        res.metrics.extend(load_dimensions(store))
         step = "facts"
         for m in load_facts(store):
             m["ended_at"] = _now()

@@ -73,10 +73,11 @@ def first_dims(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     orders_t = accepted(convert_orders(staged(spark, sf, "orders")))
     db_orders_t = accepted(convert_db_orders(staged(spark, sf, "db_orders"))).select(
         "OrderID", "CustomerID", "OrderDate", "Status")
+    profile = D.order_profile(orders_t, db_orders_t)
     return {
         "source": D.dim_source(spark),
-        "status": D.load_dim_status(D.status_candidates(orders_t, db_orders_t), None).table,
-        "date": D.load_dim_date(D.date_candidates(orders_t, db_orders_t), None).table,
+        "status": D.load_dim_status(D.status_candidates(profile), None).table,
+        "date": D.load_dim_date(D.date_candidates(profile), None).table,
         "customer": D.load_dim_customer(D.customer_members(staged(spark, sf, "customers")), None).table,
         "product": D.load_dim_product(D.product_members(staged(spark, sf, "products"),
                                                         staged(spark, sf, "api_products")), None).table,
