@@ -42,3 +42,26 @@ def touch(spark: SparkSession, path: str) -> None:
 
 def has_marker(spark: SparkSession, path: str, marker: str) -> bool:
     return exists(spark, path.rstrip("/") + "/" + marker)
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small metadata file (UTF-8), replacing one that exists."""
+    fs, p = _fs_and_path(spark, path)
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """Content of a small metadata file, or None when it does not exist."""
+    fs, p = _fs_and_path(spark, path)
+    if not fs.exists(p):
+        return None
+    jvm = spark.sparkContext._jvm
+    stream = fs.open(p)
+    try:
+        return jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()

@@ -68,15 +68,17 @@ def upsert(incoming: DataFrame, current: DataFrame | None, key_col: str,
     """Merge de-duplicated ``incoming`` members into ``current`` (type 1, no deletes)."""
     spark = incoming.sparkSession
     inc = incoming.select(*natural, *attrs)
+    cols = [key_col, *natural, *attrs]
     if current is None:
-        schema = T.StructType([T.StructField(key_col, T.LongType(), True)]
-                              + [f for f in inc.schema.fields])
-        current = spark.createDataFrame([], schema)
-        max_key = 0
-    else:
-        current = current.select(key_col, *natural, *attrs)
-        max_key = current.agg(F.max(key_col)).first()[0] or 0
-        max_key = max(int(max_key), 0)
+        # first load: every member is new; no comparison join is needed
+        new = assign_keys(inc, natural, key_col, start_after=0).withColumn("state", F.lit(INSERTED))
+        new = new.select(F.col(key_col).cast("bigint").alias(key_col), *natural, *attrs, "state")
+        unknown = _unknown_row(spark, new.select(cols).schema, [key_col, *unknown_keys])
+        rows = new.unionByName(unknown.withColumn("state", F.lit(UNKNOWN_STATE)))
+        return DimLoad(rows=rows, columns=cols)
+    current = current.select(key_col, *natural, *attrs)
+    max_key = current.agg(F.max(key_col)).first()[0] or 0
+    max_key = max(int(max_key), 0)
     cur = current.filter(F.col(key_col) != S.UNKNOWN_KEY)
 
     j = (cur.select(key_col, *natural, *[F.col(a).alias(f"_cur_{a}") for a in attrs])
@@ -99,7 +101,6 @@ def upsert(incoming: DataFrame, current: DataFrame | None, key_col: str,
     old = merged.filter(F.col("state") != INSERTED)
     new = assign_keys(merged.filter(F.col("state") == INSERTED).drop(key_col),
                       natural, key_col, start_after=max_key)
-    cols = [key_col, *natural, *attrs]
     unknown = _unknown_row(spark, old.select(cols).schema, [key_col, *unknown_keys])
     rows = (old.unionByName(new.select(old.columns))
             .unionByName(unknown.withColumn("state", F.lit(UNKNOWN_STATE))))

@@ -1,13 +1,21 @@
 """Surrogate keys without a single-partition window.
 
 New members get ``start_after + 1 .. start_after + N`` in the order of their natural
-key, exactly as a global ``row_number()`` would give, but computed in parallel:
+key, exactly as a global ``row_number()`` would give, but computed in parallel and
+deterministically (a recomputed task after a lost executor yields the same keys):
 
-1. range-partition the new rows on the natural key (``repartitionByRange`` samples the
-   key to pick balanced ranges) and sort inside each range;
-2. ``monotonically_increasing_id`` then encodes (range number, position in range);
-3. a per-range row count (one row per range, ``n_ranges`` rows at most) gives each
-   range its starting offset; that tiny table is broadcast back.
+* **Integer natural keys** (the usual case: source key + source id).  The keys are
+  packed into one order-preserving 64-bit ordinal, and ``percentile_approx`` picks at
+  most ``MAX_BUCKETS - 1`` cut points once (a few numbers on the driver, then literals
+  in the plan).  A row's bucket is a pure function of its key (a binary search over the
+  literals), the buckets hold about equal numbers of rows because natural keys are
+  unique, ``row_number()`` runs per bucket, and a table of one row per bucket (at most
+  ``MAX_BUCKETS`` rows) gives each bucket its offset.
+* **Other key types** (e.g. a status text).  The rows are range-partitioned on the key,
+  sorted, and checkpointed into ``spark.checkpoint.dir`` so that the per-range counts
+  and the numbering read one materialised copy (range bounds come from sampling and
+  must not be recomputed differently); ``monotonically_increasing_id`` then encodes
+  (range, position).
 
 Existing members are never renumbered (the caller passes only new rows), which keeps
 keys stable from one run to the next.
@@ -17,26 +25,73 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-_ID_BITS = 33  # monotonically_increasing_id: partition index << 33 | row position
+from ..session import checkpoint_root
+
+MAX_BUCKETS = 256         # numbering windows per call: bounds the offset table
+_ID_BITS = 33             # monotonically_increasing_id: partition index << 33 | position
+_INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType)
+
+
+def _offsets(per_bucket: DataFrame, bucket: str) -> DataFrame:
+    """Rows before each bucket.  ``per_bucket`` has one row per non-empty bucket (its
+    size is bounded by the bucket count), so this small window and its broadcast do not
+    grow with the data."""
+    before = Window.orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
+    return per_bucket.select(bucket, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+
+
+def _ordinal(rows: DataFrame, order_cols: list[str]) -> Column | None:
+    """One order-preserving bigint for up to two 32-bit integer key columns."""
+    types = {f.name: f.dataType for f in rows.schema.fields}
+    if not (1 <= len(order_cols) <= 2) or not all(isinstance(types[c], _INTEGRAL) for c in order_cols):
+        return None
+    shifted = [F.col(c).cast("bigint") + F.lit(2 ** 31) for c in order_cols]   # 0 .. 2^32-1
+    if len(shifted) == 1:
+        return shifted[0]
+    # (hi, lo) -> (hi + 2^30) * 2^32 + (lo + 2^31): order-preserving for |hi| < 2^30
+    hi = F.col(order_cols[0]).cast("bigint")
+    return F.when(hi.between(-(2 ** 30), 2 ** 30 - 1),
+                  F.shiftleft(hi + F.lit(2 ** 30), 32) + shifted[1]) \
+        .otherwise(F.raise_error(F.lit("leading key column outside the packable range")).cast("bigint"))
+
+
+def _bucket_of(x: Column, cuts: list[int]) -> Column:
+    """Number of cut points <= x, as a balanced binary search over literal cut points."""
+    def node(lo: int, hi: int) -> Column:          # the answer lies in [lo, hi]
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi + 1) // 2                   # answer >= mid  <=>  x >= cuts[mid - 1]
+        return F.when(x >= F.lit(cuts[mid - 1]), node(mid, hi)).otherwise(node(lo, mid - 1))
+    return node(0, len(cuts))
 
 
 def assign_keys(rows: DataFrame, order_cols: list[str], key_col: str,
                 start_after: int | Column = 0, n_ranges: int | None = None) -> DataFrame:
     """Add ``key_col`` numbering ``rows`` by ``order_cols`` (which must be unique)."""
+    start = start_after if isinstance(start_after, Column) else F.lit(start_after)
+    ordinal = _ordinal(rows, order_cols)
+    if ordinal is not None:
+        probs = [i / MAX_BUCKETS for i in range(1, MAX_BUCKETS)]
+        found = rows.select(F.percentile_approx(ordinal, probs, 10000).alias("q")).first()["q"]
+        cuts = sorted(set(int(v) for v in (found or [])))
+        b = rows.withColumn("_bucket", _bucket_of(ordinal, cuts))
+        per_bucket = b.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
+        rn = F.row_number().over(Window.partitionBy("_bucket").orderBy(*order_cols))
+        keyed = b.withColumn("_rn", rn).join(F.broadcast(_offsets(per_bucket, "_bucket")), "_bucket")
+        key = start.cast("bigint") + F.col("_off") + F.col("_rn")
+        return keyed.select(*rows.columns, key.alias(key_col))
+
     spark = rows.sparkSession
+    checkpoint_root(spark)                     # make sure the shared folder is set
     n = n_ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = rows.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
-    mid = F.monotonically_increasing_id()
-    tagged = (ranged.withColumn("_mid", mid)
-              .withColumn("_range", F.shiftright(F.col("_mid"), _ID_BITS))
-              .withColumn("_pos", F.col("_mid") - F.shiftleft(F.col("_range"), _ID_BITS)))
-    # one row per range: the offset table is bounded by n_ranges, so the window over
-    # it and the broadcast below stay small whatever the data size
+    ranged = (rows.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
+              .checkpoint(eager=True))
+    tagged = ranged.select("*", F.monotonically_increasing_id().alias("_mid")).select(
+        *rows.columns, F.shiftright("_mid", _ID_BITS).alias("_range"),
+        (F.col("_mid") - F.shiftleft(F.shiftright("_mid", _ID_BITS), _ID_BITS)).alias("_pos"))
     per_range = tagged.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_range.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    start = start_after if isinstance(start_after, Column) else F.lit(start_after)
-    keyed = tagged.join(F.broadcast(offsets), "_range")
-    key = (start.cast("bigint") + F.col("_off") + F.col("_pos") + 1)
-    return keyed.withColumn(key_col, key).drop("_mid", "_range", "_pos", "_off")
+    keyed = tagged.join(F.broadcast(_offsets(per_range, "_range")), "_range")
+    key = start.cast("bigint") + F.col("_off") + F.col("_pos") + 1
+    return keyed.select(*rows.columns, key.alias(key_col))

@@ -11,13 +11,17 @@ switch.  Published tables also cut the lineage between load steps.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from .. import fs
 from .. import schemas as S
 
 _PREFIX = "v"
 _MARKER = "_PUBLISHED"
+_SCHEMA = "_schema.json"
 
 
 class TableStore:
@@ -53,10 +57,16 @@ class TableStore:
         return self.current_version(table) is not None
 
     def read(self, table: str, version: int | None = None) -> DataFrame | None:
+        """The current (or given) version; its saved schema spares a footer-reading job."""
         v = version if version is not None else self.current_version(table)
         if v is None:
             return None
-        return self.spark.read.parquet(self.version_path(table, v))
+        path = self.version_path(table, v)
+        text = fs.read_text(self.spark, f"{path}/{_SCHEMA}")
+        reader = self.spark.read
+        if text:
+            reader = reader.schema(T.StructType.fromJson(json.loads(text)))
+        return reader.parquet(path)
 
     def write_version(self, table: str, df: DataFrame,
                       partition_by: list[str] | None = None) -> int:
@@ -66,6 +76,7 @@ class TableStore:
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(self.version_path(table, v))
+        fs.write_text(self.spark, f"{self.version_path(table, v)}/{_SCHEMA}", df.schema.json())
         return v
 
     def mark(self, table: str, version: int) -> None:

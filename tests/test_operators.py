@@ -74,6 +74,14 @@ def test_assign_keys_equals_global_row_number(spark):
     assert [k for _, _, k in rows] == list(range(101, 5101))
 
 
+def test_assign_keys_integer_keys_equal_global_row_number(spark):
+    df = spark.range(0, 20000).select((F.col("id") % 4 - 1).cast("int").alias("s"),
+                                      (F.col("id") * 7919 % 1000003 - 500000).cast("int").alias("i"))
+    keyed = assign_keys(df, ["s", "i"], "k", start_after=7)
+    rows = sorted((r.s, r.i, r.k) for r in keyed.collect())
+    assert [k for _, _, k in rows] == list(range(8, 20008))
+
+
 def test_upsert_updates_inserts_and_keeps(spark):
     cur = spark.createDataFrame([(1, 1, 10, "a"), (2, 1, 11, "b"), (3, 1, 12, "c"), (-1, -1, -1, "UNKNOWN")],
                                 "k bigint, s int, id int, v string")
