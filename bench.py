@@ -46,6 +46,7 @@ def main() -> None:
     res = pipeline.run(spark, cfg, scratch_path(spark, "bench", "warehouse", fresh=True))
     times["full_pipeline"] = round(time.time() - t0, 3)
     fact_rows = next(m["rows_inserted"] for m in res.metrics if m["process"] == "fact_sales")
+    extracted = sum(n or 0 for n in res.staged.values())
 
     # a second run over the same input: 0 inserted, 0 updated (the re-run check)
     wh = scratch_path(spark, "bench", "rerun", fresh=True)
@@ -68,6 +69,8 @@ def main() -> None:
         "queries": times,
         "sf": os.path.basename(sf_dir).replace("sf", ""),
         "fact_rows": fact_rows,
+        "rows_extracted": extracted,
+        "rows_per_sec": round(extracted / times["full_pipeline"]),
         "rerun_dimension_changes": changed,
         "cpus": cpus,
     }))

@@ -70,3 +70,22 @@ def write_staging(store, table: str, staged: DataFrame) -> bool:
         return False
     store.publish(f"stg/{table}", staged)
     return True
+
+
+def write_staging_jdbc(staged: DataFrame, url: str, table: str, properties: dict | None = None,
+                       batch_size: int = 5000) -> bool:
+    """K8 for a relational staging target: truncate and bulk insert by column name.
+
+    ``truncate`` keeps the table definition, ``batchsize`` groups inserts like the
+    modelled bulk copy, and every task inserts its own partition in parallel.  An empty
+    extract is skipped before the truncate (K9).
+    """
+    if staged.isEmpty():
+        log.warning("no rows for staging table %s; previous rows kept", table)
+        return False
+    (staged.write.format("jdbc")
+     .option("url", url).option("dbtable", table)
+     .option("truncate", True).option("batchsize", batch_size)
+     .options(**(properties or {}))
+     .mode("overwrite").save())
+    return True

@@ -54,7 +54,7 @@ class SourceConfig:
 @dataclass
 class RunResult:
     run_id: str
-    staged: dict[str, bool] = field(default_factory=dict)
+    staged: dict[str, int | None] = field(default_factory=dict)   # rows staged per table
     metrics: list[dict] = field(default_factory=list)
 
 
@@ -93,13 +93,14 @@ def _count(df: DataFrame | None) -> int:
 
 
 # --- stage --------------------------------------------------------------------------
-def stage(store: TableStore, extracts: dict[str, DataFrame]) -> dict[str, bool]:
+def stage(store: TableStore, extracts: dict[str, DataFrame]) -> dict[str, int | None]:
     """K1-K9: every non-empty extract becomes the next staging version.
 
-    The seven tables are written concurrently, and published only after all writes
+    The seven tables are written concurrently and published only after all writes
     succeeded, so a failed extract (bad CSV value, missing column, empty API envelope)
     leaves every staging table as it was.  Empty extracts are skipped before anything
-    is replaced and keep their previous rows (K9).
+    is replaced and keep their previous rows (K9).  Returns rows staged per table (A2;
+    None for a skipped table), counted from the written files' metadata.
     """
     def one(table: str, df: DataFrame):
         staged = K.to_staging(df, table)
@@ -109,10 +110,14 @@ def stage(store: TableStore, extracts: dict[str, DataFrame]) -> dict[str, bool]:
         return store.write_version(f"stg/{table}", staged)
 
     versions = _parallel({t: (lambda t=t, df=df: one(t, df)) for t, df in extracts.items()})
+    counts = _parallel({t: (lambda t=t, v=v: store.read(f"stg/{t}", v, unpublished=True).count())
+                        for t, v in versions.items() if v is not None})
     for t, v in versions.items():
         if v is not None:
             store.mark(f"stg/{t}", v)
-    return {t: v is not None for t, v in versions.items()}
+    for t, n in counts.items():
+        log.info("staged %s rows into stg.%s", n, t)
+    return {t: counts.get(t) for t in versions}
 
 
 # --- dimensions ---------------------------------------------------------------------
@@ -246,21 +251,43 @@ def load_facts(store: TableStore) -> list[dict]:
     keys = ["date_key", "customer_key", "product_key", "status_key", "source_key"]
     fact = fact.observe(o_fact, F.count(F.lit(1)).alias("n"),
                         *[F.count_if(F.col(k) == S.UNKNOWN_KEY).alias(f"unknown_{k}") for k in keys])
-    store.publish("dw/fact_sales", fact.select(S.FACT_COLUMNS))
+    v = store.publish("dw/fact_sales", fact.select(S.FACT_COLUMNS))
 
     ml, mu, mj, mf = o_lines.get, o_unique.get, o_joined.get, o_fact.get
-    rejected = int(ml["rejected"]) + int(mj["orphans"])
-    dropped = int(ml["read"]) - int(ml["rejected"]) - int(mu["n"])
+    read, bad, uniq, orphans = (int(ml["read"]), int(ml["rejected"]), int(mu["n"]), int(mj["orphans"]))
+    # Observations in shuffle-map stages may count twice if a stage is retried after a
+    # lost executor; the totals are checked against exact metadata counts and, if they
+    # disagree, the split is recounted exactly (an extra pass only in that case).
+    exact_read, exact_ins = _count(details), _count(store.read("dw/fact_sales", v))
+    if read != exact_read or int(mf["n"]) != exact_ins:
+        log.warning("observed fact counts disagree with the written data; recounting")
+        read, bad, uniq, orphans = _exact_fact_counts(details, orders)
+        mf = dict(mf, n=exact_ins)
+    rejected = bad + orphans
+    dropped = read - bad - uniq
     if rejected:
         # rejected lines are kept apart with their reason (only when there are any)
         store.publish("etl/rejects/fact_sales", build_fact(inp).rejects)
     return [dict(process="fact_sales", source="stg.order_details", started_at=started,
-                 rows_read=int(ml["read"]), rows_inserted=int(mf["n"]), rows_updated=0,
+                 rows_read=read, rows_inserted=int(mf["n"]), rows_updated=0,
                  rows_rejected=rejected, rows_dropped_duplicates=dropped,
                  rows_before_clean=pre["before"],
                  unknown_keys=sum(int(mf[f"unknown_{k}"]) for k in keys))]
 
 
+def _exact_fact_counts(details: DataFrame, orders: DataFrame) -> tuple[int, int, int, int]:
+    """read, rejected by F1, unique lines, orphans - as plain aggregates (exact)."""
+    lines = typed_lines(details)
+    unique = dedup_order_lines(accepted(lines))
+    joined = join_details_orders(unique, unique_orders(orders))
+    r = _parallel({
+        "lines": lambda: lines.agg(F.count(F.lit(1)), F.count_if(F.col(REASON).isNotNull())).first(),
+        "unique": lambda: unique.count(),
+        "orphans": lambda: joined.filter(F.col(REASON) == ORPHAN).count(),
+    })
+    return int(r["lines"][0]), int(r["lines"][1]), int(r["unique"]), int(r["orphans"])
+
+
 # --- orchestration ------------------------------------------------------------------
 def _control_rows(spark: SparkSession, run_id: str, metrics: list[dict]) -> DataFrame:
     rows = []

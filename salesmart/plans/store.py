@@ -56,11 +56,17 @@ class TableStore:
     def exists(self, table: str) -> bool:
         return self.current_version(table) is not None
 
-    def read(self, table: str, version: int | None = None) -> DataFrame | None:
-        """The current (or given) version; its saved schema spares a footer-reading job."""
+    def read(self, table: str, version: int | None = None,
+             unpublished: bool = False) -> DataFrame | None:
+        """The current (or given) version; its saved schema spares a footer-reading job.
+
+        ``unpublished`` allows reading a written but not yet marked version (the writer
+        checking its own output before the switch)."""
         v = version if version is not None else self.current_version(table)
         if v is None:
             return None
+        if not unpublished and v not in self.versions(table):
+            raise ValueError(f"version {v} of {table} is not published")
         path = self.version_path(table, v)
         text = fs.read_text(self.spark, f"{path}/{_SCHEMA}")
         reader = self.spark.read
