@@ -23,7 +23,7 @@ def to_long(col: Column | str) -> Column:
 
 def to_money(col: Column | str) -> Column:
     """Text -> decimal(18,2).  Thousands separators are removed first."""
-    return F.regexp_replace(_c(col), ",", "").try_cast(MONEY_SQL)
+    return F.replace(_c(col), F.lit(","), F.lit("")).try_cast(MONEY_SQL)
 
 
 def to_date_safe(col: Column | str, formats: list[str] | None = None) -> Column:

@@ -72,20 +72,38 @@ def read_db_details_from(spark: SparkSession, df: DataFrame) -> DataFrame:
 class FirstLoad:
     """First-load dimensions for one input (no current version), built on demand.
 
-    A query touches only the dimensions it needs; each is built once per query.
+    A query touches only the dimensions it needs.  Each is computed once and written
+    to a fresh folder below ``spark.checkpoint.dir`` (as the load publishes it), so its
+    size check and every join read that table instead of recomputing the plan.
     """
 
     def __init__(self, spark: SparkSession, sf: str):
         self.spark, self.sf = spark, sf
         self._built: dict[str, DataFrame] = {}
+        self._store: TableStore | None = None
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._built:
-            self._built[name] = getattr(self, f"_{name}")()
+            if self._store is None:
+                self._store = TableStore(self.spark, scratch_path(self.spark, "queries", "first_load",
+                                                                 fresh=True))
+            self._store.publish(f"dw/dim_{name}", getattr(self, f"_{name}")())
+            self._built[name] = self._store.read(f"dw/dim_{name}")
         return self._built[name]
 
+    def prefetch(self, *names: str) -> "FirstLoad":
+        """Build the named dimensions at once (concurrent Spark jobs)."""
+        from .pipeline import _parallel
+        if self._store is None:
+            self._store = TableStore(self.spark, scratch_path(self.spark, "queries", "first_load",
+                                                             fresh=True))
+        _parallel({n: (lambda n=n: self[n]) for n in names if n not in self._built})
+        return self
+
     def items(self):
-        return [(n, self[n]) for n in ("source", "status", "date", "customer", "product")]
+        names = ("source", "status", "date", "customer", "product")
+        self.prefetch(*names)
+        return [(n, self[n]) for n in names]
 
     def _profile(self) -> DataFrame:
         spark, sf = self.spark, self.sf
@@ -117,7 +135,7 @@ def first_dims(spark: SparkSession, sf: str) -> FirstLoad:
 
 
 def fact_inputs(spark: SparkSession, sf: str, d: FirstLoad | None = None) -> FactInputs:
-    d = d or first_dims(spark, sf)
+    d = (d or first_dims(spark, sf)).prefetch("date", "customer", "product", "status", "source")
     inp = FactInputs(details=staged(spark, sf, "order_details"), orders=staged(spark, sf, "orders"),
                      dim_date=d["date"], dim_customer=d["customer"], dim_product=d["product"],
                      dim_status=d["status"], dim_source=d["source"])

@@ -25,7 +25,7 @@ def _strict(col: Column, name: str, dtype: T.DataType) -> Column:
         bad = F.raise_error(F.concat(F.lit(f"CSV value not a date in column {name}: "), col))
         value = F.when(parsed.isNull(), bad).otherwise(parsed)
     elif isinstance(dtype, T.DecimalType):
-        value = F.regexp_replace(col, ",", "").cast(dtype)      # ANSI cast: fails on junk
+        value = F.replace(col, F.lit(","), F.lit("")).cast(dtype)   # ANSI cast: fails on junk
     else:
         value = col.cast(dtype)
     return F.when(col.isNull(), missing).otherwise(value).cast(dtype).alias(name)
