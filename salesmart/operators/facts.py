@@ -18,6 +18,7 @@ from .. import schemas as S
 from ..functions.convert import unit_price
 from .dedup import dedup_order_lines, keep_first
 from .lookups import SMALL_DIM_ROWS, WIDE_DIM_ROWS, lookup
+from .skew import hot_keys, split_join
 from .validate import REASON, accepted, convert_order_details, convert_orders
 
 ORPHAN = "OrderID not found in orders"
@@ -34,6 +35,8 @@ class FactInputs:
     dim_source: DataFrame
     # per-dimension broadcast decisions taken beforehand (None: check when joining)
     broadcast: dict | None = None
+    # hot keys per join (order, customer, product), found beforehand (skew.hot_keys)
+    hot: dict | None = None
 
 
 def typed_lines(staged_details: DataFrame) -> DataFrame:
@@ -53,12 +56,36 @@ def unique_orders(staged_orders: DataFrame) -> DataFrame:
                                           F.col("Status").asc_nulls_last()])
 
 
-def join_details_orders(lines: DataFrame, orders: DataFrame) -> DataFrame:
-    """Lines left-joined with their orders; orphans get ``reject_reason``."""
-    o = orders.select("OrderID", "CustomerID", "OrderDate", "Status", F.lit(True).alias("_has_order"))
-    j = lines.join(o, "OrderID", "left")
-    return (j.withColumn(REASON, F.when(F.col("_has_order").isNull(), F.lit(ORPHAN)))
-            .drop("_has_order"))
+def join_details_orders(lines: DataFrame, orders: DataFrame, hot: list | None = None) -> DataFrame:
+    """Lines left-joined with their orders; orphans get ``reject_reason``.
+
+    Lines of ``hot`` orders (a few orders holding a large share of all lines) join a
+    broadcast of just those orders; the rest shuffle on OrderID as usual.
+    """
+    o = orders.select(F.col("OrderID").alias("_o_id"), "CustomerID", "OrderDate", "Status")
+
+    def join(left: DataFrame, right: DataFrame) -> DataFrame:
+        j = left.join(right, left["OrderID"] == right["_o_id"], "left")
+        return j.select(*lines.columns, "CustomerID", "OrderDate", "Status",
+                        F.when(F.col("_o_id").isNull(), F.lit(ORPHAN)).alias(REASON))
+    return split_join(lines, o, "OrderID", "_o_id", hot or [], "left", join)
+
+
+def skew_plan(inp: FactInputs, details_rows: int, orders_rows: int, threads: int = 3) -> dict:
+    """Hot keys of the shuffled joins, found concurrently from seeded samples of the
+    staged rows: orders by line count, customers by order count, products by line
+    count.  Lookups that broadcast their dimension need none."""
+    from concurrent.futures import ThreadPoolExecutor
+    from ..functions.convert import to_int
+    b = inp.broadcast or {}
+    tasks = {"order": (inp.details, to_int("OrderID"), details_rows)}
+    if not b.get("customer"):
+        tasks["customer"] = (inp.orders, to_int("CustomerID"), orders_rows)
+    if not b.get("product"):
+        tasks["product"] = (inp.details, to_int("ProductID"), details_rows)
+    with ThreadPoolExecutor(max_workers=threads) as ex:
+        futs = {k: ex.submit(hot_keys, df, c, n) for k, (df, c, n) in tasks.items()}
+        return {k: f.result() for k, f in futs.items()}
 
 
 def resolve_keys(lines: DataFrame, inp: FactInputs, source_key: int = S.SOURCE_CSV) -> DataFrame:
@@ -72,10 +99,13 @@ def resolve_keys(lines: DataFrame, inp: FactInputs, source_key: int = S.SOURCE_C
     x = x.withColumn("source_key", F.lit(source_key if source_key in known else S.UNKNOWN_KEY))
     x = lookup(x, inp.dim_date, {"OrderDate": "date"}, "date_key", SMALL_DIM_ROWS,
                b.get("date"))                                                              # J2
+    hot = inp.hot or {}
     x = lookup(x, inp.dim_customer, {"_src": "source_key", "CustomerID": "customer_id"},
-               "customer_key", WIDE_DIM_ROWS, b.get("customer"))                           # J3
+               "customer_key", WIDE_DIM_ROWS, b.get("customer"),
+               hot.get("customer"), "CustomerID")                                          # J3
     x = lookup(x, inp.dim_product, {"_src": "source_key", "ProductID": "product_id"},
-               "product_key", WIDE_DIM_ROWS, b.get("product"))                             # J4
+               "product_key", WIDE_DIM_ROWS, b.get("product"),
+               hot.get("product"), "ProductID")                                            # J4
     x = lookup(x, inp.dim_status, {"Status": "status"}, "status_key", SMALL_DIM_ROWS,
                b.get("status"))                                                            # J5
     return x.drop("_src")
@@ -119,7 +149,7 @@ class FactLoad:
 def build_fact(inp: FactInputs) -> FactLoad:
     lines = typed_lines(inp.details)
     unique = dedup_order_lines(accepted(lines))
-    joined = join_details_orders(unique, unique_orders(inp.orders))
+    joined = join_details_orders(unique, unique_orders(inp.orders), (inp.hot or {}).get("order"))
     good = joined.filter(F.col(REASON).isNull())
     fact = fact_rows(resolve_keys(good, inp))
     rejects = (lines.filter(F.col(REASON).isNotNull())

@@ -31,22 +31,32 @@ def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
 
 
 def lookup(facts: DataFrame, dim: DataFrame, on: dict[str, str], key_col: str,
-           max_rows: int | None = None, broadcast: bool | None = None) -> DataFrame:
+           max_rows: int | None = None, broadcast: bool | None = None,
+           hot: list | None = None, hot_col: str | None = None) -> DataFrame:
     """Left-join ``dim`` on ``on`` (fact column -> dim column) and add ``key_col``.
 
     Unmatched rows get the unknown member key.  ``dim`` must be unique on the
     ``on`` columns (dimensions are, by construction), so the fact keeps its row count.
+    When the dimension is not broadcast, fact rows of ``hot`` values of ``hot_col``
+    take a broadcast route (``skew.split_join``).
     """
+    from .skew import split_join
+    names = list(on)
     sel = [F.col(d).alias(f"_lk_{i}") for i, d in enumerate(on.values())]
     right = dim.select(*sel, F.col(key_col).alias(f"_lk_{key_col}"))
-    if broadcast:
+    is_broadcast = bool(broadcast) or (broadcast is None and max_rows is not None and fits(right, max_rows))
+    if is_broadcast:
         right = F.broadcast(right)
-    elif broadcast is None and max_rows is not None:
-        right = bounded_broadcast(right, max_rows)
-    cond = None
-    for i, f_col in enumerate(on):
-        c = facts[f_col] == right[f"_lk_{i}"]
-        cond = c if cond is None else cond & c
-    out = facts.join(right, cond, "left")
-    return (out.withColumn(key_col, F.coalesce(F.col(f"_lk_{key_col}"), F.lit(UNKNOWN_KEY)))
-            .drop(*[f"_lk_{i}" for i in range(len(on))], f"_lk_{key_col}"))
+
+    def join(left: DataFrame, r: DataFrame) -> DataFrame:
+        cond = None
+        for i, f_col in enumerate(names):
+            c = left[f_col] == r[f"_lk_{i}"]
+            cond = c if cond is None else cond & c
+        out = left.join(r, cond, "left")
+        return out.select(*[c for c in out.columns if not c.startswith("_lk_")],
+                          F.coalesce(F.col(f"_lk_{key_col}"), F.lit(UNKNOWN_KEY)).alias(key_col))
+
+    if is_broadcast or not hot or hot_col is None:
+        return join(facts, right)
+    return split_join(facts, right, hot_col, f"_lk_{names.index(hot_col)}", hot, "left", join)

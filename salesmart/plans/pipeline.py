@@ -22,7 +22,8 @@ from ..operators import dims as D
 from ..operators import staging as K
 from ..operators.dedup import dedup_order_lines
 from ..operators.facts import (ORPHAN, FactInputs, broadcast_plan, build_fact, fact_rows,
-                               join_details_orders, resolve_keys, typed_lines, unique_orders)
+                               join_details_orders, resolve_keys, skew_plan, typed_lines,
+                               unique_orders)
 from ..operators.validate import (REASON, accepted, convert_customers, convert_db_orders,
                                   convert_orders, convert_products)
 from ..session import apply_job_conf
@@ -236,8 +237,10 @@ def load_facts(store: TableStore) -> list[dict]:
                      dim_product=store.read("dw/dim_product"), dim_status=store.read("dw/dim_status"),
                      dim_source=store.read("dw/dim_source"))
     pre = _parallel({"before": lambda: _count(store.read("dw/fact_sales")),     # K10 report
-                     "broadcast": lambda: broadcast_plan(inp)})
+                     "broadcast": lambda: broadcast_plan(inp),
+                     "details_rows": lambda: _count(details), "orders_rows": lambda: _count(orders)})
     inp.broadcast = pre["broadcast"]
+    inp.hot = skew_plan(inp, pre["details_rows"], pre["orders_rows"])
 
     o_lines, o_unique, o_joined, o_fact = (Observation(f"{n}_{uuid.uuid4().hex[:6]}")
                                            for n in ("lines", "unique", "joined", "fact"))
@@ -245,7 +248,7 @@ def load_facts(store: TableStore) -> list[dict]:
         o_lines, F.count(F.lit(1)).alias("read"),
         F.count_if(F.col(REASON).isNotNull()).alias("rejected"))
     unique = dedup_order_lines(accepted(lines)).observe(o_unique, F.count(F.lit(1)).alias("n"))
-    joined = join_details_orders(unique, unique_orders(orders)).observe(
+    joined = join_details_orders(unique, unique_orders(orders), inp.hot.get("order")).observe(
         o_joined, F.count_if(F.col(REASON) == ORPHAN).alias("orphans"))
     fact = fact_rows(resolve_keys(joined.filter(F.col(REASON).isNull()), inp))
     keys = ["date_key", "customer_key", "product_key", "status_key", "source_key"]
@@ -258,8 +261,8 @@ def load_facts(store: TableStore) -> list[dict]:
     # Observations in shuffle-map stages may count twice if a stage is retried after a
     # lost executor; the totals are checked against exact metadata counts and, if they
     # disagree, the split is recounted exactly (an extra pass only in that case).
-    exact_read, exact_ins = _count(details), _count(store.read("dw/fact_sales", v))
-    if read != exact_read or int(mf["n"]) != exact_ins:
+    exact_read, exact_ins = pre["details_rows"], _count(store.read("dw/fact_sales", v))
+    if read != exact_read or int(mf["n"]) != exact_ins or uniq - orphans != exact_ins:
         log.warning("observed fact counts disagree with the written data; recounting")
         read, bad, uniq, orphans = _exact_fact_counts(details, orders)
         mf = dict(mf, n=exact_ins)

@@ -23,7 +23,7 @@ from ..operators import reports as R
 from ..operators import staging as K
 from ..operators.dedup import dedup_members, dedup_order_lines, duplicate_groups, duplicate_summary
 from ..operators.facts import (FactInputs, broadcast_plan, build_fact, join_details_orders,
-                               resolve_keys, unique_orders)
+                               resolve_keys, skew_plan, unique_orders)
 from ..operators.keys import assign_keys
 from ..functions.convert import to_date_safe, to_int
 from ..operators.validate import (REASON, accepted, convert_customers, convert_db_orders,
@@ -140,6 +140,7 @@ def fact_inputs(spark: SparkSession, sf: str, d: FirstLoad | None = None) -> Fac
                      dim_date=d["date"], dim_customer=d["customer"], dim_product=d["product"],
                      dim_status=d["status"], dim_source=d["source"])
     inp.broadcast = broadcast_plan(inp)        # the four size checks run concurrently
+    inp.hot = skew_plan(inp, inp.details.count(), inp.orders.count())   # metadata counts
     return inp
 
 
