@@ -26,9 +26,9 @@ def counts_by_name(frames: dict[str, DataFrame], label: str = "name") -> DataFra
 
 
 def with_total(counts: DataFrame, label: str = "name") -> DataFrame:
-    """A2: the per-source counts plus an overall ``total`` row."""
-    total = counts.agg(F.sum("n").cast("bigint").alias("n")).select(F.lit("total").alias(label), "n")
-    return counts.unionByName(total)
+    """A2: the per-source counts plus an overall ``total`` row (one ``rollup`` pass)."""
+    return (counts.rollup(label).agg(F.sum("n").cast("bigint").alias("n"))
+            .select(F.coalesce(F.col(label), F.lit("total")).alias(label), "n"))
 
 
 def product_by_source(dim_product: DataFrame, dim_source: DataFrame) -> DataFrame:

@@ -321,8 +321,12 @@ SELECT product_id, product_name, category, price, stock FROM (
          category NULLS FIRST, price NULLS FIRST, stock NULLS FIRST) AS rn FROM m) WHERE rn = 1"""
 ORACLE["dup_order_lines"] = _with("details_t") + """
 SELECT OrderID, ProductID, count(*) AS n FROM details_t GROUP BY OrderID, ProductID HAVING count(*) > 1"""
-ORACLE["dup_groups_customers"] = "SELECT CAST(0 AS BIGINT) AS dup_groups, CAST(0 AS BIGINT) AS dup_rows"
-ORACLE["dup_groups_products"] = ORACLE["dup_groups_customers"]
+ORACLE["dup_groups_customers"] = _with("d_customer") + """
+SELECT count(*) AS dup_groups, CAST(COALESCE(sum(n - 1), 0) AS BIGINT) AS dup_rows FROM (
+  SELECT source_key, customer_id, count(*) AS n FROM d_customer GROUP BY 1, 2 HAVING count(*) > 1)"""
+ORACLE["dup_groups_products"] = _with("d_product") + """
+SELECT count(*) AS dup_groups, CAST(COALESCE(sum(n - 1), 0) AS BIGINT) AS dup_rows FROM (
+  SELECT source_key, product_id, count(*) AS n FROM d_product GROUP BY 1, 2 HAVING count(*) > 1)"""
 ORACLE["product_source_tag"] = _with("products_t", "api_t") + """
 SELECT ProductID, 1 AS source_key FROM products_t UNION ALL SELECT ProductID, 3 FROM api_t"""
 
@@ -344,7 +348,14 @@ SELECT state, count(*) AS n FROM (
               THEN 'match' ELSE 'differs' END AS state
   FROM uniq u FULL OUTER JOIN db d ON u.OrderID = d.OrderID AND u.ProductID = d.ProductID)
 GROUP BY state"""
-ORACLE["reconcile_orders"] = "SELECT 'match' AS state, count(*) AS n FROM orders"
+ORACLE["reconcile_orders"] = _with("orders_t", "db_orders_t") + """
+SELECT state, count(*) AS n FROM (
+  SELECT CASE WHEN d.PedidoId IS NULL THEN 'only_csv' WHEN c.OrderID IS NULL THEN 'only_db'
+              WHEN c.CustomerID IS NOT DISTINCT FROM d.ClienteId AND c.OrderDate IS NOT DISTINCT FROM d.FechaPedido
+               AND upper(trim(c.Status)) IS NOT DISTINCT FROM upper(trim(d.Estado)) THEN 'match'
+              ELSE 'differs' END AS state
+  FROM orders_t c FULL OUTER JOIN db_orders_t d ON c.OrderID = d.PedidoId)
+GROUP BY state"""
 ORACLE["dim_change_counts"] = _with("d_product", "d_customer", "products_t", "api_t", "customers_t")[:-1] + """,
   pp AS (WITH """ + _PROD2 + """
          SELECT 'product' AS dimension, state, count(*) AS n FROM merged WHERE state <> 'kept' GROUP BY state),

@@ -68,9 +68,13 @@ DB_ORDER_DETAIL_COLUMNS = {
     "FechaCreacion": "CreatedAt",
 }
 
-# JSON product feed: the envelope and its element (bound by JSON field name).
-API_ITEM = _struct(("id", T.IntegerType()), ("title", T.StringType()),
-                   ("category", T.StringType()), ("price", MONEY), ("stock", T.IntegerType()))
+# JSON product feed: the envelope and its element (bound by JSON field name).  Numbers
+# are read as text and cast strictly afterwards, so both 5 and "5" are accepted (as the
+# web defaults of the modelled client do) while junk still fails the load.
+API_ITEM = _struct(("id", T.StringType()), ("title", T.StringType()),
+                   ("category", T.StringType()), ("price", T.StringType()),
+                   ("stock", T.StringType()))
+API_ITEM_TYPES = {"id": T.IntegerType(), "price": MONEY, "stock": T.IntegerType()}
 API_ENVELOPE = T.StructType([
     T.StructField("products", T.ArrayType(API_ITEM), True),
     T.StructField("total", T.IntegerType(), True),

@@ -26,7 +26,9 @@ def read_api_pages(spark: SparkSession, path: str | list[str], multiline: bool =
     out = []
     for src, dst in S.API_FIELDS.items():
         c = F.col(src)
-        if dst in ("ProductName", "Category"):
+        if src in S.API_ITEM_TYPES:
+            c = F.trim(c).cast(S.API_ITEM_TYPES[src])         # ANSI cast: junk fails
+        else:
             c = F.coalesce(c, F.lit(""))                        # T6
         out.append(c.alias(dst))
     return items.select(out)

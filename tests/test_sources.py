@@ -74,6 +74,19 @@ def test_json_pages_unwrap_and_default_text(spark, tmp_root):
     assert [(r.ProductID, r.ProductName, r.Category) for r in rows] == [(1, "", ""), (2, "B", "c")]
 
 
+def test_json_numbers_as_text_are_accepted_and_junk_fails(spark, tmp_root):
+    p = _write(tmp_root, "api3/p.json",
+               '{"products":[{"id":"3","title":"C","category":"c","price":"1,5","stock":2}],'
+               '"total":1,"skip":0,"limit":0}\n')
+    with pytest.raises(Exception):
+        read_api_pages(spark, os.path.dirname(p)).collect()
+    p = _write(tmp_root, "api4/p.json",
+               '{"products":[{"id":"3","title":"C","category":"c","price":"1.50","stock":"2"}],'
+               '"total":1,"skip":0,"limit":0}\n')
+    r = read_api_pages(spark, os.path.dirname(p)).collect()[0]
+    assert (r.ProductID, str(r.Price), r.Stock) == (3, "1.50", 2)
+
+
 def test_json_page_without_products_fails(spark, tmp_root):
     p = _write(tmp_root, "api2/p.json", '{"total":0,"skip":0,"limit":0}\n')
     with pytest.raises(Exception):
