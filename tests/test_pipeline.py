@@ -96,3 +96,19 @@ def test_empty_extract_keeps_previous_staging(spark, loaded, tmp_root):
     rows = store.read("stg/customers")
     assert write_staging(store, "customers", rows.limit(0)) is False
     assert store.current_version("stg/customers") == v
+
+
+def test_command_line_runs_a_load(spark, tmp_root):
+    import json
+
+    from salesmart.__main__ import main
+    cfg = source_config(spark, SF001)
+    conf = {"warehouse": tmp_root + "/wh",
+            "sources": {k: getattr(cfg, k) for k in cfg.__dataclass_fields__}}
+    path = tmp_root.replace("file:", "") + "/load.json"
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "w") as f:
+        json.dump(conf, f)
+    assert main(["run", "--config", path, "--run-id", "cli-test"]) == 0
+    lc = TableStore(spark, tmp_root + "/wh").load_control()
+    assert {r.run_id for r in lc.collect()} == {"cli-test"}
