@@ -65,3 +65,9 @@ def read_text(spark: SparkSession, path: str) -> str | None:
         return jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
     finally:
         stream.close()
+
+
+def delete_tree(spark: SparkSession, path: str) -> bool:
+    """Remove a folder and its contents (used to retire old table versions)."""
+    fs, p = _fs_and_path(spark, path)
+    return bool(fs.delete(p, True))

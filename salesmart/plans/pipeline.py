@@ -303,9 +303,17 @@ def _control_rows(spark: SparkSession, run_id: str, metrics: list[dict]) -> Data
     return spark.createDataFrame(rows, S.LOAD_CONTROL)
 
 
+RETIRED_TABLES = ["stg/" + t for t in S.STAGING_COLUMNS] + [
+    "dw/dim_source", "dw/dim_status", "dw/dim_date", "dw/dim_customer", "dw/dim_product",
+    "dw/fact_sales", "etl/rejects/fact_sales"]
+
+
 def run(spark: SparkSession, sources: SourceConfig, warehouse: str,
-        run_id: str | None = None) -> RunResult:
-    """Run the whole load once.  A failure is recorded in load control and re-raised."""
+        run_id: str | None = None, keep_versions: int | None = None) -> RunResult:
+    """Run the whole load once.  A failure is recorded in load control and re-raised.
+
+    ``keep_versions`` (optional, >= 2 recommended) retires older table versions after a
+    successful run; by default every version is kept."""
     apply_job_conf(spark)
     store = TableStore(spark, warehouse)
     res = RunResult(run_id=run_id or uuid.uuid4().hex)
@@ -325,4 +333,7 @@ def run(spark: SparkSession, sources: SourceConfig, warehouse: str,
         store.append_load_control(_control_rows(spark, res.run_id, res.metrics))
         raise
     store.append_load_control(_control_rows(spark, res.run_id, res.metrics))
+    if keep_versions:
+        for t in RETIRED_TABLES:
+            store.retire(t, keep_versions)
     return res

@@ -104,6 +104,24 @@ class TableStore:
             self.mark(t, v)
         return written
 
+    def retire(self, table: str, keep: int = 2) -> list[int]:
+        """Delete all but the newest ``keep`` published versions of ``table`` (and any
+        unpublished version older than the newest kept one).  Returns what was removed.
+
+        ``keep`` >= 2 leaves readers of the previous version undisturbed."""
+        if keep < 1:
+            raise ValueError("keep at least the current version")
+        published = self.versions(table)
+        if len(published) <= keep:
+            return []
+        oldest_kept = published[-keep]
+        removed = []
+        for name in fs.list_dirs(self.spark, self.path(table)):
+            if name.startswith(_PREFIX) and name[1:].isdigit() and int(name[1:]) < oldest_kept:
+                fs.delete_tree(self.spark, f"{self.path(table)}/{name}")
+                removed.append(int(name[1:]))
+        return sorted(removed)
+
     # --- K13: load control ------------------------------------------------------
     def append_load_control(self, rows: DataFrame) -> None:
         rows.select([f.name for f in S.LOAD_CONTROL.fields]).write.mode("append").parquet(

@@ -112,3 +112,13 @@ def test_command_line_runs_a_load(spark, tmp_root):
     assert main(["run", "--config", path, "--run-id", "cli-test"]) == 0
     lc = TableStore(spark, tmp_root + "/wh").load_control()
     assert {r.run_id for r in lc.collect()} == {"cli-test"}
+
+
+def test_retire_keeps_the_newest_versions(spark, tmp_root):
+    store = TableStore(spark, tmp_root + "/retire")
+    for i in range(4):
+        store.publish("t", spark.range(i + 1))
+    assert store.versions("t") == [1, 2, 3, 4]
+    assert store.retire("t", keep=2) == [1, 2]
+    assert store.versions("t") == [3, 4]
+    assert store.read("t").count() == 4
