@@ -71,3 +71,11 @@ def delete_tree(spark: SparkSession, path: str) -> bool:
     """Remove a folder and its contents (used to retire old table versions)."""
     fs, p = _fs_and_path(spark, path)
     return bool(fs.delete(p, True))
+
+
+def size_of(spark: SparkSession, path: str) -> int:
+    """Bytes under ``path`` (0 when it does not exist)."""
+    fs, p = _fs_and_path(spark, path)
+    if not fs.exists(p):
+        return 0
+    return int(fs.getContentSummary(p).getLength())

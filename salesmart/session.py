@@ -50,6 +50,25 @@ def apply_job_conf(spark: SparkSession) -> None:
             spark.conf.set(k, v)
 
 
+TARGET_PARTITION_BYTES = 128 * 1024 * 1024
+MAX_SHUFFLE_PARTITIONS = 200_000
+
+
+def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
+    """Start shuffles with about one partition per 128 MB of input; AQE then coalesces
+    small ones.  A fixed ``spark.sql.shuffle.partitions`` cannot grow with the data
+    (AQE only merges), so at 100 TB each partition would hold hundreds of GB.  Leaves
+    an explicit ``initialPartitionNum`` alone; returns the number in effect."""
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    if spark.conf.get(key, None):
+        return int(spark.conf.get(key))
+    base = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    want = min(MAX_SHUFFLE_PARTITIONS, max(base, -(-input_bytes // TARGET_PARTITION_BYTES)))
+    if want > base:
+        spark.conf.set(key, str(want))
+    return want
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 

@@ -142,3 +142,15 @@ def test_published_tables_equal_the_oracle(spark, loaded):
         idx = [rel.columns.index(c) for c in cols]
         want = sorted((tuple(norm(r[i]) for i in idx) for r in rel.fetchall()), key=repr)
         assert got == want, table
+
+
+def test_shuffle_partitions_grow_with_the_input(spark):
+    from salesmart.session import size_shuffles
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    assert size_shuffles(spark, 10 * 1024 * 1024) == 8          # small input: unchanged
+    assert spark.conf.get(key, None) in (None, "")
+    try:
+        assert size_shuffles(spark, 100 * 1024 ** 4) == 200_000  # 100 TB: capped
+        assert spark.conf.get(key) == "200000"
+    finally:
+        spark.conf.unset(key)
