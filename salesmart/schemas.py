@@ -55,7 +55,6 @@ HIST_ORDER_DETAIL = _struct(("OrderDetailID", T.LongType()), ("OrderID", T.Integ
                             ("ProductID", T.IntegerType()), ("Quantity", T.IntegerType()),
                             ("UnitPrice", MONEY), ("TotalPrice", MONEY),
                             ("CreatedAt", T.TimestampNTZType()))
-API_PRODUCT = PRODUCT
 
 # Relational source column names (source language) -> canonical names.
 DB_ORDER_COLUMNS = {

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas as S
+from .csv import strict_value
 
 
 def read_api_pages(spark: SparkSession, path: str | list[str], multiline: bool = False) -> DataFrame:
@@ -27,7 +28,7 @@ def read_api_pages(spark: SparkSession, path: str | list[str], multiline: bool =
     for src, dst in S.API_FIELDS.items():
         c = F.col(src)
         if src in S.API_ITEM_TYPES:
-            c = F.trim(c).cast(S.API_ITEM_TYPES[src])         # ANSI cast: junk fails
+            c = strict_value(F.trim(c), src, S.API_ITEM_TYPES[src], origin="API", thousands=False)
         else:
             c = F.coalesce(c, F.lit(""))                        # T6
         out.append(c.alias(dst))

@@ -16,19 +16,29 @@ from .. import schemas as S
 from ..schemas import DATE_FORMATS
 
 
+def strict_value(col: Column, name: str, dtype: T.DataType, origin: str = "CSV",
+                 thousands: bool = True) -> Column:
+    """Text -> ``dtype``; a missing or unconvertible value fails the load.
+
+    The failure is explicit (``raise_error``), so it does not depend on the session's
+    ANSI setting.  ``thousands`` accepts ``1,234.50`` in decimals (CSV number text)."""
+    missing = F.raise_error(F.lit(f"{origin} value missing in column {name}"))
+    bad = F.raise_error(F.concat(F.lit(f"{origin} value not a {dtype.simpleString()} in column {name}: "),
+                                 col))
+    if isinstance(dtype, T.DateType):
+        value = F.coalesce(*[F.try_to_date(col, f) for f in DATE_FORMATS])
+    elif isinstance(dtype, T.DecimalType) and thousands:
+        value = F.replace(col, F.lit(","), F.lit("")).try_cast(dtype)
+    else:
+        value = col.try_cast(dtype)
+    return (F.when(col.isNull(), missing).when(value.isNull(), bad).otherwise(value)
+            .cast(dtype).alias(name))
+
+
 def _strict(col: Column, name: str, dtype: T.DataType) -> Column:
     if isinstance(dtype, T.StringType):
         return F.coalesce(col, F.lit("")).alias(name)            # T6
-    missing = F.raise_error(F.lit(f"CSV value missing in column {name}"))
-    if isinstance(dtype, T.DateType):
-        parsed = F.coalesce(*[F.try_to_date(col, f) for f in DATE_FORMATS])
-        bad = F.raise_error(F.concat(F.lit(f"CSV value not a date in column {name}: "), col))
-        value = F.when(parsed.isNull(), bad).otherwise(parsed)
-    elif isinstance(dtype, T.DecimalType):
-        value = F.replace(col, F.lit(","), F.lit("")).cast(dtype)   # ANSI cast: fails on junk
-    else:
-        value = col.cast(dtype)
-    return F.when(col.isNull(), missing).otherwise(value).cast(dtype).alias(name)
+    return strict_value(col, name, dtype)
 
 
 def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType,

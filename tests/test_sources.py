@@ -91,3 +91,13 @@ def test_json_page_without_products_fails(spark, tmp_root):
     p = _write(tmp_root, "api2/p.json", '{"total":0,"skip":0,"limit":0}\n')
     with pytest.raises(Exception):
         read_api_pages(spark, os.path.dirname(p)).collect()
+
+
+def test_strictness_does_not_depend_on_ansi_mode(spark, tmp_root):
+    p = _write(tmp_root, "bad2.csv", "ProductID,ProductName,Category,Price,Stock\n1,a,b,zz,3\n")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        with pytest.raises(Exception):
+            read_products_csv(spark, p).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
