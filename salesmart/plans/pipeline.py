@@ -138,6 +138,15 @@ def _publish_dim(store: TableStore, table: str, load: D.DimLoad) -> dict:
     return {"inserted": int(m.get("inserted") or 0), "updated": int(m.get("updated") or 0)}
 
 
+def _publish_rejects(store: TableStore, process: str, converted: DataFrame) -> int:
+    """Count rejected members; when there are any, keep them apart with their reason."""
+    bad = converted.filter(F.col(REASON).isNotNull())
+    n = bad.count()
+    if n:
+        store.publish(f"etl/rejects/{process}", bad)
+    return n
+
+
 def _dim_source(store: TableStore) -> list[dict]:
     started = _now()
     ins = 0
@@ -182,8 +191,8 @@ def _dim_customer(store: TableStore, stg: dict) -> list[dict]:
     if stg["customers"] is None:
         return []
     started = _now()
-    rejected = lambda: (convert_customers(stg["customers"])
-                        .filter(F.col(REASON).isNotNull()).count())
+    rejected = lambda: _publish_rejects(
+        store, "dim_customer", convert_customers(stg["customers"]))
     load = lambda: _publish_dim(store, "dw/dim_customer", D.load_dim_customer(
         D.customer_members(stg["customers"]), store.read("dw/dim_customer")))
     r = _parallel({"rej": rejected, "n": lambda: _count(stg["customers"]), "m": load})
@@ -200,8 +209,8 @@ def _dim_product(store: TableStore, stg: dict) -> list[dict]:
         [], ", ".join(f"{c} string" for c in S.STAGING_COLUMNS["products"]))
     csv = stg["products"] if stg["products"] is not None else empty
     api = stg["api_products"] if stg["api_products"] is not None else empty
-    rejected = lambda: (convert_products(csv).unionByName(convert_products(api))
-                        .filter(F.col(REASON).isNotNull()).count())
+    rejected = lambda: _publish_rejects(
+        store, "dim_product", convert_products(csv).unionByName(convert_products(api)))
     load = lambda: _publish_dim(store, "dw/dim_product", D.load_dim_product(
         D.product_members(csv, api), store.read("dw/dim_product")))
     r = _parallel({"rej": rejected, "n": lambda: _count(csv) + _count(api), "m": load})
@@ -302,13 +311,15 @@ def _control_rows(spark: SparkSession, run_id: str, metrics: list[dict]) -> Data
             S.STATE_COMPLETED_WITH_ERRORS if m.get("rows_rejected") else S.STATE_COMPLETED)
         rows.append((run_id, m.get("source"), m["process"], m.get("started_at"),
                      m.get("ended_at"), state, m.get("rows_read"), m.get("rows_inserted"),
-                     m.get("rows_updated"), m.get("rows_rejected"), m.get("error")))
+                     m.get("rows_updated"), m.get("rows_rejected"), m.get("error"),
+                     m.get("rows_dropped_duplicates"), m.get("unknown_keys")))
     return spark.createDataFrame(rows, S.LOAD_CONTROL)
 
 
 RETIRED_TABLES = ["stg/" + t for t in S.STAGING_COLUMNS] + [
     "dw/dim_source", "dw/dim_status", "dw/dim_date", "dw/dim_customer", "dw/dim_product",
-    "dw/fact_sales", "etl/rejects/fact_sales"]
+    "dw/fact_sales", "etl/rejects/fact_sales", "etl/rejects/dim_customer",
+    "etl/rejects/dim_product"]
 
 
 def _input_bytes(spark: SparkSession, src: SourceConfig) -> int:

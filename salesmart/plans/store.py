@@ -128,6 +128,7 @@ class TableStore:
             self.path("etl/load_control"))
 
     def load_control(self) -> DataFrame:
+        """All load-control rows (columns added later read as NULL in older rows)."""
         p = self.path("etl/load_control")
         if not fs.exists(self.spark, p):
             return self.spark.createDataFrame([], S.LOAD_CONTROL)

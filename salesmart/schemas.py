@@ -118,4 +118,7 @@ LOAD_CONTROL = T.StructType([
     T.StructField("rows_updated", T.LongType(), True),
     T.StructField("rows_rejected", T.LongType(), True),
     T.StructField("error_message", T.StringType(), True),
+    # reported for the fact load: lines dropped as duplicates, keys resolved to unknown
+    T.StructField("rows_duplicated", T.LongType(), True),
+    T.StructField("unknown_keys", T.LongType(), True),
 ])

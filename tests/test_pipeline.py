@@ -61,6 +61,8 @@ def test_load_control_has_every_load(spark, loaded):
     assert states == {"COMPLETED"}
     assert lc.count() == 12                                     # 6 loads x 2 runs
     assert lc.filter(F.col("ended_at").isNull()).count() == 0
+    fact = lc.filter(F.col("process") == "fact_sales").select("rows_duplicated", "unknown_keys").collect()
+    assert {(r.rows_duplicated, r.unknown_keys) for r in fact} == {(58, 0)}
 
 
 def test_same_id_from_two_sources_is_two_members(spark, loaded):
@@ -154,3 +156,26 @@ def test_shuffle_partitions_grow_with_the_input(spark):
         assert spark.conf.get(key) == "200000"
     finally:
         spark.conf.unset(key)
+
+
+def test_rejected_lines_are_kept_apart_and_flag_the_load(spark, tmp_root):
+    import dataclasses
+    cfg = source_config(spark, SF001)
+    src = tmp_root.replace("file:", "") + "/details"
+    os.makedirs(src)
+    with open(src + "/d.csv", "w") as f:
+        f.write("OrderID,ProductID,Quantity,TotalPrice\n"
+                "1,5,2,10.00\n"          # ok
+                "1,5,3,12.00\n"          # duplicate: the higher total survives
+                "1,6,0,1.00\n"           # quantity not positive
+                "999999,5,1,3.00\n")     # no such order
+    wh = tmp_root + "/wh"
+    res = P.run(spark, dataclasses.replace(cfg, order_details_csv=src), wh)
+    fact = _m(res, "fact_sales")
+    assert (fact["rows_read"], fact["rows_inserted"], fact["rows_rejected"],
+            fact["rows_dropped_duplicates"]) == (4, 1, 2, 1)
+    store = TableStore(spark, wh)
+    reasons = sorted(r.reject_reason for r in store.read("etl/rejects/fact_sales").collect())
+    assert reasons == ["OrderID not found in orders", "Quantity not positive"]
+    states = {r.process: r.state for r in store.load_control().collect()}
+    assert states["fact_sales"] == "COMPLETED_WITH_ERRORS" and states["dim_customer"] == "COMPLETED"
