@@ -75,7 +75,11 @@ def assign_keys(rows: DataFrame, order_cols: list[str], key_col: str,
     if ordinal is not None:
         probs = [i / MAX_BUCKETS for i in range(1, MAX_BUCKETS)]
         found = rows.select(F.percentile_approx(ordinal, probs, 10000).alias("q")).first()["q"]
-        cuts = sorted(set(int(v) for v in (found or [])))
+        if not found:
+            # no cut points means no rows: nothing to number (and no constant bucket
+            # that would plan a single-partition window)
+            return rows.select(*rows.columns, F.lit(None).cast("bigint").alias(key_col))
+        cuts = sorted(set(int(v) for v in found))
         b = rows.withColumn("_bucket", _bucket_of(ordinal, cuts))
         per_bucket = b.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
         rn = F.row_number().over(Window.partitionBy("_bucket").orderBy(*order_cols))

@@ -34,3 +34,18 @@ def test_no_single_partition_over_data(spark, name):
     for child in _single_partition_children(plan):
         assert any(p.search(child) for p in ALLOWED_CHILD), f"{name}: single partition over {child}"
     assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan, name
+
+
+def test_second_run_upsert_has_no_single_partition_work(spark):
+    """Re-loading the same members (nothing new) must not plan a one-partition window."""
+    from salesmart.operators import dims as D
+    from salesmart.plans.queries import staged
+    members = D.customer_members(staged(spark, SF001, "customers"))
+    first = D.load_dim_customer(members, None).table
+    first = spark.createDataFrame(first.collect(), first.schema)
+    again = D.load_dim_customer(members, first)
+    plan = again.table._jdf.queryExecution().executedPlan().toString()
+    for child in _single_partition_children(plan):
+        assert any(p.search(child) for p in ALLOWED_CHILD), child
+    assert "BroadcastNestedLoopJoin" not in plan
+    assert again.counts().filter("state = 'unchanged'").first().n == 150
