@@ -1,6 +1,7 @@
 """Command line: run one complete load from a JSON configuration.
 
     python -m salesmart run --config load.json
+    python -m salesmart validate --warehouse s3a://bucket/warehouse
 
 ``load.json``::
 
@@ -29,12 +30,23 @@ def main(argv: list[str] | None = None) -> int:
     r = sub.add_parser("run", help="extract, stage, load dimensions and the fact")
     r.add_argument("--config", required=True)
     r.add_argument("--run-id")
+    v = sub.add_parser("validate", help="run the warehouse checks (duplicates, unfinished loads, ...)")
+    v.add_argument("--warehouse", required=True)
     args = ap.parse_args(argv)
 
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(name)s %(message)s")
     from pyspark.sql import SparkSession
     from .plans.pipeline import SourceConfig, run
 
+    if args.cmd == "validate":
+        from .plans.store import TableStore
+        from .plans.validation import validate_warehouse
+        spark = SparkSession.builder.appName("salesmart-validate").getOrCreate()
+        checks = validate_warehouse(TableStore(spark, args.warehouse)).collect()  # ~15 rows
+        for c in checks:
+            logging.info("%-45s %12s %s", c.check, c.value, "ok" if c.ok else f"FAILED (expected {c.expected})")
+        return 0 if all(c.ok for c in checks) else 1
+
     with open(args.config) as f:
         cfg = json.load(f)
     spark = SparkSession.builder.appName("salesmart").getOrCreate()

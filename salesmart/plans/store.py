@@ -122,6 +122,29 @@ class TableStore:
                 removed.append(int(name[1:]))
         return sorted(removed)
 
+    def tables(self) -> list[str]:
+        """Every table with a published version (``layer/name``)."""
+        out = []
+        for layer in fs.list_dirs(self.spark, self.root):
+            for name in fs.list_dirs(self.spark, f"{self.root}/{layer}"):
+                if self.versions(f"{layer}/{name}"):
+                    out.append(f"{layer}/{name}")
+                else:
+                    out += [f"{layer}/{name}/{sub}" for sub in fs.list_dirs(self.spark, self.path(f"{layer}/{name}"))
+                            if not sub.startswith(_PREFIX) and self.versions(f"{layer}/{name}/{sub}")]
+        return sorted(out)
+
+    def register_views(self) -> list[str]:
+        """Temp views over the current versions (``stg_orders``, ``dw_fact_sales``,
+        ``etl_load_control`` ...), so the warehouse can be queried with ``spark.sql``."""
+        names = []
+        for t in self.tables():
+            name = t.replace("/", "_")
+            self.read(t).createOrReplaceTempView(name)
+            names.append(name)
+        self.load_control().createOrReplaceTempView("etl_load_control")
+        return names + ["etl_load_control"]
+
     # --- K13: load control ------------------------------------------------------
     def append_load_control(self, rows: DataFrame) -> None:
         rows.select([f.name for f in S.LOAD_CONTROL.fields]).write.mode("append").parquet(

@@ -114,6 +114,7 @@ def test_command_line_runs_a_load(spark, tmp_root):
     assert main(["run", "--config", path, "--run-id", "cli-test"]) == 0
     lc = TableStore(spark, tmp_root + "/wh").load_control()
     assert {r.run_id for r in lc.collect()} == {"cli-test"}
+    assert main(["validate", "--warehouse", tmp_root + "/wh"]) == 0
 
 
 def test_retire_keeps_the_newest_versions(spark, tmp_root):
@@ -179,3 +180,17 @@ def test_rejected_lines_are_kept_apart_and_flag_the_load(spark, tmp_root):
     assert reasons == ["OrderID not found in orders", "Quantity not positive"]
     states = {r.process: r.state for r in store.load_control().collect()}
     assert states["fact_sales"] == "COMPLETED_WITH_ERRORS" and states["dim_customer"] == "COMPLETED"
+
+
+def test_validation_checks_pass_and_views_answer_sql(spark, loaded):
+    from salesmart.plans.validation import validate_warehouse
+    wh = loaded[0]
+    store = TableStore(spark, wh)
+    checks = {r.check: (r.value, r.ok) for r in validate_warehouse(store).collect()}
+    assert all(ok for _, ok in checks.values()), checks
+    assert checks["dim_product: members from CSV"][0] == 200
+    assert checks["dim_product: members from API"][0] == 20
+    names = store.register_views()
+    assert {"dw_fact_sales", "dw_dim_customer", "stg_order_details", "etl_load_control"} <= set(names)
+    n = spark.sql("SELECT count(*) AS n FROM dw_fact_sales f JOIN dw_dim_date d USING (date_key)").first().n
+    assert n == 5942
