@@ -90,8 +90,13 @@ def assign_keys(rows: DataFrame, order_cols: list[str], key_col: str,
     spark = rows.sparkSession
     checkpoint_root(spark)                     # make sure the shared folder is set
     n = n_ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (rows.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
-              .checkpoint(eager=True))
+    # persisted first, so writing the checkpoint reads the computed partitions instead of
+    # recomputing them (range bounds included)
+    staged = rows.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols).persist()
+    try:
+        ranged = staged.checkpoint(eager=True)
+    finally:
+        staged.unpersist()
     tagged = ranged.select("*", F.monotonically_increasing_id().alias("_mid")).select(
         *rows.columns, F.shiftright("_mid", _ID_BITS).alias("_range"),
         (F.col("_mid") - F.shiftleft(F.shiftright("_mid", _ID_BITS), _ID_BITS)).alias("_pos"))

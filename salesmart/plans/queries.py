@@ -97,20 +97,29 @@ class FirstLoad:
         if self._store is None:
             self._store = TableStore(self.spark, scratch_path(self.spark, "queries", "first_load",
                                                              fresh=True))
-        _parallel({n: (lambda n=n: self[n]) for n in names if n not in self._built})
+        todo = [n for n in names if n not in self._built]
+        if {"status", "date"} & set(todo):
+            self._profile().count()                 # fill the shared profile once
+        _parallel({n: (lambda n=n: self[n]) for n in todo})
+        if "_profile" in self._built and {"status", "date"} <= set(self._built):
+            self._built.pop("_profile").unpersist()
         return self
 
     def items(self):
-        names = ("source", "status", "date", "customer", "product")
+        names = ("source", "status", "date", "customer", "product")  # noqa: E501
         self.prefetch(*names)
         return [(n, self[n]) for n in names]
 
     def _profile(self) -> DataFrame:
-        spark, sf = self.spark, self.sf
-        orders_t = accepted(convert_orders(staged(spark, sf, "orders")))
-        db_orders_t = accepted(convert_db_orders(staged(spark, sf, "db_orders"))).select(
-            "OrderID", "CustomerID", "OrderDate", "Status")
-        return D.order_profile(orders_t, db_orders_t)
+        """One pass over both order sources shared by the status and date dimensions
+        (one row per status, cached while the dimensions are built)."""
+        if "_profile" not in self._built:
+            spark, sf = self.spark, self.sf
+            orders_t = accepted(convert_orders(staged(spark, sf, "orders")))
+            db_orders_t = accepted(convert_db_orders(staged(spark, sf, "db_orders"))).select(
+                "OrderID", "CustomerID", "OrderDate", "Status")
+            self._built["_profile"] = D.order_profile(orders_t, db_orders_t).cache()
+        return self._built["_profile"]
 
     def _source(self):
         return D.dim_source(self.spark)
