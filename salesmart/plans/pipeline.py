@@ -102,26 +102,24 @@ def stage(store: TableStore, extracts: dict[str, DataFrame]) -> dict[str, int |
 
     The seven tables are written concurrently and published only after all writes
     succeeded, so a failed extract (bad CSV value, missing column, empty API envelope)
-    leaves every staging table as it was.  Empty extracts are skipped before anything
-    is replaced and keep their previous rows (K9).  Returns rows staged per table (A2;
-    None for a skipped table), counted from the written files' metadata.
+    leaves every staging table as it was.  An empty extract is never published, so the
+    previous rows stay (K9).  Returns rows staged per table (A2; None for a skipped
+    table), counted from the written files' metadata.
     """
     def one(table: str, df: DataFrame):
-        staged = K.to_staging(df, table)
-        if staged.isEmpty():
-            log.warning("no rows for staging table %s; previous rows kept", table)
-            return None
-        return store.write_version(f"stg/{table}", staged)
-
-    versions = _parallel({t: (lambda t=t, df=df: one(t, df)) for t, df in extracts.items()})
-    counts = _parallel({t: (lambda t=t, v=v: store.read(f"stg/{t}", v, unpublished=True).count())
-                        for t, v in versions.items() if v is not None})
-    for t, v in versions.items():
-        if v is not None:
+        # write first, publish only a version that holds rows: an empty extract leaves
+        # an unpublished (never read) folder and the previous version stays current
+        v = store.write_version(f"stg/{table}", K.to_staging(df, table))
+        return v, store.read(f"stg/{table}", v, unpublished=True).count()   # metadata count
+
+    written = _parallel({t: (lambda t=t, df=df: one(t, df)) for t, df in extracts.items()})
+    for t, (v, n) in written.items():
+        if n:
             store.mark(f"stg/{t}", v)
-    for t, n in counts.items():
-        log.info("staged %s rows into stg.%s", n, t)
-    return {t: counts.get(t) for t in versions}
+            log.info("staged %s rows into stg.%s", n, t)
+        else:
+            log.warning("no rows for staging table %s; previous rows kept", t)
+    return {t: (n or None) for t, (v, n) in written.items()}
 
 
 # --- dimensions ---------------------------------------------------------------------
@@ -340,6 +338,7 @@ def run(spark: SparkSession, sources: SourceConfig, warehouse: str,
     size_shuffles(spark, _input_bytes(spark, sources))
     store = TableStore(spark, warehouse)
     res = RunResult(run_id=run_id or uuid.uuid4().hex)
+    run_started = _now()
     step = "extract"
     try:
         res.staged = stage(store, extract(spark, sources))
@@ -350,7 +349,7 @@ def run(spark: SparkSession, sources: SourceConfig, warehouse: str,
             m["ended_at"] = _now()
             res.metrics.append(m)
     except Exception as e:  # record, then fail the run
-        res.metrics.append(dict(process=step, source=None, started_at=_now(), ended_at=None,
+        res.metrics.append(dict(process=step, source=None, started_at=run_started, ended_at=_now(),
                                 rows_read=None, rows_inserted=None, rows_updated=None,
                                 rows_rejected=None, error=str(e)[:2000]))
         store.append_load_control(_control_rows(spark, res.run_id, res.metrics))

@@ -194,3 +194,21 @@ def test_validation_checks_pass_and_views_answer_sql(spark, loaded):
     assert {"dw_fact_sales", "dw_dim_customer", "stg_order_details", "etl_load_control"} <= set(names)
     n = spark.sql("SELECT count(*) AS n FROM dw_fact_sales f JOIN dw_dim_date d USING (date_key)").first().n
     assert n == 5942
+
+
+def test_empty_extract_in_a_run_keeps_previous_rows(spark, tmp_root):
+    import dataclasses
+    cfg = source_config(spark, SF001)
+    wh = tmp_root + "/wh"
+    P.run(spark, cfg, wh)
+    store = TableStore(spark, wh)
+    v = store.current_version("stg/customers")
+    empty = tmp_root.replace("file:", "") + "/no_customers"
+    os.makedirs(empty)
+    with open(empty + "/c.csv", "w") as f:
+        f.write("CustomerID,FirstName,LastName,Email,Phone,City,Country\n")
+    res = P.run(spark, dataclasses.replace(cfg, customers_csv=empty), wh)
+    assert res.staged["customers"] is None
+    assert store.current_version("stg/customers") == v
+    assert store.read("stg/customers").count() == 150
+    assert _m(res, "dim_customer")["rows_inserted"] == 0
