@@ -11,11 +11,9 @@ deterministically (a recomputed task after a lost executor yields the same keys)
   literals), the buckets hold about equal numbers of rows because natural keys are
   unique, ``row_number()`` runs per bucket, and a table of one row per bucket (at most
   ``MAX_BUCKETS`` rows) gives each bucket its offset.
-* **Other key types** (e.g. a status text).  The rows are range-partitioned on the key,
-  sorted, and checkpointed into ``spark.checkpoint.dir`` so that the per-range counts
-  and the numbering read one materialised copy (range bounds come from sampling and
-  must not be recomputed differently); ``monotonically_increasing_id`` then encodes
-  (range, position).
+* **Other key types** (e.g. a status text).  Cut points come from a seeded sample of
+  the key tuples (at most ``4 * SAMPLE_KEYS`` reach the driver), and the bucket is a
+  binary search over struct literals; the rest is the same as above.
 
 Existing members are never renumbered (the caller passes only new rows), which keeps
 keys stable from one run to the next.
@@ -27,10 +25,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import checkpoint_root
 
 MAX_BUCKETS = 256         # numbering windows per call: bounds the offset table
-_ID_BITS = 33             # monotonically_increasing_id: partition index << 33 | position
+SAMPLE_KEYS = 20_000      # expected sample size for the cut points of non-integer keys
+SAMPLE_SEED = 29
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType)
 
 
@@ -57,50 +55,65 @@ def _ordinal(rows: DataFrame, order_cols: list[str]) -> Column | None:
         .otherwise(F.raise_error(F.lit("leading key column outside the packable range")).cast("bigint"))
 
 
-def _bucket_of(x: Column, cuts: list[int]) -> Column:
-    """Number of cut points <= x, as a balanced binary search over literal cut points."""
+def _bucket_of(x: Column, cuts: list) -> Column:
+    """Number of cut points <= x, as a balanced binary search over literal cut points
+    (``x`` and the cut points are numbers, or structs compared field by field)."""
     def node(lo: int, hi: int) -> Column:          # the answer lies in [lo, hi]
         if lo == hi:
             return F.lit(lo)
         mid = (lo + hi + 1) // 2                   # answer >= mid  <=>  x >= cuts[mid - 1]
-        return F.when(x >= F.lit(cuts[mid - 1]), node(mid, hi)).otherwise(node(lo, mid - 1))
+        return F.when(x >= cuts[mid - 1], node(mid, hi)).otherwise(node(lo, mid - 1))
     return node(0, len(cuts))
 
 
+def _ordinal_cuts(rows: DataFrame, ordinal: Column) -> list | None:
+    """Cut points of a numeric ordinal from ``percentile_approx`` (None: no rows)."""
+    probs = [i / MAX_BUCKETS for i in range(1, MAX_BUCKETS)]
+    found = rows.select(F.percentile_approx(ordinal, probs, 10000).alias("q")).first()["q"]
+    if not found:
+        return None
+    return [F.lit(v) for v in sorted(set(int(v) for v in found))]
+
+
+def _sampled_cuts(rows: DataFrame, order_cols: list[str]) -> list | None:
+    """Cut points of any orderable key from a seeded sample of at most
+    ``4 * SAMPLE_KEYS`` key tuples, sorted on the driver (None: no rows).  Python orders
+    text by code point, as Spark does by UTF-8 bytes; the cut points only steer balance,
+    never the keys."""
+    n = rows.count()
+    if n == 0:
+        return None
+    fraction = min(1.0, SAMPLE_KEYS / n)
+    sample = (rows.select(*order_cols).na.drop().sample(False, fraction, SAMPLE_SEED)
+              .limit(4 * SAMPLE_KEYS).collect())
+    keys = sorted(set(tuple(r) for r in sample))
+    if not keys:
+        return []
+    step = max(1, len(keys) // MAX_BUCKETS)
+    types = {f.name: f.dataType for f in rows.schema.fields}
+    picked = keys[step::step][: MAX_BUCKETS - 1]
+    return [F.struct(*[F.lit(v).cast(types[c]).alias(c) for c, v in zip(order_cols, k)])
+            for k in picked]
+
+
 def assign_keys(rows: DataFrame, order_cols: list[str], key_col: str,
                 start_after: int | Column = 0, n_ranges: int | None = None) -> DataFrame:
     """Add ``key_col`` numbering ``rows`` by ``order_cols`` (which must be unique)."""
     start = start_after if isinstance(start_after, Column) else F.lit(start_after)
     ordinal = _ordinal(rows, order_cols)
     if ordinal is not None:
-        probs = [i / MAX_BUCKETS for i in range(1, MAX_BUCKETS)]
-        found = rows.select(F.percentile_approx(ordinal, probs, 10000).alias("q")).first()["q"]
-        if not found:
-            # no cut points means no rows: nothing to number (and no constant bucket
-            # that would plan a single-partition window)
-            return rows.select(*rows.columns, F.lit(None).cast("bigint").alias(key_col))
-        cuts = sorted(set(int(v) for v in found))
-        b = rows.withColumn("_bucket", _bucket_of(ordinal, cuts))
-        per_bucket = b.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
-        rn = F.row_number().over(Window.partitionBy("_bucket").orderBy(*order_cols))
-        keyed = b.withColumn("_rn", rn).join(F.broadcast(_offsets(per_bucket, "_bucket")), "_bucket")
-        key = start.cast("bigint") + F.col("_off") + F.col("_rn")
-        return keyed.select(*rows.columns, key.alias(key_col))
-
-    spark = rows.sparkSession
-    checkpoint_root(spark)                     # make sure the shared folder is set
-    n = n_ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # persisted first, so writing the checkpoint reads the computed partitions instead of
-    # recomputing them (range bounds included)
-    staged = rows.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols).persist()
-    try:
-        ranged = staged.checkpoint(eager=True)
-    finally:
-        staged.unpersist()
-    tagged = ranged.select("*", F.monotonically_increasing_id().alias("_mid")).select(
-        *rows.columns, F.shiftright("_mid", _ID_BITS).alias("_range"),
-        (F.col("_mid") - F.shiftleft(F.shiftright("_mid", _ID_BITS), _ID_BITS)).alias("_pos"))
-    per_range = tagged.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
-    keyed = tagged.join(F.broadcast(_offsets(per_range, "_range")), "_range")
-    key = start.cast("bigint") + F.col("_off") + F.col("_pos") + 1
+        cuts, x = _ordinal_cuts(rows, ordinal), ordinal
+    else:
+        cuts = _sampled_cuts(rows, order_cols)
+        x = F.struct(*[F.col(c).alias(c) for c in order_cols])
+    if cuts is None:
+        # no rows: nothing to number (and no constant bucket that would plan a
+        # single-partition window)
+        return rows.select(*rows.columns, F.lit(None).cast("bigint").alias(key_col))
+    # (an empty cut list with rows present means all keys are null: one bucket)
+    b = rows.withColumn("_bucket", _bucket_of(x, cuts))
+    per_bucket = b.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    rn = F.row_number().over(Window.partitionBy("_bucket").orderBy(*order_cols))
+    keyed = b.withColumn("_rn", rn).join(F.broadcast(_offsets(per_bucket, "_bucket")), "_bucket")
+    key = start.cast("bigint") + F.col("_off") + F.col("_rn")
     return keyed.select(*rows.columns, key.alias(key_col))

@@ -74,6 +74,18 @@ def test_assign_keys_equals_global_row_number(spark):
     assert [k for _, _, k in rows] == list(range(101, 5101))
 
 
+def test_assign_keys_text_keys_equal_global_row_number(spark, monkeypatch):
+    from salesmart.operators import keys as KEYS
+    monkeypatch.setattr(KEYS, "SAMPLE_KEYS", 50)       # force many buckets from a sample
+    words = [f"{chr(65 + i % 26)}{i:05d}é" for i in range(3000)]
+    df = spark.createDataFrame([(w, i % 2) for i, w in enumerate(words)], "w string, g int")
+    keyed = assign_keys(df, ["w", "g"], "k", start_after=3)
+    got = sorted((r.w, r.g, r.k) for r in keyed.collect())
+    assert [k for *_, k in got] == list(range(4, 3004))
+    plan = keyed._jdf.queryExecution().executedPlan().toString()
+    assert "checkpoint" not in plan.lower()
+
+
 def test_assign_keys_integer_keys_equal_global_row_number(spark):
     df = spark.range(0, 20000).select((F.col("id") % 4 - 1).cast("int").alias("s"),
                                       (F.col("id") * 7919 % 1000003 - 500000).cast("int").alias("i"))
