@@ -341,13 +341,17 @@ def run(spark: SparkSession, sources: SourceConfig, warehouse: str,
     run_started = _now()
     step = "extract"
     try:
+        t = _now()
         res.staged = stage(store, extract(spark, sources))
-        step = "dimensions"
+        log.info("extract + stage: %.2f s", (_now() - t).total_seconds())
+        step, t = "dimensions", _now()
         res.metrics.extend(load_dimensions(store))
-        step = "facts"
+        log.info("dimensions: %.2f s", (_now() - t).total_seconds())
+        step, t = "facts", _now()
         for m in load_facts(store):
             m["ended_at"] = _now()
             res.metrics.append(m)
+        log.info("fact: %.2f s", (_now() - t).total_seconds())
     except Exception as e:  # record, then fail the run
         res.metrics.append(dict(process=step, source=None, started_at=run_started, ended_at=_now(),
                                 rows_read=None, rows_inserted=None, rows_updated=None,
