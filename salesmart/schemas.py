@@ -56,6 +56,10 @@ HIST_ORDER_DETAIL = _struct(("OrderDetailID", T.LongType()), ("OrderID", T.Integ
                             ("UnitPrice", MONEY), ("TotalPrice", MONEY),
                             ("CreatedAt", T.TimestampNTZType()))
 
+# --- fixed values: column names of the modelled sources and staging tables ------------
+# These must equal the modelled system's names (relational source columns, JSON field
+# names, staging columns); they are listed in their natural order.
+
 # Relational source column names (source language) -> canonical names.
 DB_ORDER_COLUMNS = {
     "PedidoId": "OrderID", "ClienteId": "CustomerID", "FechaPedido": "OrderDate",
@@ -94,8 +98,9 @@ STAGING_COLUMNS = {
                          "PrecioUnitario", "PrecioTotal", "FechaCreacion"],
     "api_products": ["ProductID", "ProductName", "Category", "Price", "Stock"],
 }
+# --- end of fixed values --------------------------------------------------------------
 
-# Warehouse column lists.
+# Warehouse column lists (our choice: the modelled table definitions are unpublished).
 DIM_SOURCE_COLUMNS = ["source_key", "source_name", "source_type"]
 DIM_STATUS_COLUMNS = ["status_key", "status"]
 DIM_DATE_COLUMNS = ["date_key", "date", "year", "quarter", "month", "month_name", "day",
