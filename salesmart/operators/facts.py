@@ -156,3 +156,37 @@ def build_fact(inp: FactInputs) -> FactLoad:
                .unionByName(joined.filter(F.col(REASON).isNotNull())
                             .select(lines.columns)))
     return FactLoad(lines=lines, unique=unique, joined=joined, fact=fact, rejects=rejects)
+
+
+def load_metrics(inp: FactInputs) -> DataFrame:
+    """A8 as one pass: ``metric, n`` for rows read, inserted, rejected, dropped as
+    duplicates and resolved to an unknown member.
+
+    Every staged line flows to the end with flags (rejected by F1, surviving duplicate,
+    has an order, unknown member) and one global aggregate counts them - an independent
+    check of the counts the load observes while it writes.
+    """
+    from pyspark.sql import Window
+    lines = typed_lines(inp.details)
+    ok = F.col(REASON).isNull()
+    w = Window.partitionBy("OrderID", "ProductID").orderBy(
+        ok.desc(), F.col("TotalPrice").desc_nulls_last(), F.col("Quantity").desc_nulls_last())
+    flagged = lines.withColumn("_first", ok & (F.row_number().over(w) == 1))
+    joined = join_details_orders(flagged.withColumn("_ok", ok).drop(REASON),
+                                 unique_orders(inp.orders), (inp.hot or {}).get("order"))
+    keyed = resolve_keys(joined, inp)
+    unknown = F.lit(False)
+    for k in ("date_key", "customer_key", "product_key", "status_key", "source_key"):
+        unknown = unknown | (F.col(k) == S.UNKNOWN_KEY)
+    has_order = F.col(REASON).isNull()                      # orphans carry a reason
+    inserted = F.col("_first") & has_order
+    m = keyed.agg(
+        F.count(F.lit(1)).alias("rows_read"),
+        F.count_if(inserted).alias("rows_inserted"),
+        (F.count_if(~F.col("_ok")) + F.count_if(F.col("_first") & ~has_order)).alias("rows_rejected"),
+        F.count_if(F.col("_ok") & ~F.col("_first")).alias("rows_dropped_duplicates"),
+        F.count_if(inserted & unknown).alias("unknown_keys"))
+    names = ["rows_read", "rows_inserted", "rows_rejected", "rows_dropped_duplicates", "unknown_keys"]
+    return m.select(F.explode(F.array(*[F.struct(F.lit(n).alias("metric"),
+                                                 F.col(n).cast("bigint").alias("n"))
+                                        for n in names])).alias("m")).select("m.*")

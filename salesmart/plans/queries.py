@@ -23,7 +23,7 @@ from ..operators import reports as R
 from ..operators import staging as K
 from ..operators.dedup import dedup_members, dedup_order_lines, duplicate_groups, duplicate_summary
 from ..operators.facts import (FactInputs, broadcast_plan, build_fact, join_details_orders,
-                               resolve_keys, skew_plan, unique_orders)
+                               load_metrics, resolve_keys, skew_plan, unique_orders)
 from ..operators.keys import assign_keys
 from ..functions.convert import to_date_safe, to_int
 from ..operators.validate import (REASON, accepted, convert_customers, convert_db_orders,
@@ -509,32 +509,8 @@ def product_by_source(spark, sf):
 
 @query
 def fact_load_metrics(spark, sf):
-    """Read, inserted, rejected, dropped as duplicates, unknown keys (metric, n).
-
-    Each metric is a sum of signed global counts (read - rejected - unique = dropped),
-    so the parts are unioned and summed, with no join between one-row aggregates.
-    """
-    lines = convert_order_details(staged(spark, sf, "order_details"))
-    unique = dedup_order_lines(accepted(lines))
-    joined = join_details_orders(unique, unique_orders(staged(spark, sf, "orders")))
-    fact = first_fact(spark, sf)
-    unknown = F.lit(False)
-    for k in ("date_key", "customer_key", "product_key", "status_key", "source_key"):
-        unknown = unknown | (F.col(k) == S.UNKNOWN_KEY)
-    parts = [
-        ("rows_read", lines, F.count(F.lit(1)), 1),
-        ("rows_inserted", fact, F.count(F.lit(1)), 1),
-        ("rows_rejected", lines, F.count_if(F.col(REASON).isNotNull()), 1),
-        ("rows_rejected", joined, F.count_if(F.col(REASON).isNotNull()), 1),
-        ("rows_dropped_duplicates", lines, F.count_if(F.col(REASON).isNull()), 1),
-        ("rows_dropped_duplicates", unique, F.count(F.lit(1)), -1),
-        ("unknown_keys", fact, F.count_if(unknown), 1),
-    ]
-    out = None
-    for name, df, agg, sign in parts:
-        one = df.agg((agg * sign).cast("bigint").alias("n")).select(F.lit(name).alias("metric"), "n")
-        out = one if out is None else out.unionByName(one)
-    return out.groupBy("metric").agg(F.sum("n").cast("bigint").alias("n"))
+    """A8 in one pass (``facts.load_metrics``)."""
+    return load_metrics(fact_inputs(spark, sf))
 
 
 @query

@@ -59,6 +59,17 @@ def test_fact_rejects_bad_text_orphans_and_keeps_highest_duplicate(spark):
     assert reasons == ["OrderID not found in orders", "Quantity not an integer", "Quantity not positive"]
 
 
+def test_load_metrics_count_every_outcome(spark):
+    from salesmart.operators.facts import load_metrics
+    details = _details(spark, [
+        ("1", "5", "2", "10.00"), ("1", "5", "3", "12.00"), ("1", "6", "abc", "1.00"),
+        ("1", "7", "0", "1.00"), ("2", "5", "1", "3.00"), ("1", "8", "3", "10.00")])
+    orders = _orders(spark, [("1", "1", "2024-02-28", " f "), ("3", "9", "2024-02-30", "O")])
+    got = {r.metric: r.n for r in load_metrics(_dims(spark, details, orders)).collect()}
+    assert got == {"rows_read": 6, "rows_inserted": 2, "rows_rejected": 3,
+                   "rows_dropped_duplicates": 1, "unknown_keys": 1}
+
+
 def test_unit_price_half_up(spark):
     from salesmart.functions.convert import unit_price
     df = spark.createDataFrame([(Decimal("0.05"), 2), (Decimal("10.00"), 3), (Decimal("1.00"), 0)],
