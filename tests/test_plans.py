@@ -5,12 +5,7 @@ surrogate-key operator (at most 256 rows)."""
 
 import re
 
-import pytest
-
-import __spark_entry__ as E
 from tests.conftest import SF001
-
-QUERIES = E.queries()
 ALLOWED_CHILD = (
     re.compile(r"HashAggregate\(keys=\[\]"),             # partial results of a global aggregate
     re.compile(r"ObjectHashAggregate\(keys=\[\]"),
@@ -27,9 +22,8 @@ def _single_partition_children(plan: str) -> list[str]:
     return out
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
-def test_no_single_partition_over_data(spark, name):
-    df = QUERIES[name](spark, SF001)
+def check_plan(name, df):
+    """Used by tests/test_oracle.py for every registered query."""
     plan = df._jdf.queryExecution().executedPlan().toString()
     for child in _single_partition_children(plan):
         assert any(p.search(child) for p in ALLOWED_CHILD), f"{name}: single partition over {child}"
