@@ -264,7 +264,10 @@ def load_facts(store: TableStore) -> list[dict]:
     keys = ["date_key", "customer_key", "product_key", "status_key", "source_key"]
     fact = fact.observe(o_fact, F.count(F.lit(1)).alias("n"),
                         *[F.count_if(F.col(k) == S.UNKNOWN_KEY).alias(f"unknown_{k}") for k in keys])
-    v = store.publish("dw/fact_sales", fact.select(S.FACT_COLUMNS))
+    # partitioned by order year (not by day): year-range reads prune files at scale
+    year = F.when(F.col("date_key") > 0, (F.col("date_key") / 10000).cast("int")).otherwise(F.lit(-1))
+    v = store.publish("dw/fact_sales", fact.select(*S.FACT_COLUMNS, year.alias("order_year")),
+                      partition_by=["order_year"])
 
     ml, mu, mj, mf = o_lines.get, o_unique.get, o_joined.get, o_fact.get
     read, bad, uniq, orphans = (int(ml["read"]), int(ml["rejected"]), int(mu["n"]), int(mj["orphans"]))

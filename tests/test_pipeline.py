@@ -138,6 +138,9 @@ def test_published_tables_equal_the_oracle(spark, loaded):
                         ("dw/dim_product", "dim_product"), ("dw/dim_date", "dim_date"),
                         ("dw/dim_status", "dim_status")]:
         df = store.read(table)
+        if table == "dw/fact_sales":
+            assert "order_year" in df.columns            # partition column of the table
+            df = df.drop("order_year")
         rel = con.sql(ORACLE[name])
         cols = sorted(df.columns)
         assert cols == sorted(rel.columns), table
@@ -212,3 +215,14 @@ def test_empty_extract_in_a_run_keeps_previous_rows(spark, tmp_root):
     assert store.current_version("stg/customers") == v
     assert store.read("stg/customers").count() == 150
     assert _m(res, "dim_customer")["rows_inserted"] == 0
+
+
+def test_fact_is_partitioned_by_order_year(spark, loaded):
+    wh = loaded[0]
+    store = TableStore(spark, wh)
+    fact = store.read("dw/fact_sales")
+    years = sorted(r.order_year for r in fact.select("order_year").distinct().collect())
+    assert years == list(range(1995, 2002))
+    plan = fact.filter("order_year = 1998")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(order_year" in plan
+    assert fact.filter("order_year = 1998").count() == fact.filter("date_key div 10000 = 1998").count()
