@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas as S
-from ..functions.calendar import date_key
 from ..functions.convert import unit_price as unit_price_expr
 from ..operators import audit as A
 from ..operators import compare as C
@@ -632,4 +631,3 @@ def top_customers(spark, sf):
 
 # the query of J1 is registered under its survey name
 REGISTRY["join_details_orders"] = REGISTRY.pop("join_details_orders_q")
-del date_key

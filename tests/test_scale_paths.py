@@ -4,7 +4,6 @@
 import contextlib
 from decimal import Decimal
 
-import pandas as pd
 from pyspark.sql import functions as F
 
 from salesmart.operators.facts import FactInputs, build_fact
