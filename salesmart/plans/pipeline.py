@@ -83,11 +83,21 @@ def extract(spark: SparkSession, src: SourceConfig) -> dict[str, DataFrame]:
 
 # --- helpers ------------------------------------------------------------------------
 def _parallel(tasks: dict[str, Callable[[], object]], threads: int = 8) -> dict[str, object]:
-    """Run independent driver-side steps at once; each submits its own Spark jobs."""
+    """Run independent driver-side steps at once; each submits its own Spark jobs,
+    labelled with the step's name (job descriptions are per thread)."""
     if not tasks:
         return {}
+    from pyspark import SparkContext
+
+    def labelled(name: str, fn: Callable[[], object]):
+        def run():
+            sc = SparkContext._active_spark_context
+            if sc is not None:
+                sc.setJobDescription(name)
+            return fn()
+        return run
     with ThreadPoolExecutor(max_workers=min(threads, len(tasks))) as ex:
-        futs = {k: ex.submit(fn) for k, fn in tasks.items()}
+        futs = {k: ex.submit(labelled(k, fn)) for k, fn in tasks.items()}
         return {k: f.result() for k, f in futs.items()}
 
 
