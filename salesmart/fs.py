@@ -79,3 +79,19 @@ def size_of(spark: SparkSession, path: str) -> int:
     if not fs.exists(p):
         return 0
     return int(fs.getContentSummary(p).getLength())
+
+
+def glob_names(spark: SparkSession, pattern: str, level: int = 1) -> list[str]:
+    """Names of the path components ``level`` steps above each match of ``pattern``
+    (one listing call; e.g. the version folders holding a marker file)."""
+    fs, p = _fs_and_path(spark, pattern)
+    found = fs.globStatus(p)
+    if found is None:
+        return []
+    out = []
+    for st in found:
+        q = st.getPath()
+        for _ in range(level):
+            q = q.getParent()
+        out.append(q.getName())
+    return sorted(out)

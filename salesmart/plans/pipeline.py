@@ -231,7 +231,7 @@ def _dim_product(store: TableStore, stg: dict) -> list[dict]:
 def load_dimensions(store: TableStore) -> list[dict]:
     """D1-D5 from the current staging versions (S9), loaded concurrently, each
     published as a new version."""
-    stg = {t: store.read(f"stg/{t}") for t in S.STAGING_COLUMNS}
+    stg = _parallel({t: (lambda t=t: store.read(f"stg/{t}")) for t in S.STAGING_COLUMNS})
     parts = _parallel({
         "source": lambda: _dim_source(store),
         "status_date": lambda: _dim_status_and_date(store, stg),

@@ -33,13 +33,10 @@ class TableStore:
         return f"{self.root}/{table}"
 
     def versions(self, table: str) -> list[int]:
-        """Committed versions of ``table``, oldest first."""
-        out = []
-        for name in fs.list_dirs(self.spark, self.path(table)):
-            if name.startswith(_PREFIX) and name[1:].isdigit():
-                if fs.has_marker(self.spark, f"{self.path(table)}/{name}", _MARKER):
-                    out.append(int(name[1:]))
-        return sorted(out)
+        """Published versions of ``table``, oldest first (one glob call, however many
+        versions exist)."""
+        names = fs.glob_names(self.spark, f"{self.path(table)}/{_PREFIX}*/{_MARKER}")
+        return sorted(int(n[1:]) for n in names if n.startswith(_PREFIX) and n[1:].isdigit())
 
     def _next_version(self, table: str) -> int:
         used = [int(n[1:]) for n in fs.list_dirs(self.spark, self.path(table))
