@@ -226,3 +226,35 @@ def test_fact_is_partitioned_by_order_year(spark, loaded):
     plan = fact.filter("order_year = 1998")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(order_year" in plan
     assert fact.filter("order_year = 1998").count() == fact.filter("date_key div 10000 = 1998").count()
+
+
+def test_second_load_with_changes_updates_and_inserts(spark, tmp_root):
+    import dataclasses
+    cfg = source_config(spark, SF001)
+    wh = tmp_root + "/wh"
+    P.run(spark, cfg, wh)
+    store = TableStore(spark, wh)
+    before = {(r.source_key, r.product_id): (r.product_key, r.price)
+              for r in store.read("dw/dim_product").collect()}
+    # the next product file: every 50th price + 1, three new ids
+    prods = spark.read.option("header", True).csv(cfg.products_csv)
+    changed = prods.withColumn(
+        "Price", F.when(F.col("ProductID").cast("int") % 50 == 0,
+                        (F.col("Price").cast("decimal(18,2)") + 1).cast("string"))
+        .otherwise(F.col("Price")))
+    new = prods.filter(F.col("ProductID").cast("int") < 3).withColumn(
+        "ProductID", (F.col("ProductID").cast("int") + 100000).cast("string"))
+    path = tmp_root + "/products_v2"
+    changed.unionByName(new).write.option("header", True).csv(path)
+    res = P.run(spark, dataclasses.replace(cfg, products_csv=path), wh)
+    m = _m(res, "dim_product")
+    assert (m["rows_inserted"], m["rows_updated"]) == (3, 4)
+    after = {(r.source_key, r.product_id): (r.product_key, r.price)
+             for r in store.read("dw/dim_product").collect()}
+    for k, (key, price) in before.items():
+        assert after[k][0] == key                              # keys never move
+        if k[0] == 1 and k[1] % 50 == 0:
+            assert after[k][1] == price + 1                    # updated in place
+    top = max(key for key, _ in before.values())
+    assert sorted(after[(1, 100000 + i)][0] for i in range(3)) == [top + 1, top + 2, top + 3]
+    assert _m(res, "fact_sales")["unknown_keys"] == 0
