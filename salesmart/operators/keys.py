@@ -5,12 +5,12 @@ key, exactly as a global ``row_number()`` would give, but computed in parallel a
 deterministically (a recomputed task after a lost executor yields the same keys):
 
 * **Integer natural keys** (the usual case: source key + source id).  The keys are
-  packed into one order-preserving 64-bit ordinal, and ``percentile_approx`` picks at
-  most ``MAX_BUCKETS - 1`` cut points once (a few numbers on the driver, then literals
-  in the plan).  A row's bucket is a pure function of its key (a binary search over the
-  literals), the buckets hold about equal numbers of rows because natural keys are
-  unique, ``row_number()`` runs per bucket, and a table of one row per bucket (at most
-  ``MAX_BUCKETS`` rows) gives each bucket its offset.
+  packed into one order-preserving 64-bit ordinal, and ``percentile_approx`` picks up
+  to 4095 cut points once (numbers on the driver, then literals and a <= 256-row table
+  in the plan).  A row's bucket is a pure function of its key (a two-level binary
+  search), the buckets hold about equal numbers of rows because natural keys are
+  unique, ``row_number()`` runs per bucket (up to 4096 parallel windows), and a table
+  of one row per bucket (at most 4096 rows) gives each bucket its offset.
 * **Other key types** (e.g. a status text).  Cut points come from a seeded sample of
   the key tuples (at most ``4 * SAMPLE_KEYS`` reach the driver), and the bucket is a
   binary search over struct literals; the rest is the same as above.
@@ -26,10 +26,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-# Numbering windows per call: bounds the offset table and the binary-search expression.
-# 1024 was tried: the 2047-node expression no longer compiles to Java (Spark falls back
-# to interpreted evaluation, 3-4x slower); 256 also caps the numbering at 256 tasks.
+# A binary search over literal cut points compiles to Java up to about 256 leaves (1024
+# was tried: Spark falls back to interpreted evaluation, 3-4x slower).  Integer keys
+# therefore search two levels: <= 256 group heads in the expression, then the group's
+# FINE_PER_GROUP cut points, attached by a broadcast join of a <= 256-row table - up to
+# 4096 numbering windows (parallel tasks) and an offset table of <= 4096 rows.
 MAX_BUCKETS = 256
+FINE_PER_GROUP = 16
+_PAD = 2 ** 63 - 1        # fills the last group; no ordinal reaches it
 SAMPLE_KEYS = 20_000      # expected sample size for the cut points of non-integer keys
 SAMPLE_SEED = 29
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType)
@@ -69,13 +73,38 @@ def _bucket_of(x: Column, cuts: list) -> Column:
     return node(0, len(cuts))
 
 
-def _ordinal_cuts(rows: DataFrame, ordinal: Column) -> list | None:
-    """Cut points of a numeric ordinal from ``percentile_approx`` (None: no rows)."""
-    probs = [i / MAX_BUCKETS for i in range(1, MAX_BUCKETS)]
-    found = rows.select(F.percentile_approx(ordinal, probs, 10000).alias("q")).first()["q"]
+def _ordinal_cuts(rows: DataFrame, ordinal: Column) -> list[int] | None:
+    """Sorted cut points of a numeric ordinal from ``percentile_approx`` (None: no rows)."""
+    n_cuts = MAX_BUCKETS * FINE_PER_GROUP
+    probs = [i / n_cuts for i in range(1, n_cuts)]
+    found = rows.select(F.percentile_approx(ordinal, probs, 10 * n_cuts).alias("q")).first()["q"]
     if not found:
         return None
-    return [F.lit(v) for v in sorted(set(int(v) for v in found))]
+    return sorted(set(int(v) for v in found))
+
+
+def _with_two_level_bucket(rows: DataFrame, ordinal: Column, cuts: list[int]) -> DataFrame:
+    """``rows`` + ``_bucket`` = number of cut points <= the ordinal.
+
+    Level 1: a binary search over the heads of groups of ``FINE_PER_GROUP`` cut points
+    (<= 256, compiled).  Level 2: the group's cut points come from a broadcast join with
+    a table of one row per group (<= 256 rows) and are searched as an array column."""
+    g = FINE_PER_GROUP
+    groups = [cuts[i:i + g] for i in range(0, len(cuts), g)]
+    table = rows.sparkSession.createDataFrame(
+        [(i + 1, grp + [_PAD] * (g - len(grp))) for i, grp in enumerate(groups)],
+        "_g int, _cuts array<bigint>")
+    b = rows.withColumn("_x", ordinal)
+    b = b.withColumn("_g", _bucket_of(F.col("_x"), [F.lit(grp[0]) for grp in groups]))
+    b = b.join(F.broadcast(table), "_g", "left")         # group 0 (below every cut): no row
+
+    def node(lo: int, hi: int) -> Column:                 # cut points of the group <= x
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi + 1) // 2
+        return F.when(F.col("_x") >= F.element_at("_cuts", mid), node(mid, hi)).otherwise(node(lo, mid - 1))
+    bucket = F.when(F.col("_g") == 0, F.lit(0)).otherwise((F.col("_g") - 1) * g + node(1, g))
+    return b.withColumn("_bucket", bucket).drop("_x", "_g", "_cuts")
 
 
 def _sampled_cuts(rows: DataFrame, order_cols: list[str]) -> list | None:
@@ -105,16 +134,19 @@ def assign_keys(rows: DataFrame, order_cols: list[str], key_col: str,
     start = start_after if isinstance(start_after, Column) else F.lit(start_after)
     ordinal = _ordinal(rows, order_cols)
     if ordinal is not None:
-        cuts, x = _ordinal_cuts(rows, ordinal), ordinal
+        cuts = _ordinal_cuts(rows, ordinal)
     else:
         cuts = _sampled_cuts(rows, order_cols)
-        x = F.struct(*[F.col(c).alias(c) for c in order_cols])
     if cuts is None:
         # no rows: nothing to number (and no constant bucket that would plan a
         # single-partition window)
         return rows.select(*rows.columns, F.lit(None).cast("bigint").alias(key_col))
-    # (an empty cut list with rows present means all keys are null: one bucket)
-    b = rows.withColumn("_bucket", _bucket_of(x, cuts))
+    if ordinal is not None:
+        b = _with_two_level_bucket(rows, ordinal, cuts)
+    else:
+        # (an empty cut list with rows present means all keys are null: one bucket)
+        x = F.struct(*[F.col(c).alias(c) for c in order_cols])
+        b = rows.withColumn("_bucket", _bucket_of(x, cuts))
     per_bucket = b.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
     rn = F.row_number().over(Window.partitionBy("_bucket").orderBy(*order_cols))
     keyed = b.withColumn("_rn", rn).join(F.broadcast(_offsets(per_bucket, "_bucket")), "_bucket")
