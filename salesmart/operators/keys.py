@@ -33,6 +33,7 @@ from pyspark.sql import types as T
 # 4096 numbering windows (parallel tasks) and an offset table of <= 4096 rows.
 MAX_BUCKETS = 256
 FINE_PER_GROUP = 16
+TWO_LEVEL_ROWS = 512_000_000   # above this many new rows, 256 windows become too few
 _PAD = 2 ** 63 - 1        # fills the last group; no ordinal reaches it
 SAMPLE_KEYS = 20_000      # expected sample size for the cut points of non-integer keys
 SAMPLE_SEED = 29
@@ -73,14 +74,22 @@ def _bucket_of(x: Column, cuts: list) -> Column:
     return node(0, len(cuts))
 
 
-def _ordinal_cuts(rows: DataFrame, ordinal: Column) -> list[int] | None:
-    """Sorted cut points of a numeric ordinal from ``percentile_approx`` (None: no rows)."""
-    n_cuts = MAX_BUCKETS * FINE_PER_GROUP
-    probs = [i / n_cuts for i in range(1, n_cuts)]
-    found = rows.select(F.percentile_approx(ordinal, probs, 10 * n_cuts).alias("q")).first()["q"]
-    if not found:
+def _ordinal_cuts(rows: DataFrame, ordinal: Column) -> tuple[int, list[int]] | None:
+    """(rows, sorted cut points) of a numeric ordinal (None: no rows).
+
+    One aggregate gives the row count and up to ``MAX_BUCKETS - 1`` cut points; only
+    above ``TWO_LEVEL_ROWS`` rows a second one picks ``MAX_BUCKETS * FINE_PER_GROUP``."""
+    probs = [i / MAX_BUCKETS for i in range(1, MAX_BUCKETS)]
+    r = rows.select(F.count(F.lit(1)).alias("n"),
+                    F.percentile_approx(ordinal, probs, 10000).alias("q")).first()
+    if not r["q"]:
         return None
-    return sorted(set(int(v) for v in found))
+    if r["n"] <= TWO_LEVEL_ROWS:
+        return r["n"], sorted(set(int(v) for v in r["q"]))
+    n_cuts = MAX_BUCKETS * FINE_PER_GROUP
+    fine = [i / n_cuts for i in range(1, n_cuts)]
+    q = rows.select(F.percentile_approx(ordinal, fine, 10 * n_cuts).alias("q")).first()["q"]
+    return r["n"], sorted(set(int(v) for v in q))
 
 
 def _with_two_level_bucket(rows: DataFrame, ordinal: Column, cuts: list[int]) -> DataFrame:
@@ -133,16 +142,16 @@ def assign_keys(rows: DataFrame, order_cols: list[str], key_col: str,
     """Add ``key_col`` numbering ``rows`` by ``order_cols`` (which must be unique)."""
     start = start_after if isinstance(start_after, Column) else F.lit(start_after)
     ordinal = _ordinal(rows, order_cols)
-    if ordinal is not None:
-        cuts = _ordinal_cuts(rows, ordinal)
-    else:
-        cuts = _sampled_cuts(rows, order_cols)
+    found = _ordinal_cuts(rows, ordinal) if ordinal is not None else None
+    cuts = found[1] if found else (None if ordinal is not None else _sampled_cuts(rows, order_cols))
     if cuts is None:
         # no rows: nothing to number (and no constant bucket that would plan a
         # single-partition window)
         return rows.select(*rows.columns, F.lit(None).cast("bigint").alias(key_col))
-    if ordinal is not None:
+    if ordinal is not None and found[0] > TWO_LEVEL_ROWS:
         b = _with_two_level_bucket(rows, ordinal, cuts)
+    elif ordinal is not None:
+        b = rows.withColumn("_bucket", _bucket_of(ordinal, [F.lit(c) for c in cuts]))
     else:
         # (an empty cut list with rows present means all keys are null: one bucket)
         x = F.struct(*[F.col(c).alias(c) for c in order_cols])

@@ -105,6 +105,17 @@ def test_assign_keys_integer_keys_equal_global_row_number(spark):
     assert [k for _, _, k in rows] == list(range(8, 20008))
 
 
+def test_assign_keys_two_level_path(spark, monkeypatch):
+    from salesmart.operators import keys as KEYS
+    monkeypatch.setattr(KEYS, "TWO_LEVEL_ROWS", 0)            # force the large-input path
+    df = spark.range(0, 30000).select((F.col("id") % 2).cast("int").alias("s"),
+                                      (F.col("id") * 7919 % 1000003).cast("int").alias("i"))
+    keyed = assign_keys(df, ["s", "i"], "k", start_after=11)
+    rows = sorted((r.s, r.i, r.k) for r in keyed.collect())
+    assert [k for *_, k in rows] == list(range(12, 30012))
+    assert "_bucket" not in keyed.columns
+
+
 def test_upsert_updates_inserts_and_keeps(spark):
     cur = spark.createDataFrame([(1, 1, 10, "a"), (2, 1, 11, "b"), (3, 1, 12, "c"), (-1, -1, -1, "UNKNOWN")],
                                 "k bigint, s int, id int, v string")
