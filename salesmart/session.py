@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -73,15 +74,22 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this setting names storage every executor can reach, so it is read
-    from the session.  Only when it is unset (local tests) a folder of our own is made
-    and registered, so later calls and ``DataFrame.checkpoint`` agree on it.
+    from the session, and its absence is an error there: a folder of the driver's own
+    disk would lose data.  Only a local master, where driver and executor are one
+    process, gets a temporary folder of its own (registered as the checkpoint folder).
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise RuntimeError(f"spark.checkpoint.dir is not set on master {master!r}: name a "
+                               "folder that the driver and every executor can reach")
         root = tempfile.mkdtemp(prefix="salesmart-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        spark.sparkContext.setCheckpointDir(root)
+        root = spark.sparkContext.getCheckpointDir() or root
+    elif not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
 
