@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from salesmart.llm.common import read_table
 from salesmart.llm.embedding_join import near_duplicates
+from salesmart.llm.licenses import scan, scan_sql
+from salesmart.llm.mixing import mixture_counts
 
 
 def op1_embedding_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -13,5 +16,17 @@ def op1_embedding_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "embeddings"))
 
 
-REGISTRY = {f.__name__: f for f in (op1_embedding_join,)}
-ORACLE: dict[str, str] = {}
+def op3_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents mixed to the sources' target weights."""
+    mixed = mixture_counts(read_table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", F.col("_size").alias("size"), "source_size", "target",
+                        (F.col("copies") * F.col("_size")).cast("long").alias("taken"))
+
+
+def op6_license_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Known licenses that documents, or lines of them, equal in canonical form."""
+    return scan(read_table(spark, sf_dir, "documents"))
+
+
+REGISTRY = {f.__name__: f for f in (op1_embedding_join, op3_pareto_mix, op6_license_digest)}
+ORACLE: dict[str, str] = {"op6_license_digest": scan_sql()}
