@@ -9,6 +9,7 @@ from salesmart.llm.common import read_table
 from salesmart.llm.embedding_join import near_duplicates
 from salesmart.llm.licenses import scan, scan_sql
 from salesmart.llm.mixing import mixture_counts
+from salesmart.llm.pii import personal_data, span_digests
 
 
 def op1_embedding_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,6 +17,11 @@ def op1_embedding_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "embeddings"))
 
 
+def op2_pii_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in all documents: counts and digests of their spans."""
+    return span_digests(personal_data(read_table(spark, sf_dir, "documents")))
+
+
 def op3_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed to the sources' target weights."""
     mixed = mixture_counts(read_table(spark, sf_dir, "documents"))
@@ -28,5 +34,5 @@ def op6_license_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(read_table(spark, sf_dir, "documents"))
 
 
-REGISTRY = {f.__name__: f for f in (op1_embedding_join, op3_pareto_mix, op6_license_digest)}
+REGISTRY = {f.__name__: f for f in (op1_embedding_join, op2_pii_bootstrap, op3_pareto_mix, op6_license_digest)}
 ORACLE: dict[str, str] = {"op6_license_digest": scan_sql()}
