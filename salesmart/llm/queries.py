@@ -10,6 +10,11 @@ from salesmart.llm.embedding_join import near_duplicates
 from salesmart.llm.licenses import scan, scan_sql
 from salesmart.llm.mixing import mixture_counts
 from salesmart.llm.pii import personal_data, span_digests
+from salesmart.llm.sp_sampling import encode
+from salesmart.llm.token_counts import token_counts
+
+#: the tokenizer files' place on the driver; their contents go to the tasks
+MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 
 
 def op1_embedding_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,10 +34,22 @@ def op3_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.col("copies") * F.col("_size")).cast("long").alias("taken"))
 
 
+def op4_sentencepiece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A sampled segmentation of every document: number and digest of its pieces, and
+    whether they decode to the text."""
+    return encode(read_table(spark, sf_dir, "documents"), MODEL_PATH, keep=["doc_id"], digest=True)
+
+
 def op6_license_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Known licenses that documents, or lines of them, equal in canonical form."""
     return scan(read_table(spark, sf_dir, "documents"))
 
 
-REGISTRY = {f.__name__: f for f in (op1_embedding_join, op2_pii_bootstrap, op3_pareto_mix, op6_license_digest)}
+def op7_token_count_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document under the unigram tokenizer."""
+    return token_counts(read_table(spark, sf_dir, "documents"), MODEL_PATH, keep=["doc_id"])
+
+
+REGISTRY = {f.__name__: f for f in (op1_embedding_join, op2_pii_bootstrap, op3_pareto_mix, op4_sentencepiece_sampling,
+                                op6_license_digest, op7_token_count_viterbi)}
 ORACLE: dict[str, str] = {"op6_license_digest": scan_sql()}
