@@ -12,6 +12,7 @@ from salesmart.llm.mixing import mixture_counts
 from salesmart.llm.pii import personal_data, span_digests
 from salesmart.llm.sp_sampling import encode
 from salesmart.llm.token_counts import token_counts
+from salesmart.llm.toxicity import held_out, learn, scored
 from salesmart.llm.weighted_fingerprint import edited_fingerprints
 
 #: the tokenizer files' place on the driver; their contents go to the tasks
@@ -51,12 +52,20 @@ def op7_token_count_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(read_table(spark, sf_dir, "documents"), MODEL_PATH, keep=["doc_id"])
 
 
+def op8_toxicity_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents, learned from the labels that are not held out."""
+    docs = read_table(spark, sf_dir, "documents")
+    model = learn(docs, read_table(spark, sf_dir, "labels").where(~held_out()))
+    return scored(docs, model, keep=["doc_id"]).select(
+        "doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op10_weighted_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of all documents and of their edited texts."""
     return edited_fingerprints(read_table(spark, sf_dir, "documents"))
 
 
 REGISTRY = {f.__name__: f for f in (op1_embedding_join, op2_pii_bootstrap, op3_pareto_mix, op4_sentencepiece_sampling,
-                                op6_license_digest, op7_token_count_viterbi,
+                                op6_license_digest, op7_token_count_viterbi, op8_toxicity_automata,
                                 op10_weighted_fingerprint)}
 ORACLE: dict[str, str] = {"op6_license_digest": scan_sql()}
