@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from salesmart.session import checkpoint_root, scratch_path
 
@@ -21,6 +22,11 @@ def text_of(col: str | Column = "text") -> Column:
     return F.coalesce((F.col(col) if isinstance(col, str) else col).cast("string"), F.lit(""))
 
 
+def schema_with(df: DataFrame, ddl: str) -> T.StructType:
+    """The schema of ``df`` with further columns."""
+    return T.StructType(df.schema.fields + T.StructType.fromDDL(ddl).fields)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once as Parquet below ``spark.checkpoint.dir`` and read back, so a
     later stage neither recomputes it nor depends on one executor's disk."""

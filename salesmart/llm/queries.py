@@ -9,6 +9,7 @@ from salesmart.llm.common import read_table
 from salesmart.llm.embedding_join import near_duplicates
 from salesmart.llm.licenses import scan, scan_sql
 from salesmart.llm.mixing import mixture_counts
+from salesmart.llm.order_minhash import classes
 from salesmart.llm.pii import personal_data, span_digests
 from salesmart.llm.sp_sampling import encode
 from salesmart.llm.token_counts import token_counts
@@ -60,6 +61,11 @@ def op8_toxicity_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op9_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The near-duplicate class of every document, and which one of a class stays."""
+    return classes(read_table(spark, sf_dir, "documents")).select("doc_id", "class_id", "kept")
+
+
 def op10_weighted_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of all documents and of their edited texts."""
     return edited_fingerprints(read_table(spark, sf_dir, "documents"))
@@ -67,5 +73,5 @@ def op10_weighted_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 REGISTRY = {f.__name__: f for f in (op1_embedding_join, op2_pii_bootstrap, op3_pareto_mix, op4_sentencepiece_sampling,
                                 op6_license_digest, op7_token_count_viterbi, op8_toxicity_automata,
-                                op10_weighted_fingerprint)}
+                                op9_order_minhash, op10_weighted_fingerprint)}
 ORACLE: dict[str, str] = {"op6_license_digest": scan_sql()}

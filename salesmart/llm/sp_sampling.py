@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salesmart.llm.arrow_text import n_bytes, slices, split_words
-from salesmart.llm.common import text_of
+from salesmart.llm.common import schema_with, text_of
 from salesmart.llm.vocabulary import SPACE, Vocabulary, load
 
 SEED = 1
@@ -254,8 +254,8 @@ def encode(docs: DataFrame, model_path: str, text_col: str = "text", id_cols: tu
     if clash:
         raise ValueError(f"columns {sorted(clash)} are made here; rename them first")
     rows = docs.select(*keep, text_of(text_col).alias("_text"), row_key(*id_cols).alias("_key"))
-    schema = rows.select(*keep).schema.add("n_pieces", "long")
-    schema = schema.add("ids_sha256", "string").add("lossless", "boolean") if digest else schema.add("ids", "array<int>")
+    made = "ids_sha256 string, lossless boolean" if digest else "ids array<int>"
+    schema = schema_with(rows.select(*keep), f"n_pieces bigint, {made}")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sample, decode = encoder(vocabulary, seed, temperature), decoder(vocabulary)
@@ -284,7 +284,7 @@ def decode(encoded: DataFrame, model_path: str, ids_col: str = "ids", text_col:
     """``encoded`` with the text its ids stand for; null ids give a null text."""
     vocabulary = load(model_path)
     keep = [c for c in encoded.columns if c != text_col]
-    schema = encoded.select(*keep).schema.add(text_col, "string")
+    schema = schema_with(encoded.select(*keep), f"`{text_col}` string")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         back = decoder(vocabulary)

@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from salesmart.llm.arrow_text import n_bytes, slices, split_words
-from salesmart.llm.common import text_of
+from salesmart.llm.common import schema_with, text_of
 from salesmart.llm.vocabulary import SPACE, unigram
 
 UNKNOWN_PENALTY = 10.0
@@ -115,7 +115,7 @@ def token_counts(docs: DataFrame, model_path: str, text_col: str = "text", keep:
     vocabulary = unigram(model_path)
     keep = [c for c in (docs.columns if keep is None else keep) if c not in (text_col, out_col)]
     rows = docs.select(*keep, text_of(text_col).alias("_text"))
-    schema = rows.select(*keep).schema.add(out_col, "long")
+    schema = schema_with(rows.select(*keep), f"`{out_col}` long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = counter(vocabulary)

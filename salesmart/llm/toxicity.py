@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salesmart.llm.arrow_text import slices
-from salesmart.llm.common import stored, text_of
+from salesmart.llm.common import schema_with, stored, text_of
 
 #: labelled rows that lexicon and classifier learn from, at most (chosen by a digest of the id)
 LABELLED_ROWS = 40_000
@@ -353,7 +353,7 @@ def scored(docs: DataFrame, model: tuple[Lexicon, np.ndarray], text_col: str = "
     lexicon, weights = model
     keep = [c for c in (docs.columns if keep is None else keep) if c != score_col]
     rows = docs.select(*keep, text_of(text_col).alias("_text"))
-    schema = rows.select(*keep).schema.add(score_col, "double")
+    schema = schema_with(rows.select(*keep), f"`{score_col}` double")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = Matcher(lexicon)
