@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from salesmart.llm.common import read_table
 from salesmart.llm.embedding_join import near_duplicates
+from salesmart.llm.language_model import scores
 from salesmart.llm.licenses import scan, scan_sql
 from salesmart.llm.mixing import mixture_counts
 from salesmart.llm.order_minhash import classes
@@ -43,6 +44,12 @@ def op4_sentencepiece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode(read_table(spark, sf_dir, "documents"), MODEL_PATH, keep=["doc_id"], digest=True)
 
 
+def op5_lm_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language-model scores of all documents, learned from those not held out."""
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 7 == 2
+    return scores(read_table(spark, sf_dir, "documents"), held_out=held_out)
+
+
 def op6_license_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Known licenses that documents, or lines of them, equal in canonical form."""
     return scan(read_table(spark, sf_dir, "documents"))
@@ -72,6 +79,7 @@ def op10_weighted_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY = {f.__name__: f for f in (op1_embedding_join, op2_pii_bootstrap, op3_pareto_mix, op4_sentencepiece_sampling,
-                                op6_license_digest, op7_token_count_viterbi, op8_toxicity_automata,
+                                op5_lm_deleted_interpolation, op6_license_digest, op7_token_count_viterbi,
+                                op8_toxicity_automata,
                                 op9_order_minhash, op10_weighted_fingerprint)}
 ORACLE: dict[str, str] = {"op6_license_digest": scan_sql()}
