@@ -22,7 +22,9 @@ def split_words(texts: pa.Array):
 
 def slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
     """Parts of a batch of about SLICE_BYTES of text; a longer text is a part of its own."""
-    sizes = pc.binary_length(batch.column(column)).to_numpy(zero_copy_only=False)
+    if not batch.num_rows:
+        return
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
     part = np.cumsum(sizes) // SLICE_BYTES
     cuts = np.r_[0, np.flatnonzero(part[1:] != part[:-1]) + 1, len(sizes)]
     for lo, hi in zip(cuts[:-1], cuts[1:]):

@@ -82,4 +82,13 @@ REGISTRY = {f.__name__: f for f in (op1_embedding_join, op2_pii_bootstrap, op3_p
                                 op5_lm_deleted_interpolation, op6_license_digest, op7_token_count_viterbi,
                                 op8_toxicity_automata,
                                 op9_order_minhash, op10_weighted_fingerprint)}
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The corpus pipeline over all documents."""
+    import corpus_pipeline
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+REGISTRY["pipeline"] = pipeline
 ORACLE: dict[str, str] = {"op6_license_digest": scan_sql()}

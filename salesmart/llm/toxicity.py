@@ -352,14 +352,16 @@ def scored(docs: DataFrame, model: tuple[Lexicon, np.ndarray], text_col: str = "
     """
     lexicon, weights = model
     keep = [c for c in (docs.columns if keep is None else keep) if c != score_col]
-    rows = docs.select(*keep, text_of(text_col).alias("_text"))
-    schema = schema_with(rows.select(*keep), f"`{score_col}` double")
+    # a string text that is kept is read from its own column, not sent twice
+    source = text_col if text_col in keep and dict(docs.dtypes)[text_col] == "string" else "_text"
+    rows = docs.select(*keep) if source != "_text" else docs.select(*keep, text_of(text_col).alias("_text"))
+    schema = schema_with(docs.select(*keep), f"`{score_col}` double")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = Matcher(lexicon)
         for batch in batches:
-            for part in slices(batch, "_text"):
-                x = features(part.column("_text"), matcher)
+            for part in slices(batch, source):
+                x = features(part.column(source).fill_null(""), matcher)
                 z = np.clip(x @ weights[:-1] + weights[-1], -30, 30)
                 yield pa.RecordBatch.from_arrays([part.column(c) for c in keep] + [pa.array(1.0 / (1.0 + np.exp(-z)))],
                                                  names=schema.names)
