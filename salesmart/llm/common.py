@@ -22,6 +22,19 @@ def text_of(col: str | Column = "text") -> Column:
     return F.coalesce((F.col(col) if isinstance(col, str) else col).cast("string"), F.lit(""))
 
 
+def free_name(columns: list[str], name: str) -> str:
+    """``name``, made longer until no column has it."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def packed(columns: list[str]) -> Column:
+    """The columns as one struct, so that none of them clashes with a step's own."""
+    return F.struct(*[F.col(f"`{c}`") for c in columns])
+
+
 def schema_with(df: DataFrame, ddl: str) -> T.StructType:
     """The schema of ``df`` with further columns."""
     return T.StructType(df.schema.fields + T.StructType.fromDDL(ddl).fields)

@@ -72,7 +72,7 @@ SPELLINGS = [
     ("modelled", "modeled"), ("modelling", "modeling"), ("non commercial", "noncommercial"), ("offence", "offense"),
     ("optimise", "optimize"), ("organisation", "organization"), ("organise", "organize"), ("per cent", "percent"),
     ("practise", "practice"), ("programme", "program"), ("realise", "realize"), ("recognise", "recognize"),
-    ("signalling", "signaling"), ("sub license", "sublicense"), ("utilisation", "utilization"),
+    ("signalling", "signaling"), ("sub license", "sublicense"), ("sublicence", "sublicense"), ("utilisation", "utilization"),
     ("whilst", "while"), ("wilful", "wilfull"),
 ]
 

@@ -20,25 +20,26 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from salesmart.llm.common import WORD, stored, text_of
+from salesmart.llm.common import WORD, packed, stored, text_of
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 CAP = 2
 SEED = 20240601
 BINS = 4096
+#: the columns that are added
+MADE = ("_size", "source_size", "target", "copies")
 
 
-def measured(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-             seed: int = SEED) -> DataFrame:
-    """``docs`` with _size (words of the text) and _u (its random number in (0, 1)),
-    beside _source; the input's own columns are kept."""
+def measured(docs: DataFrame, id_col: str, text_col: str, source_col: str, seed: int, *keep: Column) -> DataFrame:
+    """``keep`` with _source, _size (words of the text) and _u (its random number in
+    (0, 1))."""
     text = text_of(text_col)
     digest = F.md5(F.concat_ws("|", F.lit(str(seed)), F.coalesce(F.col(id_col).cast("string"), F.lit("null")),
                                F.md5(text)))
     u = (F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") + 0.5) / float(16 ** 13)
-    return docs.withColumns({"_source": F.col(source_col).cast("string"),
-                             "_size": F.regexp_count(text, F.lit(WORD)).cast("long"), "_u": u})
+    return docs.select(*keep, F.col(source_col).cast("string").alias("_source"),
+                       F.regexp_count(text, F.lit(WORD)).cast("long").alias("_size"), u.alias("_u"))
 
 
 def targets(by_source: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: int = CAP) -> DataFrame:
@@ -179,28 +180,26 @@ def mixture(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sou
     """
     if cap < 1 or share <= 0 or not weights or min(weights) <= 0:
         raise ValueError("weights and share must be positive and cap at least 1")
-    docs = docs.drop(*[c for c in ("source_size", "target", "copies") if c not in (id_col, text_col, source_col)])
-    rows = measured(docs, id_col, text_col, source_col, seed)
-    return _apply(rows, plan(rows.select("_source", "_size", "_u"), weights, share, cap), docs.columns)
+    rows = measured(docs, id_col, text_col, source_col, seed, packed(docs.columns).alias("row"))
+    out = _apply(rows, plan(rows.drop("row"), weights, share, cap), "row")
+    kept = [c for c in docs.columns if c.lower() not in MADE]
+    return out.select(*[F.col("row").getField(c).alias(c) for c in kept], *MADE)
 
 
 def mixture_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
                    weights=WEIGHTS, share: float = SHARE, cap: int = CAP, seed: int = SEED) -> DataFrame:
     """As :func:`mixture`, without the texts: (id, _size, source_size, target, copies).
     The texts are read once."""
-    rows = measured(docs, id_col, text_col, source_col, seed)
-    rows = stored(rows.select(F.col(id_col).alias("id"), "_source", "_size", "_u"), "mixing_rows")
-    out = _apply(rows, plan(rows.select("_source", "_size", "_u"), weights, share, cap), ["id"])
-    return out.withColumnRenamed("id", id_col)
+    rows = stored(measured(docs, id_col, text_col, source_col, seed, F.col(id_col).alias("id")), "mixing_rows")
+    out = _apply(rows, plan(rows.drop("id"), weights, share, cap), "id")
+    return out.select(F.col("id").alias(id_col), *MADE)
 
 
-def _apply(rows: DataFrame, sources: DataFrame, keep: list[str]) -> DataFrame:
-    taken = {c: f"_plan_{c}" for c in sources.columns if c in rows.columns and c != "_source"}
-    assert not taken, taken
-    return _with(rows, sources, "inner").select(*keep, "_size", "source_size", "target", copies().alias("copies"))
+def _apply(rows: DataFrame, sources: DataFrame, keep: str) -> DataFrame:
+    return _with(rows, sources, "inner").select(keep, "_size", "source_size", "target", copies().alias("copies"))
 
 
 def repeated(mixed: DataFrame, columns: list[str]) -> DataFrame:
     """One row for each copy of a mixed document."""
-    return mixed.where("copies > 0").select(*columns, F.explode(F.array_repeat(F.lit(0), F.col("copies")))).select(
-        *columns)
+    rows = mixed.where("copies > 0").select(packed(columns).alias("row"), F.explode(F.array_repeat(F.lit(0), F.col("copies"))).alias("copy"))
+    return rows.select("row.*")

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salesmart.llm.arrow_text import slices
-from salesmart.llm.common import components, schema_with, stored, text_of
+from salesmart.llm.common import components, packed, schema_with, stored, text_of
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -329,10 +329,11 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     found = classes(docs, id_col, text_col).where("kept").groupBy(F.col(id_col).alias("_id"), F.col("raw").alias("_raw")).agg(
         F.count("*").alias("_rows"))
     found = stored(found, "minhash_kept")
-    same = F.col(id_col).eqNullSafe(F.col("_id")) & (F.md5(text_of(text_col)) == F.col("_raw"))
-    out = docs.join(found.where("_rows = 1"), same).select(*docs.columns)
+    rows = docs.select(packed(docs.columns).alias("row"), F.col(id_col).alias("id"), F.md5(text_of(text_col)).alias("raw"))
+    same = F.col("id").eqNullSafe(F.col("_id")) & (F.col("raw") == F.col("_raw"))
+    out = rows.join(found.where("_rows = 1"), same).select("row.*")
     repeated = found.where("_rows > 1")
     if not repeated.isEmpty():              # rows equal in id and text: one of them
-        one = docs.join(repeated, same).dropDuplicates(["_id", "_raw"]).select(*docs.columns)
+        one = rows.join(repeated, same).dropDuplicates(["_id", "_raw"]).select("row.*")
         out = out.unionByName(one)
     return out

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from salesmart.llm.common import stored, text_of
+from salesmart.llm.common import packed, stored, text_of
 
 # The kinds in order, with their patterns.  Possessive repeats and the
 # left bound (or the end of the previous match) only save time: where they differ from the
@@ -205,7 +205,7 @@ def redacted(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``docs`` with every span of the text replaced by its kind in brackets, as [EMAIL].
     Overlapping spans become one, named after its first.  Texts without spans, null ones
     included, stay as they are; all columns and rows are kept."""
-    found = find_spans(stored(searched(docs, text_col), "pii_rows"))
+    found = find_spans(stored(searched(docs.select(F.col(text_col).alias("text"))), "pii_rows"))
     order = Window.partitionBy("digest").orderBy("start", "end", "kind")
     last = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
     groups = found.withColumn("opens", F.when(F.col("start") < last, 0).otherwise(1))
@@ -213,14 +213,14 @@ def redacted(docs: DataFrame, text_col: str = "text") -> DataFrame:
     merged = groups.groupBy("digest", "g").agg(F.min("start").alias("start"), F.max("end").alias("end"),
                                                F.min_by("kind", F.struct("start", "end", "kind")).alias("kind"))
     spans = merged.groupBy("digest").agg(F.sort_array(F.collect_list(F.struct("start", "end", "kind"))).alias("_spans"))
-    spans = spans.withColumnRenamed("digest", "_digest")
-    text = F.col(text_col)
-    rows = docs.withColumn("_digest", F.md5(text_of(text_col))).join(spans, "_digest", "left")
+    rows = docs.select(packed(docs.columns).alias("row"), F.col(text_col).alias("text"),
+                       F.md5(text_of(text_col)).alias("digest")).join(spans, "digest", "left")
+    text = F.col("text")
     s = F.col("_spans")
     pieces = F.transform(s, lambda x, i: F.concat(
         F.substring(text, F.coalesce(F.get(s, i - 1)["end"], F.lit(0)) + 1,
                     x["start"] - F.coalesce(F.get(s, i - 1)["end"], F.lit(0))),
         F.lit("["), F.upper(x["kind"]), F.lit("]")))
     tail = F.substring(text, F.element_at(s, -1)["end"] + 1, F.length(text))
-    return rows.withColumn(text_col, F.when(s.isNull(), text).otherwise(F.concat(F.array_join(pieces, ""), tail))).select(
-        *docs.columns)
+    new = F.when(s.isNull(), text).otherwise(F.concat(F.array_join(pieces, ""), tail))
+    return rows.select(*[new.alias(c) if c == text_col else F.col("row").getField(c).alias(c) for c in docs.columns])

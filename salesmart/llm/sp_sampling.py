@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salesmart.llm.arrow_text import n_bytes, slices, split_words
-from salesmart.llm.common import schema_with, text_of
+from salesmart.llm.common import free_name, schema_with, text_of
 from salesmart.llm.vocabulary import SPACE, Vocabulary, load
 
 SEED = 1
@@ -181,6 +181,7 @@ def encoder(vocabulary: Vocabulary, seed: int = SEED, temperature: float = TEMPE
     lattice = Lattice(vocabulary, temperature)
     ids_of = vocabulary.ids
     byte_ids = vocabulary.byte_ids
+    shift = np.uint64(seed * int(MIX) % 2 ** 64)
 
     def encode(texts: pa.Array, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         dictionary, index, counts = split_words(texts)
@@ -191,7 +192,7 @@ def encoder(vocabulary: Vocabulary, seed: int = SEED, temperature: float = TEMPE
         ends = np.repeat(starts + lengths, lengths)
         row = np.repeat(np.arange(len(counts)), counts)
         place = (np.arange(len(index)) - np.repeat(np.r_[0, np.cumsum(counts)[:-1]], counts)).astype(np.uint64)
-        key = _mixed(_mixed(keys[row] + np.uint64(seed) * MIX) ^ (place * MIX))
+        key = _mixed(_mixed(keys[row] + shift) ^ (place * MIX))
         drawn = lattice.sample(points, starts, ends, index.astype(np.int64), key)
         pieces = np.zeros(len(index), dtype=np.int64)    # ids per word: bytes count each
         for who, begin, item in drawn:
@@ -253,16 +254,17 @@ def encode(docs: DataFrame, model_path: str, text_col: str = "text", id_cols: tu
     clash = {"ids", "n_pieces", "ids_sha256", "lossless"} & set(keep)
     if clash:
         raise ValueError(f"columns {sorted(clash)} are made here; rename them first")
-    rows = docs.select(*keep, text_of(text_col).alias("_text"), row_key(*id_cols).alias("_key"))
+    text_name, key_name = free_name(keep, "_text"), free_name(keep, "_key")
+    rows = docs.select(*keep, text_of(text_col).alias(text_name), row_key(*id_cols).alias(key_name))
     made = "ids_sha256 string, lossless boolean" if digest else "ids array<int>"
     schema = schema_with(rows.select(*keep), f"n_pieces bigint, {made}")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sample, decode = encoder(vocabulary, seed, temperature), decoder(vocabulary)
         for batch in batches:
-            for part in slices(batch, "_text"):
-                texts = part.column("_text")
-                keys = part.column("_key").to_numpy().view(np.uint64)
+            for part in slices(batch, text_name):
+                texts = part.column(text_name)
+                keys = part.column(key_name).to_numpy().view(np.uint64)
                 ids, counts = sample(texts, keys)
                 empty = pc.equal(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
                 # an empty text is one empty word, whose only piece is the blank

@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from salesmart.llm.arrow_text import n_bytes, slices, split_words
-from salesmart.llm.common import schema_with, text_of
+from salesmart.llm.common import free_name, schema_with, text_of
 from salesmart.llm.vocabulary import SPACE, unigram
 
 UNKNOWN_PENALTY = 10.0
@@ -114,13 +114,14 @@ def token_counts(docs: DataFrame, model_path: str, text_col: str = "text", keep:
     empty table gives an empty result."""
     vocabulary = unigram(model_path)
     keep = [c for c in (docs.columns if keep is None else keep) if c not in (text_col, out_col)]
-    rows = docs.select(*keep, text_of(text_col).alias("_text"))
+    text_name = free_name(keep, "_text")
+    rows = docs.select(*keep, text_of(text_col).alias(text_name))
     schema = schema_with(rows.select(*keep), f"`{out_col}` long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = counter(vocabulary)
         for batch in batches:
-            for part in slices(batch, "_text"):
-                numbers = pa.array(count(part.column("_text")), pa.int64())
+            for part in slices(batch, text_name):
+                numbers = pa.array(count(part.column(text_name)), pa.int64())
                 yield pa.RecordBatch.from_arrays([*[part.column(c) for c in keep], numbers], names=schema.names)
     return rows.mapInArrow(run, schema)

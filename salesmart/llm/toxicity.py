@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salesmart.llm.arrow_text import slices
-from salesmart.llm.common import schema_with, stored, text_of
+from salesmart.llm.common import free_name, schema_with, stored, text_of
 
 #: labelled rows that lexicon and classifier learn from, at most (chosen by a digest of the id)
 LABELLED_ROWS = 40_000
@@ -353,8 +353,10 @@ def scored(docs: DataFrame, model: tuple[Lexicon, np.ndarray], text_col: str = "
     lexicon, weights = model
     keep = [c for c in (docs.columns if keep is None else keep) if c != score_col]
     # a string text that is kept is read from its own column, not sent twice
-    source = text_col if text_col in keep and dict(docs.dtypes)[text_col] == "string" else "_text"
-    rows = docs.select(*keep) if source != "_text" else docs.select(*keep, text_of(text_col).alias("_text"))
+    source, rows = text_col, docs.select(*keep)
+    if text_col not in keep or dict(docs.dtypes)[text_col] != "string":
+        source = free_name(keep, "_text")
+        rows = docs.select(*keep, text_of(text_col).alias(source))
     schema = schema_with(docs.select(*keep), f"`{score_col}` double")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
