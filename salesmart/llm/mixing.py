@@ -9,7 +9,7 @@ rest R of the target is drawn without replacement: document i of size z_i is wan
 inclusion probability p_i = min(1, c * sqrt(z_i)), c solved so that sum(p_i z_i) = R, and
 documents are taken in ascending order of random odds over inclusion odds,
 [u/(1-u)] / [p/(1-p)] (Rosen's Pareto sampling), while they stay within R words; the gap
-that is left goes to the one document beyond the cut that fills it best.  u is a digest of
+that is left goes to up to FILLS documents beyond the cut that fill it best.  u is a digest of
 seed, id and text.  Only totals per source, size and rank bin are aggregated, so no
 source is ever sorted or gathered whole: the cut rank of each source is found through two
 levels of BINS rank bins and then applied row by row.
@@ -27,6 +27,7 @@ SHARE = 1.5
 CAP = 2
 SEED = 20240601
 BINS = 4096
+FILLS = 3
 #: the columns that are added
 MADE = ("_size", "source_size", "target", "copies")
 
@@ -77,7 +78,7 @@ def _rank() -> Column:
 def plan(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: int = CAP) -> DataFrame:
     """Per source: source_size, target, whole (certain copies), c and certain_above (the
     inclusion probabilities), edge and cut (the ranks up to which documents are drawn) and
-    fill (the rank of the one document that closes the gap to the target).
+    fills (the ranks of the documents that close the gap to the target).
     ``sizes`` holds _source, _size and _u of every document."""
     hist = stored(sizes.groupBy("_source", "_size").agg(F.count("*").alias("n")), "mixing_sizes")
     totals = hist.groupBy("_source").agg(F.sum(F.col("_size") * F.col("n")).alias("source_size"))
@@ -130,13 +131,22 @@ def plan(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: int = CAP
                                  # no crossing: nothing is drawn, or all that can be
                                  F.coalesce("edge", F.when(F.col("drawn") > 0, 1.0).otherwise(0.0)).alias("edge"),
                                  F.coalesce("cut", F.lit(-1.0)).alias("cut"))
-    out = stored(out, "mixing_cuts")
-    # one more document: of those beyond the cut the one that fills the gap best
-    beyond = _with(ranked, out, "inner").where("rank >= edge AND rank > cut AND _size < 2 * gap")
-    fill = beyond.groupBy("_source").agg(
-        F.min(F.struct(F.abs(F.col("_size") - F.col("gap")).alias("miss"), "rank")).alias("best"))
-    out = _with(out, fill.select("_source", F.col("best.rank").alias("fill"))).drop("gap").withColumn(
-        "fill", F.coalesce("fill", F.lit(-1.0)))
+    out = stored(out.withColumn("fills", F.array().cast("array<double>")), "mixing_cuts")
+    # further documents: of those beyond the cut, each the one that fills the gap best
+    beyond = _with(ranked, out.select("_source", "edge", "cut"), "inner").where("rank >= edge AND rank > cut").select(
+        "_source", "_size", "rank")
+    for k in range(FILLS):                       # only the last may pass the target
+        most = F.col("_size") < 2 * F.col("gap") if k == FILLS - 1 else F.col("_size") <= F.col("gap")
+        fit = _with(beyond, out.select("_source", "gap", "fills"), "inner").where(
+            most & ~F.array_contains("fills", F.col("rank")))
+        fit = fit.groupBy("_source").agg(F.min(F.struct(
+            F.abs(F.col("_size") - F.col("gap")).alias("miss"), "rank", "_size")).alias("best"))
+        out = _with(out, fit)
+        out = stored(out.withColumns({
+            "gap": F.col("gap") - F.coalesce("best._size", F.lit(0)),
+            "fills": F.when(F.col("best").isNull(), F.col("fills")).otherwise(
+                F.array_append("fills", F.col("best.rank")))}).drop("best"), "mixing_fills")
+    out = out.drop("gap")
     return stored(out, "mixing_plan")
 
 
@@ -163,7 +173,7 @@ def copies() -> Column:
     rank = _rank()
     drawn = ((F.col("_size") > 0) & ((F.col("_size") > F.col("certain_above"))
                                      | (rank < F.col("edge")) | (rank <= F.col("cut"))
-                                     | (rank == F.col("fill"))))
+                                     | F.array_contains("fills", rank)))
     return (F.col("whole") + F.coalesce(drawn, F.lit(False)).cast("int")).cast("int")
 
 
