@@ -67,6 +67,42 @@ def read_text(spark: SparkSession, path: str) -> str | None:
         stream.close()
 
 
+def data_files(spark: SparkSession, path: str) -> list:
+    """Status of every data file at ``path`` (a file, a folder or a glob), sub-folders
+    included; hidden and underscore files are left out, as Spark's readers do."""
+    fs, p = _fs_and_path(spark, path)
+    out, todo = [], list(fs.globStatus(p) or [])
+    while todo:
+        st = todo.pop()
+        if st.getPath().getName()[:1] in ("_", "."):
+            continue
+        if st.isDirectory():
+            todo.extend(fs.listStatus(st.getPath()))
+        else:
+            out.append(st)
+    return out
+
+
+def first_line(spark: SparkSession, path: str) -> str:
+    """The first line of a text file, through its compression codec if it has one."""
+    fs, p = _fs_and_path(spark, path)
+    jvm = spark.sparkContext._jvm
+    stream = fs.open(p)
+    try:
+        codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(fs.getConf()).getCodec(p)
+        source = codec.createInputStream(stream) if codec is not None else stream
+        return jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(source, "UTF-8")).readLine() or ""
+    finally:
+        stream.close()
+
+
+def fingerprint(spark: SparkSession, *paths: str) -> str:
+    """Short digest of names, sizes and times of the files at ``paths``."""
+    import hashlib
+    state = sorted(f"{s.getPath()} {s.getLen()} {s.getModificationTime()}" for p in paths for s in data_files(spark, p))
+    return hashlib.sha1("\n".join(state).encode()).hexdigest()[:12]
+
+
 def delete_tree(spark: SparkSession, path: str) -> bool:
     """Remove a folder and its contents (used to retire old table versions)."""
     fs, p = _fs_and_path(spark, path)

@@ -18,7 +18,7 @@ from .. import schemas as S
 from ..functions.convert import unit_price
 from .dedup import dedup_order_lines, keep_first
 from .lookups import SMALL_DIM_ROWS, WIDE_DIM_ROWS, lookup
-from .skew import hot_keys, split_join
+from .skew import hot_keys, spread_join
 from .validate import REASON, accepted, convert_order_details, convert_orders
 
 ORPHAN = "OrderID not found in orders"
@@ -59,16 +59,15 @@ def unique_orders(staged_orders: DataFrame) -> DataFrame:
 def join_details_orders(lines: DataFrame, orders: DataFrame, hot: list | None = None) -> DataFrame:
     """Lines left-joined with their orders; orphans get ``reject_reason``.
 
-    Lines of ``hot`` orders (a few orders holding a large share of all lines) join a
-    broadcast of just those orders; the rest shuffle on OrderID as usual.
+    Lines of ``hot`` orders (a few orders holding a large share of all lines) are spread
+    over the shuffle and take their order from a broadcast of just those orders.
     """
     o = orders.select(F.col("OrderID").alias("_o_id"), "CustomerID", "OrderDate", "Status")
 
-    def join(left: DataFrame, right: DataFrame) -> DataFrame:
-        j = left.join(right, left["OrderID"] == right["_o_id"], "left")
-        return j.select(*lines.columns, "CustomerID", "OrderDate", "Status",
-                        F.when(F.col("_o_id").isNull(), F.lit(ORPHAN)).alias(REASON))
-    return split_join(lines, o, "OrderID", "_o_id", hot or [], "left", join)
+    lines = lines.drop(REASON)
+    joined = spread_join(lines, o, {"OrderID": "_o_id"}, "OrderID", hot)
+    return joined.select(*lines.columns, "CustomerID", "OrderDate", "Status",
+                         F.when(F.col("_o_id").isNull(), F.lit(ORPHAN)).alias(REASON))
 
 
 def skew_plan(inp: FactInputs, details_rows: int, orders_rows: int, threads: int = 3) -> dict:
@@ -88,8 +87,11 @@ def skew_plan(inp: FactInputs, details_rows: int, orders_rows: int, threads: int
         return {k: f.result() for k, f in futs.items()}
 
 
-def resolve_keys(lines: DataFrame, inp: FactInputs, source_key: int = S.SOURCE_CSV) -> DataFrame:
-    """J2-J6 on joined lines (OrderID, ProductID, CustomerID, OrderDate, Status, ...)."""
+def resolve_keys(lines: DataFrame, inp: FactInputs, source_key: int = S.SOURCE_CSV,
+                 only: str | None = None) -> DataFrame:
+    """J2-J6 on joined lines (OrderID, ProductID, CustomerID, OrderDate, Status, ...);
+    ``only`` resolves just that key."""
+    want = {only} if only else {"date_key", "customer_key", "product_key", "status_key"}
     b = inp.broadcast or {}
     # The source key is a constant of the load.  It is resolved against the fixed
     # source list the source dimension is built from (a join on a constant would be a
@@ -97,17 +99,17 @@ def resolve_keys(lines: DataFrame, inp: FactInputs, source_key: int = S.SOURCE_C
     known = {k for k, _, _ in S.SOURCES}
     x = lines.withColumn("_src", F.lit(source_key))
     x = x.withColumn("source_key", F.lit(source_key if source_key in known else S.UNKNOWN_KEY))
-    x = lookup(x, inp.dim_date, {"OrderDate": "date"}, "date_key", SMALL_DIM_ROWS,
-               b.get("date"))                                                              # J2
     hot = inp.hot or {}
-    x = lookup(x, inp.dim_customer, {"_src": "source_key", "CustomerID": "customer_id"},
-               "customer_key", WIDE_DIM_ROWS, b.get("customer"),
-               hot.get("customer"), "CustomerID")                                          # J3
-    x = lookup(x, inp.dim_product, {"_src": "source_key", "ProductID": "product_id"},
-               "product_key", WIDE_DIM_ROWS, b.get("product"),
-               hot.get("product"), "ProductID")                                            # J4
-    x = lookup(x, inp.dim_status, {"Status": "status"}, "status_key", SMALL_DIM_ROWS,
-               b.get("status"))                                                            # J5
+    if "date_key" in want:                                                                 # J2
+        x = lookup(x, inp.dim_date, {"OrderDate": "date"}, "date_key", SMALL_DIM_ROWS, b.get("date"))
+    if "customer_key" in want:                                                             # J3
+        x = lookup(x, inp.dim_customer, {"_src": "source_key", "CustomerID": "customer_id"},
+                   "customer_key", WIDE_DIM_ROWS, b.get("customer"), hot.get("customer"), "CustomerID")
+    if "product_key" in want:                                                              # J4
+        x = lookup(x, inp.dim_product, {"_src": "source_key", "ProductID": "product_id"},
+                   "product_key", WIDE_DIM_ROWS, b.get("product"), hot.get("product"), "ProductID")
+    if "status_key" in want:                                                               # J5
+        x = lookup(x, inp.dim_status, {"Status": "status"}, "status_key", SMALL_DIM_ROWS, b.get("status"))
     return x.drop("_src")
 
 
@@ -159,21 +161,21 @@ def build_fact(inp: FactInputs) -> FactLoad:
 
 
 def load_metrics(inp: FactInputs) -> DataFrame:
-    """A8 as one pass: ``metric, n`` for rows read, inserted, rejected, dropped as
-    duplicates and resolved to an unknown member.
+    """``metric, n`` for rows read, inserted, rejected, dropped as duplicates and
+    resolved to an unknown member.
 
-    Every staged line flows to the end with flags (rejected by F1, surviving duplicate,
-    has an order, unknown member) and one global aggregate counts them - an independent
-    check of the counts the load observes while it writes.
+    Accepted lines flow to the end with flags (surviving duplicate, has an order, unknown
+    member) and one global aggregate counts them - an independent check of the counts the
+    load observes while it writes.  Lines that F1 rejects are only counted: with ids that
+    do not convert they would share one null key in the window and the join.
     """
     from pyspark.sql import Window
     lines = typed_lines(inp.details)
     ok = F.col(REASON).isNull()
     w = Window.partitionBy("OrderID", "ProductID").orderBy(
-        ok.desc(), F.col("TotalPrice").desc_nulls_last(), F.col("Quantity").desc_nulls_last())
-    flagged = lines.withColumn("_first", ok & (F.row_number().over(w) == 1))
-    joined = join_details_orders(flagged.withColumn("_ok", ok).drop(REASON),
-                                 unique_orders(inp.orders), (inp.hot or {}).get("order"))
+        F.col("TotalPrice").desc_nulls_last(), F.col("Quantity").desc_nulls_last())
+    flagged = lines.filter(ok).withColumn("_first", F.row_number().over(w) == 1)
+    joined = join_details_orders(flagged, unique_orders(inp.orders), (inp.hot or {}).get("order"))
     keyed = resolve_keys(joined, inp)
     unknown = F.lit(False)
     for k in ("date_key", "customer_key", "product_key", "status_key", "source_key"):
@@ -183,10 +185,13 @@ def load_metrics(inp: FactInputs) -> DataFrame:
     m = keyed.agg(
         F.count(F.lit(1)).alias("rows_read"),
         F.count_if(inserted).alias("rows_inserted"),
-        (F.count_if(~F.col("_ok")) + F.count_if(F.col("_first") & ~has_order)).alias("rows_rejected"),
-        F.count_if(F.col("_ok") & ~F.col("_first")).alias("rows_dropped_duplicates"),
+        F.count_if(F.col("_first") & ~has_order).alias("rows_rejected"),
+        F.count_if(~F.col("_first")).alias("rows_dropped_duplicates"),
         F.count_if(inserted & unknown).alias("unknown_keys"))
+    bad = lines.agg(F.count_if(~ok).alias("n"))
     names = ["rows_read", "rows_inserted", "rows_rejected", "rows_dropped_duplicates", "unknown_keys"]
+    m = m.unionByName(bad.select(*[(F.col("n") if n in ("rows_read", "rows_rejected") else F.lit(0)).alias(n) for n in names]))
+    m = m.agg(*[F.sum(n).alias(n) for n in names])
     return m.select(F.explode(F.array(*[F.struct(F.lit(n).alias("metric"),
                                                  F.col(n).cast("bigint").alias("n"))
                                         for n in names])).alias("m")).select("m.*")

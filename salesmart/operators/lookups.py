@@ -42,9 +42,9 @@ def lookup(facts: DataFrame, dim: DataFrame, on: dict[str, str], key_col: str,
     Unmatched rows get the unknown member key.  ``dim`` must be unique on the
     ``on`` columns (dimensions are, by construction), so the fact keeps its row count.
     When the dimension is not broadcast, fact rows of ``hot`` values of ``hot_col``
-    take a broadcast route (``skew.split_join``).
+    are spread over the shuffle (``skew.spread_join``).
     """
-    from .skew import split_join
+    from .skew import spread_join
     names = list(on)
     sel = [F.col(d).alias(f"_lk_{i}") for i, d in enumerate(on.values())]
     right = dim.select(*sel, F.col(key_col).alias(f"_lk_{key_col}"))
@@ -52,15 +52,6 @@ def lookup(facts: DataFrame, dim: DataFrame, on: dict[str, str], key_col: str,
     if is_broadcast:
         right = F.broadcast(right)
 
-    def join(left: DataFrame, r: DataFrame) -> DataFrame:
-        cond = None
-        for i, f_col in enumerate(names):
-            c = left[f_col] == r[f"_lk_{i}"]
-            cond = c if cond is None else cond & c
-        out = left.join(r, cond, "left")
-        return out.select(*[c for c in out.columns if not c.startswith("_lk_")],
-                          F.coalesce(F.col(f"_lk_{key_col}"), F.lit(UNKNOWN_KEY)).alias(key_col))
-
-    if is_broadcast or not hot or hot_col is None:
-        return join(facts, right)
-    return split_join(facts, right, hot_col, f"_lk_{names.index(hot_col)}", hot, "left", join)
+    out = spread_join(facts, right, {c: f"_lk_{i}" for i, c in enumerate(names)},
+                      None if is_broadcast else hot_col, hot)
+    return out.select(*facts.columns, F.coalesce(F.col(f"_lk_{key_col}"), F.lit(UNKNOWN_KEY)).alias(key_col))

@@ -7,16 +7,16 @@ when the unique side comes straight out of a de-duplication that the join reuses
 1. ``hot_keys`` finds the keys holding more than ``share`` of the rows from a seeded
    sample (a pass over one column, partial aggregation before the shuffle).  At most
    ``1/share`` keys can qualify, so the list brought to the driver is bounded.
-2. ``split_join`` joins the rows of hot keys against a broadcast of just the matching
-   rows of the unique side (at most one per hot key) - a map-side join that spreads the
-   hot rows over every task - and everything else through the ordinary shuffled join.
+2. ``spread_join`` is one shuffled left join in which rows of hot (and null) keys carry a
+   salt that matches nothing and so spread over all tasks; their values come from a
+   broadcast of just the hot rows of the unique side (at most one per hot key).
 
-The route never changes the result, only where the work runs.
+The same route runs at every size; it never changes the result, only where the work runs.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,17 +25,14 @@ from pyspark.sql import functions as F
 HOT_SHARE = 0.001          # a key is hot above 0.1 % of the rows
 SAMPLE_FRACTION = 0.01     # share of rows sampled to find hot keys
 SAMPLE_SEED = 17
-MIN_ROWS = 5_000_000       # below this a skewed task is short anyway: no split
+SALTS = 1 << 20            # values that spread hot rows over the shuffle's partitions
 
 
 def hot_keys(df: DataFrame, col: Column | str, total_rows: int, share: float | None = None,
-             fraction: float | None = None, min_rows: int | None = None) -> list:
+             fraction: float | None = None) -> list:
     """Values of ``col`` holding more than ``share`` of ``total_rows`` (estimated)."""
     share = HOT_SHARE if share is None else share
     fraction = SAMPLE_FRACTION if fraction is None else fraction
-    min_rows = MIN_ROWS if min_rows is None else min_rows
-    if total_rows < min_rows:
-        return []
     c = F.col(col) if isinstance(col, str) else col
     threshold = max(2.0, total_rows * fraction * share)
     max_keys = int(1 / share)
@@ -47,16 +44,20 @@ def hot_keys(df: DataFrame, col: Column | str, total_rows: int, share: float | N
     return [r["k"] for r in cand.collect()]
 
 
-def split_join(big: DataFrame, small: DataFrame, big_key: str, small_key: str, hot: list,
-               how: str, join: Callable[[DataFrame, DataFrame], DataFrame]) -> DataFrame:
-    """``join(big, small)`` with the rows of ``hot`` keys routed through a broadcast.
-
-    ``small`` must hold at most one row per key (a de-duplicated or dimension side);
-    ``join(l, r)`` performs the join (condition and projection) for either route.
-    """
-    if not hot:
-        return join(big, small)
-    is_hot = F.col(big_key).isin(hot)
-    cold = join(big.filter(~is_hot | F.col(big_key).isNull()), small)
-    hot_rows = F.broadcast(small.filter(F.col(small_key).isin(hot)))   # <= len(hot) rows
-    return cold.unionByName(join(big.filter(is_hot), hot_rows))
+def spread_join(big: DataFrame, small: DataFrame, on: dict[str, str], hot_col: str | None = None,
+                hot: list | None = None) -> DataFrame:
+    """``big`` left-joined with ``small`` on ``on`` (big column -> small column): all
+    columns of both.  ``small`` must hold at most one row per key and share no column
+    name with ``big``; ``hot`` are values of ``hot_col``, one of the joined columns."""
+    def match(right: DataFrame, prefix: str = "") -> Column:
+        return reduce(lambda a, b: a & b, [F.col(l) == right[prefix + r] for l, r in on.items()])
+    if not hot or hot_col is None:
+        return big.join(small, match(small), "left")
+    is_hot = F.col(hot_col).isin(hot)
+    salt = F.when(is_hot | F.col(hot_col).isNull(), 1 + F.pmod(F.xxhash64(*big.columns), F.lit(SALTS))).otherwise(0)
+    left = big.withColumn("_salt", salt.cast("long"))
+    right = small.withColumn("_zero", F.lit(0).cast("long"))
+    joined = left.join(right, match(right) & (F.col("_salt") == F.col("_zero")), "left").drop("_salt", "_zero")
+    few = small.filter(F.col(on[hot_col]).isin(hot)).select([F.col(c).alias(f"_hot_{c}") for c in small.columns])
+    joined = joined.join(F.broadcast(few), match(few, "_hot_"), "left")        # <= len(hot) rows
+    return joined.select(*big.columns, *[F.coalesce(c, f"_hot_{c}").alias(c) for c in small.columns])

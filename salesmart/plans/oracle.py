@@ -38,7 +38,7 @@ _CTE = {
         FROM uniq u LEFT JOIN db_orders_t o ON u.OrderID = o.PedidoId""",
     "api_t": """SELECT CAST(p_partkey AS INTEGER) AS ProductID, upper(p_name) AS ProductName,
         p_type AS Category, CAST(p_retailprice AS DECIMAL(18,2)) AS Price,
-        CAST(p_size AS INTEGER) AS Stock FROM part WHERE p_partkey % 10 = 0""",
+        CAST(p_size AS INTEGER) AS Stock FROM part""",
     # first-load dimensions
     "d_status": """SELECT CAST(row_number() OVER (ORDER BY status) AS BIGINT) AS status_key, status
         FROM (SELECT DISTINCT upper(trim(o_orderstatus)) AS status FROM orders)
@@ -200,7 +200,7 @@ _PROD2 = f"""p2 AS (
     SELECT ProductID, ProductName, Category,
            CASE WHEN ProductID % 50 = 0 THEN CAST(Price * 1.1 AS DECIMAL(18,2)) ELSE Price END AS Price, Stock
     FROM products_t
-    UNION ALL SELECT ProductID + {_NEW_ID_OFFSET}, ProductName, Category, Price, Stock FROM products_t WHERE ProductID < 10),
+    UNION ALL SELECT ProductID + {_NEW_ID_OFFSET}, ProductName, Category, Price, Stock FROM products_t WHERE ProductID % 20 = 1),
   m2 AS (SELECT 1 AS source_key, ProductID AS product_id, {_clean('ProductName')} AS product_name,
            {_clean('Category')} AS category, Price AS price, Stock AS stock FROM p2
          UNION ALL SELECT 3, ProductID, {_clean('ProductName')}, {_clean('Category')}, Price, Stock FROM api_t),
@@ -227,7 +227,7 @@ _CUST2 = f"""c2 AS (
     SELECT CustomerID, FirstName, LastName, Email,
            CASE WHEN CustomerID % 50 = 0 THEN '+' || Phone ELSE Phone END AS Phone, City, Country FROM customers_t
     UNION ALL SELECT CustomerID + {_NEW_ID_OFFSET}, FirstName, LastName, Email, Phone, City, Country
-    FROM customers_t WHERE CustomerID < 10),
+    FROM customers_t WHERE CustomerID % 20 = 1),
   m2 AS (SELECT 1 AS source_key, CustomerID AS customer_id, {_clean('FirstName')} AS first_name,
            {_clean('LastName')} AS last_name, nullif(lower(regexp_replace(Email, '\\s+', '', 'g')), '') AS email,
            {_clean('Phone')} AS phone, {_clean('City')} AS city, {_clean('Country')} AS country FROM c2),
@@ -386,17 +386,17 @@ ORACLE["source_counts"] = _with("uniq") + """
         SELECT 'order_details', count(*) FROM lineitem UNION ALL
         SELECT 'db_orders', count(*) FROM orders UNION ALL
         SELECT 'db_order_details', count(*) FROM uniq UNION ALL
-        SELECT 'api_products', count(*) FROM part WHERE p_partkey % 10 = 0)
+        SELECT 'api_products', count(*) FROM part)
 SELECT name, n FROM c UNION ALL SELECT 'total', sum(n) FROM c"""
 ORACLE["dim_counts"] = """
 SELECT 'dim_source' AS dimension, 4 AS n UNION ALL
 SELECT 'dim_status', count(DISTINCT o_orderstatus) + 1 FROM orders UNION ALL
 SELECT 'dim_date', CAST(max(CAST(o_orderdate AS DATE)) - min(CAST(o_orderdate AS DATE)) AS BIGINT) + 2 FROM orders UNION ALL
 SELECT 'dim_customer', count(*) + 1 FROM customer UNION ALL
-SELECT 'dim_product', count(*) + count(*) FILTER (WHERE p_partkey % 10 = 0) + 1 FROM part"""
+SELECT 'dim_product', 2 * count(*) + 1 FROM part"""
 ORACLE["product_by_source"] = """
 SELECT 'CSV' AS source_name, count(*) AS n FROM part UNION ALL
-SELECT 'API', count(*) FROM part WHERE p_partkey % 10 = 0 UNION ALL
+SELECT 'API', count(*) FROM part UNION ALL
 SELECT 'UNKNOWN', 1"""
 ORACLE["fact_load_metrics"] = _with("fact", "uniq") + """
 SELECT 'rows_read' AS metric, count(*) AS n FROM lineitem UNION ALL
@@ -413,7 +413,7 @@ ORACLE["dim_source"] = _with("d_source", "uniq") + """
 , per AS (SELECT 1 AS source_key, (SELECT count(*) FROM part) + (SELECT count(*) FROM customer)
                  + (SELECT count(*) FROM orders) + (SELECT count(*) FROM lineitem) AS n
           UNION ALL SELECT 2, (SELECT count(*) FROM orders) + (SELECT count(*) FROM uniq)
-          UNION ALL SELECT 3, (SELECT count(*) FROM part WHERE p_partkey % 10 = 0))
+          UNION ALL SELECT 3, (SELECT count(*) FROM part))
 SELECT d.source_key, d.source_name, d.source_type, COALESCE(p.n, 0) AS rows_extracted
 FROM d_source d LEFT JOIN per p ON d.source_key = p.source_key"""
 ORACLE["dim_status"] = _with("d_status") + "SELECT * FROM d_status"
@@ -434,7 +434,7 @@ UNION ALL SELECT 'dim_date', 'stg.orders+stg.db_orders', 'COMPLETED', 2 * count(
        CAST(max(CAST(o_orderdate AS DATE)) - min(CAST(o_orderdate AS DATE)) AS BIGINT) + 1, 0, 0 FROM orders
 UNION ALL SELECT 'dim_customer', 'stg.customers', 'COMPLETED', count(*), count(*), 0, 0 FROM customer
 UNION ALL SELECT 'dim_product', 'stg.products+stg.api_products', 'COMPLETED',
-       count(*) + count(*) FILTER (WHERE p_partkey % 10 = 0), count(*) + count(*) FILTER (WHERE p_partkey % 10 = 0),
+       2 * count(*), 2 * count(*),
        0, 0 FROM part
 UNION ALL SELECT 'fact_sales', 'stg.order_details', 'COMPLETED', (SELECT count(*) FROM lineitem),
        (SELECT count(*) FROM fact), 0, 0"""

@@ -50,6 +50,7 @@ class SourceConfig:
     db_orders: dict
     db_order_details: dict
     csv_multiline: bool = False
+    api_multiline: bool = False        # pretty-printed feed pages, one document per file
 
 
 @dataclass
@@ -77,7 +78,7 @@ def extract(spark: SparkSession, src: SourceConfig) -> dict[str, DataFrame]:
         "order_details": lambda: read_order_details_csv(spark, src.order_details_csv, multiline=ml),
         "db_orders": lambda: read_db_orders(spark, **src.db_orders),
         "db_order_details": lambda: read_db_order_details(spark, **src.db_order_details),
-        "api_products": lambda: read_api_pages(spark, src.api_pages),
+        "api_products": lambda: read_api_pages(spark, src.api_pages, multiline=src.api_multiline),
     })
 
 

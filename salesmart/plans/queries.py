@@ -24,6 +24,8 @@ from ..operators.dedup import dedup_members, dedup_order_lines, duplicate_groups
 from ..operators.facts import (FactInputs, broadcast_plan, build_fact, join_details_orders,
                                load_metrics, resolve_keys, skew_plan, unique_orders)
 from ..operators.keys import assign_keys
+from ..operators.lookups import WIDE_DIM_ROWS, fits
+from ..operators.skew import hot_keys
 from ..functions.convert import to_date_safe, to_int
 from ..operators.validate import (REASON, accepted, convert_customers, convert_db_orders,
                                   convert_order_details, convert_orders, convert_products,
@@ -164,8 +166,20 @@ def joined_lines(spark: SparkSession, sf: str) -> DataFrame:
     return join_details_orders(unique_lines(spark, sf), unique_orders(staged(spark, sf, "orders")))
 
 
-def keyed_lines(spark: SparkSession, sf: str) -> DataFrame:
-    return resolve_keys(joined_lines(spark, sf).filter(F.col(REASON).isNull()), fact_inputs(spark, sf))
+def keyed_lines(spark: SparkSession, sf: str, key: str) -> DataFrame:
+    """Joined lines with one key resolved; only that key's dimension is built."""
+    name = key.removesuffix("_key")
+    d, dim = None, None
+    if name != "source":
+        d = first_dims(spark, sf).prefetch(name)
+        dim = d[name]
+    inp = FactInputs(details=staged(spark, sf, "order_details"), orders=staged(spark, sf, "orders"),
+                     **{f"dim_{n}": dim for n in ("date", "customer", "product", "status", "source")})
+    if name in ("customer", "product"):
+        inp.broadcast = {name: fits(dim, WIDE_DIM_ROWS)}
+        side = (inp.orders, "CustomerID") if name == "customer" else (inp.details, "ProductID")
+        inp.hot = {} if inp.broadcast[name] else {name: hot_keys(side[0], to_int(side[1]), side[0].count())}
+    return resolve_keys(joined_lines(spark, sf).filter(F.col(REASON).isNull()), inp, only=key)
 
 
 def _landed(spark: SparkSession, sf: str, name: str) -> str:
@@ -391,7 +405,7 @@ def join_details_orders_q(spark, sf):
 
 def _lookup_query(key):
     def fn(spark, sf):
-        return keyed_lines(spark, sf).select("OrderID", "ProductID", key)
+        return keyed_lines(spark, sf, key).select("OrderID", "ProductID", key)
     return fn
 
 
@@ -422,28 +436,28 @@ def reconcile_orders(spark, sf):
     return C.reconcile_orders(csv, db)
 
 
-# ids of the ten new members in a second batch: the ten lowest ids shifted by this
+# ids of the new members in a second batch: one id in twenty, shifted by this
 NEW_ID_OFFSET = 1_000_000_000
 
 
 def second_product_batch(spark, sf) -> DataFrame:
-    """The product extract of a second run: every 50th price up 10 %, ten new ids."""
+    """The product extract of a second run: every 50th price up 10 %, one new id in twenty."""
     st = staged(spark, sf, "products")
     pid = F.col("ProductID").cast("int")
     changed = st.withColumn("Price", F.when(pid % 50 == 0,
                                             (F.col("Price").cast(S.MONEY_SQL) * F.lit(1.1).cast("decimal(3,1)"))
                                             .cast(S.MONEY_SQL).cast("string")).otherwise(F.col("Price")))
-    new = st.filter(pid < 10).withColumn("ProductID", (pid + NEW_ID_OFFSET).cast("string"))
+    new = st.filter(pid % 20 == 1).withColumn("ProductID", (pid + NEW_ID_OFFSET).cast("string"))
     return changed.unionByName(new)
 
 
 def second_customer_batch(spark, sf) -> DataFrame:
-    """The customer extract of a second run: every 50th phone changed, ten new ids."""
+    """The customer extract of a second run: every 50th phone changed, one new id in twenty."""
     st = staged(spark, sf, "customers")
     cid = F.col("CustomerID").cast("int")
     changed = st.withColumn("Phone", F.when(cid % 50 == 0, F.concat(F.lit("+"), F.col("Phone")))
                             .otherwise(F.col("Phone")))
-    new = st.filter(cid < 10).withColumn("CustomerID", (cid + NEW_ID_OFFSET).cast("string"))
+    new = st.filter(cid % 20 == 1).withColumn("CustomerID", (cid + NEW_ID_OFFSET).cast("string"))
     return changed.unionByName(new)
 
 
@@ -563,18 +577,12 @@ def surrogate_keys(spark, sf):
 
 
 # --- K13, A7: load control of a real pipeline run ---------------------------------------
-_RUNS: dict[tuple[str, str], str] = {}
-
-
 def pipeline_warehouse(spark: SparkSession, sf: str) -> str:
-    """Run the whole load once for ``sf`` (per session) and return its warehouse."""
+    """Run the whole load for ``sf`` into a fresh warehouse and return its folder."""
     from .pipeline import run
-    k = (scratch_path(spark, "queries"), sf)
-    if k not in _RUNS:
-        wh = scratch_path(spark, "queries", "warehouse", path_key(sf), fresh=True)
-        run(spark, source_config(spark, sf), wh)
-        _RUNS[k] = wh
-    return _RUNS[k]
+    wh = scratch_path(spark, "queries", "warehouse", path_key(sf), fresh=True)
+    run(spark, source_config(spark, sf), wh)
+    return wh
 
 
 def source_config(spark: SparkSession, sf: str):

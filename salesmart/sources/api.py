@@ -2,7 +2,7 @@
 
 Each landed page is one envelope ``{products: [...], total, skip, limit}``.  Pages are
 read in parallel (one JSON document per line by default; ``multiline`` for
-pretty-printed one-page files), the envelope is checked, and ``inline`` turns the
+pretty-printed one-page files), and ``inline`` turns the
 ``products`` array into rows; ``total/skip/limit`` are dropped.
 """
 
@@ -20,15 +20,14 @@ def read_api_pages(spark: SparkSession, path: str | list[str], multiline: bool =
              .option("mode", "FAILFAST")
              .option("multiLine", multiline)
              .json(path))
-    checked = F.when(F.col("products").isNull(),
-                     F.raise_error(F.lit("API page without a products array"))
-                     ).otherwise(F.col("products"))
-    items = pages.select(F.inline(checked))
+    # a page without products is an empty page (inline of null gives no row)
+    items = pages.select(F.inline("products"))
     out = []
     for src, dst in S.API_FIELDS.items():
         c = F.col(src)
         if src in S.API_ITEM_TYPES:
-            c = strict_value(F.trim(c), src, S.API_ITEM_TYPES[src], origin="API", thousands=False)
+            # a missing number is 0, as in the modelled feed; a malformed one fails
+            c = strict_value(F.coalesce(F.trim(c), F.lit("0")), src, S.API_ITEM_TYPES[src], origin="API", thousands=False)
         else:
             c = F.coalesce(c, F.lit(""))                        # T6
         out.append(c.alias(dst))

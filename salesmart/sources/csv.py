@@ -1,6 +1,7 @@
 """CSV extracts bound by trimmed header name, strict like the source loader.
 
-The reader runs without a schema (a CSV schema binds by *position* and would swap
+Files are read in groups of equal headers, so folders may mix column orders.  The
+reader runs without a schema (a CSV schema binds by *position* and would swap
 reordered columns silently), trims header names, selects the model's columns by name and
 converts with ANSI casts, so a bad or missing value fails the load.  Extra columns are
 ignored; a missing column raises ``UNRESOLVED_COLUMN``.
@@ -8,10 +9,15 @@ ignored; a missing column raises ``UNRESOLVED_COLUMN``.
 
 from __future__ import annotations
 
+import csv
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .. import fs
 from .. import schemas as S
 from ..schemas import DATE_FORMATS
 
@@ -48,17 +54,42 @@ def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType,
     ``multiline`` allows line breaks inside quoted cells; it makes each file one
     split, so it is off by default to keep large files parallel.
     """
-    raw = (spark.read
-           .option("header", True)
-           .option("inferSchema", False)
-           .option("ignoreLeadingWhiteSpace", True)
-           .option("ignoreTrailingWhiteSpace", True)
-           .option("mode", "FAILFAST")
-           .option("escape", '"')
-           .option("multiLine", multiline)
-           .csv(path))
-    raw = raw.toDF(*[c.strip() for c in raw.columns])
-    return raw.select([_strict(F.col(f"`{f.name}`"), f.name, f.dataType) for f in schema.fields])
+    reader = (spark.read
+              .option("header", True)
+              .option("inferSchema", False)
+              .option("enforceSchema", False)      # a header unlike its group's fails
+              .option("ignoreLeadingWhiteSpace", True)
+              .option("ignoreTrailingWhiteSpace", True)
+              .option("mode", "FAILFAST")
+              .option("escape", '"')
+              .option("multiLine", multiline))
+    parts = []
+    for files in _by_header(spark, [path] if isinstance(path, str) else list(path)):
+        raw = reader.csv(files)
+        raw = raw.toDF(*[c.strip() for c in raw.columns])
+        parts.append(raw.select([_strict(F.col(f"`{f.name}`"), f.name, f.dataType) for f in schema.fields]))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _by_header(spark: SparkSession, paths: list[str]) -> list[list[str]]:
+    """The files at ``paths`` in groups of equal headers.  Spark takes the names of all
+    files of a reader from one header and binds the others by position, so files with
+    another column order need a reader of their own.  A missing path fails (S8); a file
+    without a header line has no rows; only first lines are read here, concurrently."""
+    groups: dict[tuple, list[str]] = {}
+    found = []
+    for path in paths:
+        files = fs.data_files(spark, path)
+        if not files and not fs.exists(spark, path):
+            raise FileNotFoundError(f"CSV input not found: {path}")
+        found += sorted(s.getPath().toString() for s in files if s.getLen() > 0)
+    with ThreadPoolExecutor(max_workers=16) as pool:
+        lines = list(pool.map(lambda f: fs.first_line(spark, f), found))
+    for file, line in zip(found, lines):
+        names = next(csv.reader([line.lstrip("\ufeff")]), [])
+        if names:
+            groups.setdefault(tuple(n.strip() for n in names), []).append(file)
+    return list(groups.values()) or [paths]
 
 
 def read_products_csv(spark: SparkSession, path, **kw) -> DataFrame:

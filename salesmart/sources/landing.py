@@ -20,7 +20,10 @@ def _once(spark: SparkSession, path: str, write) -> str:
 
 
 def landing_dir(spark: SparkSession, sf_dir: str) -> str:
-    return scratch_path(spark, "landing", path_key(sf_dir))
+    """Named by the state (names, sizes, times) of the input files, so that changed input
+    is landed anew."""
+    state = fs.fingerprint(spark, *[f"{sf_dir.rstrip('/')}/{t}.parquet" for t in standins.TABLE_SCHEMAS])
+    return scratch_path(spark, "landing", f"{path_key(sf_dir)}-{state}")
 
 
 def land_csv(spark: SparkSession, df: DataFrame, path: str) -> str:

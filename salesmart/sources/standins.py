@@ -126,12 +126,10 @@ def db_order_details_table(spark: SparkSession, sf_dir: str, perturbed: bool = F
 def api_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Items of the JSON product feed <- part.
 
-    The feed carries one part in ten (ids that are multiples of 10, about the 194 of
-    2,000 ratio of the modelled feed), with upper-cased titles; its ids collide with
-    CSV ids on purpose.
+    The feed carries every part with an upper-cased title; its ids collide with CSV ids
+    on purpose.
     """
     return (table(spark, sf_dir, "part")
-            .filter(F.col("p_partkey") % 10 == 0)
             .select(F.col("p_partkey").cast("int").alias("id"),
                     F.upper("p_name").alias("title"),
                     F.col("p_type").alias("category"),
@@ -142,10 +140,10 @@ def api_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 def api_pages(spark: SparkSession, sf_dir: str, page_size: int = 100) -> DataFrame:
     """Feed pages as JSON text, one envelope per line, ``page_size`` items per page.
 
-    Pages group ids by ``id div (10 * page_size)``, so a page never holds more than
+    Pages group ids by ``id div page_size``, so a page never holds more than
     ``page_size`` items whatever the table size (bounded ``collect_list``).
     """
-    items = api_items(spark, sf_dir).withColumn("page", F.floor(F.col("id") / (10 * page_size)))
+    items = api_items(spark, sf_dir).withColumn("page", F.floor(F.col("id") / page_size))
     env = (items.groupBy("page")
            .agg(F.sort_array(F.collect_list(F.struct("id", "title", "category", "price", "stock")))
                 .alias("products"))

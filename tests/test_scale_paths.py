@@ -80,27 +80,29 @@ def test_hot_order_with_a_third_of_all_lines(spark):
     assert int((got.order_number == 7).sum()) == int((b.OrderID == 7).sum())
 
 
-def test_hot_orders_take_the_broadcast_route(spark, monkeypatch):
-    """With the size floor lowered, hot orders are found and split off; the fact is
-    unchanged and the plan shows the broadcast of just the hot orders."""
+def test_hot_keys_are_spread_in_one_pass(spark, monkeypatch):
+    """Hot orders, customers and products, and lines without ids: the facts and the
+    metrics equal the plain route, and the lines are scanned once."""
     from salesmart.operators import skew
-    from salesmart.operators.facts import skew_plan
+    from salesmart.operators.facts import load_metrics, skew_plan
     base = staged(spark, SF001, "order_details")
     hot_df = (base.withColumn("_i", F.monotonically_increasing_id())
-              .withColumn("OrderID", F.when(F.col("_i") % 3 == 0, F.lit("7")).otherwise(F.col("OrderID")))
+              .withColumn("OrderID", F.when(F.col("_i") % 3 == 0, F.lit("7")).when(F.col("_i") % 50 == 1, F.lit("x"))
+                          .otherwise(F.col("OrderID")))
+              .withColumn("ProductID", F.when(F.col("_i") % 4 == 1, F.lit("9")).otherwise(F.col("ProductID")))
               .drop("_i"))
     hot_df = spark.createDataFrame(hot_df.toPandas())
     no_bc = {k: False for k in ("date", "customer", "product", "status")}
     with conf(spark, **{"spark.sql.autoBroadcastJoinThreshold": "-1",
                         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}):
-        plain = _rows(build_fact(_inputs(spark, hot_df, no_bc)).fact)
-        monkeypatch.setattr(skew, "MIN_ROWS", 0)
-        monkeypatch.setattr(skew, "SAMPLE_FRACTION", 1.0)
         inp = _inputs(spark, hot_df, no_bc)
+        plain, metrics = _rows(build_fact(inp).fact), _rows(load_metrics(inp))
+        monkeypatch.setattr(skew, "SAMPLE_FRACTION", 1.0)
         inp.hot = skew_plan(inp, hot_df.count(), inp.orders.count())
-        assert 7 in inp.hot["order"]
-        fact = build_fact(inp).fact
-        plan = fact._jdf.queryExecution().executedPlan().toString()
-        split = _rows(fact)
-    assert "Union" in plan and "BroadcastHashJoin" in plan
+        assert 7 in inp.hot["order"] and 9 in inp.hot["product"] and inp.hot["customer"]
+        load = build_fact(inp)
+        plan = load.joined._jdf.queryExecution().executedPlan().toString()
+        split, metrics_split = _rows(load.fact), _rows(load_metrics(inp))
+    assert "Union" not in plan and "BroadcastHashJoin" in plan and plan.count("SortMergeJoin") == 1
     assert split == plain
+    assert metrics_split == metrics

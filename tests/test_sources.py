@@ -4,9 +4,11 @@ import os
 
 import pytest
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
 from salesmart.sources.api import read_api_pages
 from salesmart.sources.csv import read_products_csv
+from salesmart.sources.relational import read_db_orders
 
 
 def _write(root, name, text):
@@ -87,10 +89,51 @@ def test_json_numbers_as_text_are_accepted_and_junk_fails(spark, tmp_root):
     assert (r.ProductID, str(r.Price), r.Stock) == (3, "1.50", 2)
 
 
-def test_json_page_without_products_fails(spark, tmp_root):
-    p = _write(tmp_root, "api2/p.json", '{"total":0,"skip":0,"limit":0}\n')
-    with pytest.raises(Exception):
-        read_api_pages(spark, os.path.dirname(p)).collect()
+def test_json_page_without_products_is_empty_and_missing_numbers_are_zero(spark, tmp_root):
+    p = _write(tmp_root, "noprod.json", '{"total": 0}\n{"products": [{"id": 3, "title": "T"}]}\n')
+    assert [tuple(map(str, r)) for r in read_api_pages(spark, p).collect()] == [("3", "T", "", "0.00", "0")]
+
+
+def test_json_pretty_printed_page(spark, tmp_root):
+    p = _write(tmp_root, "pretty.json", '{\n "products": [\n  {"id": 3, "title": "T", "price": 1.5,\n "stock": 2}],\n "total": 1}\n')
+    assert read_api_pages(spark, p, multiline=True).count() == 1
+
+
+def test_csv_folder_with_different_column_orders(spark, tmp_root):
+    for name, text in (("a.csv", "ProductID,ProductName,Category,Price,Stock\n1,A,HW,1.00,10\n"),
+                       ("b.csv", "Stock,ProductName,ProductID,Price,Category\n20,B,2,2.00,SW\n"),
+                       ("sub/c.csv", "Price, Category ,Stock,Extra,ProductID,ProductName\n3.00,FW,30,zz,3,C\n"),
+                       ("empty.csv", "")):
+        folder = os.path.dirname(_write(tmp_root, f"mixed/{name}", text))
+    folder = folder if folder.endswith("mixed") else os.path.dirname(folder)
+    rows = [(r.ProductID, r.ProductName, r.Category, str(r.Price), r.Stock)
+            for r in read_products_csv(spark, folder).orderBy("ProductID").collect()]
+    assert rows == [(1, "A", "HW", "1.00", 10), (2, "B", "SW", "2.00", 20), (3, "C", "FW", "3.00", 30)]
+    _write(tmp_root, "mixed/short.csv", "ProductID,ProductName,Category,Price\n4,D,HW,4.00\n")
+    with pytest.raises(AnalysisException):
+        read_products_csv(spark, folder).collect()
+
+
+def test_relational_null_fails(spark, tmp_root):
+    good = spark.createDataFrame([(1, 2, "2024-01-02", "F", "2024-01-02 03:04:05")],
+                                 "PedidoId int, ClienteId int, FechaPedido string, Estado string, FechaCreacion string")
+    for i, column in enumerate(["ClienteId", "Estado"]):
+        df = good.withColumn(column, F.lit(None).cast(dict(good.dtypes)[column]))
+        df.write.parquet(f"{tmp_root}/null{i}")
+        with pytest.raises(Exception, match=f"relational value missing in column {column}"):
+            read_db_orders(spark, path=f"{tmp_root}/null{i}").collect()
+    good.write.parquet(f"{tmp_root}/good")
+    assert read_db_orders(spark, path=f"{tmp_root}/good").count() == 1
+
+
+def test_landing_follows_its_input(spark, tmp_root):
+    from salesmart.sources import landing
+    sf = tmp_root + "/sf"
+    part = spark.read.parquet("/root/testdata/sf0.001/part.parquet")
+    part.where("p_partkey <= 50").write.parquet(f"{sf}/part.parquet")
+    first = read_products_csv(spark, landing.land_one(spark, sf, "products")).count()
+    part.where("p_partkey <= 60").write.mode("overwrite").parquet(f"{sf}/part.parquet")
+    assert (first, read_products_csv(spark, landing.land_one(spark, sf, "products")).count()) == (51, 61)
 
 
 def test_strictness_does_not_depend_on_ansi_mode(spark, tmp_root):
