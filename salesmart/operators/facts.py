@@ -148,6 +148,15 @@ class FactLoad:
     rejects: DataFrame     # rejected lines with their reason
 
 
+def orphan_lines(staged_details: DataFrame, staged_orders: DataFrame) -> DataFrame:
+    """Staged text of the accepted, de-duplicated lines whose order is missing, with the
+    reason."""
+    raw = F.struct(*staged_details.columns).alias("raw")
+    lines = dedup_order_lines(accepted(convert_order_details(staged_details, raw)))
+    orders = unique_orders(staged_orders).select("OrderID")
+    return lines.join(orders, "OrderID", "left_anti").select("raw.*", F.lit(ORPHAN).alias(REASON))
+
+
 def build_fact(inp: FactInputs) -> FactLoad:
     lines = typed_lines(inp.details)
     unique = dedup_order_lines(accepted(lines))

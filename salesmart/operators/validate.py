@@ -7,6 +7,8 @@ rule a row breaks.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -40,17 +42,18 @@ def order_detail_reason() -> Column:
                    (v["TotalPrice"] < 0, "TotalPrice negative"))
 
 
-def convert_order_details(staged: DataFrame) -> DataFrame:
+def convert_order_details(staged: DataFrame, *keep: Column) -> DataFrame:
     """Staged order lines -> OrderID, ProductID, Quantity, TotalPrice (+ reason)."""
-    return staged.select(*[c.alias(n) for n, c in order_detail_values().items()],
+    return staged.select(*keep, *[c.alias(n) for n, c in order_detail_values().items()],
                          order_detail_reason().alias(REASON))
 
 
-def convert_orders(staged: DataFrame) -> DataFrame:
+def convert_orders(staged: DataFrame, *keep: Column) -> DataFrame:
     """Staged orders -> OrderID, CustomerID, OrderDate, Status (cleaned, upper case)."""
     oid, cid = to_int("OrderID"), to_int("CustomerID")
     odate, status = to_date_safe("OrderDate"), clean_key_text("Status")
     return staged.select(
+        *keep,
         oid.alias("OrderID"), cid.alias("CustomerID"), odate.alias("OrderDate"),
         status.alias("Status"),
         _reason((oid.isNull(), "OrderID not an integer"),
@@ -58,12 +61,13 @@ def convert_orders(staged: DataFrame) -> DataFrame:
                 (odate.isNull(), "OrderDate not a date")).alias(REASON))
 
 
-def convert_db_orders(staged: DataFrame) -> DataFrame:
+def convert_db_orders(staged: DataFrame, *keep: Column) -> DataFrame:
     """Staged relational orders (source names) -> canonical typed columns."""
     oid, cid = to_int("PedidoId"), to_int("ClienteId")
     odate, status = to_date_safe("FechaPedido"), clean_key_text("Estado")
     created = to_timestamp_safe("FechaCreacion")
     return staged.select(
+        *keep,
         oid.alias("OrderID"), cid.alias("CustomerID"), odate.alias("OrderDate"),
         status.alias("Status"), created.alias("CreatedAt"),
         _reason((oid.isNull(), "OrderID not an integer"),
@@ -84,10 +88,11 @@ def convert_db_order_details(staged: DataFrame) -> DataFrame:
                 (total.isNull(), "TotalPrice not a decimal")).alias(REASON))
 
 
-def convert_customers(staged: DataFrame) -> DataFrame:
+def convert_customers(staged: DataFrame, *keep: Column) -> DataFrame:
     """Staged customers -> customer_id + cleaned attributes."""
     cid = to_int("CustomerID")
     return staged.select(
+        *keep,
         cid.alias("customer_id"),
         clean_text("FirstName").alias("first_name"),
         clean_text("LastName").alias("last_name"),
@@ -98,11 +103,12 @@ def convert_customers(staged: DataFrame) -> DataFrame:
         _reason((cid.isNull(), "CustomerID not an integer")).alias(REASON))
 
 
-def convert_products(staged: DataFrame) -> DataFrame:
+def convert_products(staged: DataFrame, *keep: Column) -> DataFrame:
     """Staged products (CSV or API) -> product_id + cleaned attributes."""
     pid, price, stock = to_int("ProductID"), to_money("Price"), to_int("Stock")
-    price_text = F.trim(F.col("Price"))
+    price_text, stock_text = F.trim(F.col("Price")), F.trim(F.col("Stock"))
     return staged.select(
+        *keep,
         pid.alias("product_id"),
         clean_text("ProductName").alias("product_name"),
         clean_text("Category").alias("category"),
@@ -110,7 +116,14 @@ def convert_products(staged: DataFrame) -> DataFrame:
         stock.alias("stock"),
         _reason((pid.isNull(), "ProductID not an integer"),
                 (price.isNull() & (F.coalesce(price_text, F.lit("")) != ""), "Price not a decimal"),
-                (price < 0, "Price negative")).alias(REASON))
+                (price < 0, "Price negative"),
+                (stock.isNull() & (F.coalesce(stock_text, F.lit("")) != ""), "Stock not an integer")).alias(REASON))
+
+
+def raw_rejects(staged: DataFrame, convert: Callable[..., DataFrame]) -> DataFrame:
+    """the staged text of every row that ``convert`` rejects, with the reason."""
+    raw = F.struct(*staged.columns).alias("raw")
+    return rejected(convert(staged, raw)).select("raw.*", REASON)
 
 
 def accepted(converted: DataFrame) -> DataFrame:

@@ -13,6 +13,7 @@ import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -21,11 +22,11 @@ from .. import schemas as S
 from ..operators import dims as D
 from ..operators import staging as K
 from ..operators.dedup import dedup_order_lines
-from ..operators.facts import (ORPHAN, FactInputs, broadcast_plan, build_fact, fact_rows,
-                               join_details_orders, resolve_keys, skew_plan, typed_lines,
-                               unique_orders)
+from ..operators.facts import (ORPHAN, FactInputs, broadcast_plan, fact_rows, join_details_orders,
+                               orphan_lines, resolve_keys, skew_plan, typed_lines, unique_orders)
 from ..operators.validate import (REASON, accepted, convert_customers, convert_db_orders,
-                                  convert_orders, convert_products)
+                                  convert_order_details, convert_orders, convert_products,
+                                  raw_rejects)
 from ..session import apply_job_conf, size_shuffles
 from ..sources.api import read_api_pages
 from ..sources.csv import (read_customers_csv, read_order_details_csv, read_orders_csv,
@@ -147,13 +148,12 @@ def _publish_dim(store: TableStore, table: str, load: D.DimLoad) -> dict:
     return {"inserted": int(m.get("inserted") or 0), "updated": int(m.get("updated") or 0)}
 
 
-def _publish_rejects(store: TableStore, process: str, converted: DataFrame) -> int:
-    """Count rejected members; when there are any, keep them apart with their reason."""
-    bad = converted.filter(F.col(REASON).isNotNull())
-    n = bad.count()
-    if n:
-        store.publish(f"etl/rejects/{process}", bad)
-    return n
+def _publish_rejects(store: TableStore, name: str, run_id: str, *bad: DataFrame) -> int:
+    """Publish this run's rejects (staged text, reason, run id), none included, so that no
+    earlier run's remain current.  Returns how many there are, from the files' metadata."""
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), bad)
+    v = store.publish(f"etl/rejects/{name}", rows.withColumn("run_id", F.lit(run_id)))
+    return store.read(f"etl/rejects/{name}", v).count()
 
 
 def _dim_source(store: TableStore) -> list[dict]:
@@ -166,13 +166,15 @@ def _dim_source(store: TableStore) -> list[dict]:
                  rows_read=len(S.SOURCES), rows_inserted=ins, rows_updated=0, rows_rejected=0)]
 
 
-def _dim_status_and_date(store: TableStore, stg: dict) -> list[dict]:
-    frames = []
+def _dim_status_and_date(store: TableStore, stg: dict, run_id: str) -> list[dict]:
+    frames, bad = [], []
     if stg["orders"] is not None:
         frames.append(accepted(convert_orders(stg["orders"])))
+        bad.append(raw_rejects(stg["orders"], convert_orders))
     if stg["db_orders"] is not None:
         frames.append(accepted(convert_db_orders(stg["db_orders"])).select(
             "OrderID", "CustomerID", "OrderDate", "Status"))
+        bad.append(raw_rejects(stg["db_orders"], convert_db_orders))
     if not frames:
         return []
     started = _now()
@@ -181,7 +183,8 @@ def _dim_status_and_date(store: TableStore, stg: dict) -> list[dict]:
     try:
         # fill the cache once (and count the rows read) before the two loads share it
         r = _parallel({"profile": profile.count, "o": lambda: _count(stg["orders"]),
-                       "d": lambda: _count(stg["db_orders"])})
+                       "d": lambda: _count(stg["db_orders"]),
+                       "rej": lambda: _publish_rejects(store, "orders", run_id, *bad)})
         n_read = r["o"] + r["d"]
         loads = _parallel({
             "dim_status": lambda: _publish_dim(store, "dw/dim_status", D.load_dim_status(
@@ -193,15 +196,15 @@ def _dim_status_and_date(store: TableStore, stg: dict) -> list[dict]:
         profile.unpersist()
     return [dict(process=p, source="stg.orders+stg.db_orders", started_at=started, ended_at=_now(),
                  rows_read=n_read, rows_inserted=m["inserted"], rows_updated=m["updated"],
-                 rows_rejected=0) for p, m in loads.items()]
+                 rows_rejected=r["rej"]) for p, m in loads.items()]
 
 
-def _dim_customer(store: TableStore, stg: dict) -> list[dict]:
+def _dim_customer(store: TableStore, stg: dict, run_id: str) -> list[dict]:
     if stg["customers"] is None:
         return []
     started = _now()
     rejected = lambda: _publish_rejects(
-        store, "dim_customer", convert_customers(stg["customers"]))
+        store, "dim_customer", run_id, raw_rejects(stg["customers"], convert_customers))
     load = lambda: _publish_dim(store, "dw/dim_customer", D.load_dim_customer(
         D.customer_members(stg["customers"]), store.read("dw/dim_customer")))
     r = _parallel({"rej": rejected, "n": lambda: _count(stg["customers"]), "m": load})
@@ -210,7 +213,7 @@ def _dim_customer(store: TableStore, stg: dict) -> list[dict]:
                  rows_updated=r["m"]["updated"], rows_rejected=r["rej"])]
 
 
-def _dim_product(store: TableStore, stg: dict) -> list[dict]:
+def _dim_product(store: TableStore, stg: dict, run_id: str) -> list[dict]:
     if stg["products"] is None and stg["api_products"] is None:
         return []
     started = _now()
@@ -219,7 +222,7 @@ def _dim_product(store: TableStore, stg: dict) -> list[dict]:
     csv = stg["products"] if stg["products"] is not None else empty
     api = stg["api_products"] if stg["api_products"] is not None else empty
     rejected = lambda: _publish_rejects(
-        store, "dim_product", convert_products(csv).unionByName(convert_products(api)))
+        store, "dim_product", run_id, raw_rejects(csv, convert_products), raw_rejects(api, convert_products))
     load = lambda: _publish_dim(store, "dw/dim_product", D.load_dim_product(
         D.product_members(csv, api), store.read("dw/dim_product")))
     r = _parallel({"rej": rejected, "n": lambda: _count(csv) + _count(api), "m": load})
@@ -229,21 +232,36 @@ def _dim_product(store: TableStore, stg: dict) -> list[dict]:
                  rows_rejected=r["rej"])]
 
 
-def load_dimensions(store: TableStore) -> list[dict]:
-    """D1-D5 from the current staging versions (S9), loaded concurrently, each
-    published as a new version."""
+DIMENSION_STEPS = {"source": ["dim_source"], "status_date": ["dim_status", "dim_date"],
+                   "customer": ["dim_customer"], "product": ["dim_product"]}
+
+
+def load_dimensions(store: TableStore, run_id: str = "") -> list[dict]:
+    """D1-D5 from the current staging versions (S9), loaded concurrently, each published
+    as a new version.  A step that fails does not undo the others: its processes carry
+    the ``error`` and its exception under ``raised``."""
     stg = _parallel({t: (lambda t=t: store.read(f"stg/{t}")) for t in S.STAGING_COLUMNS})
-    parts = _parallel({
+
+    def step(name: str, fn: Callable[[], list[dict]]) -> Callable[[], list[dict]]:
+        def guarded() -> list[dict]:
+            started = _now()
+            try:
+                return fn()
+            except Exception as e:
+                return [dict(process=p, started_at=started, ended_at=_now(), error=str(e), raised=e)
+                        for p in DIMENSION_STEPS[name]]
+        return guarded
+    parts = _parallel({name: step(name, fn) for name, fn in {
         "source": lambda: _dim_source(store),
-        "status_date": lambda: _dim_status_and_date(store, stg),
-        "customer": lambda: _dim_customer(store, stg),
-        "product": lambda: _dim_product(store, stg),
-    })
-    return [m for k in ("source", "status_date", "customer", "product") for m in parts[k]]
+        "status_date": lambda: _dim_status_and_date(store, stg, run_id),
+        "customer": lambda: _dim_customer(store, stg, run_id),
+        "product": lambda: _dim_product(store, stg, run_id),
+    }.items()})
+    return [m for k in DIMENSION_STEPS for m in parts[k]]
 
 
 # --- fact ---------------------------------------------------------------------------
-def load_facts(store: TableStore) -> list[dict]:
+def load_facts(store: TableStore, run_id: str = "") -> list[dict]:
     """K10 + K11 as one publish: the new fact version replaces the old one atomically.
 
     The read, rejected, duplicate, inserted and unknown-key counts are observed inside
@@ -292,13 +310,14 @@ def load_facts(store: TableStore) -> list[dict]:
         mf = dict(mf, n=exact_ins)
     rejected = bad + orphans
     dropped = read - bad - uniq
-    if rejected:
-        # rejected lines are kept apart with their reason (only when there are any)
-        store.publish("etl/rejects/fact_sales", build_fact(inp).rejects)
+    # lines that do not convert: one scan; lines without an order: joined again only if
+    # there are any
+    _publish_rejects(store, "fact_sales", run_id, raw_rejects(details, convert_order_details),
+                     *([orphan_lines(details, orders)] if orphans else []))
     return [dict(process="fact_sales", source="stg.order_details", started_at=started,
                  rows_read=read, rows_inserted=int(mf["n"]), rows_updated=0,
                  rows_rejected=rejected, rows_dropped_duplicates=dropped,
-                 rows_before_clean=pre["before"],
+                 rows_before_clean=pre["before"], rows_after_clean=0,
                  unknown_keys=sum(int(mf[f"unknown_{k}"]) for k in keys))]
 
 
@@ -319,19 +338,20 @@ def _exact_fact_counts(details: DataFrame, orders: DataFrame) -> tuple[int, int,
 def _control_rows(spark: SparkSession, run_id: str, metrics: list[dict]) -> DataFrame:
     rows = []
     for m in metrics:
-        state = S.STATE_FAILED if m.get("error") else (
+        state = S.STATE_FAILED if m.get("error") else S.STATE_STARTED if not m.get("ended_at") else (
             S.STATE_COMPLETED_WITH_ERRORS if m.get("rows_rejected") else S.STATE_COMPLETED)
         rows.append((run_id, m.get("source"), m["process"], m.get("started_at"),
                      m.get("ended_at"), state, m.get("rows_read"), m.get("rows_inserted"),
                      m.get("rows_updated"), m.get("rows_rejected"), m.get("error"),
-                     m.get("rows_dropped_duplicates"), m.get("unknown_keys")))
+                     m.get("rows_dropped_duplicates"), m.get("unknown_keys"),
+                     m.get("rows_before_clean"), m.get("rows_after_clean")))
     return spark.createDataFrame(rows, S.LOAD_CONTROL)
 
 
 RETIRED_TABLES = ["stg/" + t for t in S.STAGING_COLUMNS] + [
     "dw/dim_source", "dw/dim_status", "dw/dim_date", "dw/dim_customer", "dw/dim_product",
     "dw/fact_sales", "etl/rejects/fact_sales", "etl/rejects/dim_customer",
-    "etl/rejects/dim_product"]
+    "etl/rejects/dim_product", "etl/rejects/orders"]
 
 
 def _input_bytes(spark: SparkSession, src: SourceConfig) -> int:
@@ -344,7 +364,9 @@ def _input_bytes(spark: SparkSession, src: SourceConfig) -> int:
 
 def run(spark: SparkSession, sources: SourceConfig, warehouse: str,
         run_id: str | None = None, keep_versions: int | None = None) -> RunResult:
-    """Run the whole load once.  A failure is recorded in load control and re-raised.
+    """Run the whole load once.  Every process gets a STARTED row before it begins and a
+    row with its outcome; a failure is recorded with its whole message and re-raised.
+    Dimensions that were published before another failed stay published.
 
     ``keep_versions`` (optional, >= 2 recommended) retires older table versions after a
     successful run; by default every version is kept."""
@@ -353,26 +375,41 @@ def run(spark: SparkSession, sources: SourceConfig, warehouse: str,
     store = TableStore(spark, warehouse)
     res = RunResult(run_id=run_id or uuid.uuid4().hex)
     run_started = _now()
-    step = "extract"
+    step, failed = "extract", False
+
+    def begin(processes: list[str]) -> None:
+        """STARTED rows; they stay current if the driver dies before the end is recorded."""
+        store.append_load_control(_control_rows(spark, res.run_id, [
+            dict(process=p, started_at=_now()) for p in processes]))
+
+    def record(metrics: list[dict]) -> None:
+        res.metrics.extend(metrics)
+        store.append_load_control(_control_rows(spark, res.run_id, metrics))
+
     try:
         t = _now()
         res.staged = stage(store, extract(spark, sources))
         log.info("extract + stage: %.2f s", (_now() - t).total_seconds())
         step, t = "dimensions", _now()
-        res.metrics.extend(load_dimensions(store))
+        begin([p for ps in DIMENSION_STEPS.values() for p in ps])
+        done = load_dimensions(store, res.run_id)
+        record(done)
+        for m in done:
+            if "raised" in m:
+                failed = True                   # recorded already, process by process
+                raise m["raised"]
         log.info("dimensions: %.2f s", (_now() - t).total_seconds())
-        step, t = "facts", _now()
-        for m in load_facts(store):
+        step, t = "fact_sales", _now()
+        begin([step])
+        done = load_facts(store, res.run_id)
+        for m in done:
             m["ended_at"] = _now()
-            res.metrics.append(m)
+        record(done)
         log.info("fact: %.2f s", (_now() - t).total_seconds())
     except Exception as e:  # record, then fail the run
-        res.metrics.append(dict(process=step, source=None, started_at=run_started, ended_at=_now(),
-                                rows_read=None, rows_inserted=None, rows_updated=None,
-                                rows_rejected=None, error=str(e)[:2000]))
-        store.append_load_control(_control_rows(spark, res.run_id, res.metrics))
+        if not failed:
+            record([dict(process=step, started_at=run_started, ended_at=_now(), error=str(e))])
         raise
-    store.append_load_control(_control_rows(spark, res.run_id, res.metrics))
     if keep_versions:
         for t in RETIRED_TABLES:
             store.retire(t, keep_versions)

@@ -29,7 +29,7 @@ from ..operators.skew import hot_keys
 from ..functions.convert import to_date_safe, to_int
 from ..operators.validate import (REASON, accepted, convert_customers, convert_db_orders,
                                   convert_order_details, convert_orders, convert_products,
-                                  order_detail_reason)
+                                  raw_rejects)
 from ..session import path_key, scratch_path
 from ..sources import landing, standins as SI
 from ..sources.api import read_api_pages
@@ -323,13 +323,9 @@ def validate_order_details(spark, sf):
 @query
 def rejected_order_details(spark, sf):
     """F1 rejects: the raw text of each rejected line and the first rule it breaks."""
-    raw = corrupted_details(spark, sf)
-    return (raw.select(F.col("OrderID").alias("order_id_text"),
-                       F.col("ProductID").alias("product_id_text"),
-                       F.col("Quantity").alias("quantity_text"),
-                       F.col("TotalPrice").alias("total_text"),
-                       order_detail_reason().alias(REASON))
-            .filter(F.col(REASON).isNotNull()))
+    return raw_rejects(corrupted_details(spark, sf), convert_order_details).withColumnsRenamed(
+        {"OrderID": "order_id_text", "ProductID": "product_id_text", "Quantity": "quantity_text",
+         "TotalPrice": "total_text"})
 
 
 def padded_customers(spark, sf) -> DataFrame:

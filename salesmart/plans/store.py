@@ -14,6 +14,7 @@ from __future__ import annotations
 import json
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import fs
@@ -148,8 +149,12 @@ class TableStore:
             self.path("etl/load_control"))
 
     def load_control(self) -> DataFrame:
-        """All load-control rows (columns added later read as NULL in older rows)."""
+        """One row per run and process: its last state (a process that began and never
+        ended is STARTED).  Columns added later read as NULL in older rows."""
         p = self.path("etl/load_control")
         if not fs.exists(self.spark, p):
             return self.spark.createDataFrame([], S.LOAD_CONTROL)
-        return self.spark.read.schema(S.LOAD_CONTROL).parquet(p)
+        names = [f.name for f in S.LOAD_CONTROL.fields]
+        rows = self.spark.read.schema(S.LOAD_CONTROL).parquet(p)
+        last = F.max(F.struct(F.col("ended_at").isNotNull().alias("ended"), "ended_at", F.struct(*names).alias("row")))
+        return rows.groupBy("run_id", "process").agg(last.alias("last")).select("last.row.*")

@@ -126,4 +126,7 @@ LOAD_CONTROL = T.StructType([
     # reported for the fact load: lines dropped as duplicates, keys resolved to unknown
     T.StructField("rows_duplicated", T.LongType(), True),
     T.StructField("unknown_keys", T.LongType(), True),
+    # K10, for the fact load: rows of the replaced version, and rows left by the clean
+    T.StructField("rows_before_clean", T.LongType(), True),
+    T.StructField("rows_after_clean", T.LongType(), True),
 ])

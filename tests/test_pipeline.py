@@ -5,6 +5,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from salesmart import schemas as S
 from salesmart.plans import pipeline as P
 from salesmart.plans.queries import source_config
 from salesmart.plans.store import TableStore
@@ -34,7 +35,7 @@ def test_first_run_counts(loaded):
     assert fact["rows_inserted"] == 5942
     assert fact["rows_dropped_duplicates"] == 58
     assert fact["rows_rejected"] == 0 and fact["unknown_keys"] == 0
-    assert _m(first, "dim_product")["rows_inserted"] == 220      # 200 CSV + 20 API
+    assert _m(first, "dim_product")["rows_inserted"] == 400      # 200 CSV + 200 API
     assert _m(first, "dim_customer")["rows_inserted"] == 150
 
 
@@ -179,10 +180,54 @@ def test_rejected_lines_are_kept_apart_and_flag_the_load(spark, tmp_root):
     assert (fact["rows_read"], fact["rows_inserted"], fact["rows_rejected"],
             fact["rows_dropped_duplicates"]) == (4, 1, 2, 1)
     store = TableStore(spark, wh)
-    reasons = sorted(r.reject_reason for r in store.read("etl/rejects/fact_sales").collect())
-    assert reasons == ["OrderID not found in orders", "Quantity not positive"]
+    rejects = sorted(tuple(r) for r in store.read("etl/rejects/fact_sales").select(
+        *S.STAGING_COLUMNS["order_details"], "reject_reason", "run_id").collect())
+    assert rejects == [("1", "6", "0", "1.00", "Quantity not positive", res.run_id),
+                       ("999999", "5", "1", "3.00", "OrderID not found in orders", res.run_id)]
     states = {r.process: r.state for r in store.load_control().collect()}
     assert states["fact_sales"] == "COMPLETED_WITH_ERRORS" and states["dim_customer"] == "COMPLETED"
+    # a clean run leaves no rejects of the one before
+    again = P.run(spark, cfg, wh)
+    assert store.read("etl/rejects/fact_sales").count() == 0
+    clean = store.load_control().filter(F.col("run_id") == again.run_id).filter("process = 'fact_sales'").first()
+    assert (clean.state, clean.rows_before_clean, clean.rows_after_clean) == ("COMPLETED", 1, 0)
+
+
+def test_failed_dimension_is_recorded_by_process(spark, tmp_root, monkeypatch):
+    """One failing dimension: its row says FAILED with the whole message, the others keep
+    their outcome, the fact never began; a process without an end counts as unfinished."""
+    from salesmart.operators.audit import load_state_counts
+    cfg, wh = source_config(spark, SF001), tmp_root + "/wh"
+
+    def fail(*_):
+        raise ValueError("x" * 5000)
+    monkeypatch.setattr(P, "_dim_customer", fail)
+    with pytest.raises(ValueError):
+        P.run(spark, cfg, wh, run_id="r1")
+    store = TableStore(spark, wh)
+    rows = {r.process: r for r in store.load_control().collect()}
+    assert {p: r.state for p, r in rows.items()} == {
+        "dim_source": "COMPLETED", "dim_status": "COMPLETED", "dim_date": "COMPLETED", "dim_product": "COMPLETED",
+        "dim_customer": "FAILED"}
+    assert rows["dim_customer"].error_message == "x" * 5000
+    store.append_load_control(P._control_rows(spark, "r2", [dict(process="fact_sales", started_at=P._now())]))
+    counts = {r.state: (r.n, r.unfinished) for r in load_state_counts(store.load_control()).collect()}
+    assert counts == {"COMPLETED": (4, 0), "FAILED": (1, 0), "STARTED": (1, 1)}
+
+
+def test_rejected_orders_and_stock_are_counted(spark, tmp_root):
+    cfg = source_config(spark, SF001)
+    stg = spark.createDataFrame([("1", "7", "2024-02-30", "F"), ("2", "7", "2024-02-28", "F")],
+                                S.STAGING_COLUMNS["orders"])
+    store = TableStore(spark, tmp_root + "/wh")
+    P.run(spark, cfg, store.root)
+    store.publish("stg/orders", stg)
+    store.publish("stg/products", spark.createDataFrame([("5", "P", "c", "1.00", "many")], S.STAGING_COLUMNS["products"]))
+    done = {m["process"]: m for m in P.load_dimensions(store, "r9")}
+    assert done["dim_status"]["rows_rejected"] == 1 and done["dim_product"]["rows_rejected"] == 1
+    assert store.read("etl/rejects/orders").select("OrderDate", "reject_reason", "run_id").collect() == [
+        ("2024-02-30", "OrderDate not a date", "r9")]
+    assert store.read("etl/rejects/dim_product").first()["Stock"] == "many"
 
 
 def test_validation_checks_pass_and_views_answer_sql(spark, loaded):
@@ -192,7 +237,7 @@ def test_validation_checks_pass_and_views_answer_sql(spark, loaded):
     checks = {r.check: (r.value, r.ok) for r in validate_warehouse(store).collect()}
     assert all(ok for _, ok in checks.values()), checks
     assert checks["dim_product: members from CSV"][0] == 200
-    assert checks["dim_product: members from API"][0] == 20
+    assert checks["dim_product: members from API"][0] == 200
     names = store.register_views()
     assert {"dw_fact_sales", "dw_dim_customer", "stg_order_details", "etl_load_control"} <= set(names)
     n = spark.sql("SELECT count(*) AS n FROM dw_fact_sales f JOIN dw_dim_date d USING (date_key)").first().n
