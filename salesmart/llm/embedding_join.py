@@ -217,3 +217,25 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     return out.select(F.col("id").alias(id_col), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
                       component.cast("long").alias("component_id"),
                       F.coalesce(F.col("id") == component, F.lit(False)).alias("kept"))
+
+
+def near_duplicates_sql(table: str = "embeddings", cosine: float = 0.93) -> str:
+    """DuckDB SQL for :func:`near_duplicates` over ``table`` (vec_id, embedding, label) with
+    unique ids, by comparing all pairs."""
+    return f"""
+    WITH RECURSIVE v AS (
+        SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS x,
+               label IS NOT NULL AND len(embedding) > 0
+               AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+               AND len(list_filter(embedding, lambda c: c <> 0)) > 0 AS usable
+        FROM {table}),
+    u AS (SELECT vec_id, label, x, sqrt(list_dot_product(x, x)) AS norm FROM v WHERE usable),
+    links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b
+              ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.x) = len(b.x)
+              WHERE list_dot_product(a.x, b.x) / (a.norm * b.norm) >= {cosine}),
+    reach AS (SELECT vec_id AS a, vec_id AS b FROM v
+              UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b),
+    component AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a),
+    counts AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+    SELECT v.vec_id, coalesce(n, 0) AS n_links, component_id, v.vec_id = component_id AS kept
+    FROM v JOIN component c ON c.a = v.vec_id LEFT JOIN counts k ON k.a = v.vec_id"""

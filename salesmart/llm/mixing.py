@@ -213,3 +213,68 @@ def repeated(mixed: DataFrame, columns: list[str]) -> DataFrame:
     """One row for each copy of a mixed document."""
     rows = mixed.where("copies > 0").select(packed(columns).alias("row"), F.explode(F.array_repeat(F.lit(0), F.col("copies"))).alias("copy"))
     return rows.select("row.*")
+
+
+def mixture_sql(table: str = "documents", weights=WEIGHTS, share: float = SHARE, cap: int = CAP, seed: int = SEED) -> str:
+    """DuckDB SQL for :func:`mixture_counts` over ``table`` (doc_id, text, source), as
+    doc_id, size, source_size, target, taken; here sources are sorted whole."""
+    turns = "[" + ", ".join(f"{float(w)}" for w in weights) + "]::DOUBLE[]"
+    fills, gaps = "", "cuts"
+    for k in range(FILLS):
+        most = "o.size < 2 * g.gap" if k == FILLS - 1 else "o.size <= g.gap"
+        before = "".join(f" AND NOT EXISTS (SELECT 1 FROM fill{j} f WHERE f.source IS NOT DISTINCT FROM o.source "
+                         f"AND f.rank = o.rank)" for j in range(k))
+        fills += f"""
+    fill{k} AS (SELECT source, rank, size FROM (SELECT o.source, o.rank, o.size, row_number() OVER (
+                    PARTITION BY o.source ORDER BY abs(o.size - g.gap), o.rank, o.size) AS n
+                FROM ordered o JOIN {gaps} g ON g.source IS NOT DISTINCT FROM o.source
+                WHERE o.upto > g.drawn AND {most}{before}) WHERE n = 1),
+    gap{k} AS (SELECT g.source, g.drawn, g.gap - coalesce(f.size, 0) AS gap FROM {gaps} g
+               LEFT JOIN fill{k} f ON f.source IS NOT DISTINCT FROM g.source),"""
+        gaps = f"gap{k}"
+    filled = " OR ".join(f"EXISTS (SELECT 1 FROM fill{k} f WHERE f.source IS NOT DISTINCT FROM d.source "
+                         f"AND f.rank = d.rank)" for k in range(FILLS))
+    return f"""
+    WITH docs AS (
+        SELECT row_number() OVER () AS r, doc_id, source,
+               len(regexp_extract_all(coalesce(text, ''), '{WORD}')) AS size,
+               (CAST('0x' || substr(md5(concat_ws('|', '{seed}', coalesce(CAST(doc_id AS VARCHAR), 'null'),
+                md5(coalesce(text, '')))), 1, 13) AS BIGINT) + 0.5::DOUBLE) / {float(16 ** 13)}::DOUBLE AS u FROM {table}),
+    totals AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM docs GROUP BY source),
+    weighed AS (SELECT *, ({turns})[CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % {len(weights)} + 1 AS INT)] AS w,
+                row_number() OVER (ORDER BY source NULLS LAST) AS n, {float(cap)}::DOUBLE * source_size AS cap FROM totals),
+    levels AS (SELECT *, ({share}::DOUBLE * sum(source_size) OVER ()
+                   - coalesce(sum(cap) OVER (ORDER BY cap / w, n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+                   / sum(w) OVER (ORDER BY cap / w, n ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM weighed),
+    level AS (SELECT min_by(level, row(cap / w, n)) AS level FROM levels WHERE level <= cap / w),
+    targets AS (SELECT source, source_size, CASE WHEN (SELECT level FROM level) IS NULL THEN cap
+                    ELSE least(cap, (SELECT level FROM level) * w) END AS target FROM weighed),
+    rests AS (SELECT *, CASE WHEN source_size > 0 THEN CAST(least({cap}, floor(target / source_size)) AS INT) ELSE 0 END AS whole
+              FROM targets),
+    hist AS (SELECT h.*, greatest(0.0::DOUBLE, r.target - r.whole * r.source_size) AS rest FROM (
+                 SELECT source, size, count(*) AS n FROM docs WHERE size > 0 GROUP BY source, size) h
+             JOIN rests r ON r.source IS NOT DISTINCT FROM h.source),
+    solving AS (SELECT *, coalesce(sum(size * n) OVER (PARTITION BY source ORDER BY size DESC
+                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS above,
+                    sum(sqrt(size) * (size * n)) OVER (PARTITION BY source ORDER BY size DESC
+                    ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS pull FROM hist),
+    solved AS (SELECT source, max_by(row(c, size, above), size) AS s FROM (
+                   SELECT *, (rest - above) / pull AS c FROM solving) WHERE c * sqrt(size) <= 1.0 GROUP BY source),
+    plan AS (SELECT r.*, greatest(0.0::DOUBLE, r.target - r.whole * r.source_size) AS rest,
+                    greatest(0.0::DOUBLE, coalesce(s.s[1], 0.0)) AS c,
+                    coalesce(s.s[2], CASE WHEN r.target - r.whole * r.source_size > 0 THEN 0 ELSE 4611686018427387904 END) AS certain_above,
+                    greatest(0.0::DOUBLE, greatest(0.0::DOUBLE, r.target - r.whole * r.source_size) - coalesce(s.s[3], 0)) AS drawn
+             FROM rests r LEFT JOIN solved s ON s.source IS NOT DISTINCT FROM r.source),
+    odds AS (SELECT d.*, p.source_size, p.target, p.whole, p.drawn, p.certain_above,
+                    CASE WHEN d.size > p.certain_above THEN 1.0::DOUBLE ELSE least(1.0::DOUBLE, p.c * sqrt(d.size)) END AS p
+             FROM docs d JOIN plan p ON p.source IS NOT DISTINCT FROM d.source),
+    ranked AS (SELECT *, u * (1.0 - p) / (u * (1.0 - p) + p * (1.0 - u)) AS rank FROM odds),
+    ordered AS (SELECT source, rank, size, drawn, sum(words) OVER (PARTITION BY source ORDER BY rank) AS upto FROM (
+                    SELECT source, rank, min(size) AS size, any_value(drawn) AS drawn, sum(size) AS words FROM ranked
+                    WHERE size > 0 AND size <= certain_above AND rank < 1 GROUP BY source, rank)),
+    cuts AS (SELECT source, any_value(drawn) AS drawn, any_value(drawn) - coalesce(max(upto) FILTER (WHERE upto <= drawn), 0) AS gap
+             FROM ordered GROUP BY source HAVING max(upto) >= any_value(drawn) AND any_value(drawn) > 0),{fills}
+    chosen AS (SELECT d.*, d.whole + CASE WHEN d.size > 0 AND (d.size > d.certain_above
+                   OR EXISTS (SELECT 1 FROM ordered o WHERE o.source IS NOT DISTINCT FROM d.source AND o.rank = d.rank
+                              AND o.upto <= o.drawn) OR {filled}) THEN 1 ELSE 0 END AS copies FROM ranked d)
+    SELECT doc_id, size, source_size, target, CAST(copies * size AS BIGINT) AS taken FROM chosen"""

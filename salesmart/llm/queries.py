@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesmart.llm.common import read_table
-from salesmart.llm.embedding_join import near_duplicates
+from salesmart.llm.embedding_join import near_duplicates, near_duplicates_sql
 from salesmart.llm.language_model import scores
 from salesmart.llm.licenses import scan, scan_sql
-from salesmart.llm.mixing import mixture_counts
+from salesmart.llm.mixing import mixture_counts, mixture_sql
 from salesmart.llm.order_minhash import classes
 from salesmart.llm.pii import personal_data, span_digests
 from salesmart.llm.sp_sampling import encode
@@ -91,4 +91,5 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY["pipeline"] = pipeline
-ORACLE: dict[str, str] = {"op6_license_digest": scan_sql()}
+ORACLE: dict[str, str] = {"op1_embedding_join": near_duplicates_sql(), "op3_pareto_mix": mixture_sql(),
+                          "op6_license_digest": scan_sql()}
