@@ -40,10 +40,6 @@ def touch(spark: SparkSession, path: str) -> None:
     fs.create(p, True).close()
 
 
-def has_marker(spark: SparkSession, path: str, marker: str) -> bool:
-    return exists(spark, path.rstrip("/") + "/" + marker)
-
-
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     """Write a small metadata file (UTF-8), replacing one that exists."""
     fs, p = _fs_and_path(spark, path)

@@ -58,10 +58,6 @@ def clean_report(current_fact: DataFrame, table: str = "dw.fact_sales") -> DataF
         F.current_timestamp().alias("cleaned_at"))
 
 
-def load_state(rejected: F.Column) -> F.Column:
-    return F.when(rejected > 0, F.lit(S.STATE_COMPLETED_WITH_ERRORS)).otherwise(F.lit(S.STATE_COMPLETED))
-
-
 def load_state_counts(load_control: DataFrame) -> DataFrame:
     """Loads per state, and how many never finished (no end time)."""
     return load_control.groupBy("state").agg(

@@ -138,7 +138,7 @@ def _sampled_cuts(rows: DataFrame, order_cols: list[str]) -> list | None:
 
 
 def assign_keys(rows: DataFrame, order_cols: list[str], key_col: str,
-                start_after: int | Column = 0, n_ranges: int | None = None) -> DataFrame:
+                start_after: int | Column = 0) -> DataFrame:
     """Add ``key_col`` numbering ``rows`` by ``order_cols`` (which must be unique)."""
     start = start_after if isinstance(start_after, Column) else F.lit(start_after)
     ordinal = _ordinal(rows, order_cols)

@@ -31,34 +31,6 @@ def to_staging(df: DataFrame, table: str) -> DataFrame:
     return df.select(cols)
 
 
-def stage_products(df: DataFrame) -> DataFrame:
-    return to_staging(df, "products")
-
-
-def stage_customers(df: DataFrame) -> DataFrame:
-    return to_staging(df, "customers")
-
-
-def stage_orders(df: DataFrame) -> DataFrame:
-    return to_staging(df, "orders")
-
-
-def stage_order_details(df: DataFrame) -> DataFrame:
-    return to_staging(df, "order_details")
-
-
-def stage_db_orders(df: DataFrame) -> DataFrame:
-    return to_staging(df, "db_orders")
-
-
-def stage_db_order_details(df: DataFrame) -> DataFrame:
-    return to_staging(df, "db_order_details")
-
-
-def stage_api_products(df: DataFrame) -> DataFrame:
-    return to_staging(df, "api_products")
-
-
 def write_staging(store, table: str, staged: DataFrame) -> bool:
     """K8/K9: publish ``staged`` as the new version of ``stg/<table>``.
 

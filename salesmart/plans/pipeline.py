@@ -52,6 +52,7 @@ class SourceConfig:
     db_order_details: dict
     csv_multiline: bool = False
     api_multiline: bool = False        # pretty-printed feed pages, one document per file
+    staging_jdbc: dict | None = None   # {url, properties}: also bulk-insert staging there (K8)
 
 
 @dataclass
@@ -389,6 +390,10 @@ def run(spark: SparkSession, sources: SourceConfig, warehouse: str,
     try:
         t = _now()
         res.staged = stage(store, extract(spark, sources))
+        if sources.staging_jdbc:
+            _parallel({table: (lambda table=table: K.write_staging_jdbc(
+                store.read(f"stg/{table}"), sources.staging_jdbc["url"], f"stg.{table}",
+                sources.staging_jdbc.get("properties"))) for table, n in res.staged.items() if n})
         log.info("extract + stage: %.2f s", (_now() - t).total_seconds())
         step, t = "dimensions", _now()
         begin([p for ps in DIMENSION_STEPS.values() for p in ps])

@@ -2,9 +2,7 @@
 
 Each publish writes a complete new folder ``<table>/v<NNNNNNNN>``; once the write job
 has committed (every task done) the driver adds a ``_PUBLISHED`` marker, and readers
-take the highest marked version.  ``publish_all`` writes several tables first and
-marks them only when all writes succeeded, so one failed extract leaves every table
-on its previous version.  A failed or half-written version is never read, a table being
+take the highest marked version.  A failed or half-written version is never read, a table being
 read is never overwritten in place, and readers keep the previous version until the
 switch.  Published tables also cut the lineage between load steps.
 """
@@ -92,16 +90,6 @@ class TableStore:
         self.mark(table, v)
         return v
 
-    def publish_all(self, frames: dict[str, DataFrame], threads: int = 8) -> dict[str, int]:
-        """Write every frame (concurrent Spark jobs), then mark them all current."""
-        from concurrent.futures import ThreadPoolExecutor
-        with ThreadPoolExecutor(max_workers=max(1, min(threads, len(frames)))) as ex:
-            futs = {t: ex.submit(self.write_version, t, df) for t, df in frames.items()}
-            written = {t: f.result() for t, f in futs.items()}
-        for t, v in written.items():
-            self.mark(t, v)
-        return written
-
     def retire(self, table: str, keep: int = 2) -> list[int]:
         """Delete all but the newest ``keep`` published versions of ``table`` (and any
         unpublished version older than the newest kept one).  Returns what was removed.

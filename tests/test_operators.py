@@ -80,7 +80,7 @@ def test_unit_price_half_up(spark):
 
 def test_assign_keys_equals_global_row_number(spark):
     df = spark.range(0, 5000).select((F.col("id") * 7919 % 10007).alias("a"), (F.col("id") % 3).alias("b"))
-    keyed = assign_keys(df, ["b", "a"], "k", start_after=100, n_ranges=7)
+    keyed = assign_keys(df, ["b", "a"], "k", start_after=100)
     rows = sorted((r.b, r.a, r.k) for r in keyed.collect())
     assert [k for _, _, k in rows] == list(range(101, 5101))
 
