@@ -234,18 +234,26 @@ PRIOR = np.array([3.0, 2.0, 2.0, 0.0, 0.0, 0.0, 0.5, -1.0, 0.0, -1.5])
 
 
 def _fit(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Weights (the intercept last) of a logistic regression drawn to PRIOR, by Newton's
-    method."""
+    """Weights (the intercept last) of a logistic regression drawn to PRIOR: Newton's
+    method with steps halved until the penalised likelihood rises, which it must for some
+    step as it is concave."""
     x = np.c_[x, np.ones(len(x))]
-    w = PRIOR.copy()
-    ridge = np.full(len(w), RIDGE)
+    ridge = np.full(len(PRIOR), RIDGE)
     ridge[-1] = 1e-3
-    for _ in range(50):
-        p = 1.0 / (1.0 + np.exp(-np.clip(x @ w, -30, 30)))
+
+    def loss(w: np.ndarray) -> float:
+        z = x @ w
+        return float(np.logaddexp(0.0, z).sum() - y @ z + 0.5 * (ridge * (w - PRIOR) ** 2).sum())
+    w = PRIOR.copy()
+    for _ in range(100):
+        p = 1.0 / (1.0 + np.exp(-np.clip(x @ w, -500, 500)))
         gradient = x.T @ (p - y) + ridge * (w - PRIOR)
         step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + np.diag(ridge), gradient)
-        w -= step
-        if np.abs(step).max() < 1e-8:
+        size, now = 1.0, loss(w)
+        while size > 1e-10 and not loss(w - size * step) <= now:
+            size /= 2
+        w = w - size * step
+        if np.abs(size * step).max() < 1e-8:
             break
     return w
 

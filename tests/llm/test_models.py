@@ -177,6 +177,18 @@ def test_toxicity_on_held_out_labels(spark):
     assert got[0] >= 0.5 and got[1] >= 0.5 and got[5] >= 0.5 and got[2] < 0.5 and got[3] == got[4] < 0.5
 
 
+@pytest.mark.parametrize("share", [0.0, 0.02])
+def test_fit_converges_on_separable_rows(share):
+    """Rows that the features separate (but for mislabelled ones) have finite weights that
+    do so."""
+    rng = np.random.default_rng(0)
+    x = np.abs(rng.normal(size=(20000, len(toxicity.FEATURES)))) * (rng.random(20000) < 0.1)[:, None]
+    y = ((x[:, 0] > 0) ^ (rng.random(20000) < share)).astype(float)
+    w = toxicity._fit(x, y)
+    right = ((x @ w[:-1] + w[-1] >= 0) == (x[:, 0] > 0)).mean()
+    assert np.isfinite(w).all() and right > 0.99
+
+
 def test_toxicity_without_labels(spark):
     docs = spark.createDataFrame([(1, "such a stupid moron", "x"), (None, "fine", "y"), (1, None, "z")], "doc_id long, text string, lang string")
     none = spark.createDataFrame([(1, None), (None, 1)], "doc_id long, toxic int")
