@@ -206,7 +206,7 @@ def test_context_tells_quotation_from_abuse():
 
 
 def test_pipeline_stages(spark):
-    from tests.llm.test_pairs import brute as b
+    b = brute
     docs = spark.read.parquet(f"{SF001}/documents.parquet")
     state, seen = docs, [docs]
     for name, stage in corpus_pipeline.STAGES:
