@@ -28,8 +28,9 @@ STATE_COMPLETED = "COMPLETED"
 STATE_COMPLETED_WITH_ERRORS = "COMPLETED_WITH_ERRORS"
 STATE_FAILED = "FAILED"
 
-# Date text formats accepted from staging, tried in this order.
-DATE_FORMATS = ["yyyy-MM-dd"]
+# Date text formats accepted in CSV files and staging, tried in this order: ISO dates and
+# the invariant month/day/year form, each with or without a time of day.
+DATE_FORMATS = ["yyyy-MM-dd", "M/d/yyyy", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss", "M/d/yyyy HH:mm:ss"]
 # -----------------------------------------------------------------------------
 
 

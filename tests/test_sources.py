@@ -7,7 +7,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from salesmart.sources.api import read_api_pages
-from salesmart.sources.csv import read_products_csv
+from salesmart.sources.csv import read_orders_csv, read_products_csv
 from salesmart.sources.relational import read_db_orders
 
 
@@ -114,6 +114,16 @@ def test_csv_folder_with_different_column_orders(spark, tmp_root):
         read_products_csv(spark, folder).collect()
 
 
+def test_csv_date_forms(spark, tmp_root):
+    forms = ["2024-02-09", "02/09/2024", "2/9/2024", "2024-02-09 13:05:00", "2024-02-09T13:05:00", "02/09/2024 13:05:00"]
+    p = _write(tmp_root, "dates.csv", "OrderID,CustomerID,OrderDate,Status\n" + "".join(f"{i},1,{d},F\n" for i, d in enumerate(forms)))
+    assert {str(r.OrderDate) for r in read_orders_csv(spark, p).collect()} == {"2024-02-09"}
+    for bad in ("2024-02-30", "13/13/2024", "soon"):
+        p = _write(tmp_root, f"bad{len(bad)}{bad[:2]}.csv", f"OrderID,CustomerID,OrderDate,Status\n1,1,{bad},F\n")
+        with pytest.raises(Exception):
+            read_orders_csv(spark, p).collect()
+
+
 def test_relational_null_fails(spark, tmp_root):
     good = spark.createDataFrame([(1, 2, "2024-01-02", "F", "2024-01-02 03:04:05")],
                                  "PedidoId int, ClienteId int, FechaPedido string, Estado string, FechaCreacion string")
