@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -49,6 +52,22 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def shuffles_of(spark: SparkSession, partitions: int) -> Iterator[None]:
+    """Jobs started inside shuffle into at least so many partitions, and small ones are
+    not merged: for steps whose memory grows with a partition's rows, not its bytes."""
+    wanted = {"spark.sql.shuffle.partitions": str(max(partitions, int(spark.conf.get("spark.sql.shuffle.partitions")))),
+              "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in wanted}
+    for k, v in wanted.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """``df`` with its lineage cut by a reliable checkpoint."""
     checkpoint_root(df.sparkSession)
