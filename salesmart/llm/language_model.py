@@ -85,6 +85,28 @@ def _unplaned(raw: bytes) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(raw, dtype=np.uint8).reshape(4, -1).T).view("<u4").ravel()
 
 
+def _packed(keys: np.ndarray) -> bytes:
+    """Sorted digests as the first and the steps between them, in as few bytes each as the
+    largest needs."""
+    if not len(keys):
+        return b""
+    steps = np.diff(keys)
+    width = max(1, -(-int(steps.max()).bit_length() // 8)) if len(steps) else 1
+    raw = steps.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]
+    return bytes([width]) + int(keys[0]).to_bytes(8, "little") + np.ascontiguousarray(raw).tobytes()
+
+
+def _unpacked(raw: bytes) -> np.ndarray:
+    if not raw:
+        return np.zeros(0, dtype=np.uint64)
+    width = raw[0]
+    steps = np.frombuffer(raw, dtype=np.uint8, offset=9).reshape(-1, width)
+    wide = np.zeros((len(steps) + 1, 8), dtype=np.uint8)
+    wide[0] = np.frombuffer(raw, dtype=np.uint8, count=8, offset=1)
+    wide[1:, :width] = steps
+    return np.cumsum(wide.view("<u8").ravel(), dtype=np.uint64)
+
+
 def _cuts(keys: np.ndarray, bits: int, ranges: int) -> np.ndarray:
     """Where sorted digests of so many bits pass from one range to the next."""
     edges = np.array([(i << bits) // ranges for i in range(1, ranges)], dtype=np.uint64)
@@ -104,13 +126,12 @@ def _asker(ranges: int):
         tokens, counts = _tokens(_one(docs.column("_text")))
         train = np.repeat(~docs.column("held_out").to_numpy(), counts)
         out = {name: [] for name in ("words", "n_words", "pairs", "n_pairs")}
-        for name, keys, bits, width in (("words", tokens, 64, 8), ("pairs", _bigrams(tokens, counts), 48, 6)):
+        for name, keys, bits in (("words", tokens, 64), ("pairs", _bigrams(tokens, counts), 48)):
             distinct, where = np.unique(keys, return_inverse=True)
             n = np.bincount(where[train], minlength=len(distinct))
             cut = _cuts(distinct, bits, ranges)
-            raw = np.ascontiguousarray(distinct.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width])
             for a, b in zip(cut[:-1], cut[1:]):
-                out[name].append(raw[a:b].tobytes())
+                out[name].append(_packed(distinct[a:b]))
                 out[f"n_{name}"].append(_planes(n[a:b]))
         block = docs.column("block")[0].as_py()
         return pa.table({"range": pa.array(range(ranges), pa.int32()), "block": pa.array([block] * ranges, pa.int32()),
@@ -121,12 +142,10 @@ def _asker(ranges: int):
 def _tell(asked: pa.Table) -> pa.Table:
     """Totals over all blocks of a range's n-grams, for each block in its own order."""
     totals, types = {}, 0
-    for name, width in (("words", 8), ("pairs", 6)):
-        raw = asked.column(name).to_pylist()
-        sizes = np.array([len(r) // width for r in raw])
-        wide = np.zeros((int(sizes.sum()), 8), dtype=np.uint8)
-        wide[:, :width] = np.frombuffer(b"".join(raw), dtype=np.uint8).reshape(-1, width)
-        _, where = np.unique(wide.view("<u8").ravel(), return_inverse=True)
+    for name in ("words", "pairs"):
+        keys = [_unpacked(r) for r in asked.column(name).to_pylist()]
+        sizes = np.array([len(k) for k in keys])
+        _, where = np.unique(np.concatenate(keys), return_inverse=True)
         n = np.concatenate([_unplaned(r) for r in asked.column(f"n_{name}").to_pylist()])
         total = np.bincount(where, weights=n).astype(np.int64) if len(n) else np.zeros(0, np.int64)
         if name == "words":
