@@ -181,6 +181,22 @@ def test_fingerprints(spark):
     assert lone["near_next"] == 1.0
 
 
+def test_fingerprints_of_skewed_counts(spark):
+    """Likeness is generalised Jaccard where one pair makes up most of a text."""
+    def many(case, which, i):
+        own = [f"s{case}x{i}x{j}" if case == 0 else f"s{case}x{i}x{j}{which}" for j in range(50)]
+        return " ".join(own + ([f"hot{case}x{i}"] * 1001 if case == 1 or which == "a" else []))
+    pairs = [(case, many(case, "a", i), many(case, "b", i)) for case in range(2) for i in range(25)]
+    df = spark.createDataFrame([(k, a, b) for k, (_, a, b) in enumerate(pairs)], "k int, a string, b string")
+    prints = weighted_fingerprint.fingerprints(df, "k", ["a", "b"])
+    near = {r["k"]: r["near"] for r in prints.select(
+        "k", weighted_fingerprint.likeness(F.col("a"), F.col("b")).alias("near")).collect()}
+    for case in range(2):
+        miss = [near[k] - brute.jaccard(brute.word_pairs(a), brute.word_pairs(b))
+                for k, (c, a, b) in enumerate(pairs) if c == case]
+        assert abs(sum(miss) / len(miss)) < 0.03 and max(map(abs, miss)) < 0.17
+
+
 def test_succession_over_many_ranges(spark):
     keys = spark.range(500).select(F.col("id").alias("k")).repartition(7)
     got = {r["k"]: r["next"] for r in weighted_fingerprint.succession(keys, [F.desc("k")]).collect()}
