@@ -40,9 +40,9 @@ RATIO = 20.0
 PREFIXES = range(4, 9)
 #: different words that must share a beginning before it is a term
 EXTENSIONS = 5
-#: ordinary words that may lie near a term before its misspellings are no longer told
-#: apart from the language around it
-NEIGHBOURS = 3
+#: share of other documents that a word near a term must occur in to be an ordinary word
+#: and no misspelling
+ORDINARY = 2e-5
 RIDGE = 0.5
 
 # Terms known beforehand, second persons, and verbs of saying.
@@ -143,11 +143,9 @@ class Automaton:
 
 @dataclass
 class Lexicon:
-    """Terms and beginnings with their log-odds, the terms whose misspellings count (all
-    if None), and ordinary words near them."""
+    """Terms and beginnings with their log-odds, and ordinary words near the terms."""
     terms: dict[str, float]
     prefixes: dict[str, float] = field(default_factory=dict)
-    spelt: list[str] | None = None
     ordinary: set[str] = field(default_factory=set)
 
 
@@ -156,7 +154,7 @@ class Matcher:
 
     def __init__(self, lexicon: Lexicon):
         self.lexicon = lexicon
-        self.names = sorted(lexicon.terms if lexicon.spelt is None else lexicon.spelt)
+        self.names = sorted(lexicon.terms)
         self.automaton = Automaton(self.names)
         self.lengths = sorted({len(p) for p in lexicon.prefixes})
 
@@ -319,22 +317,15 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     lexicon = Lexicon(starters.terms | terms, prefixes)
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = sorted(lexicon.terms)
-        automaton = Automaton(names)
+        automaton = Automaton(sorted(lexicon.terms))
         for batch in batches:
-            found = [(w, automaton.match(w)) for w in batch.column("word").to_pylist()]
-            found = [(w, names[m[1]]) for w, m in found if m is not None]
-            yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in found], pa.string()),
-                                              pa.array([t for _, t in found], pa.string())], names=["word", "term"])
-
-    # words near a term that toxic documents do not prefer
-    usual = stored(words.where((F.col("other") >= 1) & (ratio < RATIO / 4)).select("word").mapInArrow(
-        near, "word string, term string"), "toxicity_usual")
-    crowded = {r["term"] for r in usual.groupBy("term").agg(F.count("*").alias("n")).where(
-        F.col("n") > NEIGHBOURS).collect()}
-    lexicon.spelt = [t for t in lexicon.terms if t not in crowded]
-    # at most NEIGHBOURS words for each term left
-    lexicon.ordinary = {r["word"] for r in usual.where(~F.col("term").isin(*crowded) if crowded else F.lit(True)).collect()}
+            found = [w for w in batch.column("word").to_pylist() if automaton.match(w) is not None]
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.string())], names=["word"])
+
+    # words near a term that toxic documents do not prefer; each is in a share of the other
+    # documents, so their number is bounded however many rows are read
+    usual = words.where((F.col("other") >= max(1, ORDINARY * n_other)) & (ratio < RATIO / 4))
+    lexicon.ordinary = {r["word"] for r in usual.select("word").mapInArrow(near, "word string").collect()}
     lexicon.ordinary -= set(lexicon.terms)
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

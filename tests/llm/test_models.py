@@ -198,6 +198,20 @@ def test_toxicity_without_labels(spark):
     assert toxicity.scored(docs.limit(0), model).collect() == []
 
 
+def test_neighbours_of_a_term_leave_its_misspellings(spark, monkeypatch):
+    """Ordinary words near a term are excluded one by one; the term stays in the automaton."""
+    monkeypatch.setattr(toxicity, "ORDINARY", 0.05)
+    near = ["closer", "losers", "loses", "poser", "lower", "lose"]
+    rows = [(f"a calm day with {near[i % 6]} in it" + (" losrr" if i == 7 else ""), 0) for i in range(60)]
+    rows += [("you are a loser and a fool", 1)] * 12
+    df = spark.createDataFrame([(i, t, y) for i, (t, y) in enumerate(rows)], "doc_id long, text string, toxic int")
+    lexicon, _ = toxicity.learn(df.select("doc_id", "text"), df.select("doc_id", "toxic"))
+    matcher = toxicity.Matcher(lexicon)
+    assert [matcher.word(w)[0] for w in near] == [0] * 6
+    assert matcher.word("loser")[0] == 1
+    assert [matcher.word(w)[0] for w in ("loseer", "lsoer", "losrr")] == [2] * 3     # losrr: in 1 of 60
+
+
 def test_context_tells_quotation_from_abuse():
     matcher = toxicity.Matcher(toxicity.Lexicon({"moron": 5.0}))
     x = toxicity.features(pa.array(["you are a moron", 'he said "moron" once', "one moron here"]), matcher)
