@@ -8,7 +8,8 @@ look-ups until it is out of reach of every term.  Neighbours of a term that are
 words in the training rows do not count as misspellings.  Context.  A hit counts as abuse
 or as quotation by the words in a window around it (second person before or after it;
 quotation marks, verbs of saying).  Score.  A logistic regression of these counts, fitted
-to at most LABELLED_ROWS labelled rows; every document is scored whole.
+to at most LABELLED_ROWS labelled rows (words are counted in all of them); every document is
+scored whole.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from statistics import NormalDist
 
 import numpy as np
 import pyarrow as pa
@@ -28,15 +30,17 @@ from pyspark.sql import functions as F
 from salesmart.llm.arrow_text import slices
 from salesmart.llm.common import free_name, schema_with, stored, text_of
 
-#: labelled rows that lexicon and classifier learn from, at most (chosen by a digest of the id)
+#: labelled rows that the classifier is fitted to, at most (chosen by a digest of the id)
 LABELLED_ROWS = 40_000
 #: words each side of a hit that make its context
 WINDOW = 5
-#: share of toxic documents a term must occur in (and LEAST_DOCUMENTS), and how much
-#: more frequent than in other documents it must be
-SUPPORT = 0.004
+#: toxic documents a term must occur in, how much more frequent than in other documents it
+#: must be, and the chance that any word passes the test of that without a difference
 LEAST_DOCUMENTS = 5
 RATIO = 20.0
+SIGNIFICANCE = 0.05
+#: different words a task counts before it hands them on
+COUNTED_WORDS = 200_000
 PREFIXES = range(4, 9)
 #: different words that must share a beginning before it is a term
 EXTENSIONS = 5
@@ -256,60 +260,70 @@ def _fit(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return w
 
 
-def _sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, rows: int) -> DataFrame:
-    """(text, toxic) of at most about ``rows`` labelled rows; their ids, so bounded, are
-    broadcast, and the texts are not shuffled."""
-    clean = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("toxic")).where(
-        "id IS NOT NULL AND toxic IN (0, 1)").groupBy("id").agg(F.max("toxic").alias("toxic"))
-    n = clean.count()
-    if n > rows:
-        chance = F.pmod(F.xxhash64("id", F.lit("sample")), F.lit(1 << 30)) / float(1 << 30)
-        clean = clean.where(chance < rows / n)
-    return stored(docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("_text")).join(
-        F.broadcast(clean), "id").select("_text", "toxic"), "toxicity_sample")
+def _labelled(docs: DataFrame, clean: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, text, toxic) of the labelled rows.  ``clean`` is stored, so that Spark knows its
+    size and shuffles the texts only if the labels are too many to broadcast."""
+    return docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("_text")).join(clean, "id")
 
 
 def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           label_col: str = "toxic", rows: int = LABELLED_ROWS) -> tuple[Lexicon, np.ndarray]:
     """Lexicon and weights from the labelled rows; ``labels`` (id, label) must hold only
-    rows that may be learned from.  Repeated labels of an id: toxic if any is."""
-    sample = _sample(docs, labels, id_col, text_col, label_col, rows)
-    sizes = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    rows that may be learned from.  Repeated labels of an id: toxic if any is.  Words are
+    counted in all of them; the weights are fitted to about ``rows`` at most."""
+    clean = stored(labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("toxic")).where(
+        "id IS NOT NULL AND toxic IN (0, 1)").groupBy("id").agg(F.max("toxic").alias("toxic")), "toxicity_labels")
+    sizes = {r["toxic"]: r["n"] for r in docs.select(F.col(id_col).alias("id")).join(clean, "id").groupBy("toxic").agg(
+        F.count("*").alias("n")).collect()}
     n_toxic, n_other = sizes.get(1, 0), sizes.get(0, 0)
     starters = Lexicon({w: 3.0 for w in STARTERS})
     if not n_toxic or not n_other:
         return starters, PRIOR
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def counted() -> pa.RecordBatch:
+            every = list(seen[0].keys() | seen[1].keys())
+            return pa.RecordBatch.from_arrays(
+                [pa.array(every, pa.string()), pa.array([seen[1][w] for w in every], pa.int64()),
+                 pa.array([seen[0][w] for w in every], pa.int64())], names=["word", "toxic", "other"])
+
+        seen: dict[int, Counter] = {0: Counter(), 1: Counter()}
         for batch in batches:
             for part in slices(batch, "_text"):
-                seen: dict[int, Counter] = {0: Counter(), 1: Counter()}
                 words, index, counts = _tokens(part.column("_text"))
                 split = [subwords(w) for w in words]
                 at = 0
                 for n, toxic in zip(counts.tolist(), part.column("toxic").to_pylist()):
                     seen[toxic].update({w for i in set(index[at:at + n].tolist()) for w in split[i]})
                     at += n
-                every = list(seen[0].keys() | seen[1].keys())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(every, pa.string()), pa.array([seen[1][w] for w in every], pa.int64()),
-                     pa.array([seen[0][w] for w in every], pa.int64())], names=["word", "toxic", "other"])
+                if len(seen[0]) + len(seen[1]) > COUNTED_WORDS:
+                    yield counted()
+                    seen = {0: Counter(), 1: Counter()}
+        yield counted()
 
-    words = stored(sample.mapInArrow(count, "word string, toxic long, other long").groupBy("word").agg(
+    labelled = _labelled(docs, clean, id_col, text_col).select("_text", "toxic")
+    words = stored(labelled.mapInArrow(count, "word string, toxic long, other long").groupBy("word").agg(
         F.sum("toxic").alias("toxic"), F.sum("other").alias("other")), "toxicity_words")
-    support = max(LEAST_DOCUMENTS, SUPPORT * n_toxic)
     ratio = ((F.col("toxic") + 0.1) / n_toxic) / ((F.col("other") + 0.5) / n_other)
-    # at most 1 / SUPPORT terms for each word a toxic document has on average
+    # likelihood ratio of the two rates against one rate for both, for as many words as can
+    # be terms (beginnings, each of EXTENSIONS words, are fewer)
+    share = n_toxic / (n_toxic + n_other)
+    x, y = F.col("toxic").cast("double"), F.col("other").cast("double")
+    gain = 2 * (x * F.log(x / ((x + y) * share)) + F.when(y > 0, y * F.log(y / ((x + y) * (1 - share)))).otherwise(0.0))
+    tried = words.where((F.col("toxic") >= LEAST_DOCUMENTS) & (F.length("word") > 2)).count()
+    least_gain = NormalDist().inv_cdf(1 - SIGNIFICANCE / max(tried, 1)) ** 2
+    # at most 1 / LEAST_DOCUMENTS of the words of toxic documents, in fact the few they prefer
     terms = {r["word"]: float(np.log(r["ratio"])) for r in words.withColumn("ratio", ratio).where(
-        (F.col("toxic") >= support) & (F.col("ratio") >= RATIO) & (F.length("word") > 2)).collect()}
+        (F.col("toxic") >= LEAST_DOCUMENTS) & (F.col("ratio") >= RATIO) & (gain >= least_gain)
+        & (F.length("word") > 2)).collect()}
     cut = F.explode(F.transform(F.sequence(F.lit(PREFIXES[0]), F.least(F.lit(PREFIXES[-1]), F.length("word") - 1)),
                                 lambda i: F.substring(F.col("word"), F.lit(1), i)))
     begun = (words.where(F.length("word") > PREFIXES[0]).select("toxic", "other", cut.alias("prefix"))
              .groupBy("prefix").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"),
                                     F.max("toxic").alias("most"), F.count_if(F.col("toxic") > 0).alias("words")))
     found = begun.withColumn("ratio", ratio).where(
-        (F.col("toxic") >= 2 * support) & (F.col("ratio") >= RATIO) & (F.col("words") >= EXTENSIONS)
-        & (F.col("toxic") >= 1.5 * F.col("most"))).collect()
+        (F.col("toxic") >= 2 * LEAST_DOCUMENTS) & (F.col("ratio") >= RATIO) & (gain >= least_gain)
+        & (F.col("words") >= EXTENSIONS) & (F.col("toxic") >= 1.5 * F.col("most"))).collect()
     prefixes: dict[str, float] = {}
     for r in sorted(found, key=lambda r: len(r["prefix"])):
         if not any(r["prefix"].startswith(p) for p in prefixes):
@@ -336,6 +350,11 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                 yield pa.RecordBatch.from_arrays([part.column("toxic")] + [pa.array(c) for c in x.T],
                                                  names=["toxic", *FEATURES])
 
+    n, fitted = n_toxic + n_other, clean
+    if n > rows:
+        chance = F.pmod(F.xxhash64("id", F.lit("sample")), F.lit(1 << 30)) / float(1 << 30)
+        fitted = F.broadcast(clean.where(chance < rows / n))          # about LABELLED_ROWS ids
+    sample = _labelled(docs, fitted, id_col, text_col).select("_text", "toxic")
     schema = "toxic int, " + ", ".join(f"{f} double" for f in FEATURES)
     rows_ = sample.mapInArrow(describe, schema).toPandas()         # LABELLED_ROWS rows of numbers
     return lexicon, _fit(rows_[FEATURES].to_numpy(), rows_["toxic"].to_numpy(dtype=float))

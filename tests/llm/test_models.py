@@ -212,6 +212,17 @@ def test_neighbours_of_a_term_leave_its_misspellings(spark, monkeypatch):
     assert [matcher.word(w)[0] for w in ("loseer", "lsoer", "losrr")] == [2] * 3     # losrr: in 1 of 60
 
 
+def test_terms_are_counted_in_all_labelled_rows(spark):
+    """A term in few of many toxic documents is learned, though the fit takes a sample; a
+    word as frequent in other documents is none."""
+    rows = [(f"rude text{i % 7} here" + (" zorgle" if i % 400 == 0 else "") + (" plain" if i % 100 == 0 else ""), 1)
+            for i in range(6000)]
+    rows += [(f"calm text{i % 7} there" + (" plain" if i % 100 == 0 else ""), 0) for i in range(6000)]
+    df = spark.createDataFrame([(i, t, y) for i, (t, y) in enumerate(rows)], "doc_id long, text string, toxic int")
+    lexicon, weights = toxicity.learn(df.select("doc_id", "text"), df.select("doc_id", "toxic"), rows=500)
+    assert "zorgle" in lexicon.terms and "plain" not in lexicon.terms and np.isfinite(weights).all()
+
+
 def test_context_tells_quotation_from_abuse():
     matcher = toxicity.Matcher(toxicity.Lexicon({"moron": 5.0}))
     x = toxicity.features(pa.array(["you are a moron", 'he said "moron" once', "one moron here"]), matcher)
