@@ -68,6 +68,14 @@ def shuffles_of(spark: SparkSession, partitions: int) -> Iterator[None]:
             spark.conf.set(k, v)
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Rows of text go to Python in batches of at most so many, from here on in the session
+    (smaller ones that the session asks for stay): a batch is held whole on both sides."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= rows:
+        spark.conf.set(key, str(rows))
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """``df`` with its lineage cut by a reliable checkpoint."""
     checkpoint_root(df.sparkSession)

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.llm.common import read_table
+from salesmart.llm.alignment import alignments
+from salesmart.llm.centroids import clusters, clusters_sql
+from salesmart.llm.common import read_table, scratch_path
 from salesmart.llm.embedding_join import near_duplicates, near_duplicates_sql
 from salesmart.llm.language_model import scores
 from salesmart.llm.licenses import scan, scan_sql
@@ -14,11 +16,14 @@ from salesmart.llm.order_minhash import classes
 from salesmart.llm.pii import personal_data, span_digests
 from salesmart.llm.sp_sampling import encode
 from salesmart.llm.token_counts import token_counts
+from salesmart.llm.token_files import read_token_files, write_token_files
 from salesmart.llm.toxicity import held_out, learn, scored
 from salesmart.llm.weighted_fingerprint import edited_fingerprints
 
 #: the tokenizer files' place on the driver; their contents go to the tasks
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
+WORD_BPE_PATH = "/opt/tokenizers/word_bpe_49k.json"
+BYTE_BPE_PATH = "/opt/tokenizers/byte_bpe_50k.json"
 
 
 def op1_embedding_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,10 +83,29 @@ def op10_weighted_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_fingerprints(read_table(spark, sf_dir, "documents"))
 
 
+def op11_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clusters of all embeddings: exact integer centroids after ten rounds."""
+    return clusters(read_table(spark, sf_dir, "embeddings")).select(
+        "vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+
+
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of all documents, written as wavelet-matrix files and read back."""
+    docs = read_table(spark, sf_dir, "documents")
+    manifest = write_token_files(docs, WORD_BPE_PATH, scratch_path(spark, "llm", "token_files", fresh=True), end_id=2)
+    return read_token_files(manifest, docs.schema["doc_id"].dataType, ids=False)
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alignment of the tokens of all documents by two tokenizers."""
+    return alignments(read_table(spark, sf_dir, "documents"), BYTE_BPE_PATH, MODEL_PATH)
+
+
 REGISTRY = {f.__name__: f for f in (op1_embedding_join, op2_pii_bootstrap, op3_pareto_mix, op4_sentencepiece_sampling,
                                 op5_lm_deleted_interpolation, op6_license_digest, op7_token_count_viterbi,
                                 op8_toxicity_automata,
-                                op9_order_minhash, op10_weighted_fingerprint)}
+                                op9_order_minhash, op10_weighted_fingerprint, op11_centroid_clusters,
+                                op12_token_files, op13_token_alignment)}
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -92,4 +116,4 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 REGISTRY["pipeline"] = pipeline
 ORACLE: dict[str, str] = {"op1_embedding_join": near_duplicates_sql(), "op3_pareto_mix": mixture_sql(),
-                          "op6_license_digest": scan_sql()}
+                          "op6_license_digest": scan_sql(), "op11_centroid_clusters": clusters_sql()}

@@ -207,5 +207,6 @@ def test_registered_queries():
     assert sorted(queries.REGISTRY) == sorted([
         "op1_embedding_join", "op2_pii_bootstrap", "op3_pareto_mix", "op4_sentencepiece_sampling",
         "op5_lm_deleted_interpolation", "op6_license_digest", "op7_token_count_viterbi", "op8_toxicity_automata",
-        "op9_order_minhash", "op10_weighted_fingerprint", "pipeline"])
+        "op9_order_minhash", "op10_weighted_fingerprint", "op11_centroid_clusters", "op12_token_files",
+        "op13_token_alignment", "pipeline"])
     assert set(queries.ORACLE) <= set(queries.REGISTRY)
