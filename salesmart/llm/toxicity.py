@@ -16,7 +16,6 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from statistics import NormalDist
@@ -28,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salesmart.llm.arrow_text import slices
-from salesmart.llm.common import free_name, schema_with, stored, text_of
+from salesmart.llm.common import free_name, schema_with, small_batches, stored, text_of
 
 #: labelled rows that the classifier is fitted to, at most (chosen by a digest of the id)
 LABELLED_ROWS = 40_000
@@ -39,8 +38,8 @@ WINDOW = 5
 LEAST_DOCUMENTS = 5
 RATIO = 20.0
 SIGNIFICANCE = 0.05
-#: different words a task counts before it hands them on
-COUNTED_WORDS = 200_000
+#: bits of the filter of labelled ids that a scan of the texts carries (8 MB at most)
+FILTER_BITS = 1 << 26
 PREFIXES = range(4, 9)
 #: different words that must share a beginning before it is a term
 EXTENSIONS = 5
@@ -260,10 +259,30 @@ def _fit(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return w
 
 
-def _labelled(docs: DataFrame, clean: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, text, toxic) of the labelled rows.  ``clean`` is stored, so that Spark knows its
-    size and shuffles the texts only if the labels are too many to broadcast."""
-    return docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("_text")).join(clean, "id")
+def _maybe_labelled(docs: DataFrame, clean: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, text) of all labelled rows, and of others whose id shares a bit of the filter
+    with a labelled one: FILTER_BITS bits, one set for each id of ``clean``, broadcast."""
+    place = 1 + F.pmod(F.xxhash64("id"), F.lit(FILTER_BITS))
+    number, at = "bitmap_bucket_number(_place)", "bitmap_bit_position(_place)"
+    bits = stored(clean.select(place.alias("_place")).groupBy(F.expr(number).alias("_part")).agg(
+        F.expr(f"bitmap_construct_agg({at})").alias("_bits")), "toxicity_filter")
+    rows = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("_text")).withColumn("_place", place)
+    byte = f"cast(conv(hex(substring(_bits, cast({at} div 8 as int) + 1, 1)), 16, 10) as int)"
+    return rows.withColumn("_part", F.expr(number)).join(F.broadcast(bits), "_part").where(
+        f"bit_get({byte}, cast({at} % 8 as int)) = 1").select("id", "_text")
+
+
+def _distinct_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The distinct words of every text."""
+    for batch in batches:
+        for part in slices(batch, "_text"):
+            words, index, counts = _tokens(part.column("_text"))
+            split = [subwords(w) for w in words]
+            at, out = 0, []
+            for n in counts.tolist():
+                out.append(list({w for i in set(index[at:at + n].tolist()) for w in split[i]}))
+                at += n
+            yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(out, pa.list_(pa.string()))], names=["id", "words"])
 
 
 def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -271,39 +290,23 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     """Lexicon and weights from the labelled rows; ``labels`` (id, label) must hold only
     rows that may be learned from.  Repeated labels of an id: toxic if any is.  Words are
     counted in all of them; the weights are fitted to about ``rows`` at most."""
-    clean = stored(labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("toxic")).where(
-        "id IS NOT NULL AND toxic IN (0, 1)").groupBy("id").agg(F.max("toxic").alias("toxic")), "toxicity_labels")
-    sizes = {r["toxic"]: r["n"] for r in docs.select(F.col(id_col).alias("id")).join(clean, "id").groupBy("toxic").agg(
-        F.count("*").alias("n")).collect()}
+    small_batches(docs.sparkSession)
+    ids = docs.select(F.col(id_col).alias("id")).where("id IS NOT NULL").groupBy("id").agg(F.count("*").alias("n"))
+    clean = labels.select(F.col(id_col).try_cast(docs.schema[id_col].dataType).alias("id"), F.col(label_col).cast("int").alias("toxic")).where(
+        "id IS NOT NULL AND toxic IN (0, 1)").groupBy("id").agg(F.max("toxic").alias("toxic"))
+    clean = stored(ids.join(clean.hint("merge"), "id"), "toxicity_labels")
+    sizes = {r["toxic"]: r["n"] for r in clean.groupBy("toxic").agg(F.sum("n").alias("n")).collect()}
     n_toxic, n_other = sizes.get(1, 0), sizes.get(0, 0)
     starters = Lexicon({w: 3.0 for w in STARTERS})
     if not n_toxic or not n_other:
         return starters, PRIOR
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def counted() -> pa.RecordBatch:
-            every = list(seen[0].keys() | seen[1].keys())
-            return pa.RecordBatch.from_arrays(
-                [pa.array(every, pa.string()), pa.array([seen[1][w] for w in every], pa.int64()),
-                 pa.array([seen[0][w] for w in every], pa.int64())], names=["word", "toxic", "other"])
-
-        seen: dict[int, Counter] = {0: Counter(), 1: Counter()}
-        for batch in batches:
-            for part in slices(batch, "_text"):
-                words, index, counts = _tokens(part.column("_text"))
-                split = [subwords(w) for w in words]
-                at = 0
-                for n, toxic in zip(counts.tolist(), part.column("toxic").to_pylist()):
-                    seen[toxic].update({w for i in set(index[at:at + n].tolist()) for w in split[i]})
-                    at += n
-                if len(seen[0]) + len(seen[1]) > COUNTED_WORDS:
-                    yield counted()
-                    seen = {0: Counter(), 1: Counter()}
-        yield counted()
-
-    labelled = _labelled(docs, clean, id_col, text_col).select("_text", "toxic")
-    words = stored(labelled.mapInArrow(count, "word string, toxic long, other long").groupBy("word").agg(
-        F.sum("toxic").alias("toxic"), F.sum("other").alias("other")), "toxicity_words")
+    # of the texts only their distinct words meet the labels, by one route at every size
+    texts = _maybe_labelled(docs, clean, id_col, text_col)
+    listed = texts.mapInArrow(_distinct_words, schema_with(texts.select("id"), "words array<string>"))
+    words = stored(listed.join(clean.hint("merge"), "id").select("toxic", F.explode("words").alias("word"))
+                   .groupBy("word").agg(F.sum(F.col("toxic").cast("long")).alias("toxic"),
+                                        F.sum((1 - F.col("toxic")).cast("long")).alias("other")), "toxicity_words")
     ratio = ((F.col("toxic") + 0.1) / n_toxic) / ((F.col("other") + 0.5) / n_other)
     # likelihood ratio of the two rates against one rate for both, for as many words as can
     # be terms (beginnings, each of EXTENSIONS words, are fewer)
@@ -350,11 +353,10 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                 yield pa.RecordBatch.from_arrays([part.column("toxic")] + [pa.array(c) for c in x.T],
                                                  names=["toxic", *FEATURES])
 
-    n, fitted = n_toxic + n_other, clean
-    if n > rows:
-        chance = F.pmod(F.xxhash64("id", F.lit("sample")), F.lit(1 << 30)) / float(1 << 30)
-        fitted = F.broadcast(clean.where(chance < rows / n))          # about LABELLED_ROWS ids
-    sample = _labelled(docs, fitted, id_col, text_col).select("_text", "toxic")
+    # about LABELLED_ROWS ids, all where they are fewer
+    chance = F.pmod(F.xxhash64("id", F.lit("sample")), F.lit(1 << 30)) / float(1 << 30)
+    fitted = F.broadcast(clean.where(chance < rows / (n_toxic + n_other)).select("id", "toxic"))
+    sample = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("_text")).join(fitted, "id").select("_text", "toxic")
     schema = "toxic int, " + ", ".join(f"{f} double" for f in FEATURES)
     rows_ = sample.mapInArrow(describe, schema).toPandas()         # LABELLED_ROWS rows of numbers
     return lexicon, _fit(rows_[FEATURES].to_numpy(), rows_["toxic"].to_numpy(dtype=float))
@@ -369,6 +371,7 @@ def scored(docs: DataFrame, model: tuple[Lexicon, np.ndarray], text_col: str = "
     replaced.  An empty table gives an empty result.
     """
     lexicon, weights = model
+    small_batches(docs.sparkSession)
     keep = [c for c in (docs.columns if keep is None else keep) if c != score_col]
     # a string text that is kept is read from its own column, not sent twice
     source, rows = text_col, docs.select(*keep)
