@@ -28,12 +28,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salesmart.llm.common import schema_with, stored, text_of
+from salesmart.llm.common import schema_with, shuffles_of, stored, text_of
 
 #: characters of text in a block, about; blocks there are at least; blocks to a range
 BLOCK_CHARS = 8_000_000
 LEAST_BLOCKS = 32
 BLOCKS_PER_RANGE = 4
+#: partitions of the exchanges, at most (beyond, a task sorts more blocks, spilling)
+MOST_PARTITIONS = 100_000
 BUCKETS = 40
 EM_STEPS = 200
 EM_TOLERANCE = 1e-9
@@ -77,12 +79,22 @@ def _bigrams(tokens: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 
 def _planes(counts: np.ndarray) -> bytes:
-    """32-bit counts, byte by byte of their significance, which compresses well."""
-    return np.ascontiguousarray(counts.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
+    """Counts in as many bytes each (up to 8) as the largest needs, byte by byte of their
+    significance, which compresses well."""
+    if not len(counts):
+        return b""
+    width = max(1, -(-int(counts.max()).bit_length() // 8))
+    raw = counts.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]
+    return bytes([width]) + np.ascontiguousarray(raw.T).tobytes()
 
 
 def _unplaned(raw: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(raw, dtype=np.uint8).reshape(4, -1).T).view("<u4").ravel()
+    if not raw:
+        return np.zeros(0, dtype=np.uint64)
+    planes = np.frombuffer(raw, dtype=np.uint8, offset=1).reshape(raw[0], -1)
+    out = np.zeros((planes.shape[1], 8), dtype=np.uint8)
+    out[:, :raw[0]] = planes.T
+    return out.view("<u8").ravel()
 
 
 def _packed(keys: np.ndarray) -> bytes:
@@ -125,17 +137,20 @@ def _asker(ranges: int):
     def ask(docs: pa.Table) -> pa.Table:
         tokens, counts = _tokens(_one(docs.column("_text")))
         train = np.repeat(~docs.column("held_out").to_numpy(), counts)
-        out = {name: [] for name in ("words", "n_words", "pairs", "n_pairs")}
-        for name, keys, bits in (("words", tokens, 64), ("pairs", _bigrams(tokens, counts), 48)):
-            distinct, where = np.unique(keys, return_inverse=True)
-            n = np.bincount(where[train], minlength=len(distinct))
-            cut = _cuts(distinct, bits, ranges)
-            for a, b in zip(cut[:-1], cut[1:]):
-                out[name].append(_packed(distinct[a:b]))
-                out[f"n_{name}"].append(_planes(n[a:b]))
+        cuts, found = {}, {}
+        for name, bits in (("words", 64), ("pairs", 48)):
+            distinct, where = np.unique(tokens if bits == 64 else _bigrams(tokens, counts), return_inverse=True)
+            found[name] = distinct, np.bincount(where[train], minlength=len(distinct))
+            cuts[name] = _cuts(distinct, bits, ranges)
+        # ranges of which the block has nothing get no row: rows are at most its n-grams
+        asked = np.flatnonzero((np.diff(cuts["words"]) > 0) | (np.diff(cuts["pairs"]) > 0))
+        out = {}
+        for name, (distinct, n) in found.items():
+            spans = list(zip(cuts[name][asked], cuts[name][asked + 1]))
+            out[name] = pa.array([_packed(distinct[a:b]) for a, b in spans], pa.binary())
+            out[f"n_{name}"] = pa.array([_planes(n[a:b]) for a, b in spans], pa.binary())
         block = docs.column("block")[0].as_py()
-        return pa.table({"range": pa.array(range(ranges), pa.int32()), "block": pa.array([block] * ranges, pa.int32()),
-                         **{k: pa.array(v, pa.binary()) for k, v in out.items()}})
+        return pa.table({"range": pa.array(asked, pa.int32()), "block": pa.array([block] * len(asked), pa.int32()), **out})
     return ask
 
 
@@ -143,16 +158,18 @@ def _tell(asked: pa.Table) -> pa.Table:
     """Totals over all blocks of a range's n-grams, for each block in its own order."""
     totals, types = {}, 0
     for name in ("words", "pairs"):
-        keys = [_unpacked(r) for r in asked.column(name).to_pylist()]
+        keys = [_unpacked(r.as_py()) for r in asked.column(name)]
         sizes = np.array([len(k) for k in keys])
-        _, where = np.unique(np.concatenate(keys), return_inverse=True)
-        n = np.concatenate([_unplaned(r) for r in asked.column(f"n_{name}").to_pylist()])
+        keys = np.concatenate(keys)
+        _, where = np.unique(keys, return_inverse=True)
+        del keys
+        n = np.concatenate([_unplaned(r.as_py()) for r in asked.column(f"n_{name}")])
         total = np.bincount(where, weights=n).astype(np.int64) if len(n) else np.zeros(0, np.int64)
+        del n
         if name == "words":
             types = int((total > 0).sum())
         cut = np.r_[0, np.cumsum(sizes)]
-        full = total[where]
-        totals[name] = [_planes(full[a:b]) for a, b in zip(cut[:-1], cut[1:])]
+        totals[name] = [_planes(total[where[a:b]]) for a, b in zip(cut[:-1], cut[1:])]
     rows = asked.num_rows
     return pa.table({"block": _one(asked.column("block")), "range": _one(asked.column("range")),
                      "n_words": pa.array(totals["words"], pa.binary()), "n_pairs": pa.array(totals["pairs"], pa.binary()),
@@ -235,7 +252,9 @@ def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", held
     told = asked.groupBy("range").applyInArrow(_tell, TOLD)
     counted = rows.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(
         _looked_up, schema_with(rows.select("id", "held_out"), "n_tokens bigint, types bigint, c1 binary, c2 binary"))
-    counted = stored(counted, "lm_counts")
+    # a task sorts and holds the blocks of its partition: a few, never as many as bytes allow
+    with shuffles_of(docs.sparkSession, min(blocks, MOST_PARTITIONS)):
+        counted = stored(counted, "lm_counts")
 
     total = counted.agg(F.sum(F.when(~F.col("held_out"), F.col("n_tokens"))).alias("tokens"),
                         F.count_if(~F.col("held_out")).alias("docs"), F.sum("types").alias("types")).first()
