@@ -153,8 +153,10 @@ def find_spans(rows: DataFrame) -> DataFrame:
     every = base.select(*cols).unionByName(cand.select(*cols))
     is_base = F.col("kind") != ""
     order = Window.partitionBy("digest").orderBy("start", F.desc(is_base))
+    back = Window.partitionBy("digest").orderBy(F.desc("start"), is_base)
+    # both frames grow from one end, so that a text of many matches takes linear time
     before = F.max(F.when(is_base, F.col("end"))).over(order.rowsBetween(Window.unboundedPreceding, -1))
-    after = F.min(F.when(is_base, F.col("start"))).over(order.rowsBetween(1, Window.unboundedFollowing))
+    after = F.min(F.when(is_base, F.col("start"))).over(back.rowsBetween(Window.unboundedPreceding, -1))
     touches = (F.coalesce(before > F.col("start"), F.lit(False)) | F.coalesce(after < F.col("end"), F.lit(False)))
     every = every.withColumn("touches", touches).where(is_base | ~F.col("touches"))
     every = stored(every.withColumn("instance", _instance()).withColumn("kind", F.nullif("kind", F.lit("")))
