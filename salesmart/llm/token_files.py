@@ -13,7 +13,9 @@ the driver qualifies with Hadoop's file system; it must be one that all executor
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import uuid
 import zlib
 from collections.abc import Callable, Iterator
@@ -39,6 +41,17 @@ TASK_CHARS = 32_000_000
 CACHED_WORDS = 300_000
 ENCODED_WORDS = 4_000
 
+# Pattern, normalizers and word end of the tokenizers whose words of plain
+# letters can be cut here into the pieces that the tokenizer cuts them into.
+CUT_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+NORMALIZERS = ["NFC", "Replace", "Lowercase"]
+WORD_END = "</w>"
+
+#: words of ASCII and composed Latin-1 letters (no control characters but line ends and
+#: tabs), which lower-casing changes letter by letter; the pattern for these, lowered
+SIMPLE = re.compile("[\t\n\r -~À-ÖØ-öø-ÿ]*")
+PIECE = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\t\n\r a-zß-öø-ÿ0-9]+")
+
 
 @lru_cache(maxsize=4)
 def _tokenizer(blob: bytes):
@@ -47,16 +60,57 @@ def _tokenizer(blob: bytes):
     return Tokenizer.from_buffer(blob)
 
 
+@lru_cache(maxsize=4)
+def _piecewise(blob: bytes):
+    """The tokenizer without its normalizers and which of its ids end a piece, or None for
+    one that cuts words by other rules than SIMPLE and PIECE stand for."""
+    from tokenizers import Tokenizer
+    made = json.loads(blob)
+    cutter = ((made.get("pre_tokenizer") or {}).get("pretokenizers") or [{}])[0]
+    normalizers = [n["type"] for n in (made.get("normalizer") or {}).get("normalizers") or []]
+    if (cutter.get("pattern") != {"Regex": CUT_PATTERN} or normalizers != NORMALIZERS
+            or made["model"].get("end_of_word_suffix") != WORD_END):
+        return None
+    tokenizer = Tokenizer.from_buffer(blob)
+    tokenizer.normalizer = None
+    vocabulary = tokenizer.get_vocab(with_added_tokens=True)
+    ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+    ends[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
+    return tokenizer, ends
+
+
 def word_encoder(blob: bytes) -> Callable[[pa.Array], list[bytes]]:
     """A function of texts to their ids as little-endian 32-bit integers.
 
     For tokenizers whose pieces never cross a blank and that drop it: a text's ids are
     those of its words cut at blanks, one after the other, so every distinct word is
-    encoded once.  Strings of special tokens become these, as in the library."""
-    tokenizer = _tokenizer(blob)
+    encoded once.  Strings of special tokens become these, as in the library.  Where the
+    tokenizer's rules are those of PIECE, simple words are cut into its pieces, of which
+    far fewer differ, and new pieces are encoded as one text, blanks between them."""
+    tokenizer, piecewise = _tokenizer(blob), _piecewise(blob)
     known: dict[str, bytes] = {}
+    of_piece: dict[str, bytes] = {}
+
+    def learn_pieces(pieces: list[str]) -> None:
+        bare, ends = piecewise
+        for at in range(0, len(pieces), ENCODED_WORDS):
+            part = pieces[at:at + ENCODED_WORDS]
+            ids = np.array(bare.encode(" ".join(part), add_special_tokens=False).ids, dtype="<u4")
+            raw, a = ids.tobytes(), 0
+            for piece, b in zip(part, (4 * np.flatnonzero(ends[ids]) + 4).tolist(), strict=True):
+                of_piece[piece] = raw[a:b]
+                a = b
 
     def learn(words: list[str]) -> None:
+        if piecewise:
+            simple = [w for w in words if SIMPLE.fullmatch(w) and "<|" not in w]
+            cut = [PIECE.findall(w.lower()) for w in simple]
+            if len(of_piece) > CACHED_WORDS:
+                of_piece.clear()
+            learn_pieces(list({p for pieces in cut for p in pieces if p not in of_piece}))
+            for word, pieces in zip(simple, cut):
+                known[word] = b"".join([of_piece[p] for p in pieces])
+            words = [w for w in words if w not in known]
         for at in range(0, len(words), ENCODED_WORDS):
             part = words[at:at + ENCODED_WORDS]
             for word, found in zip(part, tokenizer.encode_batch_fast(part, add_special_tokens=False)):
