@@ -38,6 +38,8 @@ WINDOW = 5
 LEAST_DOCUMENTS = 5
 RATIO = 20.0
 SIGNIFICANCE = 0.05
+#: tokens whose match a task remembers from batch to batch
+KNOWN_TOKENS = 200_000
 #: bits of the filter of labelled ids that a scan of the texts carries (8 MB at most)
 FILTER_BITS = 1 << 26
 PREFIXES = range(4, 9)
@@ -160,6 +162,19 @@ class Matcher:
         self.names = sorted(lexicon.terms)
         self.automaton = Automaton(self.names)
         self.lengths = sorted({len(p) for p in lexicon.prefixes})
+        self.known: dict[str, tuple[int, float]] = {}
+
+    def tokens(self, tokens: list[str]) -> list[tuple[int, float]]:
+        """What each token is; KNOWN_TOKENS of them are remembered, about."""
+        if len(self.known) > KNOWN_TOKENS:
+            self.known.clear()
+        out = []
+        for t in tokens:
+            found = self.known.get(t)
+            if found is None:
+                found = self.known[t] = self.token(t)
+            out.append(found)
+        return out
 
     def word(self, word: str) -> tuple[int, float]:
         strength = self.lexicon.terms.get(word)
@@ -199,7 +214,7 @@ def _tokens(texts: pa.Array):
 def features(texts: pa.Array, matcher: Matcher) -> np.ndarray:
     """The FEATURES of each text; no hits give zeros but for the length."""
     words, index, counts = _tokens(texts)
-    found = [matcher.token(w) for w in words]
+    found = matcher.tokens(words)
     kind = np.array([k for k, _ in found] + [0], dtype=np.int64)[:-1]
     strength = np.array([s for _, s in found] + [0.0])[:-1]
     n = len(counts)
