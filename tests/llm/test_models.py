@@ -275,3 +275,30 @@ def test_pipeline_stages(spark):
     back = sp_sampling.decode(seen[5], MODEL_PATH).collect()
     assert Counter((r["doc_id"], r["text"]) for r in back) == Counter((r["doc_id"], r["text"]) for r in rows[4])
     assert corpus_pipeline.run(spark, SF001).count() == len(rows[5])
+
+
+def test_counts_beyond_32_bits_survive_packing():
+    for counts in ([], [0], [1, 0, 255], [2 ** 32 + 7, 3], [2 ** 53, 2 ** 32, 0]):
+        n = np.array(counts, dtype=np.int64)
+        assert language_model._unplaned(language_model._planes(n)).tolist() == counts
+    asked = pa.table({"range": pa.array([0, 0], pa.int32()), "block": pa.array([0, 1], pa.int32()),
+                      "words": [language_model._packed(np.array([5, 9], dtype=np.uint64))] * 2,
+                      "n_words": [language_model._planes(np.array([2 ** 32 - 1, 1]))] * 2,
+                      "pairs": [b""] * 2, "n_pairs": [b""] * 2})
+    told = language_model._tell(asked)
+    assert [language_model._unplaned(r).tolist() for r in told.column("n_words").to_pylist()] == [[2 ** 33 - 2, 2]] * 2
+    assert told.column("types").to_pylist() == [2, 0]
+
+
+def test_labels_meet_texts_of_any_id(spark):
+    """Ids of another type, unknown, null and repeated ids in the labels: as a plain join."""
+    rows = [(i, f"you are a zorgle {i % 3}" if i % 4 == 0 else f"a calm day {i % 3}") for i in [*range(-40, 80), 2 ** 40, 3, 3]] + [(None, "zorgle")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(str(i), int(i % 4 == 0)) for i in [*range(-40, 60), 2 ** 40, 4, 500]] + [(None, 1), ("x", 1)],
+                                   "doc_id string, toxic int")
+    clean = labels.select(F.col("doc_id").try_cast("long").alias("id"), "toxic").where("id IS NOT NULL").dropDuplicates(["id"])
+    got = toxicity._maybe_labelled(docs, clean, "doc_id", "text").join(clean, "id")
+    want = docs.withColumnRenamed("doc_id", "id").join(clean, "id")
+    assert got.count() == want.count() == 103         # 100 ids, 2 ** 40, and 3 twice more
+    lexicon, _ = toxicity.learn(docs, labels)
+    assert "zorgle" in lexicon.terms and "calm" not in lexicon.terms

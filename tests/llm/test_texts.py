@@ -53,6 +53,14 @@ def test_pii_patterns_discover_unseen_identifiers(spark):
     assert not any(found[i] for i in range(len(rows))) and not any(found[i] for i in range(len(rows) + 2, len(found)))
 
 
+def test_pii_in_a_text_of_many_matches(spark):
+    """Linear in the matches: 20,000 of them in one text."""
+    text = " ".join(f"10.{i // 250}.{i % 250}.7" for i in range(20_000))
+    (row,) = pii.span_digests(pii.personal_data(wide(spark, [text]))).collect()
+    joined = ",".join(f"{k}:{a}:{b}" for k, a, b in brute.base_spans(text))
+    assert row["n_ip"] == 20_000 and row["base_sha256"] == brute.sha(joined)
+
+
 def test_pii_redaction(spark):
     df = wide(spark, HARD)
     out = pii.redacted(df).orderBy("doc_id").collect()

@@ -98,6 +98,17 @@ def test_token_files(spark, shard):
             assert sorted(p for r in of for p in r["places"]) == [i for i, x in enumerate(flat) if x == token]
 
 
+def test_words_cut_into_pieces_equal_the_library():
+    rnd = random.Random(1)
+    letters = "aabcdestrmlv''''  \n\t\r0129.,-!<|>/wÀßÉéøÿÖ×÷µªº²½İǅ\u0301\x0b\x1c\x85_~\x7f"
+    texts = ["".join(rnd.choice(letters) for _ in range(rnd.randint(0, 25))) for _ in range(10_000)]
+    texts += ["</w> <|endoftext|> <| |> <|startoftext|>x", "it's We'LL I'd ''s '' 'S 'RE", "a" * 5000]
+    with open(queries.WORD_BPE_PATH, "rb") as f:
+        encode = token_files.word_encoder(f.read())
+    got = [np.frombuffer(raw, dtype="<u4").tolist() + [2] for raw in encode(pa.array(texts))]
+    assert got == whole_ids(texts)
+
+
 def test_token_files_of_nothing(spark):
     df = rows_of(spark, [(1, "x")]).limit(0)
     manifest = token_files.write_token_files(df, queries.WORD_BPE_PATH, scratch_path(spark, "tests", fresh=True), 2)
