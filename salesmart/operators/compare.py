@@ -1,8 +1,8 @@
-"""Reconcile the CSV extracts with the historical relational source.
+"""Compare the CSV extracts with the historical relational source key by key.
 
 A full outer join on the shared key classifies every key as ``match`` (all compared
-values equal, NULL-safe), ``differs``, ``only_csv`` or ``only_db``.  Only counts per
-state leave the executors.
+values equal, NULL-safe), ``differs``, ``only_csv`` or ``only_db``.  ``digests`` keeps the join to the
+key buckets that differ.
 """
 
 from __future__ import annotations
@@ -26,19 +26,3 @@ def compare(left: DataFrame, right: DataFrame, keys: list[str], values: list[str
              .when(same, F.lit(MATCH))
              .otherwise(F.lit(DIFFERS)))
     return j.select(*keys, state.alias("state"))
-
-
-def state_counts(compared: DataFrame) -> DataFrame:
-    return compared.groupBy("state").agg(F.count(F.lit(1)).alias("n"))
-
-
-def reconcile_details(csv_lines: DataFrame, db_lines: DataFrame) -> DataFrame:
-    """De-duplicated CSV lines vs historical lines on (OrderID, ProductID)."""
-    return state_counts(compare(csv_lines, db_lines, ["OrderID", "ProductID"],
-                                ["Quantity", "TotalPrice"]))
-
-
-def reconcile_orders(csv_orders: DataFrame, db_orders: DataFrame) -> DataFrame:
-    """CSV orders vs historical orders on OrderID (customer, date, status)."""
-    return state_counts(compare(csv_orders, db_orders, ["OrderID"],
-                                ["CustomerID", "OrderDate", "Status"]))

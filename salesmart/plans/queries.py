@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from .. import schemas as S
 from ..functions.convert import unit_price as unit_price_expr
 from ..operators import audit as A
-from ..operators import compare as C
+from ..operators import digests as G
 from ..operators import dims as D
 from ..operators import reports as R
 from ..operators import staging as K
@@ -421,15 +421,15 @@ def fact_sales(spark, sf):
 @query
 def reconcile_details(spark, sf):
     csv = unique_lines(spark, sf)
-    db = read_db_details_from(spark, SI.db_order_details_table(spark, sf, perturbed=True))
-    return C.reconcile_details(csv, db)
+    db = read_db_details_from(spark, SI.db_order_details_table(spark, sf, perturbed=True, dated=False))
+    return G.reconcile_details(csv, db)
 
 
 @query
 def reconcile_orders(spark, sf):
     csv = accepted(convert_orders(staged(spark, sf, "orders")))
     db = accepted(convert_db_orders(staged(spark, sf, "db_orders")))
-    return C.reconcile_orders(csv, db)
+    return G.reconcile_orders(csv, db)
 
 
 # ids of the new members in a second batch: one id in twenty, shifted by this

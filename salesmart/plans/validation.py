@@ -1,8 +1,9 @@
-"""A3-A7, J11 over a loaded warehouse: the checks the modelled validation scripts run.
+"""A3-A7, J7, J8, J11 over a loaded warehouse: the checks the modelled validation scripts run.
 
 ``validate_warehouse`` returns one DataFrame ``check, value, expected, ok``: duplicate
 groups per dimension (0), unfinished loads (0), fact rows with an unknown member (0),
-members per source, and rows per dimension.  Every value is an aggregate computed on
+members per source, rows per dimension, and the staged CSV orders and lines against the
+staged relational ones (no difference expected).  Every value is an aggregate computed on
 the executors; the checks are unioned into one result.
 """
 
@@ -13,7 +14,12 @@ from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..operators.audit import unknown_key_counts
-from ..operators.dedup import duplicate_summary
+from ..operators.compare import DIFFERS, MATCH, ONLY_CSV, ONLY_DB
+from ..operators.dedup import dedup_order_lines, duplicate_summary
+from ..operators.digests import reconcile_details, reconcile_orders
+from ..operators.facts import unique_orders
+from ..operators.validate import (accepted, convert_db_order_details, convert_db_orders,
+                                  convert_order_details)
 from .store import TableStore
 
 NATURAL_KEYS = {
@@ -28,6 +34,30 @@ def _row(df: DataFrame, check: str, value, expected) -> DataFrame:
                      exp.alias("expected"))
 
 
+def reconcile_staged(store: TableStore) -> list[DataFrame]:
+    """One row per state for each pair of staged tables that both exist."""
+    stg = {t: store.read(f"stg/{t}") for t in ("orders", "db_orders", "order_details", "db_order_details")}
+    found = []
+    if stg["orders"] is not None and stg["db_orders"] is not None:
+        found.append(("orders", reconcile_orders(unique_orders(stg["orders"]),
+                                                 accepted(convert_db_orders(stg["db_orders"])))))
+    if stg["order_details"] is not None and stg["db_order_details"] is not None:
+        found.append(("order lines", reconcile_details(
+            dedup_order_lines(accepted(convert_order_details(stg["order_details"]))),
+            accepted(convert_db_order_details(stg["db_order_details"])))))
+    out = []
+    for name, counts in found:
+        # one row with a column per state, so that a state without rows reads 0
+        wide = counts.agg(*[F.coalesce(F.sum(F.when(F.col("state") == s, F.col("n"))), F.lit(0)).alias(s)
+                            for s in (MATCH, DIFFERS, ONLY_CSV, ONLY_DB)])
+        rows = F.array(*[F.struct(F.lit(f"{name}, CSV and database: {s}").alias("check"),
+                                  F.col(s).cast("bigint").alias("value"),
+                                  F.lit(None if s == MATCH else 0).cast("bigint").alias("expected"))
+                         for s in (MATCH, DIFFERS, ONLY_CSV, ONLY_DB)])
+        out.append(wide.select(F.inline(rows)))
+    return out
+
+
 def validate_warehouse(store: TableStore) -> DataFrame:
     checks = []
     for dim, keys in NATURAL_KEYS.items():
@@ -50,6 +80,7 @@ def validate_warehouse(store: TableStore) -> DataFrame:
                .select(F.concat(F.lit("dim_product: members from "), F.col("source_name")).alias("check"),
                        F.col("n").cast("bigint").alias("value"), F.lit(None).cast("bigint").alias("expected")))
         checks.append(per)
+    checks += reconcile_staged(store)
     out = checks[0]
     for c in checks[1:]:
         out = out.unionByName(c)

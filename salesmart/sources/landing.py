@@ -55,7 +55,7 @@ def land_all(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     out["db_orders"] = land_parquet(spark, standins.db_orders_table(spark, sf_dir), f"{root}/db/orders")
     out["db_order_details"] = land_parquet(
         spark, standins.db_order_details_table(spark, sf_dir), f"{root}/db/order_details")
-    out["api_products"] = land_text(spark, standins.api_pages(spark, sf_dir), f"{root}/api/products")
+    out["api_products"] = land_text(spark, standins.api_pages(spark, sf_dir), f"{root}/api/pages")
     return out
 
 
@@ -69,5 +69,5 @@ def land_one(spark: SparkSession, sf_dir: str, name: str) -> str:
         return land_parquet(spark, standins.db_order_details_table(spark, sf_dir),
                             f"{root}/db/order_details")
     if name == "api_products":
-        return land_text(spark, standins.api_pages(spark, sf_dir), f"{root}/api/products")
+        return land_text(spark, standins.api_pages(spark, sf_dir), f"{root}/api/pages")
     raise KeyError(name)

@@ -94,21 +94,27 @@ def db_orders_table(spark: SparkSession, sf_dir: str) -> DataFrame:
         _created_at("o_orderdate", "o_orderkey").alias("FechaCreacion"))
 
 
-def db_order_details_table(spark: SparkSession, sf_dir: str, perturbed: bool = False) -> DataFrame:
+def db_order_details_table(spark: SparkSession, sf_dir: str, perturbed: bool = False,
+                           dated: bool = True) -> DataFrame:
     """Relational order-line table <- lineitem after de-duplication on (order, part).
 
     ``perturbed`` is the changed copy used to exercise source reconciliation: lines
     whose id is a multiple of 101 are missing and a multiple of 103 has one more unit.
+    ``dated`` takes the creation time from the line's order (a join); without it, it is NULL.
     """
     from ..operators.dedup import dedup_order_lines
     from ..functions.convert import unit_price
 
     lines = dedup_order_lines(order_details(spark, sf_dir))
-    o = table(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").cast("int").alias("OrderID"),
-        _created_at("o_orderdate", "o_orderkey").alias("FechaCreacion"))
+    if dated:
+        o = table(spark, sf_dir, "orders").select(
+            F.col("o_orderkey").cast("int").alias("OrderID"),
+            _created_at("o_orderdate", "o_orderkey").alias("FechaCreacion"))
+        lines = lines.join(o, "OrderID", "left")
+    else:
+        lines = lines.withColumn("FechaCreacion", F.lit(None).cast("timestamp_ntz"))
     detail_id = (F.col("OrderID").cast("bigint") * 1000000 + F.col("ProductID"))
-    out = lines.join(o, "OrderID", "left").select(
+    out = lines.select(
         detail_id.alias("DetallePedidoId"),
         F.col("OrderID").alias("PedidoId"),
         F.col("ProductID").alias("ProductoId"),
@@ -143,13 +149,14 @@ def api_pages(spark: SparkSession, sf_dir: str, page_size: int = 100) -> DataFra
     Pages group ids by ``id div page_size``, so a page never holds more than
     ``page_size`` items whatever the table size (bounded ``collect_list``).
     """
+    total = table(spark, sf_dir, "part").count()                # Parquet metadata
     items = api_items(spark, sf_dir).withColumn("page", F.floor(F.col("id") / page_size))
     env = (items.groupBy("page")
            .agg(F.sort_array(F.collect_list(F.struct("id", "title", "category", "price", "stock")))
                 .alias("products"))
            .select("page", F.to_json(F.struct(
                "products",
-               F.size("products").alias("total"),
+               F.lit(total).alias("total"),
                (F.col("page") * page_size).cast("int").alias("skip"),
-               F.lit(0).alias("limit"))).alias("value")))
+               F.lit(page_size).alias("limit"))).alias("value")))
     return env

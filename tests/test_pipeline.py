@@ -303,3 +303,18 @@ def test_second_load_with_changes_updates_and_inserts(spark, tmp_root):
     top = max(key for key, _ in before.values())
     assert sorted(after[(1, 100000 + i)][0] for i in range(3)) == [top + 1, top + 2, top + 3]
     assert _m(res, "fact_sales")["unknown_keys"] == 0
+
+
+def test_the_fact_has_few_files_a_year(spark, loaded):
+    wh = loaded[0]
+    fact = TableStore(spark, wh).read("dw/fact_sales")
+    named = fact.select("order_year", F.input_file_name().alias("file")).distinct()
+    per = named.groupBy("order_year").agg(F.count(F.lit(1)).alias("files")).collect()
+    assert len(per) > 1 and all(r.files <= 2 for r in per), per
+
+
+def test_validation_reconciles_a_loaded_warehouse(spark, loaded):
+    from salesmart.plans.validation import validate_warehouse
+    got = {r.check: r.value for r in validate_warehouse(TableStore(spark, loaded[0])).collect()}
+    assert got["order lines, CSV and database: match"] == 5942
+    assert got["order lines, CSV and database: differs"] == 0 and got["orders, CSV and database: match"] == 1500

@@ -154,3 +154,49 @@ def test_strictness_does_not_depend_on_ansi_mode(spark, tmp_root):
             read_products_csv(spark, p).collect()
     finally:
         spark.conf.set("spark.sql.ansi.enabled", "true")
+
+
+# --- L1: the landed pages are the whole feed, once ------------------------------------
+def _feed(root, pages, name="feed"):
+    import json
+    item = lambda i: {"id": i, "title": f"T{i}", "category": "c", "price": 1.5, "stock": 2}
+    for k, (skip, size, total) in enumerate(pages):
+        p = _write(root, f"{name}/p{k}.json", json.dumps(
+            {"products": [item(skip + i) for i in range(size)], "total": total, "skip": skip, "limit": 3}))
+    return os.path.dirname(p)
+
+
+WHOLE = [(0, 3, 8), (3, 3, 8), (6, 2, 8)]
+
+
+@pytest.mark.parametrize("pages", [WHOLE, WHOLE[::-1], WHOLE + [(8, 0, 8)], [(0, 1, 1)], [(0, 0, 0)]])
+def test_complete_feeds_pass(spark, tmp_root, pages):
+    from salesmart.sources.api import check_coverage
+    check_coverage(spark, _feed(tmp_root, pages))
+
+
+@pytest.mark.parametrize("pages, where", [
+    (WHOLE[1:], "at 0"), (WHOLE[:2], "at 6"), ([WHOLE[0], WHOLE[2]], "at 3"),       # a page is lost
+    (WHOLE + [WHOLE[1]], "at 3"),                                                      # doubled
+    ([(0, 3, 8), (2, 4, 8), (6, 2, 8)], "at 2"),                                       # overlapping
+    ([(0, 3, 8), (3, 3, 9), (6, 2, 8)], "at 9"),                                       # another total
+    ([(0, 3, 8), (3, 3, 8), (6, 3, 8)], "at 8"),                                       # more than announced
+    ([(0, 0, 8)], "at 0"),                                                             # nothing landed
+])
+def test_incomplete_feeds_fail(spark, tmp_root, pages, where):
+    from salesmart.sources.api import FeedCoverageError, check_coverage
+    with pytest.raises(FeedCoverageError, match=where):
+        check_coverage(spark, _feed(tmp_root, pages))
+
+
+def test_a_load_fails_on_a_lost_page_unless_the_check_is_off(spark, tmp_root):
+    import dataclasses
+
+    from salesmart.plans.pipeline import extract
+    from salesmart.plans.queries import source_config
+    from salesmart.sources.api import FeedCoverageError
+    from tests.conftest import SF001
+    cfg = dataclasses.replace(source_config(spark, SF001), api_pages=_feed(tmp_root, WHOLE[:2]))
+    with pytest.raises(FeedCoverageError):
+        extract(spark, cfg)
+    assert extract(spark, dataclasses.replace(cfg, api_coverage=False))["api_products"].count() == 6
