@@ -86,43 +86,32 @@ def identity_map(a_bytes: dict[int, bytes], b_bytes: dict[int, bytes]) -> np.nda
     return out
 
 
+#: what stands behind an id: another of its side, the other side, another group, the unit's end
+MARKS = ",|;\n"
+
+
+def _sizes(of: dict[int, bytes]) -> np.ndarray:
+    """Bytes of each id."""
+    out = np.zeros(max(of) + 1, dtype=np.int64)
+    for i, raw in of.items():
+        out[i] = len(raw)
+    return out
+
+
 class Unit:
     """The alignment of one unit: numbers of tokens, groups and links, ids of identical
     one-to-one groups, pairs of all other links, and the groups as text."""
     __slots__ = ("n_a", "n_b", "n_groups", "n_links", "same", "pairs", "text")
 
-    def __init__(self, a: list[int], b: list[int], a_bytes: dict[int, bytes], b_bytes: dict[int, bytes], same: np.ndarray):
-        self.n_a, self.n_b = len(a), len(b)
-        self.n_groups = self.n_links = 0
-        self.same, self.pairs, groups = [], [], []
-        i = j = i0 = j0 = at = bt = 0
-        while i < len(a) or j < len(b):
-            # the next token of the side that is behind; both where they are level
-            if at <= bt and i < len(a):
-                at += len(a_bytes[a[i]])
-                i += 1
-            else:
-                bt += len(b_bytes[b[j]])
-                j += 1
-            if at == bt and i > i0 and j > j0:
-                groups.append(f"{','.join(map(str, a[i0:i]))}|{','.join(map(str, b[j0:j]))}")
-                if i - i0 == 1 and j - j0 == 1 and same[a[i0]] == b[j0]:
-                    self.same.append(a[i0])
-                else:
-                    self._link(a[i0:i], b[j0:j], a_bytes, b_bytes)
-                i0, j0 = i, j
-        self.n_groups, self.n_links = len(groups), len(self.same) + len(self.pairs)
-        self.text = ";".join(groups)
-
-    def _link(self, a: list[int], b: list[int], a_bytes: dict[int, bytes], b_bytes: dict[int, bytes]) -> None:
-        ends_a = np.cumsum([len(a_bytes[x]) for x in a]).tolist()
-        ends_b = np.cumsum([len(b_bytes[x]) for x in b]).tolist()
-        i = j = 0
-        while i < len(a) and j < len(b):
-            self.pairs.append(a[i] << 32 | b[j])
-            end_a, end_b = ends_a[i], ends_b[j]
-            i += end_a <= end_b
-            j += end_b <= end_a
+    def __init__(self, n_a: int, n_b: int, n_groups: int, same: list[int], pairs: list[int], text: str):
+        self.n_a, self.n_b, self.n_groups, self.n_links = n_a, n_b, n_groups, len(same) + len(pairs)
+        self.same, self.pairs, self.text = same, pairs, text
+
+
+def _runs(values: np.ndarray, counts: np.ndarray) -> list[list[int]]:
+    """``values`` as consecutive lists of the given lengths."""
+    ends, flat = np.cumsum(counts).tolist(), values.tolist()
+    return [flat[start:end] for start, end in zip([0, *ends[:-1]], ends)]
 
 
 class Aligner:
@@ -132,6 +121,9 @@ class Aligner:
         self.a, self.a_bytes = _first(a_blob)
         self.b, self.b_bytes = _second(b_blob)
         self.same = identity_map(self.a_bytes, self.b_bytes)
+        self.a_sizes, self.b_sizes = (_sizes(of) for of in (self.a_bytes, self.b_bytes))
+        self.n_ids = max(len(self.a_sizes), len(self.b_sizes))
+        self.written = [f"{i}{mark}" for mark in MARKS for i in range(self.n_ids)]
         self.known: dict[str, Unit | None] = {}
 
     def learn(self, units: list[str]) -> None:
@@ -139,14 +131,66 @@ class Aligner:
         for at in range(0, len(units), ENCODED_UNITS):
             part = units[at:at + ENCODED_UNITS]
             first = [e.ids for e in self.a.encode_batch_fast(part, add_special_tokens=False)]
-            # a line feed at the start is no dummy blank: encoded behind one, which is then taken off
-            second = [self._pieces(u) for u in part]
-            for unit, a, b in zip(part, first, second):
-                raw = unit.encode()
-                good = b"".join(map(self.a_bytes.__getitem__, a)) == raw == b"".join(map(self.b_bytes.__getitem__, b))
-                self.known[unit] = Unit(a, b, self.a_bytes, self.b_bytes, self.same) if good else None
+            second = self._pieces_of(part)
+            raw = [u.encode() for u in part]
+            good = [self._bytes(self.a_bytes, a) == r == self._bytes(self.b_bytes, b)
+                    for a, b, r in zip(first, second, raw)]
+            self.known.update((u, None) for u, g in zip(part, good) if not g)
+            kept = [i for i, g in enumerate(good) if g]
+            if kept:
+                self.known.update(zip([part[i] for i in kept],
+                                      self._aligned([first[i] for i in kept], [second[i] for i in kept])))
+
+    @staticmethod
+    def _bytes(of: dict[int, bytes], ids: list[int]) -> bytes:
+        return b"".join(map(of.__getitem__, ids))
+
+    def _aligned(self, first: list[list[int]], second: list[list[int]]) -> list[Unit]:
+        """The alignments of units whose tokens hold the same bytes, all units laid end to
+        end: units end where tokens of both end, so no group or link crosses two."""
+        n_a, n_b = (np.array([len(x) for x in ids]) for ids in (first, second))
+        a, b = (np.array([i for x in ids for i in x], dtype=np.int64) for ids in (first, second))
+        ends_a, ends_b = np.cumsum(self.a_sizes[a]), np.cumsum(self.b_sizes[b])
+        unit_a = np.repeat(np.arange(len(first)), n_a)
+        cuts = np.intersect1d(ends_a, ends_b, assume_unique=True)
+        group_a, group_b = np.searchsorted(cuts, ends_a), np.searchsorted(cuts, ends_b)
+        unit_of_group = unit_a[np.searchsorted(ends_a, cuts)]
+        # between two neighbouring ends of either side lies the overlap of one pair, and each
+        # pair that overlaps does so between one such two
+        borders = np.union1d(ends_a, ends_b)
+        at_a, at_b = np.searchsorted(ends_a, borders), np.searchsorted(ends_b, borders)
+        link_a, link_b, link_unit = a[at_a], b[at_b], unit_a[at_a]
+        single = (np.bincount(group_a) == 1) & (np.bincount(group_b) == 1)
+        same = single[group_a[at_a]] & (self.same[link_a] == link_b)
+        count = lambda of: np.bincount(of, minlength=len(first))
+        return list(map(Unit, n_a.tolist(), n_b.tolist(), count(unit_of_group).tolist(),
+                        _runs(link_a[same], count(link_unit[same])),
+                        _runs((link_a << 32 | link_b)[~same], count(link_unit[~same])),
+                        self._texts(a, b, group_a, group_b, unit_of_group)))
+
+    def _texts(self, a: np.ndarray, b: np.ndarray, group_a: np.ndarray, group_b: np.ndarray,
+               unit_of_group: np.ndarray) -> list[str]:
+        """Each unit's groups as text: every id with the mark that stands behind it."""
+        side = np.concatenate([group_a * 2, group_b * 2 + 1])
+        order = np.argsort(side, kind="stable")
+        ids, side = np.concatenate([a, b])[order], side[order]
+        step = side[1:] != side[:-1]
+        unit = unit_of_group[side >> 1]
+        mark = np.where(~step, 0, np.where(side[:-1] % 2 == 0, 1, np.where(unit[1:] == unit[:-1], 2, 3)))
+        places = np.append(mark, 3) * self.n_ids + ids
+        return "".join(map(self.written.__getitem__, places.tolist())).split("\n")[:-1]
+
+    def _pieces_of(self, units: list[str]) -> list[list[int]]:
+        """B's ids: units behind a blank at once, without it; the others one by one."""
+        out = [[] if u[0] == " " and len(u) > 1 else self._pieces(u) for u in units]
+        plain = [i for i, u in enumerate(units) if u[0] == " " and len(u) > 1]
+        if plain:
+            for i, ids in zip(plain, self.b.encode([units[i][1:] for i in plain], num_threads=1)):
+                out[i] = ids
+        return out
 
     def _pieces(self, unit: str) -> list[int]:
+        # a line feed at the start is no dummy blank: encoded behind one, which is then taken off
         if unit[0] == " ":
             return self.b.encode(unit[1:]) if len(unit) > 1 else [self.b.piece_to_id(SPACE)]
         ids = self.b.encode("x" + unit)
@@ -164,8 +208,7 @@ class Aligner:
         units = list(index)
         new = [u for u in units if u not in self.known]
         if len(self.known) + len(new) > CACHED_UNITS:
-            self.known.clear()
-            new = units
+            self.known = {u: self.known[u] for u in units if u in self.known}
         self.learn(new)
         return units, rows
 
