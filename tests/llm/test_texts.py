@@ -1,8 +1,10 @@
 """PII, licenses, mixing and fingerprints against plain Python or SQL."""
 
 import hashlib
+import math
 import random
 import re
+import statistics
 from collections import Counter
 
 import duckdb
@@ -205,6 +207,43 @@ def test_fingerprints_of_skewed_counts(spark):
         assert abs(sum(miss) / len(miss)) < 0.03 and max(map(abs, miss)) < 0.17
 
 
+def test_fingerprint_draws_are_gamma_based(spark):
+    """Every draw is c / (y e^r) of Ioffe's formula, of all terms and for every sample; with
+    a weight that covers t, two weights draw the same."""
+    weights = [1, 2, 3, 7, 50, 1000]
+    df = spark.range(300).select(F.xxhash64("id").alias("x")).select("x", F.explode(F.array(*map(F.lit, weights))).alias("w"))
+    rows = df.select("x", "w", F.transform(F.sequence(F.lit(0), F.lit(63)), lambda i: F.struct(
+        F.xxhash64("x", i).alias("d"), F.xxhash64(F.xxhash64("x", i)).alias("m"),
+        weighted_fingerprint._draws(F.col("x"), i, [F.col("w")])[0].alias("got"))).alias("u")).collect()
+    rs, cs, bs, same, firsts = [], [], [], {}, {}
+    for row in rows:
+        for i, (d, m, got) in enumerate(row["u"]):
+            v = d % 2 ** 64 >> 12
+            e1, e2, e3 = -math.log1p(-(v + 0.5) / 2 ** 52), *[-math.log((h + 0.5) / 2 ** 32) for h in divmod(m % 2 ** 64, 2 ** 32)]
+            c, r = e1 + e2, math.log((e1 + e2) / e1) + e3
+            b = e3 / r
+            t = math.floor(math.log(row["w"]) / r + b)
+            a = c / (math.exp(r * (t - b)) * math.exp(r))
+            assert abs(got / 2 ** 52 - -math.expm1(-a)) < 1e-9 and (t > 0 or got == v)
+            assert same.setdefault((row["x"], i, t), got) == got
+            if row["w"] == 1:
+                rs.append(r), cs.append(c), bs.append(b)
+            firsts.setdefault(row["w"], []).append(a * row["w"])
+    # r and c are Gamma(2, 1), b is uniform, independent of each other; a is Exp(w)
+    for drawn, mean, var in ((rs, 2, 2), (cs, 2, 2), (bs, 0.5, 1 / 12), *((f, 1, 1) for f in firsts.values())):
+        assert abs(statistics.fmean(drawn) / mean - 1) < 0.05 and abs(statistics.pvariance(drawn) / var - 1) < 0.1
+    assert all(abs(statistics.correlation(x, y)) < 0.04 for x, y in ((rs, cs), (rs, bs), (cs, bs)))
+
+
+def test_fingerprints_of_short_texts_fill_every_sample(spark):
+    """Every sample is drawn from all terms: none is empty, and two pairs of four differ."""
+    texts = [(k, f"a{k} b{k}", f"a{k} c{k}") for k in range(200)]                # pairs (, a) (a, b) (b, ); one is shared
+    prints = weighted_fingerprint.fingerprints(spark.createDataFrame(texts, "k int, a string, b string"), "k", ["a", "b"])
+    rows = prints.select("a", "b", weighted_fingerprint.likeness(F.col("a"), F.col("b")).alias("near")).collect()
+    assert len(rows) == 200 and all(weighted_fingerprint.EMPTY not in r["a"] + r["b"] for r in rows)
+    assert abs(statistics.fmean(r["near"] for r in rows) - 1 / 5) < 0.02
+
+
 def test_succession_over_many_ranges(spark):
     keys = spark.range(500).select(F.col("id").alias("k")).repartition(7)
     got = {r["k"]: r["next"] for r in weighted_fingerprint.succession(keys, [F.desc("k")]).collect()}
