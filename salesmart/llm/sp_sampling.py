@@ -26,12 +26,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salesmart.llm.arrow_text import n_bytes, slices, split_words
-from salesmart.llm.common import free_name, schema_with, text_of
+from salesmart.llm.common import free_name, schema_with, small_batches, text_of
 from salesmart.llm.vocabulary import SPACE, Vocabulary, load
 
 SEED = 1
 #: scores are divided by this; higher is more random
 TEMPERATURE = 1.0
+#: code points of distinct words whose lattices a task holds at a time, about
+LATTICE_POINTS = 200_000
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -183,23 +185,19 @@ def encoder(vocabulary: Vocabulary, seed: int = SEED, temperature: float = TEMPE
     byte_ids = vocabulary.byte_ids
     shift = np.uint64(seed * int(MIX) % 2 ** 64)
 
-    def encode(texts: pa.Array, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        dictionary, index, counts = split_words(texts)
-        words = [SPACE + w for w in dictionary.to_pylist()]
+    def drawn(words: list[str], occurrences: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """ids of occurrences of the words in a row, and the number of ids of each."""
         lengths = np.array([len(w) for w in words], dtype=np.int64)
         points = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
         starts = np.r_[0, np.cumsum(lengths)[:-1]].astype(np.int64)
         ends = np.repeat(starts + lengths, lengths)
-        row = np.repeat(np.arange(len(counts)), counts)
-        place = (np.arange(len(index)) - np.repeat(np.r_[0, np.cumsum(counts)[:-1]], counts)).astype(np.uint64)
-        key = _mixed(_mixed(keys[row] + shift) ^ (place * MIX))
-        drawn = lattice.sample(points, starts, ends, index.astype(np.int64), key)
-        pieces = np.zeros(len(index), dtype=np.int64)    # ids per word: bytes count each
-        for who, begin, item in drawn:
+        edges = lattice.sample(points, starts, ends, occurrences, keys)
+        pieces = np.zeros(len(occurrences), dtype=np.int64)      # ids per word: bytes count each
+        for who, begin, item in edges:
             pieces[who] += np.where(item >= 0, 1, n_bytes(points[begin]))
         out = np.empty(int(pieces.sum()), dtype=np.int32)
         fill = np.cumsum(pieces)                         # filled from each word's end
-        for who, begin, item in drawn:
+        for who, begin, item in edges:
             known = item >= 0
             fill[who[known]] -= 1
             out[fill[who[known]]] = ids_of[item[known]]
@@ -214,6 +212,34 @@ def encoder(vocabulary: Vocabulary, seed: int = SEED, temperature: float = TEMPE
                     if len(of):
                         b = np.frombuffer("".join(map(chr, p[of])).encode("utf-8", "surrogatepass"), dtype=np.uint8)
                         out[fill[w[of]][:, None] + np.arange(size)] = byte_ids[b.reshape(-1, size)]
+        return out, pieces
+
+    def encode(texts: pa.Array, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        dictionary, index, counts = split_words(texts)
+        row = np.repeat(np.arange(len(counts)), counts)
+        place = (np.arange(len(index)) - np.repeat(np.r_[0, np.cumsum(counts)[:-1]], counts)).astype(np.uint64)
+        key = _mixed(_mixed(keys[row] + shift) ^ (place * MIX))
+        # words go by length, so that those of a part advance together
+        lengths = 1 + pc.utf8_length(dictionary).to_numpy(zero_copy_only=False).astype(np.int64)
+        order = np.argsort(lengths, kind="stable")
+        part = np.cumsum(lengths[order]) // LATTICE_POINTS
+        cuts = np.r_[0, np.flatnonzero(part[1:] != part[:-1]) + 1, len(order)]
+        rank = np.empty(len(order), dtype=np.int64)
+        rank[order] = np.arange(len(order))
+        rank = rank[index]
+        by_rank = np.argsort(rank, kind="stable")
+        bounds = np.searchsorted(rank[by_rank], cuts)
+        pieces, found = np.zeros(len(index), dtype=np.int64), []
+        for lo, hi, a, b in zip(cuts[:-1], cuts[1:], bounds[:-1], bounds[1:]):
+            who = by_rank[a:b]
+            words = [SPACE + w for w in dictionary.take(pa.array(order[lo:hi])).to_pylist()]
+            ids, pieces[who] = drawn(words, rank[who] - lo, key[who])
+            found.append((who, ids))
+        out = np.empty(int(pieces.sum()), dtype=np.int32)
+        first = np.cumsum(pieces) - pieces
+        for who, ids in found:
+            n = pieces[who]
+            out[np.repeat(first[who] - (np.cumsum(n) - n), n) + np.arange(len(ids))] = ids
         return out, np.add.reduceat(np.append(pieces, 0), np.r_[0, np.cumsum(counts)[:-1]]) if len(counts) else pieces
     return encode
 
@@ -250,6 +276,7 @@ def encode(docs: DataFrame, model_path: str, text_col: str = "text", id_cols: tu
     empty result.
     """
     vocabulary = load(model_path)
+    small_batches(docs.sparkSession)
     keep = [c for c in docs.columns if c != text_col] if keep is None else list(keep)
     clash = {"ids", "n_pieces", "ids_sha256", "lossless"} & set(keep)
     if clash:

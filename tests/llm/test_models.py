@@ -4,6 +4,7 @@ import itertools
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -56,6 +57,21 @@ def test_sampling_round_trip_and_reruns(spark):
         sp_sampling.encode(df.withColumn("ids", F.lit(1)), MODEL_PATH)
 
 
+def test_sampling_holds_the_lattices_of_few_words(monkeypatch):
+    rnd = random.Random(3)
+    texts = pa.array([" ".join("".join(rnd.choices("aehinortdé日", k=rnd.randint(3, 12))) for _ in range(2000)) for _ in range(40)])
+    keys = np.arange(len(texts), dtype=np.uint64)
+    encode = sp_sampling.encoder(vocabulary.load(MODEL_PATH))
+    tracemalloc.start()
+    ids, counts = encode(texts, keys)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 80e6, f"{peak / 1e6} MB for 0.6 million code points"
+    monkeypatch.setattr(sp_sampling, "LATTICE_POINTS", 50_000)
+    again, counts_again = encode(texts, keys)
+    assert ids.tolist() == again.tolist() and counts.tolist() == counts_again.tolist()
+
+
 @pytest.mark.parametrize("word", ["there", "aé☃b"])
 def test_sampling_follows_the_posterior(word):
     v = vocabulary.load(MODEL_PATH)
