@@ -1,4 +1,5 @@
-"""Texts in Arrow batches: bounded slices, and words coded as indexes of distinct words."""
+"""Texts in Arrow batches: bounded slices, words coded as indexes of distinct words, and what
+is remembered of words lately met."""
 
 from __future__ import annotations
 
@@ -34,3 +35,27 @@ def slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
 def n_bytes(p: np.ndarray) -> np.ndarray:
     """UTF-8 bytes of code points."""
     return 1 + (p >= 0x80) + (p >= 0x800) + (p >= 0x10000)
+
+
+class Recent:
+    """Values of keys lately asked for, in two dicts: when the newer one holds ``size`` keys
+    it becomes the older one, whose keys are dropped unless asked for again."""
+
+    def __init__(self, size: int):
+        self.size = size
+        self.new: dict = {}
+        self.old: dict = {}
+
+    def missing(self, keys: list) -> list:
+        """Those of the distinct keys that have no value yet; until the next call ``new``
+        holds the others, and takes the values of these."""
+        if len(self.new) >= self.size:
+            self.new, self.old = {}, self.new
+        new, old, out = self.new, self.old, []
+        for k in keys:
+            if k not in new:
+                if k in old:
+                    new[k] = old[k]
+                else:
+                    out.append(k)
+        return out

@@ -30,15 +30,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from salesmart.llm.arrow_text import slices
+from salesmart.llm.arrow_text import Recent, slices
 from salesmart.llm.common import small_batches, stored, text_of
 from salesmart.llm.wavelet import WaveletMatrix, image
 
 #: ids in a file, about; characters of text to a task, about
 SHARD_TOKENS = 4_000_000
 TASK_CHARS = 32_000_000
-#: words whose ids a task remembers; words encoded at a time
-CACHED_WORDS = 300_000
+#: words whose ids a worker remembers, twice; words encoded at a time
+CACHED_WORDS = 250_000
 ENCODED_WORDS = 4_000
 
 # Pattern, normalizers and word end of the tokenizers whose words of plain
@@ -51,6 +51,9 @@ WORD_END = "</w>"
 #: tabs), which lower-casing changes letter by letter; the pattern for these, lowered
 SIMPLE = re.compile("[\t\n\r -~À-ÖØ-öø-ÿ]*")
 PIECE = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\t\n\r a-zß-öø-ÿ0-9]+")
+PIECE_OR_BLANK = re.compile(PIECE.pattern + "| ")
+#: stands for a blank among ids; no tokenizer has so many
+BLANK = b"\xff\xff\xff\xff"
 
 
 @lru_cache(maxsize=4)
@@ -79,8 +82,10 @@ def _piecewise(blob: bytes):
     return tokenizer, ends
 
 
+@lru_cache(maxsize=2)
 def word_encoder(blob: bytes) -> Callable[[pa.Array], list[bytes]]:
-    """A function of texts to their ids as little-endian 32-bit integers.
+    """A function of texts to their ids as little-endian 32-bit integers, made once in a
+    process: what it learned of words serves later tasks, too.
 
     For tokenizers whose pieces never cross a blank and that drop it: a text's ids are
     those of its words cut at blanks, one after the other, so every distinct word is
@@ -88,8 +93,7 @@ def word_encoder(blob: bytes) -> Callable[[pa.Array], list[bytes]]:
     tokenizer's rules are those of PIECE, simple words are cut into its pieces, of which
     far fewer differ, and new pieces are encoded as one text, blanks between them."""
     tokenizer, piecewise = _tokenizer(blob), _piecewise(blob)
-    known: dict[str, bytes] = {}
-    of_piece: dict[str, bytes] = {}
+    known, of_piece = Recent(CACHED_WORDS), Recent(CACHED_WORDS)
 
     def learn_pieces(pieces: list[str]) -> None:
         bare, ends = piecewise
@@ -98,39 +102,38 @@ def word_encoder(blob: bytes) -> Callable[[pa.Array], list[bytes]]:
             ids = np.array(bare.encode(" ".join(part), add_special_tokens=False).ids, dtype="<u4")
             raw, a = ids.tobytes(), 0
             for piece, b in zip(part, (4 * np.flatnonzero(ends[ids]) + 4).tolist(), strict=True):
-                of_piece[piece] = raw[a:b]
+                of_piece.new[piece] = raw[a:b]
                 a = b
 
     def learn(words: list[str]) -> None:
         if piecewise:
             simple = [w for w in words if SIMPLE.fullmatch(w) and "<|" not in w]
-            cut = [PIECE.findall(w.lower()) for w in simple]
-            if len(of_piece) > CACHED_WORDS:
-                of_piece.clear()
-            learn_pieces(list({p for pieces in cut for p in pieces if p not in of_piece}))
-            for word, pieces in zip(simple, cut):
-                known[word] = b"".join([of_piece[p] for p in pieces])
-            words = [w for w in words if w not in known]
+            # all at once, a blank behind every word
+            pieces = PIECE_OR_BLANK.findall(" ".join([*simple, ""]).lower())
+            learn_pieces(of_piece.missing(list(set(pieces) - {" "})))
+            of_piece.new[" "] = BLANK
+            raw, a = b"".join(map(of_piece.new.__getitem__, pieces)), 0
+            blanks = 4 * np.flatnonzero(np.frombuffer(raw, dtype="<u4") == 0xFFFFFFFF)
+            for word, b in zip(simple, blanks.tolist(), strict=True):
+                known.new[word] = raw[a:b]
+                a = b + 4
+            words = [w for w in words if w not in known.new]
         for at in range(0, len(words), ENCODED_WORDS):
             part = words[at:at + ENCODED_WORDS]
             for word, found in zip(part, tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                known[word] = np.array(found.ids, dtype="<u4").tobytes()
+                known.new[word] = np.array(found.ids, dtype="<u4").tobytes()
 
     def encode(texts: pa.Array) -> list[bytes]:
         parts = pc.split_pattern(texts, " ")
         coded = parts.flatten().dictionary_encode()
-        words = coded.dictionary.to_pylist()
-        new = [w for w in words if w not in known]
-        if len(known) + len(new) > CACHED_WORDS:
-            known.clear()
-            new = words
-        learn(new)
-        of_word = [known[w] for w in words]
-        index, out, at = coded.indices.to_numpy().tolist(), [], 0
-        for n in pc.list_value_length(parts).to_pylist():
-            out.append(b"".join([of_word[i] for i in index[at:at + n]]))
-            at += n
-        return out
+        words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        learn(known.missing(words))
+        of_word = pa.array(map(known.new.__getitem__, words), pa.large_binary())
+        found = of_word.take(coded.indices)
+        ends = np.concatenate([[0], np.cumsum(pc.binary_length(found).to_numpy())])
+        ends = ends[np.concatenate([[0], np.cumsum(pc.list_value_length(parts).to_numpy())])].tolist()
+        raw = b"" if not ends[-1] else found.buffers()[2].to_pybytes()
+        return [raw[a:b] for a, b in zip(ends[:-1], ends[1:])]
     return encode
 
 

@@ -196,13 +196,12 @@ class WaveletMatrix:
 
     def tokens(self) -> np.ndarray:
         """All tokens in order."""
-        at = np.arange(self.n, dtype=np.int32 if self.n < 2 ** 31 else np.int64)
         out = np.zeros(self.n, dtype=np.uint32)
-        for plane in range(self.planes):
+        # from the last plane up: the order below a plane holds its zeros before its ones
+        for plane in range(self.planes - 1, -1, -1):
             raw = b"".join(self._raw(plane * self.per_plane + k) for k in range(self.per_plane))
-            bits = np.unpackbits(np.frombuffer(raw, dtype=np.uint8), count=self.n, bitorder="little")
-            before = np.cumsum(bits, dtype=at.dtype) - bits        # ones before each place of the plane
-            bit, ones = bits[at].astype(bool), before[at]
-            out = out << np.uint32(1) | bit
-            at = np.where(bit, ones + at.dtype.type(self.zeros[plane]), at - ones)
+            bits = np.unpackbits(np.frombuffer(raw, dtype=np.uint8), count=self.n, bitorder="little").view(bool)
+            below, out = out, np.empty_like(out)
+            out[~bits] = below[:self.zeros[plane]]
+            out[bits] = below[self.zeros[plane]:] | np.uint32(1 << (self.planes - 1 - plane))
         return out

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
 from salesmart.llm import alignment, centroids, queries, token_files
+from salesmart.llm.arrow_text import Recent
 from salesmart.llm.wavelet import WaveletMatrix, image
 from salesmart.session import scratch_path
 from tests.conftest import SF001
@@ -109,6 +110,29 @@ def test_words_cut_into_pieces_equal_the_library():
     assert got == whole_ids(texts)
 
 
+def test_words_learned_once_in_a_process(monkeypatch):
+    with open(queries.WORD_BPE_PATH, "rb") as f:
+        blob = f.read()
+    assert token_files.word_encoder(blob) is token_files.word_encoder(blob)      # what one task learned serves the next
+    monkeypatch.setattr(token_files, "CACHED_WORDS", 50)
+    encode = token_files.word_encoder.__wrapped__(blob)
+    rnd = random.Random(5)
+    words = ["".join(rnd.choices("abé日 '1,", k=rnd.randint(0, 6))) for _ in range(300)] + ["<|endoftext|>", "İx"]
+    for _ in range(30):
+        texts = [" ".join(rnd.choices(words, k=rnd.randint(0, 40))) for _ in range(rnd.randint(0, 5))]
+        got = [np.frombuffer(raw, dtype="<u4").tolist() + [2] for raw in encode(pa.array(texts, pa.string()))]
+        assert got == whole_ids(texts)
+
+
+def test_recent_keeps_what_is_asked_for():
+    recent = Recent(3)
+    for k in range(100):
+        for x in recent.missing(["the", k]):
+            assert x == k or k == 0                       # the common key is learned once
+            recent.new[x] = x
+        assert recent.new["the"] == "the" and len(recent.new) + len(recent.old) <= 8
+
+
 def test_token_files_of_nothing(spark):
     df = rows_of(spark, [(1, "x")]).limit(0)
     manifest = token_files.write_token_files(df, queries.WORD_BPE_PATH, scratch_path(spark, "tests", fresh=True), 2)
