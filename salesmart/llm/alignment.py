@@ -19,19 +19,22 @@ import os
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from salesmart.llm.arrow_text import slices
+from salesmart.llm.arrow_text import Recent, slices
 from salesmart.llm.common import small_batches, stored, text_of
 from salesmart.llm.vocabulary import SPACE
 
-#: units of which a task remembers the alignment
+#: units of which a worker remembers the alignment, twice
 CACHED_UNITS = 150_000
 ENCODED_UNITS = 4_000
 
@@ -40,8 +43,8 @@ ENCODED_UNITS = 4_000
 BLANKS = "".join(map(chr, [*range(9, 14), 32, 133, 160, 5760, *range(8192, 8203), 8232, 8233, 8239, 8287, 12288]))
 PLAIN = [*range(33, 127), *range(161, 173), *range(174, 256)]
 
-#: units end before a blank or line feed behind anything but white space
-CUT = re.compile(f"(?<=[^{BLANKS}])(?=[ \n])")
+# white space beyond ASCII by its bytes, as numbers; no other character ends in these
+WIDE = [int.from_bytes(c.encode(), "big") for c in BLANKS if ord(c) > 127]
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -86,8 +89,10 @@ def identity_map(a_bytes: dict[int, bytes], b_bytes: dict[int, bytes]) -> np.nda
     return out
 
 
+NUMBERS = ["n_a", "n_b", "n_groups", "n_links"]
+
 #: what stands behind an id: another of its side, the other side, another group, the unit's end
-MARKS = ",|;\n"
+MARKS = [",", "|", ";", ";\n"]
 
 
 def _sizes(of: dict[int, bytes]) -> np.ndarray:
@@ -98,20 +103,59 @@ def _sizes(of: dict[int, bytes]) -> np.ndarray:
     return out
 
 
-class Unit:
-    """The alignment of one unit: numbers of tokens, groups and links, ids of identical
-    one-to-one groups, pairs of all other links, and the groups as text."""
-    __slots__ = ("n_a", "n_b", "n_groups", "n_links", "same", "pairs", "text")
+class Unit(NamedTuple):
+    """The alignment of one unit: numbers of tokens, groups and links (NUMBERS), ids of
+    identical one-to-one groups, pairs of all other links, and the groups as text, a
+    semicolon behind each."""
+    numbers: bytes
+    same: bytes
+    pairs: bytes
+    text: bytes
+
+
+NO_TOKENS = Unit(bytes(32), b"", b"", b"")
+
+
+def _runs(values: np.ndarray, counts: np.ndarray) -> list[bytes]:
+    """``values`` as consecutive runs of the given lengths."""
+    raw, ends = values.tobytes(), (np.cumsum(counts) * values.itemsize).tolist()
+    return [raw[start:end] for start, end in zip([0, *ends[:-1]], ends)]
+
+
+def _lengths(ids: list) -> np.ndarray:
+    return np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
 
-    def __init__(self, n_a: int, n_b: int, n_groups: int, same: list[int], pairs: list[int], text: str):
-        self.n_a, self.n_b, self.n_groups, self.n_links = n_a, n_b, n_groups, len(same) + len(pairs)
-        self.same, self.pairs, self.text = same, pairs, text
 
+def _flat(ids: list) -> np.ndarray:
+    return np.fromiter(chain.from_iterable(ids), dtype=np.int64)
 
-def _runs(values: np.ndarray, counts: np.ndarray) -> list[list[int]]:
-    """``values`` as consecutive lists of the given lengths."""
-    ends, flat = np.cumsum(counts).tolist(), values.tolist()
-    return [flat[start:end] for start, end in zip([0, *ends[:-1]], ends)]
+
+def cut_units(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """The distinct units of the texts, each text behind a blank, the index of every unit
+    and the number of units of each text (an empty text has none).  Units end before a blank
+    or line feed behind anything but white space."""
+    plain = texts.to_numpy(zero_copy_only=False).tolist()
+    raw = "".join([" " + t for t in plain if t]).encode()
+    sizes = pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64)
+    sizes[sizes > 0] += 1
+    points = np.frombuffer(raw, dtype=np.uint8)
+    at = np.flatnonzero((points == 32) | (points == 10))
+    before = points[at - 1]
+    inner = ~((before == 32) | ((before >= 9) & (before <= 13)))
+    wide = np.flatnonzero(before >= 128)
+    if len(wide):
+        last = at[wide][:, None] - np.array([3, 2, 1])
+        three = points[last].astype(np.int64) @ np.array([1 << 16, 1 << 8, 1])
+        inner[wide] = ~(np.isin(three, WIDE) | np.isin(three & 0xFFFF, WIDE))
+    first = np.zeros(len(points), dtype=bool)
+    first[at[inner]] = True
+    first[(np.cumsum(sizes) - sizes)[sizes > 0]] = True          # of each text
+    starts = np.flatnonzero(first)
+    units = pa.LargeStringArray.from_buffers(
+        len(starts), pa.py_buffer(np.append(starts, len(points)).astype(np.int64)), pa.py_buffer(raw))
+    coded = units.dictionary_encode()
+    n = np.diff(np.searchsorted(starts, np.concatenate([[0], np.cumsum(sizes)])))
+    return coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy(), n
 
 
 class Aligner:
@@ -123,53 +167,87 @@ class Aligner:
         self.same = identity_map(self.a_bytes, self.b_bytes)
         self.a_sizes, self.b_sizes = (_sizes(of) for of in (self.a_bytes, self.b_bytes))
         self.n_ids = max(len(self.a_sizes), len(self.b_sizes))
-        self.written = [f"{i}{mark}" for mark in MARKS for i in range(self.n_ids)]
-        self.known: dict[str, Unit | None] = {}
+        self.written = [f"{i}{mark}".encode() for mark in MARKS for i in range(self.n_ids)]
+        self.known = Recent(CACHED_UNITS)       # a unit whose tokens lose bytes has none
 
     def learn(self, units: list[str]) -> None:
         """``units`` begin with a blank, which B's tokenizer adds by itself."""
         for at in range(0, len(units), ENCODED_UNITS):
             part = units[at:at + ENCODED_UNITS]
-            first = [e.ids for e in self.a.encode_batch_fast(part, add_special_tokens=False)]
-            second = self._pieces_of(part)
+            first, second = self._first_ids(part), self._pieces_of(part)
             raw = [u.encode() for u in part]
-            good = [self._bytes(self.a_bytes, a) == r == self._bytes(self.b_bytes, b)
-                    for a, b, r in zip(first, second, raw)]
-            self.known.update((u, None) for u, g in zip(part, good) if not g)
+            good = (self._whole(self.a_bytes, self.a_sizes, first, raw)
+                    & self._whole(self.b_bytes, self.b_sizes, second, raw)).tolist()
+            if all(good):
+                self.known.new.update(zip(part, self._aligned(first, second)))
+                continue
+            self.known.new.update((u, None) for u, g in zip(part, good) if not g)
             kept = [i for i, g in enumerate(good) if g]
             if kept:
-                self.known.update(zip([part[i] for i in kept],
-                                      self._aligned([first[i] for i in kept], [second[i] for i in kept])))
+                self.known.new.update(zip([part[i] for i in kept],
+                                          self._aligned([first[i] for i in kept], [second[i] for i in kept])))
+
+    def _first_ids(self, units: list[str]) -> list[list[int]]:
+        """A's ids: units that do not end in white space, which a text of them is cut into
+        again, as one text; the others, and all if its tokens lose bytes, one by one."""
+        joined = [i for i, u in enumerate(units) if u[-1] not in BLANKS]
+        ids = self.a.encode("".join([units[i] for i in joined]), add_special_tokens=False).ids if joined else []
+        ends = np.cumsum(self.a_sizes[ids]) if ids else np.zeros(0, np.int64)
+        wanted = np.cumsum([len(units[i].encode()) for i in joined], dtype=np.int64)
+        cuts = np.searchsorted(ends, wanted)
+        if joined and (not len(ends) or ends[-1] != wanted[-1] or (ends[cuts] != wanted).any()):
+            joined, cuts = [], cuts[:0]
+        out: list = [None] * len(units)
+        a = 0
+        for i, b in zip(joined, (cuts + 1).tolist()):
+            out[i] = ids[a:b]
+            a = b
+        rest = [i for i, x in enumerate(out) if x is None]
+        for i, e in zip(rest, self.a.encode_batch_fast([units[i] for i in rest], add_special_tokens=False)):
+            out[i] = e.ids
+        return out
+
+    @classmethod
+    def _whole(cls, of: dict[int, bytes], sizes: np.ndarray, ids: list[list[int]], raw: list[bytes]) -> np.ndarray:
+        """Whether the bytes of each unit's ids are its own."""
+        ends = np.concatenate([[0], np.cumsum(sizes[_flat(ids)])])[np.cumsum(_lengths(ids))]
+        if (ends == np.cumsum(_lengths(raw))).all() and cls._bytes(of, chain.from_iterable(ids)) == b"".join(raw):
+            return np.ones(len(raw), dtype=bool)
+        return np.array([cls._bytes(of, x) == r for x, r in zip(ids, raw)], dtype=bool)
 
     @staticmethod
-    def _bytes(of: dict[int, bytes], ids: list[int]) -> bytes:
+    def _bytes(of: dict[int, bytes], ids) -> bytes:
         return b"".join(map(of.__getitem__, ids))
 
-    def _aligned(self, first: list[list[int]], second: list[list[int]]) -> list[Unit]:
+    def _aligned(self, first: list, second: list) -> list[Unit]:
         """The alignments of units whose tokens hold the same bytes, all units laid end to
         end: units end where tokens of both end, so no group or link crosses two."""
-        n_a, n_b = (np.array([len(x) for x in ids]) for ids in (first, second))
-        a, b = (np.array([i for x in ids for i in x], dtype=np.int64) for ids in (first, second))
+        n_a, n_b, a, b = _lengths(first), _lengths(second), _flat(first), _flat(second)
         ends_a, ends_b = np.cumsum(self.a_sizes[a]), np.cumsum(self.b_sizes[b])
         unit_a = np.repeat(np.arange(len(first)), n_a)
-        cuts = np.intersect1d(ends_a, ends_b, assume_unique=True)
-        group_a, group_b = np.searchsorted(cuts, ends_a), np.searchsorted(cuts, ends_b)
-        unit_of_group = unit_a[np.searchsorted(ends_a, cuts)]
+        # by place: whether a token of either side ends there, how many did before
+        in_a, in_b = (np.zeros(int(ends_a[-1]) + 1, dtype=bool) for _ in range(2))
+        in_a[ends_a], in_b[ends_b] = True, True
+        cut = in_a & in_b
+        a_before, b_before, cuts_before = (np.cumsum(x) - x for x in (in_a, in_b, cut))
+        group_a, group_b = cuts_before[ends_a], cuts_before[ends_b]
+        unit_of_group = unit_a[a_before[np.flatnonzero(cut)]]
         # between two neighbouring ends of either side lies the overlap of one pair, and each
         # pair that overlaps does so between one such two
-        borders = np.union1d(ends_a, ends_b)
-        at_a, at_b = np.searchsorted(ends_a, borders), np.searchsorted(ends_b, borders)
+        borders = np.flatnonzero(in_a | in_b)
+        at_a, at_b = a_before[borders], b_before[borders]
         link_a, link_b, link_unit = a[at_a], b[at_b], unit_a[at_a]
         single = (np.bincount(group_a) == 1) & (np.bincount(group_b) == 1)
         same = single[group_a[at_a]] & (self.same[link_a] == link_b)
         count = lambda of: np.bincount(of, minlength=len(first))
-        return list(map(Unit, n_a.tolist(), n_b.tolist(), count(unit_of_group).tolist(),
-                        _runs(link_a[same], count(link_unit[same])),
+        numbers = np.stack([n_a, n_b, count(unit_of_group), count(link_unit)], axis=1).astype(np.int64)
+        return list(map(Unit, _runs(numbers, np.full(len(first), len(NUMBERS))),
+                        _runs(link_a[same].astype(np.int32), count(link_unit[same])),
                         _runs((link_a << 32 | link_b)[~same], count(link_unit[~same])),
                         self._texts(a, b, group_a, group_b, unit_of_group)))
 
     def _texts(self, a: np.ndarray, b: np.ndarray, group_a: np.ndarray, group_b: np.ndarray,
-               unit_of_group: np.ndarray) -> list[str]:
+               unit_of_group: np.ndarray) -> list[bytes]:
         """Each unit's groups as text: every id with the mark that stands behind it."""
         side = np.concatenate([group_a * 2, group_b * 2 + 1])
         order = np.argsort(side, kind="stable")
@@ -178,7 +256,7 @@ class Aligner:
         unit = unit_of_group[side >> 1]
         mark = np.where(~step, 0, np.where(side[:-1] % 2 == 0, 1, np.where(unit[1:] == unit[:-1], 2, 3)))
         places = np.append(mark, 3) * self.n_ids + ids
-        return "".join(map(self.written.__getitem__, places.tolist())).split("\n")[:-1]
+        return b"".join(map(self.written.__getitem__, places.tolist())).split(b"\n")[:-1]
 
     def _pieces_of(self, units: list[str]) -> list[list[int]]:
         """B's ids: units behind a blank at once, without it; the others one by one."""
@@ -197,26 +275,16 @@ class Aligner:
         x = self.b.encode("x")
         return ids[len(x):] if ids[:len(x)] == x else []
 
-    def coded(self, texts: list[str]) -> tuple[list[str], list[list[int]]]:
-        """The distinct units of the texts, and each text as indexes of them (an empty text
-        has none)."""
-        index: dict[str, int] = {}
-        rows = []
-        for text in texts:
-            units = CUT.split(" " + text) if text else []
-            rows.append([index.setdefault(u, len(index)) for u in units])
-        units = list(index)
-        new = [u for u in units if u not in self.known]
-        if len(self.known) + len(new) > CACHED_UNITS:
-            self.known = {u: self.known[u] for u in units if u in self.known}
-        self.learn(new)
-        return units, rows
+    def alignments(self, units: list[str]) -> list[Unit | None]:
+        """The distinct units' alignments."""
+        self.learn(self.known.missing(units))
+        return list(map(self.known.new.__getitem__, units))
 
 
-def _csr(lists: list, kind) -> tuple[bytes, bytes]:
-    """Lists as one array and their lengths."""
-    return (np.array([x for one in lists for x in one], dtype=kind).tobytes(),
-            np.array([len(one) for one in lists], dtype="<u4").tobytes())
+@lru_cache(maxsize=2)
+def _aligner(a_blob: bytes, b_blob: bytes) -> Aligner:
+    """One for a process: what it learned of units serves later tasks, too."""
+    return Aligner(a_blob, b_blob)
 
 
 def _summed(values: np.ndarray, counts: bytes) -> np.ndarray:
@@ -233,38 +301,39 @@ BLOCK = ("block long, pairs array<long>, pair_links array<long>, same array<int>
          "docs binary, doc_units binary, doc_unit_counts binary")
 
 
-NUMBERS = ["n_a", "n_b", "n_groups", "n_links"]
-
-
-def _block(number: int, ids: pa.Array, texts: list[str], aligner: Aligner) -> pa.RecordBatch:
-    units, rows = aligner.coded(texts)
-    of = [aligner.known[u] for u in units]
-    rows = [r if all(of[i] is not None for i in r) else [] for r in rows]       # a unit that loses bytes takes its text
-    used = np.bincount([i for r in rows for i in r], minlength=len(units)) if units else np.zeros(0, np.int64)
-    of = [u if n else None for u, n in zip(of, used.tolist())]
-    unit_pairs = [u.pairs if u else [] for u in of]
-    unit_same = [u.same if u else [] for u in of]
-    flat = np.array([p for one in unit_pairs for p in one], dtype=np.int64)
-    pairs, where = np.unique(flat, return_inverse=True)
-    times = np.repeat(used, [len(p) for p in unit_pairs]) if units else used
-    pair_links = np.bincount(where, weights=times, minlength=len(pairs)).astype(np.int64)
-    flat_same = np.array([a for one in unit_same for a in one], dtype=np.int32)
+def _block(number: int, ids: pa.Array, texts: pa.Array, aligner: Aligner) -> pa.RecordBatch:
+    units, index, n_units = cut_units(texts)
+    of = aligner.alignments(units)
+    lossy = np.fromiter((u is None for u in of), dtype=bool, count=len(of))
+    row = np.repeat(np.arange(len(n_units)), n_units)
+    if lossy.any():                             # a unit that loses bytes takes its text
+        good = np.bincount(row[lossy[index]], minlength=len(n_units)) == 0
+        index, n_units = index[good[row]], np.where(good, n_units, 0)
+    used = np.bincount(index, minlength=len(units))
+    of = [u if n else NO_TOKENS for u, n in zip(of, used.tolist())]
+    numbers, same_of, pairs_of, texts_of = zip(*of) if of else [()] * 4
+    n_pairs, n_same = _lengths(pairs_of) // 8, _lengths(same_of) // 4
+    pairs, where = np.unique(np.frombuffer(b"".join(pairs_of), dtype=np.int64), return_inverse=True)
+    pair_links = np.bincount(where, weights=np.repeat(used, n_pairs), minlength=len(pairs)).astype(np.int64)
+    flat_same = np.frombuffer(b"".join(same_of), dtype=np.int32)
     same, back = np.unique(flat_same, return_inverse=True)
-    same_links = np.bincount(back, weights=np.repeat(used, [len(s) for s in unit_same]) if units else used,
-                             minlength=len(same)).astype(np.int64)
-    flat_rows, row_sizes = _csr(rows, "<u4")
-    index, texts_of = np.frombuffer(flat_rows, dtype="<u4"), [u.text if u else "" for u in of]
-    numbers = [np.array([getattr(u, c) if u else 0 for u in of] or [0], dtype=np.int64) for c in NUMBERS]
-    digests = [hashlib.sha256(";".join([texts_of[i] for i in r]).encode()).hexdigest() if r else "" for r in rows]
-    docs = pa.RecordBatch.from_arrays([ids, *[pa.array(_summed(n[index], row_sizes)) for n in numbers], pa.array(digests, pa.string())],
-                                      names=["id", *NUMBERS, "groups_sha256"])
+    same_links = np.bincount(back, weights=np.repeat(used, n_same), minlength=len(same)).astype(np.int64)
+    row_sizes = n_units.astype("<u4").tobytes()
+    numbers = np.frombuffer(b"".join(numbers), dtype=np.int64).reshape(-1, len(NUMBERS))
+    written = pa.array(texts_of, pa.large_binary()).take(pa.array(index))
+    ends = np.concatenate([[0], np.cumsum(pc.binary_length(written).to_numpy())])
+    ends = ends[np.concatenate([[0], np.cumsum(n_units)])].tolist()
+    raw = memoryview(written.buffers()[2]) if ends[-1] else b""
+    digests = [hashlib.sha256(raw[a:b - 1]).hexdigest() if b > a else "" for a, b in zip(ends[:-1], ends[1:])]
+    docs = pa.RecordBatch.from_arrays(
+        [ids, *[pa.array(_summed(numbers[index, k], row_sizes)) for k in range(len(NUMBERS))], pa.array(digests, pa.string())],
+        names=["id", *NUMBERS, "groups_sha256"])
     sink = pa.BufferOutputStream()
     with pa.ipc.new_stream(sink, docs.schema) as out:
         out.write_batch(docs)
-    starts = np.concatenate([[0], np.cumsum([len(p) for p in unit_pairs], dtype=np.int64)]).tolist()
-    columns = [number, pairs.tolist(), pair_links.tolist(), same.tolist(), same_links.tolist(),
-               *_csr([where[a:b].tolist() for a, b in zip(starts[:-1], starts[1:])], "<u4"), *_csr(unit_same, "<u4"),
-               sink.getvalue().to_pybytes(), flat_rows, row_sizes]
+    columns = [number, pairs, pair_links, same, same_links, where.astype("<u4").tobytes(), n_pairs.astype("<u4").tobytes(),
+               flat_same.tobytes(), n_same.astype("<u4").tobytes(),
+               sink.getvalue().to_pybytes(), index.astype("<u4").tobytes(), row_sizes]
     kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int64()), *[pa.binary()] * 7]
     names = [c.split()[0] for c in BLOCK.split(", ")]
     return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(columns, kinds)], names=names)
@@ -289,10 +358,10 @@ def alignments(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id"
                        F.monotonically_increasing_id().alias("place"))
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner = Aligner(a.value, b.value)
+        aligner = _aligner(a.value, b.value)
         for batch in batches:
             for part in slices(batch, "text"):
-                yield _block(part.column("place")[0].as_py(), part.column("id"), part.column("text").to_pylist(), aligner)
+                yield _block(part.column("place")[0].as_py(), part.column("id"), part.column("text"), aligner)
 
     blocks = stored(rows.mapInArrow(align, BLOCK), "alignment_blocks")
 

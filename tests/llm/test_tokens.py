@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 import zlib
 from collections import Counter
 from fractions import Fraction
@@ -204,6 +205,31 @@ def aligned(texts):
             for o, links in zip(out, links_of)]
 
 
+def test_units_cut_like_the_pattern():
+    cut = re.compile(f"(?<=[^{alignment.BLANKS}])(?=[ \n])")
+    rnd = random.Random(4)
+    texts = [t or "" for t in HARD] + ["".join(rnd.choices("aé日😀 \n" + alignment.BLANKS, k=rnd.randint(0, 30))) for _ in range(3000)]
+    for part in (texts, texts[:1], [], [""], [" "]):
+        units, index, n = alignment.cut_units(pa.array(part, pa.string()))
+        want = [cut.split(" " + t) if t else [] for t in part]
+        assert len(set(units)) == len(units) and n.tolist() == [len(w) for w in want]
+        assert [units[i] for i in index] == [u for w in want for u in w]
+
+
+def test_units_learned_once_in_a_process(monkeypatch):
+    blobs = []
+    for path in (queries.BYTE_BPE_PATH, queries.MODEL_PATH):
+        with open(path, "rb") as f:
+            blobs.append(f.read())
+    aligner = alignment._aligner(*blobs)
+    assert alignment._aligner(*blobs) is aligner
+    units = [" a", " b\u0301", "\nc", " d ", " \ufb01x", " \x00", " word"]
+    together = aligner.alignments(units)
+    monkeypatch.setattr(alignment, "CACHED_UNITS", 2)
+    small = alignment.Aligner(*blobs)
+    assert [small.alignments([u])[0] for u in units * 2] == together * 2 and len(small.known.old) <= 3
+
+
 @pytest.mark.parametrize("batch", [3, 1000])
 def test_alignment_equals_intervals(spark, batch):
     texts = [tuple(r) for r in spark.read.parquet(f"{SF001}/documents.parquet").select("doc_id", "text").limit(80).collect()]
