@@ -244,6 +244,14 @@ def test_fingerprints_of_short_texts_fill_every_sample(spark):
     assert abs(statistics.fmean(r["near"] for r in rows) - 1 / 5) < 0.02
 
 
+def test_fingerprints_are_stored_as_bytes(spark):
+    full = "0a" * (2 * weighted_fingerprint.SAMPLES)
+    none = weighted_fingerprint.EMPTY * weighted_fingerprint.SAMPLES
+    df = spark.createDataFrame([(full,), (none,)], "p string").select("p", weighted_fingerprint._packed(F.col("p")).alias("b"))
+    got = df.select("p", F.length("b"), weighted_fingerprint._unpacked(F.col("b"))).collect()
+    assert sorted(tuple(r) for r in got) == [(none, None, none), (full, len(full) // 2, full)]
+
+
 def test_succession_over_many_ranges(spark):
     keys = spark.range(500).select(F.col("id").alias("k")).repartition(7)
     got = {r["k"]: r["next"] for r in weighted_fingerprint.succession(keys, [F.desc("k")]).collect()}
