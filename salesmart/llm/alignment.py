@@ -8,8 +8,9 @@ vector as long as A's vocabulary.  All other groups are irregular: the pairs of
 overlapping tokens are counted by block, and only those enter the shuffle that adds up the
 corpus-wide counts and brings them back to the blocks.
 
-Nothing is sent for a single occurrence: a block (at most 1,000 texts of about 4 MB, one
-stored row) holds its documents as lists of its units, and sends each of its pairs once.
+Nothing is sent for a single occurrence: a block (at most 1,000 texts of about 1 MB, one
+stored row) holds its documents as lists of its units, in as few bytes as its numbers need,
+and sends each of its pairs once.
 """
 
 from __future__ import annotations
@@ -34,9 +35,10 @@ from salesmart.llm.arrow_text import Recent, slices
 from salesmart.llm.common import small_batches, stored, text_of
 from salesmart.llm.vocabulary import SPACE
 
-#: units of which a worker remembers the alignment, twice
-CACHED_UNITS = 150_000
+#: units of which a worker remembers the alignment, twice; bytes of text in a block
+CACHED_UNITS = 75_000
 ENCODED_UNITS = 4_000
+BLOCK_BYTES = 1_000_000
 
 # The white space of Unicode, and the byte-level alphabet (printable Latin-1
 # characters stand for themselves, the other bytes for the characters from 256 on).
@@ -287,15 +289,25 @@ def _aligner(a_blob: bytes, b_blob: bytes) -> Aligner:
     return Aligner(a_blob, b_blob)
 
 
-def _summed(values: np.ndarray, counts: bytes) -> np.ndarray:
+def _packed(numbers: np.ndarray) -> bytes:
+    """Numbers from 0 on in as few bytes as the largest needs (1, 2, 4 or 8, said first)."""
+    size = np.min_scalar_type(int(numbers.max()) if len(numbers) else 0).itemsize
+    return bytes([size]) + numbers.astype(f"<u{size}").tobytes()
+
+
+def _unpacked(raw: bytes) -> np.ndarray:
+    return np.frombuffer(raw, dtype=f"<u{raw[0]}", offset=1)
+
+
+def _summed(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """Sums of consecutive runs of the given lengths."""
-    ends = np.cumsum(np.frombuffer(counts, dtype="<u4"), dtype=np.int64)
+    ends = np.cumsum(counts, dtype=np.int64)
     total = np.concatenate([[0], np.cumsum(values, dtype=np.int64)])
     return total[ends] - total[np.concatenate([[0], ends[:-1]])] if len(ends) else np.zeros(0, np.int64)
 
 
 #: a block's row: its distinct irregular pairs and their links, the identical groups' A ids
-#: and their links, each unit's pairs (as places in the former) and A ids, and the documents
+#: and their links, each unit's pairs and A ids (as places in the former), and the documents
 BLOCK = ("block long, pairs array<long>, pair_links array<long>, same array<int>, same_links array<long>, "
          "unit_pairs binary, unit_pair_counts binary, unit_same binary, unit_same_counts binary, "
          "docs binary, doc_units binary, doc_unit_counts binary")
@@ -318,7 +330,6 @@ def _block(number: int, ids: pa.Array, texts: pa.Array, aligner: Aligner) -> pa.
     flat_same = np.frombuffer(b"".join(same_of), dtype=np.int32)
     same, back = np.unique(flat_same, return_inverse=True)
     same_links = np.bincount(back, weights=np.repeat(used, n_same), minlength=len(same)).astype(np.int64)
-    row_sizes = n_units.astype("<u4").tobytes()
     numbers = np.frombuffer(b"".join(numbers), dtype=np.int64).reshape(-1, len(NUMBERS))
     written = pa.array(texts_of, pa.large_binary()).take(pa.array(index))
     ends = np.concatenate([[0], np.cumsum(pc.binary_length(written).to_numpy())])
@@ -326,14 +337,13 @@ def _block(number: int, ids: pa.Array, texts: pa.Array, aligner: Aligner) -> pa.
     raw = memoryview(written.buffers()[2]) if ends[-1] else b""
     digests = [hashlib.sha256(raw[a:b - 1]).hexdigest() if b > a else "" for a, b in zip(ends[:-1], ends[1:])]
     docs = pa.RecordBatch.from_arrays(
-        [ids, *[pa.array(_summed(numbers[index, k], row_sizes)) for k in range(len(NUMBERS))], pa.array(digests, pa.string())],
+        [ids, *[pa.array(_summed(numbers[index, k], n_units)) for k in range(len(NUMBERS))], pa.array(digests, pa.string())],
         names=["id", *NUMBERS, "groups_sha256"])
     sink = pa.BufferOutputStream()
     with pa.ipc.new_stream(sink, docs.schema) as out:
         out.write_batch(docs)
-    columns = [number, pairs, pair_links, same, same_links, where.astype("<u4").tobytes(), n_pairs.astype("<u4").tobytes(),
-               flat_same.tobytes(), n_same.astype("<u4").tobytes(),
-               sink.getvalue().to_pybytes(), index.astype("<u4").tobytes(), row_sizes]
+    columns = [number, pairs, pair_links, same, same_links, _packed(where), _packed(n_pairs), _packed(back), _packed(n_same),
+               sink.getvalue().to_pybytes(), _packed(index), _packed(n_units)]
     kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int64()), *[pa.binary()] * 7]
     names = [c.split()[0] for c in BLOCK.split(", ")]
     return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(columns, kinds)], names=names)
@@ -360,7 +370,7 @@ def alignments(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id"
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner = _aligner(a.value, b.value)
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", BLOCK_BYTES):
                 yield _block(part.column("place")[0].as_py(), part.column("id"), part.column("text"), aligner)
 
     blocks = stored(rows.mapInArrow(align, BLOCK), "alignment_blocks")
@@ -398,11 +408,12 @@ def alignments(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id"
         at = counts.column("at").to_numpy()
         n[at] = counts.column("n").to_numpy()
         of_best[at] = best[counts.column("pair").to_numpy() & 0xFFFFFFFF]
-        where, ids = np.frombuffer(row["unit_pairs"], dtype="<u4"), np.frombuffer(row["unit_same"], dtype="<u4")
+        ids = np.array(row["same"], dtype=np.int64)
+        (where, n_where, back, n_back, units, counts_) = (_unpacked(row[c]) for c in (
+            "unit_pairs", "unit_pair_counts", "unit_same", "unit_same_counts", "doc_units", "doc_unit_counts"))
         top = times[ids] == best[same[ids]]
-        sums = _summed(n[where], row["unit_pair_counts"]) + _summed(times[ids], row["unit_same_counts"])
-        bests = (_summed((n == of_best)[where], row["unit_pair_counts"]) + _summed(top, row["unit_same_counts"]))
-        units, counts_ = np.frombuffer(row["doc_units"], dtype="<u4"), row["doc_unit_counts"]
+        sums = _summed(n[where], n_where) + _summed(times[ids][back], n_back)
+        bests = _summed((n == of_best)[where], n_where) + _summed(top[back], n_back)
         with pa.ipc.open_stream(row["docs"]) as stream:
             docs_ = stream.read_all()
         return pa.table([docs_.column("id"), *[docs_.column(c) for c in NUMBERS],
@@ -410,5 +421,5 @@ def alignments(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id"
                          docs_.column("groups_sha256")], names=schema.names)
 
     schema_empty = to_arrow_schema(schema).empty_table()
-    ours = blocks.drop("pair_links", "same", "same_links")
+    ours = blocks.drop("pair_links", "same_links")
     return ours.groupBy("block").cogroup(counted.groupBy("number")).applyInArrow(finish, schema)

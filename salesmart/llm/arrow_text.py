@@ -21,12 +21,12 @@ def split_words(texts: pa.Array):
     return coded.dictionary, coded.indices.to_numpy(), pc.list_value_length(parts).to_numpy(zero_copy_only=False)
 
 
-def slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
-    """Parts of a batch of about SLICE_BYTES of text; a longer text is a part of its own."""
+def slices(batch: pa.RecordBatch, column: str, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch of about ``size`` bytes of text; a longer text is a part of its own."""
     if not batch.num_rows:
         return
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
-    part = np.cumsum(sizes) // SLICE_BYTES
+    part = np.cumsum(sizes, dtype=np.int64) // size
     cuts = np.r_[0, np.flatnonzero(part[1:] != part[:-1]) + 1, len(sizes)]
     for lo, hi in zip(cuts[:-1], cuts[1:]):
         yield batch.slice(lo, hi - lo)

@@ -230,6 +230,19 @@ def test_units_learned_once_in_a_process(monkeypatch):
     assert [small.alignments([u])[0] for u in units * 2] == together * 2 and len(small.known.old) <= 3
 
 
+def test_alignment_blocks_are_small():
+    """A block's row takes fewer bytes than its texts, and numbers come back as they were."""
+    blobs = [open(p, "rb").read() for p in (queries.BYTE_BPE_PATH, queries.MODEL_PATH)]
+    rnd = random.Random(3)
+    words = ["".join(rnd.choices("etaoinshr", k=rnd.randint(2, 7))) for _ in range(3000)]
+    texts = pa.array([" ".join(rnd.choices(words, k=400)) for _ in range(200)])
+    row = alignment._block(0, pa.array(range(200)), texts, alignment._aligner(*blobs))
+    assert row.nbytes < texts.nbytes
+    for top in (0, 255, 256, 65535, 65536, 2 ** 33):
+        assert alignment._unpacked(alignment._packed(np.array([top, 0, 1]))).tolist() == [top, 0, 1]
+    assert alignment._unpacked(alignment._packed(np.zeros(0, np.int64))).tolist() == []
+
+
 @pytest.mark.parametrize("batch", [3, 1000])
 def test_alignment_equals_intervals(spark, batch):
     texts = [tuple(r) for r in spark.read.parquet(f"{SF001}/documents.parquet").select("doc_id", "text").limit(80).collect()]
