@@ -47,13 +47,19 @@ CUT_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 NORMALIZERS = ["NFC", "Replace", "Lowercase"]
 WORD_END = "</w>"
 
-#: words of ASCII and composed Latin-1 letters (no control characters but line ends and
-#: tabs), which lower-casing changes letter by letter; the pattern for these, lowered
+#: texts of ASCII and composed Latin-1 letters (no control characters but line ends and
+#: tabs), which lower-casing changes letter by letter
 SIMPLE = re.compile("[\t\n\r -~À-ÖØ-öø-ÿ]*")
-PIECE = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\t\n\r a-zß-öø-ÿ0-9]+")
-PIECE_OR_BLANK = re.compile(PIECE.pattern + "| ")
-#: stands for a blank among ids; no tokenizer has so many
-BLANK = b"\xff\xff\xff\xff"
+#: stands behind every text; SIMPLE ones do not hold it
+END = "\0"
+#: what a byte of a lowered SIMPLE text belongs to: a blank, a letter (all beyond ASCII
+#: do), a digit, the end, anything else
+BLANK, LETTER, DIGIT, LAST, OTHER = range(5)
+KIND = np.full(256, OTHER, dtype=np.uint8)
+KIND[[9, 10, 13, 32]] = BLANK
+KIND[[*range(97, 123), *range(128, 256)]] = LETTER
+KIND[48:58] = DIGIT
+KIND[0] = LAST
 
 
 @lru_cache(maxsize=4)
@@ -66,7 +72,7 @@ def _tokenizer(blob: bytes):
 @lru_cache(maxsize=4)
 def _piecewise(blob: bytes):
     """The tokenizer without its normalizers and which of its ids end a piece, or None for
-    one that cuts words by other rules than SIMPLE and PIECE stand for."""
+    one that cuts words by other rules than SIMPLE and cut_pieces stand for."""
     from tokenizers import Tokenizer
     made = json.loads(blob)
     cutter = ((made.get("pre_tokenizer") or {}).get("pretokenizers") or [{}])[0]
@@ -82,6 +88,28 @@ def _piecewise(blob: bytes):
     return tokenizer, ends
 
 
+def cut_pieces(texts: list[str]) -> tuple[pa.DictionaryArray, np.ndarray]:
+    """The pieces by CUT_PATTERN of simple texts, lowered, END behind each text and runs of
+    blanks between the pieces, and the places of the ENDs among them."""
+    raw = END.join([*texts, ""]).lower().encode()
+    points = np.frombuffer(raw, dtype=np.uint8)
+    kind = KIND[points]
+    first = np.ones(len(points), dtype=bool)
+    first[1:] = (kind[1:] != kind[:-1]) | (kind[1:] == DIGIT) | (kind[1:] == LAST)
+    # 's, 're and their like where the apostrophe begins a piece
+    at = np.flatnonzero(first & (points == ord("'")))
+    one, two = points[at + 1], points[np.minimum(at + 2, len(points) - 1)]
+    short = np.isin(one, [ord(c) for c in "stmd"])
+    long = (np.isin(one, [ord(c) for c in "rv"]) & (two == ord("e"))) | ((one == ord("l")) & (two == ord("l")))
+    first[at[short | long] + 1] = False
+    first[at[short] + 2] = True
+    first[at[long] + 3] = True
+    starts = np.flatnonzero(first)
+    pieces = pa.LargeStringArray.from_buffers(
+        len(starts), pa.py_buffer(np.append(starts, len(points)).astype(np.int64)), pa.py_buffer(raw))
+    return pieces.dictionary_encode(), np.flatnonzero(kind[starts] == LAST)
+
+
 @lru_cache(maxsize=2)
 def word_encoder(blob: bytes) -> Callable[[pa.Array], list[bytes]]:
     """A function of texts to their ids as little-endian 32-bit integers, made once in a
@@ -90,8 +118,9 @@ def word_encoder(blob: bytes) -> Callable[[pa.Array], list[bytes]]:
     For tokenizers whose pieces never cross a blank and that drop it: a text's ids are
     those of its words cut at blanks, one after the other, so every distinct word is
     encoded once.  Strings of special tokens become these, as in the library.  Where the
-    tokenizer's rules are those of PIECE, simple words are cut into its pieces, of which
-    far fewer differ, and new pieces are encoded as one text, blanks between them."""
+    tokenizer's rules are known, simple texts, and simple words of other texts, are cut into
+    its pieces, of which fewer differ than words do, and new pieces are encoded as one text,
+    blanks between them."""
     tokenizer, piecewise = _tokenizer(blob), _piecewise(blob)
     known, of_piece = Recent(CACHED_WORDS), Recent(CACHED_WORDS)
 
@@ -105,35 +134,48 @@ def word_encoder(blob: bytes) -> Callable[[pa.Array], list[bytes]]:
                 of_piece.new[piece] = raw[a:b]
                 a = b
 
+    def simple(text: str) -> bool:
+        return piecewise is not None and SIMPLE.fullmatch(text) is not None and "<|" not in text
+
+    def joined(found: pa.Array, last: np.ndarray) -> list[bytes]:
+        """The values up to each of the last places, as one."""
+        ends = np.concatenate([[0], np.cumsum(pc.binary_length(found).to_numpy())])
+        ends = ends[np.concatenate([[0], last])].tolist()
+        raw = found.buffers()[2].to_pybytes() if ends[-1] else b""
+        return [raw[a:b] for a, b in zip(ends[:-1], ends[1:])]
+
+    def by_pieces(texts: list[str]) -> list[bytes]:
+        """Ids of simple texts."""
+        coded, ends = cut_pieces(texts)
+        pieces = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        learn_pieces(of_piece.missing([p for p in pieces if p[0] not in "\t\n\r " + END]))
+        of = pa.array([of_piece.new.get(p, b"") for p in pieces], pa.large_binary())
+        return joined(of.take(coded.indices), ends + 1)
+
     def learn(words: list[str]) -> None:
-        if piecewise:
-            simple = [w for w in words if SIMPLE.fullmatch(w) and "<|" not in w]
-            # all at once, a blank behind every word
-            pieces = PIECE_OR_BLANK.findall(" ".join([*simple, ""]).lower())
-            learn_pieces(of_piece.missing(list(set(pieces) - {" "})))
-            of_piece.new[" "] = BLANK
-            raw, a = b"".join(map(of_piece.new.__getitem__, pieces)), 0
-            blanks = 4 * np.flatnonzero(np.frombuffer(raw, dtype="<u4") == 0xFFFFFFFF)
-            for word, b in zip(simple, blanks.tolist(), strict=True):
-                known.new[word] = raw[a:b]
-                a = b + 4
+        plain = [w for w in words if simple(w)]
+        if plain:
+            known.new.update(zip(plain, by_pieces(plain), strict=True))
             words = [w for w in words if w not in known.new]
         for at in range(0, len(words), ENCODED_WORDS):
             part = words[at:at + ENCODED_WORDS]
             for word, found in zip(part, tokenizer.encode_batch_fast(part, add_special_tokens=False)):
                 known.new[word] = np.array(found.ids, dtype="<u4").tobytes()
 
-    def encode(texts: pa.Array) -> list[bytes]:
+    def by_words(texts: pa.Array) -> list[bytes]:
         parts = pc.split_pattern(texts, " ")
         coded = parts.flatten().dictionary_encode()
         words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         learn(known.missing(words))
         of_word = pa.array(map(known.new.__getitem__, words), pa.large_binary())
-        found = of_word.take(coded.indices)
-        ends = np.concatenate([[0], np.cumsum(pc.binary_length(found).to_numpy())])
-        ends = ends[np.concatenate([[0], np.cumsum(pc.list_value_length(parts).to_numpy())])].tolist()
-        raw = b"" if not ends[-1] else found.buffers()[2].to_pybytes()
-        return [raw[a:b] for a, b in zip(ends[:-1], ends[1:])]
+        return joined(of_word.take(coded.indices), np.cumsum(pc.list_value_length(parts).to_numpy()))
+
+    def encode(texts: pa.Array) -> list[bytes]:
+        plain = texts.to_numpy(zero_copy_only=False).tolist()
+        whole = [simple(t) for t in plain]
+        cut = iter(by_pieces([t for t, w in zip(plain, whole) if w]) if any(whole) else [])
+        rest = iter(by_words(texts.filter(pa.array([not w for w in whole]))) if not all(whole) else [])
+        return [next(cut if w else rest) for w in whole]
     return encode
 
 

@@ -111,6 +111,24 @@ def test_words_cut_into_pieces_equal_the_library():
     assert got == whole_ids(texts)
 
 
+def test_simple_texts_are_cut_at_once(monkeypatch):
+    """Texts of plain letters are cut into pieces, not into words; their ids are the library's."""
+    rnd = random.Random(2)
+    texts = ["".join(rnd.choices("a'bdelm'rstvLRéÀß' \t\n\r019.,!<|>", k=rnd.randint(0, 40))) for _ in range(5000)]
+    texts += ["", "'", "a'", "x'l", "'s", "''s 's's 're're 'rex !'s", "word " * 3000]
+    asked = []
+    missing = Recent.missing
+    monkeypatch.setattr(token_files.Recent, "missing", lambda self, keys: asked.extend(keys) or missing(self, keys))
+    with open(queries.WORD_BPE_PATH, "rb") as f:
+        encode = token_files.word_encoder.__wrapped__(f.read())
+    plain = [t for t in texts if "<|" not in t]
+    got = [np.frombuffer(raw, dtype="<u4").tolist() + [2] for raw in encode(pa.array(plain))]
+    assert got == whole_ids(plain)
+    assert asked and not any(re.search("[a-z][^a-z']|[0-9].", k) for k in asked if k.isascii())
+    mixed = [x for t in texts for x in (t, t + "日")]
+    assert [np.frombuffer(raw, dtype="<u4").tolist() + [2] for raw in encode(pa.array(mixed))] == whole_ids(mixed)
+
+
 def test_words_learned_once_in_a_process(monkeypatch):
     with open(queries.WORD_BPE_PATH, "rb") as f:
         blob = f.read()
