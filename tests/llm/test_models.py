@@ -178,6 +178,28 @@ def test_automaton_equals_edit_distance():
         assert (got[0] if got else None) == want, w
 
 
+def test_known_tokens_take_few_bytes_and_change_nothing(monkeypatch):
+    import tracemalloc
+
+    rnd = random.Random(5)
+    texts = pa.array([" ".join(rnd.choice(["idiot", "idoit", f"w{rnd.randrange(10 ** 9)}", "you"]) for _ in range(400))
+                      for _ in range(300)])
+    lexicon = toxicity.Lexicon({w: 3.0 for w in toxicity.STARTERS})
+    matcher = toxicity.Matcher(lexicon)
+    parts = [texts.slice(i, 50) for i in range(0, 300, 50)]
+    tracemalloc.start()
+    try:
+        got = np.concatenate([toxicity.features(p, matcher) for p in parts])
+        kept = tracemalloc.get_traced_memory()[0] - got.nbytes
+    finally:
+        tracemalloc.stop()
+    assert kept < 1_500_000                                # 30,000 tokens; 3 MB and more as Python strings
+    monkeypatch.setattr(toxicity, "KNOWN_TOKENS", 100)
+    forgetful = toxicity.Matcher(lexicon)
+    assert (np.concatenate([toxicity.features(p, forgetful) for p in parts * 2]) == np.r_[got, got]).all()
+    assert got[:, 0].all() and got[:, 1].all()
+
+
 def test_toxicity_on_held_out_labels(spark):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").where("doc_id % 3 = 0")
     labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
