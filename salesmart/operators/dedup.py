@@ -16,8 +16,15 @@ def keep_first(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
 
 
-def dedup_order_lines(details: DataFrame) -> DataFrame:
-    """One line per (OrderID, ProductID); the highest total, then quantity, survives."""
+def dedup_order_lines(details: DataFrame, by_order: bool = False) -> DataFrame:
+    """One line per (OrderID, ProductID); the highest total, then quantity, survives.
+
+    ``by_order`` brings the lines together by order alone: they are sorted once, not on both
+    sides of the shuffle, and a join on OrderID that follows needs no shuffle or sort of its
+    own.  Only for lines without hot orders (``skew.hot_keys``), whose lines would all go to
+    one task."""
+    if by_order:
+        details = details.repartition("OrderID")
     return keep_first(details, ["OrderID", "ProductID"],
                       [F.col("TotalPrice").desc_nulls_last(), F.col("Quantity").desc_nulls_last()])
 

@@ -294,7 +294,7 @@ def load_facts(store: TableStore, run_id: str = "") -> list[dict]:
     lines = typed_lines(details).observe(
         o_lines, F.count(F.lit(1)).alias("read"),
         F.count_if(F.col(REASON).isNotNull()).alias("rejected"))
-    unique = dedup_order_lines(accepted(lines)).observe(o_unique, F.count(F.lit(1)).alias("n"))
+    unique = dedup_order_lines(accepted(lines), by_order=not inp.hot.get("order")).observe(o_unique, F.count(F.lit(1)).alias("n"))
     joined = join_details_orders(unique, unique_orders(orders), inp.hot.get("order")).observe(
         o_joined, F.count_if(F.col(REASON) == ORPHAN).alias("orphans"))
     fact = fact_rows(resolve_keys(joined.filter(F.col(REASON).isNull()), inp))

@@ -6,6 +6,8 @@ marker shows it is complete); the folder lives under ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 
 from .. import fs
@@ -44,23 +46,22 @@ CSV_SOURCES = {
     "orders": standins.orders,
     "order_details": standins.order_details,
 }
+SOURCES = [*CSV_SOURCES, "db_orders", "db_order_details", "api_products"]
 
 
 def land_all(spark: SparkSession, sf_dir: str) -> dict[str, str]:
-    """Land every source for ``sf_dir``; returns name -> path."""
+    """Land every source for ``sf_dir``, all at once, so that the last tasks of one overlap
+    with the others; returns name -> path."""
     root = landing_dir(spark, sf_dir)
-    out = {}
-    for name, fn in CSV_SOURCES.items():
-        out[name] = land_csv(spark, fn(spark, sf_dir), f"{root}/csv/{name}")
-    out["db_orders"] = land_parquet(spark, standins.db_orders_table(spark, sf_dir), f"{root}/db/orders")
-    out["db_order_details"] = land_parquet(
-        spark, standins.db_order_details_table(spark, sf_dir), f"{root}/db/order_details")
-    out["api_products"] = land_text(spark, standins.api_pages(spark, sf_dir), f"{root}/api/pages")
-    return out
+    with ThreadPoolExecutor(max_workers=len(SOURCES)) as pool:
+        return dict(zip(SOURCES, pool.map(lambda name: _land(spark, sf_dir, root, name), SOURCES)))
 
 
 def land_one(spark: SparkSession, sf_dir: str, name: str) -> str:
-    root = landing_dir(spark, sf_dir)
+    return _land(spark, sf_dir, landing_dir(spark, sf_dir), name)
+
+
+def _land(spark: SparkSession, sf_dir: str, root: str, name: str) -> str:
     if name in CSV_SOURCES:
         return land_csv(spark, CSV_SOURCES[name](spark, sf_dir), f"{root}/csv/{name}")
     if name == "db_orders":

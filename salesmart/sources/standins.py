@@ -103,16 +103,19 @@ def db_order_details_table(spark: SparkSession, sf_dir: str, perturbed: bool = F
     ``dated`` takes the creation time from the line's order (a join); without it, it is NULL.
     """
     from ..operators.dedup import dedup_order_lines
+    from ..operators.skew import hot_keys
     from ..functions.convert import unit_price
 
-    lines = dedup_order_lines(order_details(spark, sf_dir))
+    lines = order_details(spark, sf_dir)
     if dated:
+        # no hot orders: de-duplicated and joined in one shuffle of the lines
+        lines = dedup_order_lines(lines, by_order=not hot_keys(lines, "OrderID", lines.count()))
         o = table(spark, sf_dir, "orders").select(
             F.col("o_orderkey").cast("int").alias("OrderID"),
             _created_at("o_orderdate", "o_orderkey").alias("FechaCreacion"))
         lines = lines.join(o, "OrderID", "left")
     else:
-        lines = lines.withColumn("FechaCreacion", F.lit(None).cast("timestamp_ntz"))
+        lines = dedup_order_lines(lines).withColumn("FechaCreacion", F.lit(None).cast("timestamp_ntz"))
     detail_id = (F.col("OrderID").cast("bigint") * 1000000 + F.col("ProductID"))
     out = lines.select(
         detail_id.alias("DetallePedidoId"),

@@ -106,3 +106,24 @@ def test_hot_keys_are_spread_in_one_pass(spark, monkeypatch):
     assert "Union" not in plan and "BroadcastHashJoin" in plan and plan.count("SortMergeJoin") == 1
     assert split == plain
     assert metrics_split == metrics
+
+
+def test_lines_by_order_are_shuffled_once(spark):
+    from salesmart.operators.dedup import dedup_order_lines
+    from salesmart.operators.facts import join_details_orders, unique_orders
+
+    rows = [(o, p, q, str(t)) for o in [1, 2, 3, None] for p in [7, 8, None] for q, t in [(1, 5), (2, 5), (1, 4)]]
+    lines = spark.createDataFrame(rows, "OrderID int, ProductID int, Quantity int, TotalPrice string").withColumn(
+        "TotalPrice", F.col("TotalPrice").cast("decimal(18,2)"))
+    orders = spark.createDataFrame([("1", "4", "2024-01-02", "o"), ("3", "4", "2024-01-03", "f"), ("3", "5", "2024-01-03", "f")],
+                                   "OrderID string, CustomerID string, OrderDate string, Status string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plain, once = (join_details_orders(dedup_order_lines(lines, **kw), unique_orders(orders)) for kw in ({}, {"by_order": True}))
+        plan = once._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 2           # lines once, orders once
+        assert sorted(map(str, plain.collect())) == sorted(map(str, once.collect()))
+        assert once.count() == 12
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
