@@ -52,6 +52,72 @@ def test_embedding_join_null_id_and_empty(spark):
     assert embedding_join.near_duplicates(df.limit(0)).collect() == []
 
 
+def test_embedding_join_copies_no_vectors_before_comparing(spark, monkeypatch):
+    """Vectors all alike far apart, one block, many cells: each was stored once for nearly
+    every cell, which filled a task's memory."""
+    monkeypatch.setattr(embedding_join, "PIVOT_SHARE", 0.5)
+    rows = {}
+
+    def noted(df, name, stored=embedding_join.stored):
+        df = stored(df, name)
+        rows[name] = df.count()
+        return df
+    monkeypatch.setattr(embedding_join, "stored", noted)
+    x = np.random.default_rng(7).normal(size=(2000, 32))
+    x[1::100] = x[0::100] + 0.01
+    df = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(x)], "vec_id long, embedding array<float>, label int")
+    got = {tuple(r)[:3] for r in embedding_join.near_duplicates(df).collect()}
+    assert got == {(i, int(i % 100 < 2), i - (i % 100 == 1)) for i in range(len(x))}
+    assert max(rows.values()) <= len(x), rows
+
+
+def test_embedding_join_deals_a_large_block(spark, monkeypatch):
+    """No task holds more than its rows of either side, whatever the block's size."""
+    monkeypatch.setattr(embedding_join, "QUERY_ROWS", 64)
+    monkeypatch.setattr(embedding_join, "CANDIDATE_ROWS", 128)
+
+    def bounded(cosine, comparer=embedding_join._comparer):
+        compare = comparer(cosine)
+
+        def run(q, c):
+            assert len(q) <= 2 * 64 and len(c) <= 2 * 128, (len(q), len(c))
+            return compare(q, c)
+        return run
+    monkeypatch.setattr(embedding_join, "_comparer", bounded)
+    rng = np.random.default_rng(8)
+    x = np.concatenate([rng.normal(size=(500, 16)), rng.normal(size=16) + 0.08 * rng.normal(size=(300, 16))])
+    rows = [(i, v.tolist(), 1) for i, v in enumerate(x)]
+    got = sorted(tuple(r) for r in embedding_join.near_duplicates(
+        spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect())
+    links = brute.unit_links(rows)
+    count, root = np.bincount(np.array(links).ravel(), minlength=len(rows)), brute.components(len(rows), links)
+    least = {}
+    for i, r in enumerate(root):
+        least.setdefault(r, i)
+    assert got == [(i, int(count[i]), least[r], i == least[r]) for i, r in enumerate(root)]
+
+
+def test_embedding_join_decides_in_double_precision(spark):
+    rows = []
+    for block, c in enumerate([0.93 - 1e-9, 0.93 + 1e-9]):
+        rows += [(2 * block, [1.0, 0.0], block), (2 * block + 1, [c, (1 - c * c) ** 0.5], block)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = {r["vec_id"]: r["n_links"] for r in embedding_join.near_duplicates(df).collect()}
+    assert got == {0: 0, 1: 0, 2: 1, 3: 1}
+
+
+def test_links_fold_into_components():
+    rng = np.random.default_rng(9)
+    label, u, v = np.arange(300, dtype=np.int32), rng.integers(0, 300, 280), rng.integers(0, 300, 280)
+    for at in range(0, 280, 40):
+        label = embedding_join._merged(label, u[at:at + 40], v[at:at + 40])
+    root = brute.components(300, list(zip(u.tolist(), v.tolist())))
+    least = {}
+    for i, r in enumerate(root):
+        least.setdefault(r, i)
+    assert label.tolist() == [least[r] for r in root]
+
+
 def test_alignment_equals_dynamic_programming():
     rnd = random.Random(5)
     for _ in range(1500):
