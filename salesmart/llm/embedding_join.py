@@ -178,9 +178,11 @@ def _comparer(cosine: float):
         by_unit = np.argsort(q["unit"].to_numpy(), kind="stable")
         x, y = _single(q["embedding"])[by_unit], _single(c["embedding"])
         slack = (x.shape[1] + 16) * 2.0 ** -23
-        names = pa.concat_arrays([q["key"].combine_chunks().take(pa.array(by_unit)), *c["key"].chunks])
-        node = np.array(names.to_pylist(), dtype="S")
-        copies = np.concatenate([q["copies"].to_numpy()[by_unit], c["copies"].to_numpy()])
+        names, where = np.unique(np.array(q["key"].to_pylist() + c["key"].to_pylist(), dtype="S"), return_inverse=True)
+        where = where.astype(np.int32)
+        copies = np.zeros(len(names), np.int64)
+        copies[where] = np.concatenate([q["copies"].to_numpy(), c["copies"].to_numpy()])
+        of_q, of_c = where[:len(q)][by_unit], where[len(q):]
         own, core = c["own"].to_numpy(), c["core"].to_numpy()
         lists = c["units"].combine_chunks()
         sent = lists.flatten().to_numpy()
@@ -188,7 +190,7 @@ def _comparer(cosine: float):
         sender = np.repeat(np.arange(len(c), dtype=np.int32), lists.value_lengths().to_numpy())[order]
         sent = sent[order]
         units, first = np.unique(q["unit"].to_numpy()[by_unit], return_index=True)
-        links, label = np.zeros(len(node), np.int64), np.arange(len(node), dtype=np.int32)
+        links, label = np.zeros(len(names), np.int64), np.arange(len(names), dtype=np.int32)
         us, vs, waiting = [], [], 0
         for unit, low, high in zip(units, first, [*first[1:], len(q)]):
             b = sender[np.searchsorted(sent, unit):np.searchsorted(sent, unit, "right")]
@@ -206,25 +208,25 @@ def _comparer(cosine: float):
                     for k in range(0, len(doubt), 4096):
                         some = doubt[k:k + 4096]
                         linked[some] = _cosines(q["embedding"], by_unit[u[some]], c["embedding"], v[some]) >= cosine
-                    u, v = u[linked], v[linked]
-                    us.append(u.astype(np.int32))
-                    vs.append(v + np.int32(len(q)))
-                    other = node[u] != node[len(q) + v]
-                    u, v = u[other], v[other]
-                    np.add.at(links, u, copies[len(q) + v])
+                    u, v = of_q[u[linked]], v[linked]
                     once = ~own[v] | (core[v] != bool(unit % 2))      # else it is also met the other way
-                    np.add.at(links, len(q) + v[once], copies[u[once]])
+                    v = of_c[v]
+                    np.add.at(links, u, np.where(u != v, copies[v], 0))
+                    np.add.at(links, v[once], copies[u[once]])
+                    apart = label[u] != label[v]
+                    us.append(u[apart])
+                    vs.append(v[apart])
                     waiting += len(us[-1])
                     if waiting > OPEN_LINKS:
                         label = _merged(label, np.concatenate(us), np.concatenate(vs))
                         us, vs, waiting = [], [], 0
         if us:
             label = _merged(label, np.concatenate(us), np.concatenate(vs))
-        found, joined = np.flatnonzero(links), np.flatnonzero(node != node[label])
-        return pa.concat_tables([
-            pa.table({"key": names.take(pa.array(found)), "links": links[found], "root": pa.nulls(len(found), pa.string())}),
-            pa.table({"key": names.take(pa.array(joined)), "links": np.zeros(len(joined), np.int64),
-                      "root": names.take(pa.array(label[joined]))})])
+        found, joined = np.flatnonzero(links), np.flatnonzero(label != np.arange(len(names)))
+        names = names.astype("U")
+        return pa.table({"key": pa.array(np.concatenate([names[found], names[joined]]), pa.string()),
+                         "links": np.concatenate([links[found], np.zeros(len(joined), np.int64)]),
+                         "root": pa.array([None] * len(found) + names[label[joined]].tolist(), pa.string())})
     return compare
 
 
@@ -275,8 +277,8 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     sizes = reps.groupBy("block").agg(F.count("*").alias("rows"))
     sizes = sizes.withColumn("areas", F.ceil(F.col("rows") / _rows(QUERY_ROWS)).cast("long"))
     most = SALT_CELLS / (F.sqrt("rows") / PIVOT_SHARE + F.col("areas"))       # cells and areas of a block, about
-    sizes = sizes.withColumn("salts", F.ceil(F.col("rows") / F.greatest(
-        F.lit(1.0), F.least(_rows(SALT_ROWS), most))).cast("int"))
+    sizes = stored(sizes.withColumn("salts", F.ceil(F.col("rows") / F.greatest(
+        F.lit(1.0), F.least(_rows(SALT_ROWS), most))).cast("int")), "embedding_sizes")      # known to be small where it is
     part = reps.join(sizes, "block")
     every_salt = F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt")
     u = F.conv(F.substring("key", 1, 12), 16, 10).cast("double") / float(16 ** 12)
